@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import tokens
+from . import langid, secret_scan, tokens
 
 
 def tokenizer_path() -> str:
@@ -21,6 +21,17 @@ def op1_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_digest(_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
-QUERIES = {f.__name__: f for f in (op1_token_codes,)}
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    held_out = langid.fold("doc_id", 5) == 0
+    found = langid.identify(docs, langid.train(docs, ~held_out), keep=["doc_id"])
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
+
+
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digest(secret_scan.scan(_table(spark, sf_dir, "documents"), keep=["doc_id"]))
+
+
+QUERIES = {f.__name__: f for f in (op1_token_codes, op7_language_id, op9_secret_scan)}
 
 ORACLE_SQL: dict[str, str] = {}

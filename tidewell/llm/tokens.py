@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from . import scratch
 
 MAGIC = b"TDAC"
-HEADER = struct.Struct("<4sIQQI")  # magic, documents, tokens, bytes of the whole segment, levels
+HEADER = "<4sIQQI"  # magic, documents, tokens, bytes of the whole segment, levels
 BLOCK_BITS = 512
 CACHE_WORDS = 400_000  # words whose ids a task remembers; more are forgotten and encoded anew
 
@@ -101,15 +101,15 @@ def pack_segment(doc_ids: list[int | None], lengths: list[int], ids: np.ndarray)
     body = known.tobytes() + np.array([d or 0 for d in doc_ids], "<i8").tobytes() + np.array(lengths, "<u8").tobytes()
     body += encode_levels(ids)
     levels = struct.unpack_from("<I", body, 17 * len(doc_ids))[0]
-    return HEADER.pack(MAGIC, len(doc_ids), len(ids), HEADER.size + len(body), levels) + body
+    return struct.pack(HEADER, MAGIC, len(doc_ids), len(ids), struct.calcsize(HEADER) + len(body), levels) + body
 
 
 class Segment:
     def __init__(self, data: memoryview) -> None:
-        magic, n, self.n_tokens, self.size, _ = HEADER.unpack_from(data)
+        magic, n, self.n_tokens, self.size, _ = struct.unpack_from(HEADER, data)
         if magic != MAGIC:
             raise ValueError("not a token segment")
-        at = HEADER.size
+        at = struct.calcsize(HEADER)
         known = np.frombuffer(data, np.uint8, n, at)
         numbers = np.frombuffer(data, "<i8", n, at + n)
         self.doc_ids = [int(d) if k else None for d, k in zip(numbers, known, strict=True)]
