@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, langid, secret_scan, tokens
+from . import decontaminate, langid, secret_scan, simhash, tokens
 
 
 def tokenizer_path() -> str:
@@ -21,6 +21,10 @@ def op1_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_digest(_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.digest(simhash.near_duplicates(_table(spark, sf_dir, "documents")))
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, benchmark = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
     return decontaminate.digest(decontaminate.decontaminate(docs, benchmark, keep=["doc_id"]))
@@ -37,6 +41,6 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.scan(_table(spark, sf_dir, "documents"), keep=["doc_id"]))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_codes, op6_decontaminate, op7_language_id, op9_secret_scan)}
+QUERIES = {f.__name__: f for f in (op1_token_codes, op5_simhash, op6_decontaminate, op7_language_id, op9_secret_scan)}
 
 ORACLE_SQL: dict[str, str] = {}
