@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, langid, secret_scan, simhash, tokens
+from . import decontaminate, langid, mixing, quality_rules, secret_scan, simhash, tokens
 
 
 def tokenizer_path() -> str:
@@ -21,6 +21,10 @@ def op1_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_digest(_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(_table(spark, sf_dir, "documents"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digest(simhash.near_duplicates(_table(spark, sf_dir, "documents")))
 
@@ -41,6 +45,15 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.scan(_table(spark, sf_dir, "documents"), keep=["doc_id"]))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_codes, op5_simhash, op6_decontaminate, op7_language_id, op9_secret_scan)}
+# Target weights of the mixture; all sources not named share one stream.
+MIX_WEIGHTS, MIX_OTHER, MIX_BLOCK = {"src0": 6, "src1": 3, "src2": 3, "src3": 2, "src4": 2}, 8, 16
+
+
+def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "source")
+    return mixing.mix(docs, MIX_WEIGHTS, MIX_OTHER, MIX_BLOCK).select("doc_id", "stream", "block", "slot", "place")
+
+
+QUERIES = {f.__name__: f for f in (op1_token_codes, op2_quality_rules, op5_simhash, op6_decontaminate, op7_language_id, op9_secret_scan, op10_mix_sources)}
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op10_mix_sources": mixing.mix_sql(MIX_WEIGHTS, MIX_OTHER, MIX_BLOCK)}

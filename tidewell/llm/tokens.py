@@ -12,6 +12,8 @@ file system), one record per segment with a closing newline byte.
 
 from __future__ import annotations
 
+import os
+import string
 import struct
 import zlib
 from collections.abc import Iterator
@@ -26,7 +28,7 @@ from . import scratch
 MAGIC = b"TDAC"
 HEADER = "<4sIQQI"  # magic, documents, tokens, bytes of the whole segment, levels
 BLOCK_BITS = 512
-CACHE_WORDS = 400_000  # words whose ids a task remembers; more are forgotten and encoded anew
+CACHE_WORDS = 400_000  # words in each of the two generations whose ids a worker remembers
 
 
 # ---- directly addressable codes ---------------------------------------------------------------------------------
@@ -128,30 +130,89 @@ def segments(data: bytes) -> Iterator[Segment]:
 # ---- tokenizing -------------------------------------------------------------------------------------------------
 
 
+def _is_latin(text: str) -> bool:
+    try:
+        return text.isascii() or bool(text.encode("latin-1"))
+    except UnicodeEncodeError:
+        return False
+
+
 class WordEncoder:
     """Ids of whole texts, encoded word by word: the tokenizer drops white space and never joins across it.
 
     Texts are cut at spaces, line feeds, tabs and carriage returns only; other white space stays inside a piece and
-    is left to the tokenizer.
+    is left to the tokenizer. Latin texts are lower-cased first, as the tokenizer does, and closing punctuation, a
+    token boundary for the tokenizer, is encoded apart, so that fewer different words remain. New Latin words are
+    encoded many at a time and told apart by the ids that end a word. Other pieces are encoded one by one.
     """
 
     def __init__(self, path: str) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
+        self.tokenizer, self.known, self.older = Tokenizer.from_file(path), {}, {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+
+    def _encode(self, pieces: list[str]) -> Iterator[bytes]:
+        for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False):
+            yield np.array(e.ids, "<u4").tobytes()
+
+    def _encode_words(self, words: list[str]) -> Iterator[bytes]:
+        """Words of Latin letters only, each one token group."""
+        for i in range(0, len(words), 2000):
+            part = words[i : i + 2000]
+            data = next(self._encode([" ".join(part)]))
+            cuts = 4 * (np.flatnonzero(self.ends[np.frombuffer(data, "<u4")]) + 1)
+            if len(cuts) != len(part):
+                yield from self._encode(part)
+                continue
+            a = 0
+            for b in cuts.tolist():
+                yield data[a:b]
+                a = b
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """For each text the ids as little-endian unsigned 32-bit integers."""
-        words = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
+        lowered = [t.lower() if _is_latin(t) else t for t in texts]
+        pieces = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in lowered]
         if len(self.known) > CACHE_WORDS:
-            self.known = {}
-        known, new = self.known, list({w for ws in words for w in ws}.difference(self.known))
-        for i in range(0, len(new), 20_000):
-            part = new[i : i + 20_000]
-            for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                known[w] = np.array(e.ids, "<u4").tobytes()
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        split, words, others = [], set(), set()
+        new = set().union(*pieces).difference(known)
+        if older:
+            back = {p: older[p] for p in new if p in older}
+            known.update(back)
+            new.difference_update(back)
+        for piece in new:
+            stem = piece.rstrip(string.punctuation)
+            if stem.isalpha() and _is_latin(stem) and stem.islower():
+                words.add(stem)
+                if len(stem) < len(piece):
+                    split.append((piece, stem))
+                    others.add(piece[len(stem) :])
+            else:
+                others.add(piece)
+        words, others = list(words.difference(known)), list(others.difference(known))
+        known.update(zip(words, self._encode_words(words), strict=True))
+        known.update(zip(others, self._encode(others), strict=True))
+        for piece, stem in split:
+            known[piece] = known[stem] + known[piece[len(stem) :]]
         get = known.__getitem__
-        return [b"".join(map(get, ws)) for ws in words]
+        return [b"".join(map(get, ps)) for ps in pieces]
+
+
+def word_encoder(path: str) -> WordEncoder:
+    """One encoder for each worker process. It is kept with the library's module, as functions that travel by value
+    leave nothing behind when a task ends."""
+    import tokenizers
+
+    kept = tokenizers.__dict__.setdefault("_word_encoders", {})
+    if path not in kept:
+        kept[path] = WordEncoder(path)
+    return kept[path]
 
 
 # ---- operators --------------------------------------------------------------------------------------------------
@@ -182,7 +243,7 @@ def write_tokens(
     rows = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("id", "text")
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = WordEncoder(tokenizer), struct.pack("<I", end_id)
+        encode, end = word_encoder(tokenizer), struct.pack("<I", end_id)
         doc_ids, lengths, parts, held = [], [], [], 0
 
         def flush() -> pa.RecordBatch:
