@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontaminate, langid, mixing, quality_rules, secret_scan, simhash, tokens
+from . import decontaminate, hpylm, langid, mixing, quality_rules, secret_scan, simhash, tokens
 
 
 def tokenizer_path() -> str:
@@ -41,6 +42,12 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op8_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = langid.fold("doc_id", 7) == 2
+    scored = hpylm.score(_table(spark, sf_dir, "documents"), ~held_out)
+    return scored.select("doc_id", (~F.col("trained")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.scan(_table(spark, sf_dir, "documents"), keep=["doc_id"]))
 
@@ -54,6 +61,6 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs, MIX_WEIGHTS, MIX_OTHER, MIX_BLOCK).select("doc_id", "stream", "block", "slot", "place")
 
 
-QUERIES = {f.__name__: f for f in (op1_token_codes, op2_quality_rules, op5_simhash, op6_decontaminate, op7_language_id, op9_secret_scan, op10_mix_sources)}
+QUERIES = {f.__name__: f for f in (op1_token_codes, op2_quality_rules, op5_simhash, op6_decontaminate, op7_language_id, op8_pitman_yor, op9_secret_scan, op10_mix_sources)}
 
 ORACLE_SQL: dict[str, str] = {"op10_mix_sources": mixing.mix_sql(MIX_WEIGHTS, MIX_OTHER, MIX_BLOCK)}
