@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, hpylm, langid, mixing, quality_rules, secret_scan, simhash, tokens
+from . import decontaminate, hpylm, langid, mixing, quality_knn, quality_rules, secret_scan, simhash, tokens, url_tree
 
 
 def tokenizer_path() -> str:
@@ -26,6 +26,17 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(_table(spark, sf_dir, "documents"))
 
 
+def op3_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    held_out = langid.fold("doc_id", 4) == 2
+    scored = quality_knn.classify(docs, quality_knn.fit(docs, labels, ~held_out), keep=["doc_id"])
+    return scored.select("doc_id", held_out.alias("held_out"), "score", F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"))
+
+
+def op4_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_tree.judge(_table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict", "template")
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digest(simhash.near_duplicates(_table(spark, sf_dir, "documents")))
 
@@ -61,6 +72,6 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs, MIX_WEIGHTS, MIX_OTHER, MIX_BLOCK).select("doc_id", "stream", "block", "slot", "place")
 
 
-QUERIES = {f.__name__: f for f in (op1_token_codes, op2_quality_rules, op5_simhash, op6_decontaminate, op7_language_id, op8_pitman_yor, op9_secret_scan, op10_mix_sources)}
+QUERIES = {f.__name__: f for f in (op1_token_codes, op2_quality_rules, op3_quality_votes, op4_url_templates, op5_simhash, op6_decontaminate, op7_language_id, op8_pitman_yor, op9_secret_scan, op10_mix_sources)}
 
-ORACLE_SQL: dict[str, str] = {"op10_mix_sources": mixing.mix_sql(MIX_WEIGHTS, MIX_OTHER, MIX_BLOCK)}
+ORACLE_SQL: dict[str, str] = {"op10_mix_sources": mixing.mix_sql(MIX_WEIGHTS, MIX_OTHER, MIX_BLOCK), "op4_url_templates": url_tree.judge_sql()}
