@@ -1,7 +1,7 @@
 """Reading sources, typed CSV, the write modes of a table, snapshots.
 
 A table is a folder of versions, each written whole and never changed, with the current one named in the file
-`_current`. So a write can read the state before it, a failed write leaves that state, and a version can be
+`CURRENT`. So a write can read the state before it, a failed write leaves that state, and a version can be
 restored.
 """
 
@@ -107,15 +107,15 @@ def _file(spark: SparkSession, path: str):
 
 
 def current_version(spark: SparkSession, table: str) -> str | None:
-    fs, p = _file(spark, f"{table}/_current")
+    fs, p = _file(spark, f"{table}/CURRENT")
     if not fs.exists(p):
         return None
-    return spark.read.text(f"{table}/_current").first()[0]
+    return spark.read.text(f"{table}/CURRENT").first()[0]
 
 
 def _swap(spark: SparkSession, table: str, version: str) -> None:
     """Name the current version; the name is one small file, replaced in one step."""
-    fs, p = _file(spark, f"{table}/_current")
+    fs, p = _file(spark, f"{table}/CURRENT")
     fs.mkdirs(p.getParent())
     stream = fs.create(p, True)
     stream.write(bytearray(version.encode()))
