@@ -330,12 +330,11 @@ class _Comparison:
     def _pair(self, rest: DataFrame) -> tuple[int, int]:
         """Pairs surplus rows, at most MAX_PAIRED a side, by the fewest differing columns, if at least half agree."""
         names = list(self.kinds)
-        rows = rest.filter(F.abs("__surplus") > 0).limit(2 * MAX_PAIRED).toPandas()
-        sides = [rows.loc[rows.index.repeat((rows["__surplus"] * s).clip(lower=0))].reset_index(drop=True) for s in (1, -1)]
-        e, a = sides
+        rows = rest.limit(2 * MAX_PAIRED).collect()
+        e, a = ([r for r in rows for _ in range(s * r["__surplus"])] for s in (1, -1))
         wrong = np.zeros((len(e), len(a)), np.int16)
         for c in names:
-            wrong += _matrix(e[c], a[c], self.kinds[c], self.tolerance)
+            wrong += _matrix([r[c] for r in e], [r[c] for r in a], self.kinds[c], self.tolerance)
         order = np.argsort(wrong, axis=None, kind="stable")
         used_e, used_a, pairs = set(), set(), []
         for i, j in zip(*np.unravel_index(order, wrong.shape), strict=True):
@@ -366,20 +365,19 @@ class _Comparison:
         return len(pairs), len(pairs)
 
 
-def _rows(side, names: list[str], at: list[int]) -> list[tuple]:
-    def plain(v):
-        return None if v is None or v != v and not isinstance(v, (list, dict)) else v.to_pydatetime() if hasattr(v, "to_pydatetime") else v.item() if hasattr(v, "item") else v
+def _rows(side: list, names: list[str], at: list[int]) -> list[tuple]:
+    return [(n, *(side[i][c] for c in names)) for n, i in enumerate(at)]
 
-    return [(n, *(plain(side[c].iloc[i]) for c in names)) for n, i in enumerate(at)]
 
-
-def _matrix(e, a, kind: T.DataType, tolerance: Tolerance) -> np.ndarray:
+def _matrix(e: list, a: list, kind: T.DataType, tolerance: Tolerance) -> np.ndarray:
     """1 where a value of `e` differs from one of `a`."""
-    null = e.isna().to_numpy()[:, None], a.isna().to_numpy()[None, :]
-    if is_number(kind):
-        x, y = e.astype(float).to_numpy()[:, None], a.astype(float).to_numpy()[None, :]
-        room = tolerance.absolute + tolerance.relative * np.maximum(abs(x), abs(y)) if isinstance(kind, (T.DoubleType, T.FloatType)) else tolerance.number
-        apart = ~(abs(x - y) <= room)
+    null = np.array([v is None for v in e])[:, None], np.array([v is None for v in a])[None, :]
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        x, y = (np.array([0.0 if v is None else v for v in s]) for s in (e, a))
+        x, y = x[:, None], y[None, :]
+        apart = ~((x == y) | (abs(x - y) <= tolerance.absolute + tolerance.relative * np.maximum(abs(x), abs(y))))
+    elif is_number(kind) and tolerance.number:
+        apart = np.array([[v is not None and w is not None and abs(v - w) > tolerance.number for w in a] for v in e])
     else:
         codes = {v: i for i, v in enumerate({str(v) for v in [*e, *a]})}
         apart = np.array([codes[str(v)] for v in e])[:, None] != np.array([codes[str(v)] for v in a])[None, :]
