@@ -111,17 +111,24 @@ def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     )
 
 
-def references(rows: DataFrame, min_words: int) -> dict[str, tuple[list[float], list[float]]]:
-    """Mean histograms (classes, common words) of each reference language's documents of `min_words` and more."""
+def references(rows: DataFrame) -> dict[str, tuple[list[float], list[float]]]:
+    """Mean histograms (classes, common words) of the rows of each reference language."""
     n_classes, n_words = len(CLASSES) + 1, len({w for ws in COMMON_WORDS.values() for w in ws}) + 1
     means = [F.avg(F.get("classes", F.lit(i))).alias(f"c{i}") for i in range(n_classes)] + [F.avg(F.get("common", F.lit(i))).alias(f"w{i}") for i in range(n_words)]
-    known = rows.filter(F.col("lang").isin(*COMMON_WORDS) & (F.col("n_words") >= min_words)).groupBy("lang").agg(*means)
+    known = rows.filter(F.col("lang").isin(*COMMON_WORDS)).groupBy("lang").agg(*means)
     return {r["lang"]: ([r[f"c{i}"] for i in range(n_classes)], [r[f"w{i}"] for i in range(n_words)]) for r in known.collect()}
 
 
+def _nearest(column: str, known: list[list[float]]) -> Column:
+    distances = [_distance(F.col(column), q) for q in known]
+    return F.least(*distances) if len(distances) > 1 else distances[0] if distances else F.lit(0.0)
+
+
 def judge(
     docs: DataFrame,
-    max_class_distance: float = 0.25,
+    max_class_distance: float = 0.12,
+    length_allowance: float = 1.1,
+    trim_distance: float = 0.2,
     max_word_distance: float = 0.6,
     min_words_classes: int = 50,
     min_words_common: int = 100,
@@ -131,18 +138,18 @@ def judge(
 
     Null and empty texts count as no words and fail the base rule. Documents below a minimum length skip that
     distance, and all skip both where no document of a reference language exists. Columns other than id, text and
-    language are not read.
+    language are not read. The limit for classes is `max_class_distance` plus `length_allowance` over the root of the
+    number of words, as the histograms of short texts scatter.
     """
     from .scratch import stored
 
     rows = stored(measured(docs, **columns), "measured")
-    known = references(rows, min_words_common)
-
-    def nearest(column: str, place: int) -> Column:
-        distances = [_distance(F.col(column), q[place]) for q in known.values()]
-        return F.least(*distances) if len(distances) > 1 else distances[0] if distances else F.lit(0.0)
+    long = rows.filter(F.col("n_words") >= min_words_common)
+    known = references(long)
+    # Once more without the documents that are far from all of these, so that junk does not shape the references.
+    known = references(long.filter(_nearest("classes", [c for c, _ in known.values()]) <= trim_distance)) or known
 
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    far = ((F.col("n_words") >= min_words_classes) & (F.col("class_distance") > max_class_distance)) | ((F.col("n_words") >= min_words_common) & (F.col("word_distance") > max_word_distance))
-    judged = rows.withColumns({"class_distance": nearest("classes", 0), "word_distance": nearest("common", 1), "base_failed": failed})
+    far = ((F.col("n_words") >= min_words_classes) & (F.col("class_distance") > max_class_distance + length_allowance / F.sqrt("n_words"))) | ((F.col("n_words") >= min_words_common) & (F.col("word_distance") > max_word_distance))
+    judged = rows.withColumns({"class_distance": _nearest("classes", [c for c, _ in known.values()]), "word_distance": _nearest("common", [w for _, w in known.values()]), "base_failed": failed})
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & ~far).alias("kept"), "class_distance", "word_distance")
