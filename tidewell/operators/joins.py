@@ -64,6 +64,13 @@ def join(left: DataFrame, right: DataFrame, on: list[tuple[str, str]], picks: li
     return Joined(select(inner, picks, others) if picks else inner, only_left, only_right)
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, on: list[tuple[str, str]], how: str) -> DataFrame:
+    """A `left_semi` or `left_anti` join in which NULL equals NULL."""
+    lk, rk = need(left, *(a for a, _ in on)), need(right, *(b for _, b in on))
+    probe = right.select(*[F.col(f"`{k}`").alias(f"__k{i}") for i, k in enumerate(rk)])
+    return left.join(probe, reduce(lambda x, y: x & y, (F.col(f"`{k}`").eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(lk))), how)
+
+
 def append_fields(target: DataFrame, source: DataFrame, max_rows: int = 10_000) -> DataFrame:
     """Every target row with every source row. The source is counted first and must be small, as it is sent to all
     executors."""

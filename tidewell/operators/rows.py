@@ -289,6 +289,18 @@ def select_types(df: DataFrame, *types: str) -> DataFrame:
     return df.select(*[_c(f.name) for f in df.schema if any(isinstance(f.dataType, kinds[t]) for t in types)])
 
 
+def random_value(seed: int, below: int | None = None) -> Column:
+    """A random double from 0 to 1, or a whole number from 0 up to, without, `below`; never part of a comparison."""
+    value = F.rand(seed)
+    return value if below is None else F.floor(value * below).cast("int")
+
+
+def outputs(df: DataFrame, n: int = 3) -> tuple[DataFrame, ...]:
+    """The same rows for several consumers, computed once: kept in memory, and on disk where that is short."""
+    kept = df.persist()
+    return (kept,) * n
+
+
 def random_sample(df: DataFrame, share: float, seed: int) -> DataFrame:
     """A random share of the rows: fixed for one seed and layout of the data, and never part of a comparison."""
     return df.sample(share, seed)

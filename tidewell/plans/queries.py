@@ -370,6 +370,16 @@ def j4_text_never_matches_numbers(spark: SparkSession, sf_dir: str) -> DataFrame
     return joins.join(customer, customer.select(C("c_custkey").cast("string").alias("key")), [("c_custkey", "key")]).left
 
 
+_KEYS = "SELECT o_orderkey, CASE WHEN o_orderkey % 9 <> 0 THEN o_custkey END AS k FROM orders"
+
+
+@query(f"SELECT o_orderkey FROM ({_KEYS}) WHERE k IS NULL OR k IN (SELECT c_custkey FROM customer WHERE c_nationkey < 12)")
+def j10_null_safe_semi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.when(C("o_orderkey") % 9 != 0, C("o_custkey")).alias("k"))
+    known = table(spark, sf_dir, "customer").filter("c_nationkey < 12").select("c_custkey").union(table(spark, sf_dir, "customer").select(F.lit(None).cast("long")))
+    return joins.join_null_safe(orders, known, [("k", "c_custkey")], "left_semi").select("o_orderkey")
+
+
 @query("SELECT s_suppkey, r_regionkey, r_name FROM supplier, region")
 def j6_append_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joins.append_fields(table(spark, sf_dir, "supplier").select("s_suppkey"), table(spark, sf_dir, "region"))
@@ -552,6 +562,18 @@ def f4_conversions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.select("event_id", to_number(C("text")).alias("number"), coerce_in(t, C("text"), Field("flag", "Bool")).alias("flag"))
 
 
+@query(r"""SELECT p_partkey, array_to_string([upper(x[1]) || lower(x[2:]) FOR x IN string_split(p_name, ' ')], ' ') AS title, trim(' ' || p_brand || ' ') AS trimmed, p_size % 3 = 0 OR p_size % 5 = 0 AS empty,
+regexp_replace(p_brand, '([a-z]+)#([0-9]+)', '\2-\1') AS turned, rpad(left(p_type, 5), 8, '.') AS padded, CASE WHEN p_size > 30 THEN 'large' WHEN p_size > 10 THEN 'middle' END AS band, (p_size + 1) / 4.0::DOUBLE AS quarter FROM part""")
+def f5_more_text_and_conditions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = table(spark, sf_dir, "part")
+    text = F.when(C("p_size") % 3 == 0, "").when(C("p_size") % 5 != 0, C("p_brand"))
+    return t.select(
+        "p_partkey", scalar.title_case(C("p_name")).alias("title"), scalar.trim(F.concat(F.lit("\t "), C("p_brand"), F.lit("\n"))).alias("trimmed"), scalar.is_empty(text).alias("empty"),
+        scalar.regex_replace(C("p_brand"), r"([a-z]+)#(\d+)", "$2-$1", ignore_case=False).alias("turned"), scalar.pad_right(scalar.left(C("p_type"), 5), 8, ".").alias("padded"),
+        scalar.if_chain((C("p_size") > 30, "large"), (C("p_size") > 10, "middle")).alias("band"), scalar.divide(t, scalar.add(t, C("p_size"), F.lit(1)), F.lit(4)).alias("quarter"),
+    )
+
+
 # ---- comparison and checks --------------------------------------------------------------------------------------
 
 
@@ -627,3 +649,31 @@ def c28_changed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT max(ts) AS newest, true AS stale FROM events")
 def c28_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.freshness(table(spark, sf_dir, "events"), "ts", "2100-01-01 00:00:00", 48).drop("age_hours")
+
+
+_LOG = "SELECT event_type AS name, event_id AS checked_at, CASE WHEN value > 5 THEN 'PASS' ELSE 'FAIL_ROWS' END AS status, event_id % 10 = 0 AS period_end FROM events"
+
+
+def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").select(C("event_type").alias("name"), C("event_id").alias("checked_at"), F.when(C("value") > 5, "PASS").otherwise("FAIL_ROWS").alias("status"), (C("event_id") % 10 == 0).alias("period_end"))
+
+
+@query(f"""WITH log AS ({_LOG}), last AS (SELECT name, coalesce(max(checked_at) FILTER (status <> 'PASS'), -1) AS bad FROM log GROUP BY name)
+SELECT log.name, count(*) FILTER (checked_at > bad) AS streak, coalesce(bool_or(period_end) FILTER (checked_at > bad), false) AS period_end, count(*) FILTER (checked_at > bad) >= 3 AND coalesce(bool_or(period_end) FILTER (checked_at > bad), false) AS ready
+FROM log JOIN last ON log.name = last.name GROUP BY log.name""")
+def c27_clean_streak(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return checks.clean_streak(_log(spark, sf_dir), 3)
+
+
+@query("SELECT event_id FROM events WHERE value <= 5 AND ts > TIMESTAMP '2024-01-05 00:00:00'")
+def c26_new_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = table(spark, sf_dir, "events").select("event_id", C("ts").alias("checked_at"), F.when(C("value") > 5, "PASS").otherwise("FAIL_ROWS").alias("status"))
+    return checks.new_failures(log, "2024-01-05 00:00:00").select("event_id")
+
+
+@query("""WITH p AS (SELECT CAST(ts AS DATE) AS run, count(*) AS n, count_if(event_id % 20 = 0) AS nulls, count(DISTINCT CASE WHEN event_id % 20 <> 0 THEN user_id END) AS d FROM events GROUP BY 1)
+SELECT run, nulls > 0 AND abs(nulls / n - avg(nulls / n) OVER w) > 0.05 AS null_drift, abs(d - avg(d) OVER w) > greatest(0.05 * avg(d) OVER w, 1.0) AS distinct_drift FROM p WINDOW w AS (ORDER BY run ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING)""")
+def c28_profile_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    user = F.when(C("event_id") % 20 != 0, C("user_id"))
+    daily = table(spark, sf_dir, "events").groupBy(C("ts").cast("date").alias("run")).agg(F.count(F.lit(1)).alias("rows"), F.count_if(user.isNull()).alias("nulls"), F.count_distinct(user).alias("distinct_values"), F.min(user).cast("double").alias("low"), F.max(user).cast("double").alias("high"))
+    return checks.profile_drift(daily.withColumn("column_name", F.lit("user_id"))).select("run", (C("null_drift") & (C("nulls") > 0)).alias("null_drift"), "distinct_drift")

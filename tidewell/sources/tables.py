@@ -89,6 +89,11 @@ def write_typed_csv(df: DataFrame, path: str) -> None:
     df.select(*out).write.mode("overwrite").csv(path, header=True, escape='"', emptyValue="")
 
 
+def write_file(df: DataFrame, path: str, format: str = "parquet", **options) -> None:
+    """The rows as they are, in place of what was there."""
+    df.write.mode("overwrite").format(format).options(**options).save(path)
+
+
 def fields_json(fields: list[Field]) -> str:
     return json.dumps([asdict(f) for f in fields])
 
