@@ -7,14 +7,16 @@ from urllib.parse import urlsplit
 
 import duckdb
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tidewell.llm import hpylm, langid, secret_scan, url_tree
 
 
-def test_base_scores_and_counts(spark, docs, rows):
+@pytest.mark.parametrize("one_in", [200, 50_000])
+def test_base_scores_and_counts(spark, docs, rows, one_in):
     learns = lambda d: zlib.crc32(("" if d is None else str(d)).encode()) % 7 != 2
-    found = hpylm.score(docs, langid.fold("doc_id", 7) != 2, frequent=20).collect()
+    found = hpylm.score(docs, langid.fold("doc_id", 7) != 2, frequent=20, one_in=one_in).collect()
     assert len(found) == len(rows)
     tokens = lambda t: [*(t or "").encode().lower().split(), b"\n"]
     counts = Counter(w for r in rows if learns(r[0]) for w in tokens(r[1]))
@@ -32,9 +34,10 @@ def test_base_scores_and_counts(spark, docs, rows):
 
 def test_dish_probabilities_sum_to_one(spark, docs):
     texts = docs.select(F.coalesce("text", F.lit("")).alias("text"))
-    top = hpylm._frequent(texts, 20)
-    pairs = hpylm._pair_counts(texts, top).repartition("u")
-    p = 10.0 ** hpylm.sample_dishes(pairs, hpylm.Dishes(top).n)
+    common = hpylm._common(texts, 500)
+    assert 20 < len(common) <= 500
+    pairs = hpylm._pair_counts(texts, common, 20).filter("u >= 0")
+    p = 10.0 ** hpylm.sample_dishes(pairs, hpylm.Dishes(common, 20).n)
     assert np.allclose(p.sum(1), 1, atol=1e-3)
 
 
