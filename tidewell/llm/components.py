@@ -1,8 +1,9 @@
 """Connected components of a graph that exists only as a distributed table of edges.
 
-Each round every vertex points at its smallest neighbour (or itself), pointers are followed twice, and the edges
-are rewritten to the vertices pointed at; vertices without edges are done. At least half of the vertices with edges
-go in each round. Tables are written to the shared folder between the steps, so no lineage grows and a lost
+Each round every vertex points at its smallest neighbour (or itself), pointers are followed to their ends, and the
+edges are rewritten to the vertices these reach, each smaller than all its neighbours; vertices without edges are
+done. So at least half of the vertices with edges go in each round, and a chain of any length takes as many jumps as
+its length has binary digits. Tables are written to the shared folder between the steps, so no lineage grows and a lost
 executor costs the step at hand. Joins are plain equi-joins between two written tables, which Spark can split where
 one vertex has many rows.
 """
@@ -15,9 +16,14 @@ from pyspark.sql import functions as F
 from .scratch import stored
 
 
-def _followed(pointers: DataFrame, targets: DataFrame) -> DataFrame:
-    """(v, p) with p replaced by where p points."""
-    return pointers.join(targets.select(F.col("v").alias("p"), F.col("p").alias("q")), "p").select("v", F.col("q").alias("p"))
+def _followed(pointers: DataFrame) -> DataFrame:
+    """(v, p) with p at the end of its chain of pointers: the distance doubles until nothing changes."""
+    while True:
+        targets = pointers.select(F.col("v").alias("p"), F.col("p").alias("q"))
+        further = stored(pointers.join(targets, "p").select("v", "p", "q"), "pointers")
+        if further.filter("p != q").isEmpty():
+            return pointers
+        pointers = further.select("v", F.col("q").alias("p"))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -27,8 +33,7 @@ def components(edges: DataFrame) -> DataFrame:
     while not edges.isEmpty():
         both = edges.select(F.col("a").alias("v"), F.col("b").alias("p")).union(edges.select("b", "a"))
         once = stored(both.groupBy("v").agg(F.least(F.min("p"), F.col("v")).alias("p")), "pointers")
-        twice = stored(_followed(once, once), "pointers")
-        pointers = stored(_followed(twice, twice), "pointers")
+        pointers = _followed(once)
         result = pointers if result is None else stored(
             result.join(pointers.select(F.col("v").alias("p"), F.col("p").alias("q")), "p", "left").select("v", F.coalesce("q", "p").alias("p")), "pointers"
         )
