@@ -49,19 +49,21 @@ def map_texts(
     fields = T.StructType.fromDDL(out).fields
     names = {f.name.lower() for f in fields}
     keep = [c for c in (df.columns if keep is None else keep) if c.lower() not in names]
-    source = df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text_col}`").alias("__text"))
+    at = keep.index(text_col) if text_col in keep else len(keep)
+    source = df.select(*[F.col(f"`{c}`") for c in keep], *([] if text_col in keep else [F.col(f"`{text_col}`").alias("__text")]))
     schema = T.StructType([*(df.schema[c] for c in keep), *fields])
     kinds = [_ARROW[f.dataType] for f in fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = start()
         for batch in batches:
-            texts = batch.column(len(keep))
-            lengths = texts.to_pylist()
-            for a, b in slices(lengths):
-                done = step(lengths[a:b])
-                columns = [batch.column(i).slice(a, b - a) for i in range(len(keep))]
-                columns += [pa.array(done[f.name], kind) for f, kind in zip(fields, kinds, strict=True)]
-                yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in schema])
+            for first in range(0, batch.num_rows, SLICE_ROWS):
+                rows = batch.slice(first, SLICE_ROWS)
+                texts = rows.column(at).to_pylist()
+                for a, b in slices(texts):
+                    done = step(texts[a:b])
+                    columns = [rows.column(i).slice(a, b - a) for i in range(len(keep))]
+                    columns += [pa.array(done[f.name], kind) for f, kind in zip(fields, kinds, strict=True)]
+                    yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in schema])
 
     return source.mapInArrow(run, schema)

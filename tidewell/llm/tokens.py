@@ -28,7 +28,7 @@ from . import scratch
 MAGIC = b"TDAC"
 HEADER = "<4sIQQI"  # magic, documents, tokens, bytes of the whole segment, levels
 BLOCK_BITS = 512
-CACHE_WORDS = 400_000  # words in each of the two generations whose ids a worker remembers
+CACHE_WORDS = 200_000  # words in each of the two generations whose ids a worker remembers
 
 
 # ---- directly addressable codes ---------------------------------------------------------------------------------
