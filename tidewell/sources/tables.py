@@ -8,6 +8,8 @@ restored.
 from __future__ import annotations
 
 import json
+import re
+import tempfile
 import uuid
 from collections.abc import Callable
 from dataclasses import asdict
@@ -23,14 +25,15 @@ Change = Callable[[DataFrame], DataFrame]
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder of the session; where none is set (tests), a fresh local one."""
+    """The shared folder of the session. Where none is set, a fresh local one if the whole of Spark is one process, else
+    an error, as executors on other machines would not see each other's files."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
-        import tempfile
-
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="spark-")
         spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    return folder.rstrip("/")
 
 
 # ---- reading ----------------------------------------------------------------------------------------------------
