@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pytest
 import xxhash
 from pyspark.sql import types as T
 
@@ -49,18 +50,25 @@ def test_groups_are_those_of_all_pairs(spark, docs, rows):
     assert sorted(((r.doc_id is None, r.doc_id or 0), r.fingerprint, r.component_id) for r in found) == expected
 
 
-def test_a_large_cluster_over_many_blocks(spark, monkeypatch):
-    monkeypatch.setattr(simhash, "BLOCK", 64)
+def clustered(n_single: int, n_clusters: int, size: int) -> list[int]:
     rnd = random.Random(1)
-    values = {rnd.getrandbits(64) for _ in range(300)}
-    for _ in range(4):
+    values = {rnd.getrandbits(64) for _ in range(n_single)}
+    for _ in range(n_clusters):
         base = rnd.getrandbits(64)
-        for _ in range(200):
+        for _ in range(size):
             v = base
             for _ in range(rnd.randint(0, 5)):
                 v ^= 1 << rnd.randrange(64)
             values.add(v)
-    values = sorted(values)
+    return sorted(values)
+
+
+@pytest.mark.parametrize("held", [1 << 20, 50])
+def test_large_clusters_over_many_blocks(spark, monkeypatch, held):
+    monkeypatch.setattr(simhash, "BLOCK", 128)
+    monkeypatch.setattr(simhash, "CHUNK", 64)
+    monkeypatch.setattr(simhash, "HELD_LINKS", held)
+    values = clustered(300, 4, 200)
     signed = np.array(values, np.uint64).view(np.int64).tolist()
     links = components.components(simhash.link_edges(spark.createDataFrame([(v,) for v in signed], "fp long").repartition(4))).collect()
     root = {r.v: r.root for r in links}
@@ -71,14 +79,52 @@ def test_a_large_cluster_over_many_blocks(spark, monkeypatch):
     assert all(len(x) == 1 for x in seen.values()) and len({next(iter(x)) for x in seen.values()}) == len(seen)
 
 
-def test_dedup_keeps_one_of_each_group(spark, docs, no_docs):
+def gray_sorted(values):
+    def rank(v):
+        for shift in (1, 2, 4, 8, 16, 32):
+            v ^= v >> shift
+        return v
+
+    return np.array(sorted(values, key=rank), np.uint64)
+
+
+def test_the_tree_finds_every_near_leaf_and_skips_most_nodes():
+    values = gray_sorted(clustered(20_000, 20, 50))
+    low, high = simhash._shared(values, simhash.LEAF)
+    tree = simhash.Tree(low, high)
+    query, node = tree.search(low, ~(low ^ high))
+    sure = np.bitwise_count((low[:, None] ^ low[None, :]) & ~(low ^ high)[:, None] & ~(low ^ high)[None, :])
+    assert set(zip(query.tolist(), node.tolist(), strict=True)) == set(zip(*map(np.ndarray.tolist, np.nonzero(sure <= simhash.BITS)), strict=True))
+    assert len(tree.levels) == 4 and len(query) < 0.4 * len(low) ** 2 and tree.skipped > 0.3 * tree.visited
+    masks = [own for _, own in tree.levels]
+    for k in range(1, len(masks)):  # a node keeps no bit that its parent has
+        assert not (masks[k] & masks[k - 1][np.arange(len(masks[k])) // simhash.FAN]).any()
+
+
+def slow_kept(rows):
+    """Places of the rows that stay, by all pairs; ties of one id by any row."""
+    groups = slow_groups([slow_fingerprint(r[1]) for r in rows])
+    best = {}
+    for g, r in zip(groups, rows, strict=True):
+        best[g] = min(best.get(g, (True, 0)), (r[0] is None, r[0] or 0)) if g in best else (r[0] is None, r[0] or 0)
+    return sorted(best.values())
+
+
+def test_dedup_keeps_the_first_row_of_each_group(spark, docs, rows, no_docs):
     kept = simhash.deduplicate(docs)
     assert kept.columns == docs.columns
     ids = [r.doc_id for r in kept.select("doc_id").collect()]
-    assert len(ids) == len(set(ids)) and 1 in ids and 65 not in ids and 66 not in ids and ids.count(5) == 1
+    assert sorted((i is None, i or 0) for i in ids) == slow_kept(rows)
     assert simhash.deduplicate(no_docs).count() == 0
 
 
+def test_dedup_tells_rows_apart_by_themselves(spark):
+    text = [" ".join(f"{c}{i}{j}" for j in range(40)) for i, c in enumerate("abcdefgh")]
+    table = [(1, text[0]), (2, text[0]), (2, text[1]), (None, text[2]), (None, text[3]), (7, text[4]), (7, text[5]), (None, text[0]), (9, text[6]), (9, text[6]), (None, text[7]), (None, text[7]), (None, None), (3, "")]
+    found = simhash.deduplicate(spark.createDataFrame(table, "doc_id long, text string").repartition(4)).collect()
+    assert sorted(map(str, map(tuple, found))) == sorted(map(str, [(1, text[0]), (2, text[1]), (None, text[2]), (None, text[3]), (7, text[4]), (7, text[5]), (9, text[6]), (None, text[7]), (3, "")]))
+
+
 def test_long_path_of_links(spark):
     n = 600
     edges = spark.createDataFrame([(i, i + 1) for i in range(n)] + [(1000, 1001), (7, 7)], "a long, b long")

@@ -2,23 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; where that is unset (tests), a fresh local one."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="spark-")
-        spark.sparkContext.setCheckpointDir(folder)
-    return folder.rstrip("/")
+from ..sources.tables import checkpoint_dir
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Rows and characters handled at once inside a task; both only bound memory.
+# Rows and bytes of text handled at once inside a task; both only bound memory.
 SLICE_ROWS = 2000
 SLICE_CHARS = 8_000_000
 
@@ -21,17 +23,17 @@ _ARROW = {
 }
 
 
-def slices(texts: list[str | None]) -> Iterator[tuple[int, int]]:
-    """Cut a batch into runs of rows with bounded size; a very long text is a run of its own."""
-    begin = chars = 0
-    for i, text in enumerate(texts):
-        size = len(text or "")
-        if i > begin and (i - begin >= SLICE_ROWS or chars + size > SLICE_CHARS):
-            yield begin, i
-            begin, chars = i, 0
-        chars += size
-    if begin < len(texts):
-        yield begin, len(texts)
+def slices(texts: pa.Array) -> Iterator[tuple[int, int, list[str | None]]]:
+    """Cut a column into runs of rows with bounded size, as (begin, end, texts); a very long text is a run of its own.
+    Only the run at hand exists as Python strings."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    begin, n = 0, len(texts)
+    while begin < n:
+        room = (ends[begin - 1] if begin else 0) + SLICE_CHARS
+        end = min(begin + SLICE_ROWS, max(begin + 1, int(np.searchsorted(ends, room, "right"))))
+        end = min(end, n)
+        yield begin, end, texts.slice(begin, end - begin).to_pylist()
+        begin = end
 
 
 def map_texts(
@@ -57,13 +59,10 @@ def map_texts(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = start()
         for batch in batches:
-            for first in range(0, batch.num_rows, SLICE_ROWS):
-                rows = batch.slice(first, SLICE_ROWS)
-                texts = rows.column(at).to_pylist()
-                for a, b in slices(texts):
-                    done = step(texts[a:b])
-                    columns = [rows.column(i).slice(a, b - a) for i in range(len(keep))]
-                    columns += [pa.array(done[f.name], kind) for f, kind in zip(fields, kinds, strict=True)]
-                    yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in schema])
+            for a, b, texts in slices(batch.column(at)):
+                done = step(texts)
+                columns = [batch.column(i).slice(a, b - a) for i in range(len(keep))]
+                columns += [pa.array(done[f.name], kind) for f, kind in zip(fields, kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in schema])
 
     return source.mapInArrow(run, schema)
