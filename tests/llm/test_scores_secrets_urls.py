@@ -13,10 +13,11 @@ from pyspark.sql import functions as F
 from tidewell.llm import hpylm, langid, secret_scan, url_tree
 
 
-@pytest.mark.parametrize("one_in", [200, 50_000])
-def test_base_scores_and_counts(spark, docs, rows, one_in):
+@pytest.mark.parametrize("one_in", [200, 1_000_000])
+def test_base_scores_and_counts(spark, docs, rows, monkeypatch, one_in):
+    monkeypatch.setattr(hpylm, "BUCKET_TOKENS", 10_000)
     learns = lambda d: zlib.crc32(("" if d is None else str(d)).encode()) % 7 != 2
-    found = hpylm.score(docs, langid.fold("doc_id", 7) != 2, frequent=20, one_in=one_in).collect()
+    found = hpylm.score(docs, langid.fold("doc_id", 7) != 2, one_in=one_in, pair_in=1000).collect()
     assert len(found) == len(rows)
     tokens = lambda t: [*(t or "").encode().lower().split(), b"\n"]
     counts = Counter(w for r in rows if learns(r[0]) for w in tokens(r[1]))
@@ -29,30 +30,171 @@ def test_base_scores_and_counts(spark, docs, rows, one_in):
         n, known, all_, base = expected[r.doc_id][0]
         assert (r.n_tokens, r.n_known, r.train_tokens) == (n, known, all_) and abs(r.base_score - base) < 1e-6 * abs(base)
         assert r.score < 0 and r.trained == learns(r.doc_id)
-    assert sum(r.score for r in found) > 1.05 * sum(r.base_score for r in found)  # a tiny corpus: no worse than the base
+    assert sum(r.score for r in found) > 1.05 * sum(r.base_score for r in found)
 
 
-def test_dish_probabilities_sum_to_one(spark, docs):
+def slow_reseat(rng, c, t, sizes, shard, opened, parent, discount, strength):
+    """One customer after another, with lists of who sits where."""
+    sizes, seats = list(sizes), []
+    for n, k in zip(c, t, strict=True):
+        mine, sizes = sizes[:k], sizes[k:]
+        at = [x for x, m in enumerate(mine) for _ in range(m)]
+        seats.append({"at": at + [None] * (n - len(at)), "known": len(at), "free": list(range(n - 1, k - 1, -1)), "size": Counter({x: m for x, m in enumerate(mine)})})
+    queues = {}
+    for r, k in enumerate(shard):
+        queues.setdefault(k, []).extend((r, i) for i in range(c[r]))
+    opened = list(opened)
+    order = sorted(queues, key=lambda k: -len(queues[k]))
+    for step in range(max(map(len, queues.values()), default=0)):
+        turn = [(k, *queues[k][step]) for k in order if len(queues[k]) > step]
+        for k, r, i in turn:
+            s, table = seats[r], seats[r]["at"][i]
+            if table is not None:
+                s["size"][table] -= 1
+                if not s["size"][table]:
+                    del s["size"][table]
+                    s["free"].append(table)
+                    opened[k] -= 1
+            s["at"][i] = None
+        fresh = [(strength + discount * opened[k]) * parent[r] for k, r, _ in turn]
+        total = [f + sum(seats[r]["size"].values()) - discount * len(seats[r]["size"]) for f, (_, r, _) in zip(fresh, turn, strict=True)]
+        new = [u * x < f for u, x, f in zip(rng.random(len(turn)), total, fresh, strict=True)]
+        waiting, tries = [x for x, n in enumerate(new) if not n], 1
+        while waiting:
+            whom, luck, still = rng.random((len(waiting), tries)), rng.random((len(waiting), tries)), []
+            for x, us, vs in zip(waiting, whom, luck, strict=True):
+                _, r, i = turn[x]
+                s = seats[r]
+                for u, v in zip(us, vs, strict=True):
+                    table = s["at"][int(u * max(s["known"], i))]
+                    if table is not None and v * s["size"][table] < s["size"][table] - discount:
+                        s["at"][i] = table
+                        s["size"][table] += 1
+                        break
+                else:
+                    still.append(x)
+            waiting, tries = still, 8
+        for (k, r, i), n in zip(turn, new, strict=True):
+            if n:
+                table = seats[r]["free"].pop()
+                seats[r]["at"][i], seats[r]["size"][table] = table, 1
+                opened[k] += 1
+    return [len(s["size"]) for s in seats], [s["size"][x] for s in seats for x in sorted(s["size"])]
+
+
+def test_seating_is_that_of_one_customer_after_another(monkeypatch):
+    monkeypatch.setattr(hpylm, "SHARD", 40)
+    rng = np.random.default_rng(4)
+    c, restaurant = rng.integers(1, 30, 60), np.sort(rng.integers(0, 9, 60))
+    shard = hpylm.shards_of(c, restaurant)
+    assert len(set(shard.tolist())) > 9 and (np.diff(shard) <= 1).all()
+    opened, parent = rng.integers(0, 50, shard.max() + 1), rng.random(60) / 10
+    t, sizes = np.zeros(60, np.int64), np.zeros(0, np.int64)
+    a, b = ([np.random.default_rng(7)] for _ in range(2))
+    for _ in range(3):
+        slow = slow_reseat(b[0], c.tolist(), t.tolist(), sizes.tolist(), shard.tolist(), opened.tolist(), parent.tolist(), 0.75, 1.0)
+        t, sizes = hpylm.reseat(a[0], c, t, sizes, shard, opened, parent, 0.75, 1.0)
+        assert t.tolist() == slow[0] and sizes.tolist() == slow[1] and sizes.sum() == c.sum()
+        opened = np.bincount(shard, t)
+
+
+def slow_scores(texts, learn, seed):
+    """The model in plain Python for a corpus whose words are all common: dictionaries and single customers."""
+    d, s = hpylm.DISCOUNTS, hpylm.STRENGTHS
+    counts = Counter(w for t, yes in zip(texts, learn, strict=True) if yes for w in (t or "").encode().lower().split())
+    number = {w: i + 1 for i, w in enumerate(sorted(counts, key=lambda w: (-counts[w], w)))}
+    ids = [[number.get(w) for w in (t or "").encode().lower().split()] + [0] for t in texts]
+    pairs = Counter(p for row, yes in zip(ids, learn, strict=True) if yes for p in zip([0, *row[:-1]], row, strict=True))
+    unigram, in_context = Counter(), Counter()
+    for (u, w), n in pairs.items():
+        unigram[w] += n
+        in_context[u] += n
+    n_words, total = len(number) + 1, sum(unigram.values())
+    several = sorted(p for p, n in pairs.items() if n > 1)
+    c, shard = [pairs[p] for p in several], sorted({u for u, _ in several})
+    single, fixed = Counter(u for (u, _), n in pairs.items() if n == 1), Counter(w for (_, w), n in pairs.items() if n == 1)
+    parent, opened_in, kept = {w: (unigram[w] + 1) / (total + len(unigram) + 1) for w in range(n_words)}, Counter(single), []
+    t, sizes, pt, psizes, p_opened = [0] * len(c), [], [0] * n_words, [], 0
+    for sweep in range(hpylm.SWEEPS):
+        rng = hpylm._rng(seed, sweep, several[0][0] + 1 << hpylm.WORD_BITS | several[0][1])
+        t, sizes = slow_reseat(rng, c, t, sizes, [shard.index(u) for u, _ in several], [opened_in[u] for u in shard], [parent[w] for _, w in several], d[0], s[0])
+        opened_in, customers = Counter(single), Counter(fixed)
+        for (u, w), n in zip(several, t, strict=True):
+            opened_in[u] += n
+            customers[w] += n
+        rng = hpylm._rng(seed, sweep, -1, 0)
+        left, kept_sizes, kept_t = list(psizes), [], []
+        luck = iter(rng.random(sum(psizes)))
+        for w, n in enumerate(pt):
+            mine, left = left[:n], left[n:]
+            at = [x for x, m in enumerate(mine) for _ in range(m)]
+            drawn = sorted(range(len(at)), key=dict(enumerate([next(luck) for _ in at])).get)
+            rest = Counter(at[x] for x in drawn[: customers[w]])
+            kept_t.append(len(rest))
+            kept_sizes += [rest[x] for x in sorted(rest)]
+        some = [w for w in range(n_words) if customers[w]]
+        found, psizes = slow_reseat(rng, [customers[w] for w in some], [kept_t[w] for w in some], kept_sizes, [0] * len(some), [p_opened], [1 / (len(unigram) + 1)] * len(some), d[1], s[1])
+        pt = [dict(zip(some, found, strict=True)).get(w, 0) for w in range(n_words)]
+        p_opened, all_customers = sum(pt), sum(customers.values())
+        spare = (s[1] + d[1] * p_opened) / (len(unigram) + 1)
+        under = lambda w, cs=customers, ts=list(pt), sp=spare, a=all_customers: ((cs[w] - d[1] * ts[w] if w is not None else 0) + sp) / (s[1] + a)
+        parent = {w: under(w) for w in range(n_words)}
+        if sweep >= hpylm.SWEEPS - hpylm.KEPT:
+            kept.append((under, dict(zip(several, t, strict=True)), Counter(opened_in)))
+
+    def p(u, w):
+        if u is None:
+            return sum(f(w) for f, _, _ in kept) / len(kept)
+        n = pairs[u, w]
+        own = sum(n - d[0] * (tables.get((u, w), 1) if n else 0) + (s[0] + d[0] * open_[u]) * f(w) for f, tables, open_ in kept) / len(kept)
+        return own / (s[0] + in_context[u])
+
+    assert abs(sum(p(0, w) for w in range(n_words)) + p(0, None) - 1) < 1e-9  # all words, and one for those never seen
+    return [sum(math.log10(p(u, w)) for u, w in zip([0, *row[:-1]], row, strict=True)) for row in ids]
+
+
+def test_scores_are_those_of_a_plain_sampler(spark, docs, rows, monkeypatch):
+    monkeypatch.setattr(hpylm, "SHARD", 1 << 20)
+    some = [r for r in rows if r[0] is not None and r[0] < 60]
+    learn = [r[0] % 3 > 0 for r in some]
+    found = hpylm.score(docs.filter("doc_id < 60").dropDuplicates(["doc_id"]), F.col("doc_id") % 3 > 0, seed=5).collect()
+    score = {r.doc_id: r.score for r in found}
+    first = {r[0]: (r, yes) for r, yes in zip(some, learn, strict=True)}
+    expected = slow_scores([r[1] for r, _ in first.values()], [yes for _, yes in first.values()], 5)
+    for i, e in zip(first, expected, strict=True):
+        assert abs(score[i] - e) < 1e-6 * abs(e)
+
+
+def test_rare_words_sum_to_one(spark, docs):
     texts = docs.select(F.coalesce("text", F.lit("")).alias("text"))
-    common = hpylm._common(texts, 500)
-    assert 20 < len(common) <= 500
-    pairs = hpylm._pair_counts(texts, common, 20).filter("u >= 0")
-    p = 10.0 ** hpylm.sample_dishes(pairs, hpylm.Dishes(common, 20).n)
-    assert np.allclose(p.sum(1), 1, atol=1e-3)
+    model, pairs, seats = hpylm.train(texts, one_in=300)
+    held = {k: [bytes(r.payload) for r in rows if r.kind == k] for rows in [pairs.unionByName(seats).collect()] for k in (hpylm.COMMON, hpylm.RARE, hpylm.COMMON_SEATS, hpylm.RARE_SEATS)}
+    bucket = hpylm.Bucket(model, held)
+    assert 10 < len(model.common) <= 300 and len(bucket.word) > 100
+    known, rare = np.arange(len(model.counts)), np.append(bucket.word, -1)  # and one word never seen
+    for u in (0, 1, 7, len(model.common)):
+        total = (10 ** bucket.common((u + 1) << hpylm.WORD_BITS | known)).sum() + (10 ** bucket.rare(rare, np.full(len(rare), u))[0]).sum()
+        assert abs(total - 1) < 1e-9
+    assert abs(model.parent.mean(0).sum() + (10 ** bucket.rare(rare, np.full(len(rare), -1))[0]).sum() - 1) < 1e-9
+
+
+def test_packed_arrays_round_trip():
+    rng = np.random.default_rng(1)
+    arrays = [np.sort(rng.integers(-(2**63), 2**63 - 1, 1000)), rng.integers(0, 9, 77), np.zeros(0, np.int64), rng.random(50), np.array([-(2**63), 2**63 - 1])]
+    assert all(np.array_equal(a, b) and a.dtype == b.dtype for a, b in zip(arrays, hpylm.unpack(hpylm.pack(*arrays)), strict=True))
 
 
-def test_shared_dish_probabilities_sum_to_one():
-    histogram = [(3, 1, 100, 100), (3, 2, 10, 20), (3, 70, 2, 220)]
-    means, left, base, customers = hpylm.sample_shared(histogram)[3]
-    seated = sum(c - n * hpylm.DISCOUNT * means[b] for _, b, n, c in histogram)
-    total = (seated + 113 * left * base) / (hpylm.STRENGTH + customers)  # 112 words and one for all unseen
-    assert abs(total - 1) < 1e-6
+def test_held_out_texts_are_less_surprising_than_by_the_base(spark):
+    folder = "/root/testdata/sf0.01"
+    found = hpylm.score(spark.read.parquet(f"{folder}/documents.parquet"), langid.fold("doc_id", 7) != 2)
+    r = found.filter("not trained").agg(F.sum("score").alias("s"), F.sum("base_score").alias("b"), F.sum("n_tokens").alias("n")).first()
+    assert 10 ** (-r.s / r.n) < 0.5 * 10 ** (-r.b / r.n)
 
 
 def test_scores_without_training_rows_or_rows(spark, docs, no_docs):
-    found = hpylm.score(docs, F.lit(False), frequent=5).collect()
+    found = hpylm.score(docs, F.lit(False)).collect()
     assert {(r.n_known, r.train_tokens) for r in found} == {(0, 0)} and all(math.isfinite(r.score) and r.base_score == 0 for r in found)
-    assert hpylm.score(no_docs, F.lit(True), frequent=5).count() == 0
+    assert hpylm.score(no_docs, F.lit(True)).count() == 0
 
 
 SECRETS = [
