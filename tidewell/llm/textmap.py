@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 # Rows and bytes of text handled at once inside a task; both only bound memory.
 SLICE_ROWS = 2000
-SLICE_CHARS = 8_000_000
+SLICE_CHARS = 4_000_000
 
 _ARROW = {
     T.LongType(): pa.int64(), T.IntegerType(): pa.int32(), T.DoubleType(): pa.float64(), T.BooleanType(): pa.bool_(),
