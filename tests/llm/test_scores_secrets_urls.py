@@ -252,14 +252,35 @@ def test_urls_by_rule_and_tree(spark):
             parts = urlsplit(u)
             assert (r.host, r.path) == (parts.netloc.lower(), parts.path)
     assert [found[i].rule for i in (0, 1, 2, 3, 5, 6, 12, 13, 14)] == ["example.net/en/", "net/", "example.com/de/", None, "org/fr/", None, None, "net/", None]
-    assert [found[i].verdict for i in (0, 1, 2, 3, 5)] == ["allow", "block", "block", "allow", "allow"]
-    assert found[50].verdict == "block" and found[50].rule is None  # its host is all but wholly blocked
-    assert len({found[i].template for i in range(51, len(urls))}) == 1  # languages of one host behave alike
+    assert [found[i].verdict for i in (0, 1, 2, 5)] == ["allow", "block", "block", "allow"]
+    assert found[50].verdict == "block" and found[50].rule is None  # elsewhere such paths are blocked, and its host is
+    assert len({found[i].template for i in range(20, 50)}) == 1
     with duckdb.connect() as db:
         db.register("pages", pages.toPandas())
         want = db.execute(url_tree.judge_sql()).df()
     assert {tuple(map(str, x)) for x in want[["page_id", "host", "path", "rule", "verdict", "template"]].fillna("None").to_numpy()} == {tuple(map(str, (r.page_id, r.host, r.path, r.rule, r.verdict, r.template))) for r in found.values()}
 
 
+def test_unlabelled_templates_are_judged_by_their_like(spark):
+    hosts = [("a.example.net", ("en", "de")), ("b.example.net", ("en", "de")), ("c.example.com", ("en", "de")), ("new.example.org", ("en", "de", "fr")), ("one.example.org", ("de",))]
+    urls = [f"https://{h}/{x}/news/{i}" for h, langs in hosts for x in langs for i in range(20)] + ["https://deep.example.com/de/news/1/a/b/c/d/e", "https://deep.example.com/de/news/1/a/b/c/d/f"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    found = {urls[r.page_id]: r for r in url_tree.judge(pages).collect()}
+    assert all(found[f"https://{h}/de/news/3"].verdict == "block" for h in ("c.example.com", "new.example.org", "one.example.org"))
+    assert all(found[f"https://{h}/en/news/3"].verdict == "allow" for h in ("c.example.com", "new.example.org"))
+    a, b = (found[u] for u in urls[-2:])
+    assert a.template.count("/") >= 8 and a.by_tree == b.by_tree == "block"  # paths of any depth
+
+
+def test_held_out_rules_are_foretold(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
+    learn = F.crc32(F.col("page_id").cast("string")) % 5 != 0
+    found = url_tree.judge(pages, learn=learn).filter("rule is not null").join(pages.filter(~learn).select("page_id"), "page_id")
+    share = found.agg(F.avg((F.col("verdict") == F.col("by_tree")).cast("int")).alias("right"), F.count(F.lit(1)).alias("n")).first()
+    assert share.n > 150 and share.right > 0.9
+    free = url_tree.judge(pages).filter("rule is null")
+    assert free.filter("verdict = 'block'").count() > 0.05 * free.count()
+
+
 def test_no_urls(spark):
     assert url_tree.judge(spark.createDataFrame([], "page_id long, url string")).count() == 0
