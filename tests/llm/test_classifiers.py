@@ -1,8 +1,10 @@
 from __future__ import annotations
 
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
-from tidewell.llm import langid, quality_knn
+from tidewell.llm import langid, quality_knn, queries
 
 
 def test_languages_are_told_apart(spark, docs, rows):
@@ -26,6 +28,53 @@ def test_training_does_not_depend_on_row_order(spark, docs):
     assert (a.table == b.table).all() and a.threshold == b.threshold
 
 
+def test_numerals_are_no_letters():
+    assert [langid.has_letter(t) for t in ("\u00bd 12", "\u00b2", "\u2167", "_ 7", "", "\u65e5", "7 \u00e9")] == [False] * 5 + [True] * 2
+
+
+def test_a_rare_language_is_learned(spark, docs):
+    rare = spark.createDataFrame([(5000 + i, "kwa zimu ntu bwe " * 20, "zz", "s") for i in range(3)], "doc_id long, text string, lang string, source string")
+    both = docs.select("doc_id", "text", "lang", "source").union(rare)
+    assert langid.train(both, F.lit(True), max_docs=30).labels == ["de", "en", "zz"]
+
+
+@pytest.fixture(scope="module")
+def small_tables(spark, docs, rows, tmp_path_factory):
+    """A folder as the registered queries read it, and one with everything changed that no prediction may use."""
+    folders = []
+    for changed in (False, True):
+        path = str(tmp_path_factory.mktemp("tables"))
+        some = docs.filter("doc_id < 60").select("doc_id", "text", "lang", "source", "n_chars").dropDuplicates(["doc_id"])
+        labels = spark.createDataFrame([(r[0], int(r[0] % 2), 0) for r in rows[:60]], "doc_id long, quality int, toxic int")
+        if changed:
+            some = some.withColumns({"source": F.lit("x"), "lang": F.when(langid.fold("doc_id", 5) == 0, F.lit("??")).otherwise(F.col("lang"))})
+            labels = labels.withColumn("quality", F.when(langid.fold("doc_id", 4) == 2, 1 - F.col("quality")).otherwise(F.col("quality")))
+        some.write.parquet(f"{path}/documents.parquet")
+        labels.write.parquet(f"{path}/labels.parquet")
+        folders.append(path)
+    return folders
+
+
+@pytest.mark.parametrize("name", ["op3_quality_votes", "op7_language_id"])
+def test_held_out_labels_and_sources_are_not_used(spark, small_tables, name):
+    a, b = (sorted(map(tuple, queries.QUERIES[name](spark, f).collect())) for f in small_tables)
+    assert a == b and len({r[1] for r in a}) == 2
+
+
+def test_votes_are_those_of_plain_loops():
+    rng = np.random.default_rng(2)
+    labelled = quality_knn._unit(rng.normal(size=(80, 5)))
+    labelled[40:50] = labelled[:10]  # ties
+    y, vectors = rng.integers(0, 2, 80).astype(float), quality_knn._unit(rng.normal(size=(30, 5)))
+    vectors[:10] = labelled[:10]
+    found = quality_knn.vote(vectors, labelled, y, 0.4)
+    near = vectors @ labelled.T
+    for i in range(30):
+        order = sorted(range(80), key=lambda j: (-near[i, j], j))[: quality_knn.NEIGHBOURS]
+        weight = [max(near[i, j], 0) ** quality_knn.SHARPNESS for j in order]
+        assert abs(found[i] - (sum(w * y[j] for w, j in zip(weight, order, strict=True)) + 0.2) / (sum(weight) + 0.5)) < 1e-9
+
+
 def test_no_labelled_rows_and_no_rows(spark, docs, no_docs):
     model = langid.train(docs, F.lit(False))
     assert {r.lang_pred for r in langid.identify(docs, model, keep=["doc_id"]).collect()} == {"und"}

@@ -87,9 +87,8 @@ def _shingle_counts(docs: DataFrame, block: Windows, text_col: str) -> dict[int,
         totals = {k: np.zeros(len(s), np.int64) for k, s in shingles.items()}
         get = vocabulary.get
         for batch in batches:
-            texts = batch.column(0).to_pylist()
-            for a, b in slices(texts):
-                for text in texts[a:b]:
+            for _, _, texts in slices(batch.column(0)):
+                for text in texts:
                     ids = np.array([get(w, 0) for w in words(text)], np.int64)
                     for k, known in shingles.items():
                         np.add.at(totals[k], _lookup(known, _codes(ids, k, base))[1], 1)
@@ -154,12 +153,16 @@ def decontaminate(
     """`keep` columns (default all) with n_words, hit_spans (disjoint word ranges, flat) and hit_items (sorted texts).
 
     Null texts and texts without words have none and are clean; an item without words has no window; a null item id
-    counts as the text 'null'. Repeated rows and items are each judged alike. An empty benchmark leaves every
-    document clean. Columns named like a result are replaced.
+    counts as the text 'null', so as one item with an item of that name. Repeated rows and items are each judged
+    alike, and of several items with equal windows all are named. Texts of any length count whole. An empty benchmark
+    leaves every document clean, an empty table gives no rows. Columns named like a result are replaced, others kept.
     """
     keep = docs.columns if keep is None else keep
     keep = [c for c in keep if c.lower() not in ("n_words", "hit_spans", "hit_items")]
-    done = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text_col}`").alias("__source"), F.lit(0).cast("long").alias("n_words"), F.array().cast("array<int>").alias("hit_spans"), F.array().cast("array<string>").alias("hit_items"))
+    source = "source_text"
+    while source in keep:
+        source += "_"
+    done = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text_col}`").alias(source), F.lit(0).cast("long").alias("n_words"), F.array().cast("array<int>").alias("hit_spans"), F.array().cast("array<string>").alias("hit_items"))
     for block in _blocks(benchmark, size, item_col, item_text_col, block_words):
         prefixes = _prefixes(block, _shingle_counts(docs, block, text_col))
         done = _pass(done, block, prefixes)
@@ -191,11 +194,10 @@ def _pass(docs: DataFrame, block: Windows, prefixes: dict[int, tuple]) -> DataFr
         vocabulary, base, windows, items, known = shared.value
         windows, get = [np.array(w, np.int64) for w in windows], vocabulary.get
         for batch in batches:
-            texts = batch.column(n_kept).to_pylist()
-            for a, b in slices(texts):
+            for a, b, texts in slices(batch.column(n_kept)):
                 counts, spans, hits = [], [], []
                 earlier = zip(batch.column(n_kept + 2).slice(a, b - a).to_pylist(), batch.column(n_kept + 3).slice(a, b - a).to_pylist(), strict=True)
-                for text, (flat, before) in zip(texts[a:b], earlier, strict=True):
+                for text, (flat, before) in zip(texts, earlier, strict=True):
                     ws = words(text)
                     found, which = _match(np.array([get(w, 0) for w in ws], np.int64), base, known, windows)
                     counts.append(len(ws))

@@ -9,7 +9,6 @@ bucket, whatever the corpus.
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,7 +19,6 @@ from .textmap import map_texts
 
 BUCKETS = 1 << 13
 DIM = 16
-LETTER = re.compile(r"[^\W\d_]")
 _BORDERS = bytes(c if c >= 128 or chr(c).isalpha() else 32 for c in range(256))
 
 
@@ -39,6 +37,11 @@ def subwords(text: str) -> np.ndarray:
     return np.concatenate(found) if found else np.zeros(0, np.uint32)
 
 
+def has_letter(text: str) -> bool:
+    """Whether any character is a letter (Unicode categories L*); digits, fractions and numerals are none."""
+    return any(map(str.isalpha, text))
+
+
 @dataclass
 class Model:
     labels: list[str]
@@ -57,7 +60,7 @@ class Model:
 
     def predict(self, text: str | None) -> tuple[str, float, bool]:
         """Label, calibrated probability, rejected."""
-        if not text or not LETTER.search(text) or not self.labels:
+        if not text or not has_letter(text) or not self.labels:
             return "und", 0.0, True
         p = softmax(self.logits(text) / self.temperature)
         best = int(p.argmax())
@@ -70,11 +73,20 @@ def softmax(x: np.ndarray) -> np.ndarray:
 
 
 def _sample(docs: DataFrame, train: Column, max_docs: int, id_col: str, text_col: str, label_col: str) -> DataFrame:
-    known = docs.filter(train & F.col(label_col).isNotNull() & F.col(text_col).isNotNull())
-    total = known.count()
-    share = min(1.0, 0.9 * max_docs / max(1, total))
-    picked = known.filter(F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(1 << 30)) < int(share * (1 << 30)))
-    return picked.select(F.col(label_col).cast("string").alias("label"), F.col(text_col).alias("text"))
+    """At most `max_docs` rows, in equal parts by label as far as there are rows, picked by the hash of their id."""
+    label, text = F.col(f"`{label_col}`").cast("string"), F.col(f"`{text_col}`")
+    known = docs.filter(train & label.isNotNull() & text.isNotNull())
+    counts = {r.label: r["count"] for r in known.groupBy(label.alias("label")).count().limit(max_docs + 1).collect()}
+    if len(counts) > max_docs:
+        raise ValueError(f"more than {max_docs} labels")
+    shares, room = [], 0.9 * max_docs
+    for k, name in enumerate(sorted(counts, key=lambda x: (counts[x], x))):
+        part = min(counts[name], room / (len(counts) - k))
+        room -= part
+        shares += [F.lit(name), F.lit(int(part / counts[name] * (1 << 30)))]
+    at = F.pmod(F.xxhash64(F.col(f"`{id_col}`").cast("string")), F.lit(1 << 30))
+    picked = known.filter(at < F.element_at(F.create_map(*shares), label)) if shares else known
+    return picked.orderBy(at, F.xxhash64(text)).limit(max_docs).select(label.alias("label"), text.alias("text"))
 
 
 def _count_subwords():
@@ -96,7 +108,8 @@ def train(
     reject_rate: float = 0.0005,
     seed: int = 7,
 ) -> Model:
-    """Fit on at most `max_docs` rows that satisfy `train` and have a label, picked by the hash of their id.
+    """Fit on at most `max_docs` rows that satisfy `train` and have a label, in equal parts by label and picked by the
+    hash of their id, so that a rare language is learned from all it has.
 
     Whole texts are counted into at most `BUCKETS` numbers on the executors, so the driver holds at most
     `max_docs * BUCKETS` counts. A fifth of the sample sets the temperature and the rejection threshold: the score
@@ -104,7 +117,7 @@ def train(
     1 / labels says nothing. Without labelled rows the model knows no label and rejects everything.
     """
     rows = map_texts(_sample(docs, train, max_docs, id_col, text_col, label_col), _count_subwords, "buckets array<int>, counts array<int>", keep=["label"])
-    data = rows.limit(max_docs).toArrow()
+    data = rows.toArrow()
     labels = sorted(set(data.column("label").to_pylist()))
     if not labels:
         return Model([], np.zeros((BUCKETS, 0), np.float32), np.zeros(0), 1.0, 1.0)
@@ -162,7 +175,9 @@ def train(
 def identify(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """`keep` columns (default all) with lang_pred, score and rejected; columns of those names are replaced.
 
-    Null texts and texts without a letter are `und` with score 0 and rejected.
+    Null and empty texts and texts without a letter are `und` with score 0 and rejected. Texts of any length count
+    whole; repeated rows are each judged alike; of labels with equal scores the first by name wins. An empty table
+    gives no rows.
     """
     shared = docs.sparkSession.sparkContext.broadcast(tuple(vars(model).values()))  # bounded: BUCKETS x labels
 

@@ -27,8 +27,14 @@ def period(weights: list[int]) -> list[list[int]]:
     return placed
 
 
-def _order(id_col: str) -> Column:
-    return F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")))
+def _row_hash(df: DataFrame) -> Column:
+    """A hash of the whole row; columns of map type have none."""
+    plain = [F.col(f"`{f.name}`") for f in df.schema if "map<" not in f.dataType.simpleString()]
+    return F.xxhash64(*plain, *[c.isNull() for c in plain])
+
+
+def _order(id_col: str, row: Column) -> Column:
+    return F.md5(F.coalesce(F.col(f"`{id_col}`").cast("string"), F.concat(F.lit("row "), row)))
 
 
 def mix(docs: DataFrame, weights: dict[str, int], other_weight: int, block_docs: int = 16, id_col: str = "doc_id", source_col: str = "source") -> DataFrame:
@@ -36,9 +42,12 @@ def mix(docs: DataFrame, weights: dict[str, int], other_weight: int, block_docs:
     gives the mixture.
 
     Each source in `weights` is a stream; all others, null included, share one stream named `other`. A stream's rows
-    are taken in the order of the md5 of their id, `block_docs` a block; the last block may be short. Once a stream
+    are taken in the order of the md5 of their id (without one: of a hash of the row), rows of one id in the order of
+    that hash, `block_docs` a block; the last block may be short. So equal rows alone can change places when a task runs
+    again. Once a stream
     has run out its slots stay empty and the others go on in proportion. No row is dropped or repeated; repeated rows
-    and ids keep a place each. Columns named like a result are replaced.
+    and ids keep a place each. Texts are not read but for the hash. An empty table gives no rows. Columns named like a
+    result or like the helpers `__s`, `__o`, `__tie`, `__hi`, `__lo` are replaced.
 
     Row numbers are the sums of counts over buckets of the md5 (16 to a power that follows the number of rows, in
     two levels) plus the number within the bucket, so no task holds a whole stream.
@@ -51,7 +60,7 @@ def mix(docs: DataFrame, weights: dict[str, int], other_weight: int, block_docs:
     upper = digits // 2
     known = F.create_map(*[x for i, n in enumerate(weights) for x in (F.lit(n), F.lit(i))]) if weights else None
     stream = F.coalesce(known[F.col(source_col)], F.lit(len(weights))) if weights else F.lit(0)
-    rows = docs.withColumns({"__s": stream, "__o": _order(id_col)}).withColumns({"__hi": F.substring("__o", 1, upper), "__lo": F.substring("__o", upper + 1, digits - upper)})
+    rows = docs.withColumns({"__s": stream, "__o": _order(id_col, _row_hash(docs)), "__tie": _row_hash(docs)}).withColumns({"__hi": F.substring("__o", 1, upper), "__lo": F.substring("__o", upper + 1, digits - upper)})
 
     counts = rows.groupBy("__s", "__hi", "__lo").agg(F.count(F.lit(1)).alias("n"))
     within = F.sum("n").over(Window.partitionBy("__s", "__hi").orderBy("__lo")) - F.col("n")
@@ -60,7 +69,7 @@ def mix(docs: DataFrame, weights: dict[str, int], other_weight: int, block_docs:
     high = above.select("__s", "__hi", (F.sum("n").over(Window.partitionBy("__s").orderBy("__hi")) - F.col("n")).alias("high"))
     before = low.join(high, ["__s", "__hi"]).select("__s", "__hi", "__lo", (F.col("low") + F.col("high")).alias("__before"))
 
-    number = F.row_number().over(Window.partitionBy("__s", "__hi", "__lo").orderBy("__o")) - 1
+    number = F.row_number().over(Window.partitionBy("__s", "__hi", "__lo").orderBy("__o", "__tie")) - 1
     rank = rows.withColumn("__n", number).join(before, ["__s", "__hi", "__lo"]).withColumn("__rank", F.col("__before") + F.col("__n"))
     block = F.expr(f"__rank div {block_docs}")
     pattern = F.array(*[F.array(*[F.lit(x).cast("long") for x in s]) for s in slots])

@@ -30,7 +30,7 @@ _RUN = re.compile(r"(.)\1+")
 
 def shape(word: str) -> str:
     """Letters by case, digits as 0, everything else as it is; runs as one."""
-    out = "".join("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in word[:64])
+    out = "".join("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in word)
     return _RUN.sub(r"\1", out)
 
 
@@ -105,9 +105,11 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, max_labelled: int = 3
     """
     known = labels.filter(learn & F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.avg("quality").alias("y"))
     share = min(1.0, 0.9 * max_labelled / max(1, known.count()))
-    picked = known.filter(F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1 << 30)) < int(share * (1 << 30))).limit(max_labelled)
+    at = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1 << 30))
+    picked = known.filter(at < int(share * (1 << 30))).orderBy(at, "doc_id").limit(max_labelled)
     rows = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")  # at most max_labelled rows of two numbers
-    data = map_texts(rows.select("doc_id", "y", "text"), _bags, "places array<int>, values array<double>", keep=["doc_id", "y"]).limit(max_labelled).toArrow()
+    rows = rows.orderBy("doc_id", F.xxhash64("text")).limit(max_labelled)  # an id may repeat among the documents
+    data = map_texts(rows.select("doc_id", "y", "text"), _bags, "places array<int>, values array<double>", keep=["doc_id", "y"]).toArrow()
     order = np.argsort(data.column("doc_id").to_numpy(), kind="stable")
     y = data.column("y").to_numpy()[order]
     if not len(y):
@@ -133,12 +135,18 @@ def vote(vectors: np.ndarray, labelled: np.ndarray, y: np.ndarray, prior: float)
     near = vectors @ labelled.T
     k = min(NEIGHBOURS, len(y))
     at = np.argpartition(-near, k - 1, axis=1)[:, :k] if k < len(y) else np.tile(np.arange(k), (len(near), 1))
+    # Of equally near ones at the edge, those with the smallest ids count.
+    last = np.take_along_axis(near, at, 1).min(1, keepdims=True)
+    for i in np.flatnonzero((near >= last).sum(1) > k):
+        at[i] = np.argsort(-near[i], kind="stable")[:k]
     weight = np.maximum(np.take_along_axis(near, at, 1), 0) ** SHARPNESS
     return np.clip(((weight * y[at]).sum(1) + 0.5 * prior) / (weight.sum(1) + 0.5), 0, 1)
 
 
 def classify(docs: DataFrame, model: tuple, block: int = 256, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """`keep` columns (default all) with score, 0 to 1. Null texts count as empty; a column named score is replaced."""
+    """`keep` columns (default all) with score, 0 to 1. Null texts count as empty; texts of any length count whole;
+    repeated rows are each scored alike, and of equally near neighbours those with the smallest ids vote. An empty
+    table gives no rows; a column named score is replaced."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the sample's size
 
     def start():

@@ -136,6 +136,8 @@ def judge(
 ) -> DataFrame:
     """Base counts, base_failed, the distances to the nearest reference, and kept, one row per row of `docs`.
 
+    Texts of any length count whole; repeated rows are each judged alike; an empty table gives no rows.
+
     Null and empty texts count as no words and fail the base rule. Documents below a minimum length skip that
     distance, and all skip both where no document of a reference language exists. Columns other than id, text and
     language are not read. The limit for classes is `max_class_distance` plus `length_allowance` over the root of the

@@ -137,7 +137,8 @@ def scan(docs: DataFrame, base: dict = BASE_RULES, more: dict = MORE_RULES, text
     """`keep` columns with `kinds`, `starts`, `ends` (one entry a span, by start, then kind as listed) and n_base.
 
     Offsets are code points, end exclusive. Matches are leftmost and non-overlapping within a kind; those that fail
-    the rule's condition are dropped. A null text has no spans. Columns named like a result are replaced.
+    the rule's condition are dropped. Null and empty texts have no spans; texts of any length are searched whole; repeated
+    rows are each searched alike; an empty table gives no rows. Columns named like a result are replaced.
     """
     rules = {**base, **more}
 

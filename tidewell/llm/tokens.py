@@ -24,10 +24,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import scratch
+from .textmap import slices
 
 MAGIC = b"TDAC"
 HEADER = "<4sIQQI"  # magic, documents, tokens, bytes of the whole segment, levels
 BLOCK_BITS = 512
+SEGMENTS_A_FILE = 2048  # so a file of average segments holds some hundred megabytes
 CACHE_WORDS = 200_000  # words in each of the two generations whose ids a worker remembers
 
 
@@ -205,11 +207,12 @@ class WordEncoder:
 
 
 def word_encoder(path: str) -> WordEncoder:
-    """One encoder for each worker process. It is kept with the library's module, as functions that travel by value
-    leave nothing behind when a task ends."""
-    import tokenizers
+    """One encoder for each worker process. It is kept in a module of its own name, made on the spot, as functions that
+    travel by value leave nothing behind when a task ends."""
+    import sys
+    import types
 
-    kept = tokenizers.__dict__.setdefault("_word_encoders", {})
+    kept = vars(sys.modules.setdefault("tidewell_word_encoders", types.ModuleType("tidewell_word_encoders")))
     if path not in kept:
         kept[path] = WordEncoder(path)
     return kept[path]
@@ -251,9 +254,8 @@ def write_tokens(
             return pa.RecordBatch.from_arrays([pa.array([pack_segment(doc_ids, lengths, ids)], pa.binary())], names=["payload"])
 
         for batch in batches:
-            for i in range(0, batch.num_rows, 500):
-                part = batch.slice(i, 500)
-                for doc_id, data in zip(part.column(0).to_pylist(), encode(part.column(1).to_pylist()), strict=True):
+            for a, b, texts in slices(batch.column(1)):
+                for doc_id, data in zip(batch.column(0).slice(a, b - a).to_pylist(), encode(texts), strict=True):
                     n = len(data) // 4 + 1
                     if parts and held + n > segment_tokens:
                         yield flush()
@@ -266,7 +268,7 @@ def write_tokens(
             yield flush()
 
     # The text sink writes the bytes of a string as they are; the cast relabels the binary payload.
-    rows.mapInArrow(pack, "payload binary").select(F.col("payload").cast("string").alias("value")).write.option("lineSep", "\n").text(path)
+    rows.mapInArrow(pack, "payload binary").select(F.col("payload").cast("string").alias("value")).write.option("lineSep", "\n").option("maxRecordsPerFile", SEGMENTS_A_FILE).text(path)
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
