@@ -2,6 +2,9 @@
 
 Each stage takes (spark, docs, sf_dir), works on all documents that the one before kept, and returns a DataFrame that
 is written as Parquet and read again as the next one's docs. All but the last return the columns of their input.
+
+In every stage texts of any length count whole, further columns are kept under their names whatever these are, and an
+empty table gives no rows. A row is a document: rows that share an id, or have none, are each judged by themselves.
 """
 
 from __future__ import annotations
@@ -25,29 +28,36 @@ def _set_aside(docs: DataFrame, work: Callable[[DataFrame], DataFrame]) -> DataF
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without letters, and those whose calibrated score for every language is too low, go."""
+    """Documents without letters (so null and empty texts), and those whose calibrated score for every language is too
+    low, go. Equal texts share their fate. Documents none of which has a lang are an error, as nothing can be learned."""
     model = langid.train(docs, F.lit(True))
+    if not model.labels and not docs.isEmpty():
+        raise ValueError("no document has a language to learn from")
     return _set_aside(docs, lambda d: langid.identify(d, model).filter("not rejected"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of documents linked by fingerprints of at most 3 different bits, the smallest doc_id stays."""
+    """Of each group of documents linked by fingerprints of at most 3 different bits the first stays: the smallest
+    doc_id, null ids last, rows of one id by a hash of the row. Of equal rows one stays. Texts without words are one group."""
     return _set_aside(docs, simhash.deduplicate)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that contain a window of a benchmark item go."""
+    """Documents that contain a window of a benchmark item go. Null and empty texts have no words and stay; equal texts
+    share their fate; without benchmark all stay."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return _set_aside(docs, lambda d: decontaminate.decontaminate(d, benchmark).filter(F.size("hit_spans") == 0))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, in the order of the mixture: by file name and row, which the next stage follows."""
+    """All documents, in the order of the mixture: by file name and row, which the next stage follows. Null sources are
+    in the stream of all sources without a weight; rows of one id are ordered by a hash of the row."""
     return _set_aside(docs, lambda d: mixing.in_order(mixing.mix(d, MIX_WEIGHTS, MIX_OTHER, MIX_BLOCK), d.columns))
 
 
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token files in the order of the mixture, read back: doc_id, start, n_tokens, ids_crc32."""
+    """Token files in the order of the mixture, read back: doc_id, start, n_tokens, ids_crc32. A null or empty text is
+    the end token alone; repeated rows and null ids have a row each."""
     placed = docs.select("doc_id", "text", F.col("_metadata.file_name").alias("file_name"), F.col("_metadata.row_index").alias("row_index"))
     return tokens.token_digest(placed, tokenizer_path(), order_by=["file_name", "row_index"])
 
