@@ -68,6 +68,32 @@ def test_exact_decimals(one):
     assert type_of(one, scalar.add(one, F.lit(1), F.lit(2))) == T.LongType()
 
 
+@pytest.mark.parametrize(("a", "b", "product"), [(0.1234567, 2.0, 0.2469134), (1.0, 0.0000001, 1e-7), (3e13, 2.0, 6e13), (1e200, 1e200, None), (1e20, 0.5, 5e19), (1e-12, 1e-12, 1e-24), (4094.9, 0.95, 3890.155)])
+def test_products_keep_their_digits(one, a, b, product):
+    found = value(one, scalar.multiply(one, F.lit(a), F.lit(b)))
+    assert found == product or abs(found - product) <= 2e-16 * product
+
+
+def test_numbers_of_any_size(one):
+    assert value(one, scalar.divide(one, F.lit(1.0), F.lit(0.0000001))) == 1e7 and abs(value(one, scalar.divide(one, F.lit(1e-9), F.lit(3.0))) / (1e-9 / 3) - 1) < 1e-15
+    assert value(one, scalar.power(one, F.lit(1e12), 4)) == 1e48 and value(one, scalar.power(one, F.lit(1e200), 2)) is None and value(one, scalar.power(one, F.lit(1.1), 3)) == 1.331
+    assert value(one, scalar.modulo(one, F.lit(1e13), F.lit(7.0))) == 1e13 % 7 and value(one, scalar.round_to(one, F.lit(1e25), 5)) == 1e25
+    big = F.lit(2**62).cast("bigint")
+    assert value(one, scalar.add(one, big, big)) is None and value(one, scalar.multiply(one, big, F.lit(4))) is None
+    assert value(one, scalar.add(one, F.lit(float("nan")), F.lit(1.0))) is None
+
+
+@pytest.mark.parametrize("x", [1e-20, 1e40, 1.5e300, 123456789.125, 1.234567890123456e-5, -2.5e-8, 9007199254740993.0])
+def test_text_of_doubles_is_exact(one, x):
+    text = value(one, to_text(F.lit(x), T.DoubleType()))
+    assert text == format(Decimal(repr(x)).normalize(), "f") and float(text) == x
+
+
+@pytest.mark.parametrize(("x", "places", "text"), [(2.675, 2, "2.68"), (-1.0, 1, "-1.0"), (1e40, 2, "1" + "0" * 40 + ".00"), (7, 3, "7.000"), (0.5, 0, "1")])
+def test_text_with_decimals(one, x, places, text):
+    assert value(one, scalar.to_string(one, F.lit(x), places)) == text
+
+
 def test_null_rules(one):
     null = F.lit(None).cast("int")
     assert value(one, scalar.iif(null > 1, "a", "b")) == "b"

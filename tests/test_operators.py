@@ -183,3 +183,15 @@ def test_every_operator_takes_an_empty_table(steps):
         order.unique(none, ["g"], ["s"]).unique, order.running_total(none, "v", "r", ["s"], ["g"]), joins.join(none, steps, [("g", "g")]).inner, summarize.summarize(none, ["g"], Agg("sum", "v")), rows.cross_tab(none, ["g"], "s", "v"),
     ):
         assert df.count() == 0
+
+
+def test_sums_of_any_size(spark):
+    df = spark.createDataFrame([("a", 1e20, 10**18), ("a", 1.0, 10**18), ("b", 0.1, None), ("b", 0.2, 5), ("c", 1e308, 1), ("c", 1e308, 1)], "g string, x double, n long")
+    found = {r.g: (r.s, r.m, r.n) for r in summarize.summarize(df, ["g"], Agg("sum", "x", "s"), Agg("avg", "x", "m"), Agg("sum", "n", "n")).collect()}
+    assert found == {"a": (1e20, 5e19, 2e18), "b": (0.3, 0.15, 5.0), "c": (None, None, 2.0)}
+
+
+def test_cross_tab_keeps_order_and_null_headers(spark):
+    df = spark.createDataFrame([(1, "a", "k", "z"), (2, "a", "k", "b"), (3, "a", None, "n"), (4, "b", "", None), (5, "b", "k", "x")], "at int, g string, h string, v string")
+    found = {r.g: (r["_"], r.k) for r in rows.cross_tab(df, ["g"], "h", "v", "concat", order_by=["at"]).collect()}
+    assert found == {"a": ("n", "z,b"), "b": ("", "x")}

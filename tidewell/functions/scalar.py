@@ -1,19 +1,19 @@
 """Scalar functions with fixed rules for NULL, rounding and text, as Spark columns.
 
 Functions whose result depends on a column's type take the DataFrame first. Arithmetic is exact decimal, stored to a
-double once; a result that no double can hold is NULL.
+double once, for numbers of everyday size, and that of doubles beyond; a result that no double can hold is NULL.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .types import exact, finite, is_number, to_number, to_text, trim_space, type_of
 
-SCALE = 10
-
 
 def _col(x) -> Column:
     return x if isinstance(x, Column) else F.lit(x)
@@ -60,48 +60,70 @@ def is_empty(text: Column) -> Column:
 # ---- arithmetic -------------------------------------------------------------------------------------------------
 
 
-def _wide(df: DataFrame, *columns: Column) -> str:
-    """The widest of the operands: int, decimal or double."""
-    kinds = [type_of(df, c) for c in columns]
+def _wide(*kinds: T.DataType) -> str:
+    """The widest of the operands: int, decimal or double; text counts as a double."""
     if any(isinstance(k, (T.FloatType, T.DoubleType, T.StringType)) for k in kinds):
         return "double"
     return "decimal" if any(isinstance(k, T.DecimalType) for k in kinds) else "int"
 
 
-def _back(value: Column, wide: str) -> Column:
-    if wide == "double":
-        return finite(value.cast("double"))
-    return value.try_cast("bigint") if wide == "int" else value
+def _number(x: Column, kind: T.DataType) -> Column:
+    return to_number(x) if isinstance(kind, T.StringType) else x.cast("int") if isinstance(kind, T.BooleanType) else x
 
 
-def _narrow(df: DataFrame, column: Column) -> Column:
-    """An operand as a decimal narrow enough that sums and products keep their digits."""
-    kind = type_of(df, column)
-    if isinstance(kind, T.DecimalType) and kind.precision <= 18:
-        return column
-    return exact(column, kind).try_cast("decimal(18,0)" if isinstance(kind, T.IntegralType) else "decimal(19,6)")
+NARROW = "decimal(18,9)"  # two of them multiply without losing a digit
+
+
+def _exactly(a: Column, b: Column, of: Callable[[Column, Column], Column], otherwise: Callable[[Column, Column], Column]) -> Column:
+    """`of` decimals if both numbers have no digit beyond `NARROW`, else `otherwise` of doubles; finite or NULL."""
+    x, y = a.try_cast(NARROW), b.try_cast(NARROW)
+    fits = (x.cast("double") == a.cast("double")) & (y.cast("double") == b.cast("double"))
+    return F.when(true(fits), of(x, y).cast("double")).otherwise(finite(otherwise(a.cast("double"), b.cast("double"))))
+
+
+def _arithmetic(df: DataFrame, a: Column, b: Column, name: str) -> Column:
+    """Whole numbers and decimals as they are, NULL where the result is too large; with a double among them, exact
+    decimals stored to a double once, as far as both have at most nine digits on either side of the point, else the
+    nearest double."""
+    ka, kb = type_of(df, a), type_of(df, b)
+    a, b = _number(a, ka), _number(b, kb)
+    tried = {"+": F.try_add, "-": F.try_subtract, "*": F.try_multiply, "%": F.try_mod}[name]
+    plain = {"+": lambda x, y: x + y, "-": lambda x, y: x - y, "*": lambda x, y: x * y, "%": F.try_mod}[name]
+    wide = _wide(ka, kb)
+    if wide == "int":
+        return tried(a.cast("bigint"), b.cast("bigint"))
+    if wide == "decimal":
+        return tried(a, b)
+    return _exactly(a, b, plain, plain)
 
 
 def add(df: DataFrame, a: Column, b: Column) -> Column:
-    return _back(_narrow(df, a) + _narrow(df, b), _wide(df, a, b))
+    return _arithmetic(df, a, b, "+")
 
 
 def subtract(df: DataFrame, a: Column, b: Column) -> Column:
-    return _back(_narrow(df, a) - _narrow(df, b), _wide(df, a, b))
+    return _arithmetic(df, a, b, "-")
 
 
 def multiply(df: DataFrame, a: Column, b: Column) -> Column:
-    return _back(_narrow(df, a) * _narrow(df, b), _wide(df, a, b))
+    return _arithmetic(df, a, b, "*")
 
 
 def divide(df: DataFrame, a: Column, b: Column) -> Column:
-    """Never an integer division; by zero gives NULL."""
-    return finite(F.try_divide(_narrow(df, a), _narrow(df, b)).cast("double"))
+    """Never an integer division; by zero gives NULL. Quotients too small for a decimal's digits are double quotients."""
+    a, b = _number(a, type_of(df, a)), _number(b, type_of(df, b))
+    double = lambda x, y: F.try_divide(x.cast("double"), y.cast("double"))
+
+    def exactly(x: Column, y: Column) -> Column:
+        quotient = F.try_divide(x, y)
+        return F.when(F.abs(quotient) >= 0.001, quotient.cast("double")).otherwise(double(x, y))
+
+    return _exactly(a, b, exactly, double)
 
 
 def modulo(df: DataFrame, a: Column, b: Column) -> Column:
     """The dividend's sign; by zero gives NULL."""
-    return _back(F.try_mod(_narrow(df, a), _narrow(df, b)), _wide(df, a, b))
+    return _arithmetic(df, a, b, "%")
 
 
 def join_text(df: DataFrame, a: Column, b: Column) -> Column:
@@ -109,11 +131,24 @@ def join_text(df: DataFrame, a: Column, b: Column) -> Column:
     return F.concat(to_text(a, type_of(df, a)), to_text(b, type_of(df, b)))
 
 
+def to_string(df: DataFrame, x: Column, places: int | None = None) -> Column:
+    """Text of a value; with `places`, of a number with so many decimals, halves away from zero."""
+    kind = type_of(df, x)
+    if places is None:
+        return to_text(x, kind)
+    value = _number(x, kind)
+    whole = F.concat(to_text(value, T.DoubleType() if isinstance(kind, T.StringType) else kind), F.lit("." + "0" * places if places else ""))
+    return F.coalesce(value.try_cast(f"decimal(38,{places})").cast("string"), whole)  # what is too large has no decimals
+
+
 def round_to(df: DataFrame, x: Column, multiple: str | int = 1) -> Column:
     """The nearest multiple, halves away from zero, on exact decimals, as a double; multiple 0 gives NULL."""
+    if float(multiple) == 0:
+        return F.lit(None).cast("double")
     step = F.lit(str(multiple)).cast("decimal(18,9)")
-    value = exact(x, type_of(df, x), SCALE).try_cast("decimal(28,10)")
-    return finite((F.round(F.try_divide(value, step), 0) * step).cast("double"))
+    value = _number(x, type_of(df, x))
+    near = F.round(F.try_divide(value.try_cast("decimal(28,10)"), step), 0) * step
+    return F.coalesce(near.cast("double"), finite(F.round(value.cast("double") / float(multiple), 0) * float(multiple)))
 
 
 def absolute(x: Column) -> Column:
@@ -129,16 +164,21 @@ def floor(df: DataFrame, x: Column) -> Column:
 
 
 def power(df: DataFrame, base: Column, exponent: int | float | Column) -> Column:
-    """Exact products for exponents 0 to 4, else a double; undefined or too large gives NULL."""
-    if isinstance(exponent, int) and 0 <= exponent <= 4:
-        value = _narrow(df, base)
-        out = F.when(base.isNotNull(), F.lit(1).cast("decimal(1,0)"))
-        for _ in range(exponent):
-            out = (out * value).try_cast("decimal(38,12)")
-        return finite(out.cast("double"))
+    """Exact products for exponents 0 to 4 as far as 38 digits hold them, else a double; undefined or too large gives
+    NULL."""
+    base = _number(base, type_of(df, base))
     b, e = base.cast("double"), _col(exponent).cast("double")
     undefined = ((b == 0) & (e < 0)) | ((b < 0) & (e != F.floor(e)))
-    return F.when(~undefined, finite(F.pow(b, e)))
+    out = F.when(~undefined, finite(F.pow(b, e)))
+    if isinstance(exponent, int) and 0 <= exponent <= 4:
+        if exponent == 0:
+            return F.when(base.isNotNull(), F.lit(1.0))
+        x = base.try_cast({1: "decimal(38,18)", 2: NARROW, 3: "decimal(12,6)", 4: "decimal(8,4)"}[exponent])
+        product = x
+        for _ in range(exponent - 1):
+            product = product * x
+        return F.when(true(x.cast("double") == b), product.cast("double")).otherwise(out)
+    return out
 
 
 def smallest(*columns: Column) -> Column:

@@ -19,7 +19,7 @@ TEXTS = ("String", "WString", "V_String", "V_WString")
 FIXED_TEXTS = ("String", "WString")
 FLOATS = ("Float", "Double")
 # Sizes that a type has when none is given.
-NATURAL_SIZES = {"Bool": 1, "Byte": 3, "Int16": 7, "Int32": 11, "Int64": 20, "FixedDecimal": 19, "Float": 7, "Double": 53, "Date": 10, "Time": 8, "DateTime": 19}
+NATURAL_SIZES = {"Bool": 1, "Byte": 1, "Int16": 2, "Int32": 4, "Int64": 8, "Float": 4, "Double": 8, "Date": 10, "Time": 8, "DateTime": 19, "FixedDecimal": 19}
 DEFAULT_SCALE = 6
 NUMBER = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 SPACE = r"(?U)^\s+|\s+$"
@@ -61,7 +61,9 @@ def is_number(kind: T.DataType) -> bool:
 
 def finite(column: Column) -> Column:
     """A double, or NULL for what no plain number can show."""
-    return F.when(F.isnan(column) | (F.abs(column) == float("inf")), None).otherwise(column)
+    for odd in ("nan", "inf", "-inf"):  # each names the column once
+        column = F.nullif(column, F.lit(float(odd)))
+    return column
 
 
 def trim_space(column: Column) -> Column:
@@ -95,14 +97,22 @@ def plain(column: Column) -> Column:
     return F.when(text == "-0", "0").otherwise(text)
 
 
+def _plain_double(text: Column) -> Column:
+    """A double's shortest text without its exponent; every digit stays."""
+    sign, digits = F.when(text.startswith("-"), "-").otherwise(""), F.regexp_replace(F.regexp_replace(text, "E.*$|[-.]", ""), "0+$", "")
+    power = F.regexp_extract(text, "E(-?[0-9]+)$", 1).try_cast("int")
+    whole = F.rpad(digits, F.greatest(power + 1, F.length(digits)), F.lit("0"))
+    large = F.concat(F.substring(whole, F.lit(1), power + 1), F.when(F.length(whole) > power + 1, F.concat(F.lit("."), F.substring(whole, power + 2, F.length(whole)))).otherwise(""))
+    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -power - 1), digits)
+    return F.when(~text.contains("E"), plain(text)).otherwise(F.concat(sign, F.when(power >= 0, large).otherwise(small)))
+
+
 def to_text(column: Column, kind: T.DataType) -> Column:
     """Text of a value: whole numbers without fraction, no exponents, True and False, ISO dates."""
     if isinstance(kind, T.BooleanType):
         return F.when(column, "True").when(~column, "False")
     if isinstance(kind, (T.FloatType, T.DoubleType)):
-        size = F.abs(column)
-        small, large = column.try_cast("decimal(38,17)").cast("string"), column.try_cast("decimal(38,0)").cast("string")
-        return F.when(size < 1e20, plain(small)).when(size < 1e37, large)
+        return _plain_double(finite(column).cast("string"))
     if isinstance(kind, T.DecimalType):
         return plain(column.cast("string")) if kind.scale else column.cast("string")
     if isinstance(kind, (T.TimestampNTZType, T.TimestampType)):

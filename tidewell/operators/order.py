@@ -82,7 +82,7 @@ def tile_records(df: DataFrame, n: int, out: str, order_by: list[str], group_by:
 
 def tile_sum(df: DataFrame, n: int, column: str, out: str, order_by: list[str], group_by: list[str] = ()) -> DataFrame:
     """Tiles of about equal sums of a column without negative values."""
-    value = F.coalesce(F.col(f"`{column}`").cast("decimal(28,10)"), F.lit(0))
+    value = F.coalesce(F.col(f"`{column}`").try_cast("decimal(28,10)"), F.lit(0))
     run = F.sum(value).over(_over(df, group_by, order_by).rowsBetween(Window.unboundedPreceding, 0))
     whole = F.sum(value).over(Window.partitionBy(*[F.col(f"`{c}`") for c in need(df, *group_by)]))
     return df.withColumn(out, F.greatest(F.lit(1), F.least(F.lit(n), F.ceil(run * n / whole))).cast("int"))
@@ -148,7 +148,8 @@ def running_total(df: DataFrame, column: str, out: str, order_by: list[str], gro
     (name,) = need(df, column)
     value = F.col(f"`{name}`")
     over = _over(df, group_by, order_by).rowsBetween(Window.unboundedPreceding, 0)
-    total = F.sum(value.cast("decimal(28,10)")).over(over).cast("double")
+    exact = value.try_cast("decimal(28,10)")
+    total = F.coalesce(F.when(F.count(value).over(over) == F.count(exact).over(over), F.try_sum(exact).over(over).cast("double")), F.sum(value.cast("double")).over(over))
     if null == "skip":
         return df.withColumn(out, F.coalesce(total, F.lit(0.0)))
     return df.withColumn(out, F.when(~F.max(value.isNull()).over(over), total))

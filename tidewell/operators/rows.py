@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import dates, scalar
-from ..functions.types import NATURAL_SIZES, Field, coerce, is_number, to_text, type_of
+from ..functions.types import NATURAL_SIZES, Field, coerce, is_number, to_number, to_text, type_of
 
 
 class Split(NamedTuple):
@@ -212,32 +212,44 @@ def transpose(df: DataFrame, keys: list[str], columns: list[str] | None = None)
 
 
 def header_name(text: str) -> str:
-    return re.sub(r"[^A-Za-z0-9_]", "_", text)
+    return re.sub(r"[^A-Za-z0-9_]", "_", text) or "_"
 
 
-def cross_tab(df: DataFrame, group_by: list[str], header: str, data: str, method: str = "sum", headers: list[str] | None = None, separator: str = ",") -> DataFrame:
+MAX_HEADERS = 10_000
+
+
+def cross_tab(df: DataFrame, group_by: list[str], header: str, data: str, method: str = "sum", headers: list[str] | None = None, separator: str = ",", order_by: list[str] | None = None) -> DataFrame:
     """One row a group and one column a header, named with everything but ASCII letters, digits and `_` as `_`.
 
     `headers` freezes the columns; others are dropped. A group without rows for a header has NULL there, counts
-    too. Without `headers` the distinct names are read first, sorted. Counts are longs, sums and averages doubles.
+    too; a header that is NULL or empty is the column `_`. Without `headers` the distinct names are read first, sorted;
+    more than `MAX_HEADERS` are an error. Counts are longs, sums and averages doubles. `concat` joins values in the
+    order of `order_by`, columns without ties, or of the values where that is not given.
     """
     group, (head, value) = need(df, *group_by), need(df, header, data)
+    from .summarize import exact_sum
+
     kind = df.schema[value].dataType
-    named = df.withColumn("__head", F.regexp_replace(to_text(_c(head), df.schema[head].dataType), "[^A-Za-z0-9_]", "_"))
+    if kind == T.StringType() and method in ("sum", "avg"):
+        v_text, kind = _c(value), T.DoubleType()
+        df = df.withColumn(value, to_number(v_text))
+    named = df.withColumn("__head", F.coalesce(F.nullif(F.regexp_replace(to_text(_c(head), df.schema[head].dataType), "[^A-Za-z0-9_]", "_"), F.lit("")), F.lit("_")))
     if headers is None:
-        headers = sorted(r[0] for r in named.select("__head").distinct().collect() if r[0] is not None)
+        headers = sorted(r[0] for r in named.select("__head").distinct().limit(MAX_HEADERS + 1).collect())
+        if len(headers) > MAX_HEADERS:
+            raise ValueError(f"more than {MAX_HEADERS} headers; name those wanted")
     else:
         headers = list(dict.fromkeys(map(header_name, headers)))
     v = _c(value)
     how = {
-        "sum": lambda: F.sum(v.cast("decimal(28,10)") if is_number(kind) else v).cast("double"),
-        "avg": lambda: F.avg(v.cast("decimal(28,10)") if is_number(kind) else v).cast("double"),
+        "sum": lambda: exact_sum(v, kind),
+        "avg": lambda: F.try_divide(exact_sum(v, kind), F.count(v).cast("double")),
         "count": lambda: F.count(F.lit(1)),
         "count_non_null": lambda: F.count(v),
         "count_distinct": lambda: F.count_distinct(v),
         "min": lambda: F.min(v),
         "max": lambda: F.max(v),
-        "concat": lambda: F.array_join(F.sort_array(F.collect_list(to_text(v, kind))), separator),
+        "concat": lambda: F.array_join(F.transform(F.array_sort(F.collect_list(F.when(v.isNotNull(), F.struct(*[_c(c) for c in need(df, *(order_by or []))], to_text(v, kind).alias("__text"))))), lambda e: e["__text"]), separator),
     }[method]
     if not headers:
         return named.groupBy(*map(_c, group)).agg(F.lit(1).alias("__none")).drop("__none")

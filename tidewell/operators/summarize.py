@@ -32,8 +32,14 @@ class Agg:
         return self.out or f"{self.action}_{self.column or 'rows'}"
 
 
-def _exact(column: Column, kind: T.DataType) -> Column:
-    return column if isinstance(kind, (T.DecimalType, T.IntegralType)) else column.cast("decimal(28,10)")
+def exact_sum(column: Column, kind: T.DataType) -> Column:
+    """The sum as a double: of exact decimals where all values are such, else of doubles; never an error."""
+    if isinstance(kind, T.IntegralType):
+        return F.sum(column.cast("decimal(20,0)")).cast("double")
+    if isinstance(kind, T.DecimalType):
+        return F.coalesce(F.try_sum(column).cast("double"), F.sum(column.cast("double")))
+    exact = column.try_cast("decimal(34,14)")
+    return F.coalesce(F.when(F.count(column) == F.count_if(exact.cast("double") == column), F.try_sum(exact).cast("double")), F.sum(column.cast("double")))
 
 
 def aggregate(df: DataFrame, a: Agg) -> Column:
@@ -49,10 +55,9 @@ def aggregate(df: DataFrame, a: Agg) -> Column:
     if a.action in ("sum", "avg") and not is_number(kind):
         raise TypeError(f"{a.action} of {kind.simpleString()}")
     if a.action == "sum":
-        total = F.sum(_exact(column, kind))
-        out = total.cast(kind) if isinstance(kind, T.DecimalType) else finite(total.cast("double"))
+        out = F.try_sum(column).try_cast(kind) if isinstance(kind, T.DecimalType) else finite(exact_sum(column, kind))
     elif a.action == "avg":
-        out = finite(F.avg(_exact(column, kind).cast("decimal(28,10)")).cast("double"))
+        out = finite(F.try_divide(exact_sum(column, kind), F.count(column).cast("double")))
     elif a.action == "count_non_null":
         out = F.count(column)
     elif a.action == "count_distinct":
@@ -97,9 +102,10 @@ def column_profile(df: DataFrame) -> DataFrame:
         number, text = is_number(f.dataType), isinstance(f.dataType, T.StringType)
         value = c.cast("double") if number else F.lit(None).cast("double")
         size = F.length(c) if text else F.lit(None).cast("int")
-        exact = c.cast("decimal(28,10)") if number else F.lit(None).cast("decimal(28,10)")
+        total = exact_sum(c, f.dataType) if number else F.lit(None).cast("double")
+        total_size = exact_sum(F.abs(c), f.dataType) if number else F.lit(None).cast("double")
         parts.append(F.struct(
-            F.lit(f.name).alias("column_name"), F.count_if(c.isNull()).alias("nulls"), F.count_distinct(c).alias("distinct_values"), F.sum(exact).cast("double").alias("total"),
-            F.min(value).alias("low"), F.max(value).alias("high"), F.avg(exact).cast("double").alias("mean"), F.sum(F.abs(exact)).cast("double").alias("total_size"), F.min(size).alias("shortest"), F.max(size).alias("longest"),
+            F.lit(f.name).alias("column_name"), F.count_if(c.isNull()).alias("nulls"), F.count_distinct(c).alias("distinct_values"), total.alias("total"),
+            F.min(value).alias("low"), F.max(value).alias("high"), F.try_divide(total, F.count(value).cast("double")).alias("mean"), total_size.alias("total_size"), F.min(size).alias("shortest"), F.max(size).alias("longest"),
         ))
     return df.agg(F.array(*parts).alias("x")).select(F.inline("x"))

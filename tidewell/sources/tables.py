@@ -1,8 +1,9 @@
 """Reading sources, typed CSV, the write modes of a table, snapshots.
 
-A table is a folder of versions, each written whole and never changed, with the current one named in the file
-`CURRENT`. So a write can read the state before it, a failed write leaves that state, and a version can be
-restored.
+A table is a folder of parts, each written whole and never changed. A version is a list of parts in a small numbered
+file; the file with the highest number that is whole is the current one. No file is ever written again, so a reader
+always meets a version, a write can read the state before it, a failed write leaves that state, an append writes its
+own rows only, two writers can't lose each other's rows, and a version can be restored.
 """
 
 from __future__ import annotations
@@ -114,29 +115,49 @@ def _file(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+def _latest(spark: SparkSession, table: str) -> tuple[int, str | None]:
+    """Number and text of the newest version whose file is whole."""
+    fs, folder = _file(spark, table)
+    names = sorted((str(f.getPath().getName()) for f in fs.listStatus(folder)), reverse=True) if fs.exists(folder) else []
+    for name in names:
+        if name.startswith("CURRENT-"):
+            stream = fs.open(_file(spark, f"{table}/{name}")[1])
+            text = bytes(stream.readAllBytes()).decode()
+            stream.close()
+            if text.endswith("\n"):
+                return int(name.removeprefix("CURRENT-")), text.strip()
+    return 0, None
+
+
 def current_version(spark: SparkSession, table: str) -> str | None:
-    fs, p = _file(spark, f"{table}/CURRENT")
-    if not fs.exists(p):
-        return None
-    return spark.read.text(f"{table}/CURRENT").first()[0]
+    """The parts of the current version, separated by commas."""
+    return _latest(spark, table)[1]
 
 
-def _swap(spark: SparkSession, table: str, version: str) -> None:
-    """Name the current version; the name is one small file, replaced in one step."""
-    fs, p = _file(spark, f"{table}/CURRENT")
+def _swap(spark: SparkSession, table: str, version: str, before: str | None) -> None:
+    """Make a version the current one: a new file with the next number, which must not exist. If the current version is
+    not `before` any more, or someone else takes that number, this write is an error and changes nothing."""
+    number, now = _latest(spark, table)
+    fs, p = _file(spark, f"{table}/CURRENT-{number + 1:012d}")
     fs.mkdirs(p.getParent())
-    stream = fs.create(p, True)
-    stream.write(bytearray(version.encode()))
+    if now != before or fs.exists(p):
+        raise RuntimeError(f"{table} was written by someone else meanwhile")
+    stream = fs.create(p, False)
+    stream.write(bytearray(f"{version}\n".encode()))
     stream.close()
 
 
 def restore(spark: SparkSession, table: str, version: str) -> None:
-    _swap(spark, table, version)
+    _swap(spark, table, version, current_version(spark, table))
+
+
+def read_version(spark: SparkSession, table: str, version: str) -> DataFrame:
+    return spark.read.parquet(*[f"{table}/{part}" for part in version.split(",")])
 
 
 def read_table(spark: SparkSession, table: str) -> DataFrame | None:
     version = current_version(spark, table)
-    return None if version is None else spark.read.parquet(f"{table}/{version}")
+    return None if version is None else read_version(spark, table, version)
 
 
 # ---- write modes ------------------------------------------------------------------------------------------------
@@ -189,12 +210,20 @@ def state_after(target: DataFrame | None, incoming: DataFrame, mode: str, keys:
 
 
 def write_table(incoming: DataFrame, table: str, mode: str, keys: list[str] = (), before: Change | None = None, after: Change | None = None) -> DataFrame:
-    """Write a new version of a table and make it the current one; returns it as read back."""
+    """Write a new version of a table and make it the current one; returns it as read back. An append without other
+    steps writes the new rows alone, as one more part."""
     spark = incoming.sparkSession
-    version = f"v-{uuid.uuid4().hex}"
-    state_after(read_table(spark, table), incoming, mode, list(keys), before, after).write.parquet(f"{table}/{version}")
-    _swap(spark, table, version)
-    return spark.read.parquet(f"{table}/{version}")
+    part, old = f"v-{uuid.uuid4().hex}", current_version(spark, table)
+    target = None if old is None else read_version(spark, table, old)
+    appends = mode == "append" or mode in ("update_insert", "merge") and not keys
+    if target is not None and appends and before is None and after is None:
+        fitted(incoming, target.schema).write.parquet(f"{table}/{part}")
+        version = f"{old},{part}"
+    else:
+        state_after(target, incoming, mode, list(keys), before, after).write.parquet(f"{table}/{part}")
+        version = part
+    _swap(spark, table, version, old)
+    return read_version(spark, table, version)
 
 
 def in_key_order(df: DataFrame, keys: list[str] = ()) -> DataFrame:
