@@ -313,10 +313,10 @@ def p22_dynamic_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.rename(rows.select_types(table(spark, sf_dir, "supplier"), "number"), rows.upper_snake)
 
 
-@query("SELECT c_custkey, ntile(5) OVER (ORDER BY c_acctbal, c_custkey)::INTEGER AS tile FROM customer WHERE c_nationkey = 7")
+@query("SELECT c_custkey, ntile(5) OVER (PARTITION BY c_nationkey ORDER BY c_acctbal, c_custkey)::INTEGER AS tile FROM customer")
 def p23_tile_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    one = table(spark, sf_dir, "customer").filter("c_nationkey = 7").select("c_custkey", "c_acctbal", "c_nationkey")
-    return order.tile_records(one, 5, "tile", ["c_acctbal", "c_custkey"], ["c_nationkey"]).select("c_custkey", "tile")
+    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", "c_nationkey")
+    return order.tile_records(customer, 5, "tile", ["c_acctbal", "c_custkey"], ["c_nationkey"]).select("c_custkey", "tile")
 
 
 @query("""SELECT o_orderkey, CAST(greatest(1, least(4, ceil(sum(CAST(o_totalprice AS DECIMAL(18,2))) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) * 4.0
@@ -543,9 +543,9 @@ def f2_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""SELECT o_orderkey, CAST(o_orderdate + INTERVAL 1 MONTH AS TIMESTAMP) AS next_month, CAST(o_orderdate + INTERVAL 3 DAY AS TIMESTAMP) AS later, date_diff('day', TIMESTAMP '1995-01-01', o_orderdate) AS days,
-strftime(o_orderdate, '%Y%m%d %H:%M') AS shown, CAST(o_orderdate AS DATE) AS day FROM orders WHERE o_orderdate >= TIMESTAMP '1995-01-01'""")
+strftime(o_orderdate, '%Y%m%d %H:%M') AS shown, CAST(o_orderdate AS DATE) AS day FROM orders""")
 def f3_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = table(spark, sf_dir, "orders").filter("o_orderdate >= timestamp_ntz '1995-01-01 00:00:00'")
+    t = table(spark, sf_dir, "orders")
     at = C("o_orderdate")
     return t.select(
         "o_orderkey", dates.date_add(t, at, 1, "months").alias("next_month"), dates.date_add(t, at, 3, "days").alias("later"), dates.date_diff(t, at, F.lit("1995-01-01"), "days").alias("days"),
@@ -624,7 +624,7 @@ def c22_repeatability(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.repeatable(run, tables.sources(spark, sf_dir, ["orders"])).select("o_custkey", "o_totalprice", C("__surplus").cast("int").alias("surplus"))
 
 
-@query("SELECT count(*) AS real_rows, count(*) AS shadow_rows, 'FAIL_ROWS' AS status FROM lineitem")
+@query("SELECT count(*) AS real_rows, count(*) AS shadow_rows, CASE WHEN count(*) FILTER (l_orderkey = 1) > 0 THEN 'FAIL_ROWS' ELSE 'PASS' END AS status FROM lineitem")
 def c25_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = table(spark, sf_dir, "lineitem")
     shadow = items.withColumn("l_tax", F.when(C("l_orderkey") == 1, C("l_tax") + 0.01).otherwise(C("l_tax")))
@@ -646,9 +646,9 @@ def c28_changed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.changed_share(orders, _altered(table(spark, sf_dir, "orders")).select("o_orderkey", "o_totalprice"), ["o_orderkey"]).drop("share")
 
 
-@query("SELECT max(ts) AS newest, true AS stale FROM events")
+@query("SELECT max(ts) AS newest, max(ts) < TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 48 HOUR AS stale FROM events")
 def c28_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return checks.freshness(table(spark, sf_dir, "events"), "ts", "2100-01-01 00:00:00", 48).drop("age_hours")
+    return checks.freshness(table(spark, sf_dir, "events"), "ts", "2024-01-31 00:00:00", 48).drop("age_hours")
 
 
 _LOG = "SELECT event_type AS name, event_id AS checked_at, CASE WHEN value > 5 THEN 'PASS' ELSE 'FAIL_ROWS' END AS status, event_id % 10 = 0 AS period_end FROM events"
@@ -677,3 +677,70 @@ def c28_profile_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     user = F.when(C("event_id") % 20 != 0, C("user_id"))
     daily = table(spark, sf_dir, "events").groupBy(C("ts").cast("date").alias("run")).agg(F.count(F.lit(1)).alias("rows"), F.count_if(user.isNull()).alias("nulls"), F.count_distinct(user).alias("distinct_values"), F.min(user).cast("double").alias("low"), F.max(user).cast("double").alias("high"))
     return checks.profile_drift(daily.withColumn("column_name", F.lit("user_id"))).select("run", (C("null_drift") & (C("nulls") > 0)).alias("null_drift"), "distinct_drift")
+
+
+_ALTERED = """altered AS (SELECT o_orderkey AS k, o_orderkey % 29 <> 0 AS there FROM orders)"""
+
+
+@query(f"""WITH {_ALTERED}, n AS (SELECT count(*) AS e, count_if(there) AS a FROM altered), {_CHANGED}
+SELECT 'rows expected' AS name, e::VARCHAR AS value FROM n UNION ALL SELECT 'rows actual', a::VARCHAR FROM n UNION ALL SELECT 'only expected', (e - a)::VARCHAR FROM n UNION ALL SELECT 'only actual', '0'
+UNION ALL SELECT 'counts', CASE WHEN e = a THEN 'PASS' ELSE 'FAIL' END FROM n UNION ALL SELECT 'verdict', CASE WHEN e = a AND (SELECT count_if(s OR t OR p) FROM pairs) = 0 THEN 'PASS' ELSE 'FAIL' END FROM n""")
+def c19_checks_and_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, one-sided rows and the verdict of a comparison by key."""
+    orders = table(spark, sf_dir, "orders")
+    r = compare.compare_tables(orders, _altered(orders), compare.Contract(keys=("o_orderkey",)))
+    counts, alone = r.checks["counts"], r.checks["set_diff"]
+    found = [("rows expected", counts["expected"]), ("rows actual", counts["actual"]), ("only expected", alone["only_expected"]), ("only actual", alone["only_actual"]), ("counts", counts["verdict"]), ("verdict", r.verdict)]
+    return spark.createDataFrame([(k, str(v)) for k, v in found], "name string, value string")
+
+
+@query("SELECT 'LOGIC' AS kind, 'O_ORDERKEY' AS columns, 2 * count(*)::BIGINT AS count, 'rows' AS scope FROM orders WHERE o_orderkey % 7 = 0")
+def c8_repeated_keys_in_actual(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys that repeat on the actual side alone; their rows are set aside, all others are the same."""
+    orders = table(spark, sf_dir, "orders")
+    r = compare.compare_tables(orders, orders.union(orders.filter("o_orderkey % 7 = 0")), compare.Contract(keys=("o_orderkey",)))
+    return spark.createDataFrame([(c.kind, ",".join(c.columns), c.count, c.scope) for c in r.clusters if c.scope == "rows"], "kind string, columns string, count long, scope string")
+
+
+@query("SELECT 'LOGIC' AS kind, 'S_ACCTBAL' AS columns, count(*)::BIGINT AS count, 'columns' AS scope FROM supplier WHERE s_suppkey % 3 = 0")
+def c12_rows_paired_without_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Surplus rows of two tables without keys, paired by their nearest match: one column differs."""
+    supplier = table(spark, sf_dir, "supplier")
+    other = supplier.withColumn("s_acctbal", F.when(C("s_suppkey") % 3 == 0, C("s_acctbal") + 7).otherwise(C("s_acctbal")))
+    r = compare.compare_tables(supplier, other)
+    return spark.createDataFrame([(c.kind, ",".join(c.columns), c.count, c.scope) for c in r.clusters], "kind string, columns string, count long, scope string")
+
+
+@query(f"""WITH {_CHANGED}, wide AS (SELECT count_if(o_orderkey % 17 = 0 AND o_orderkey % 13 <> 0)::BIGINT AS n FROM orders WHERE o_orderkey % 29 <> 0)
+SELECT 'o_custkey' AS column_name, 0::BIGINT AS mismatches UNION ALL SELECT 'o_orderstatus', count_if(s)::BIGINT FROM pairs UNION ALL SELECT 'o_totalprice', n FROM wide UNION ALL SELECT 'o_orderdate', 0 UNION ALL SELECT 'o_orderpriority', count_if(p)::BIGINT FROM pairs""")
+def c13_tolerances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With a tolerance of one, half cents are no difference."""
+    orders = table(spark, sf_dir, "orders")
+    return compare.mismatch_counts(orders, _altered(orders), ["o_orderkey"], compare.Tolerance(absolute=1.0))
+
+
+@query("SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey % 3 = 0 OR o_custkey % 2 = 0")
+def c14_normalized_columns_agree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows whose keys a normalized comparison finds equal: none is left over, so all rows come back."""
+    orders = table(spark, sf_dir, "orders").filter("o_orderkey % 3 = 0 OR o_custkey % 2 = 0")
+    padded = orders.withColumn("o_orderpriority", F.concat(F.lit(" "), F.lower("o_orderpriority"), F.lit("  ")))
+    r = compare.compare_tables(orders, padded, compare.Contract(keys=("o_orderkey",), normalizations=("trim:O_ORDERPRIORITY", "upper:O_ORDERPRIORITY")))
+    return orders.select("o_orderkey", "o_custkey").filter(F.lit(r.verdict == "PASS"))
+
+
+@query("SELECT event_id FROM events WHERE ts < TIMESTAMP '2024-01-03 00:00:00' OR ts >= TIMESTAMP '2024-01-04 12:00:00'")
+def c30_outside_the_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return checks.outside_overlap(table(spark, sf_dir, "events"), "ts", "2024-01-03 00:00:00", "2024-01-04 12:00:00").select("event_id")
+
+
+@query("SELECT o_orderkey, o_custkey, o_totalprice FROM orders")
+def s5_output_to_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{tables.checkpoint_dir(spark)}/file-{_unique()}"
+    tables.write_file(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice"), path)
+    return tables.read_parquet(spark, path)
+
+
+@query("""SELECT l_orderkey, l_linenumber, CAST(CAST(l_discount AS DECIMAL(9,2)) * CAST(0.0000001 AS DECIMAL(8,7)) AS DOUBLE) AS small, l_quantity * 3e13 AS large, CAST(CAST(l_tax AS DECIMAL(9,2)) + CAST(l_discount AS DECIMAL(9,2)) AS DOUBLE) AS total FROM lineitem""")
+def f6_numbers_of_any_size(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = table(spark, sf_dir, "lineitem")
+    return t.select("l_orderkey", "l_linenumber", scalar.multiply(t, C("l_discount"), F.lit(0.0000001)).alias("small"), scalar.multiply(t, C("l_quantity"), F.lit(3e13)).alias("large"), scalar.add(t, C("l_tax"), C("l_discount")).alias("total"))
