@@ -28,7 +28,7 @@ def main() -> None:
     spark = (
         SparkSession.builder.master(f"local[{cpus}]").appName("bench")
         .config("spark.sql.shuffle.partitions", cpus).config("spark.driver.memory", "8g").config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false").config("spark.sql.session.timeZone", "UTC").getOrCreate()
+        .config("spark.ui.showConsoleProgress", "false").config("spark.sql.codegen.hugeMethodLimit", "8000").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
     times = {}

@@ -7,6 +7,7 @@ double once, for numbers of everyday size, and that of doubles beyond; a result
 from __future__ import annotations
 
 from collections.abc import Callable
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -72,13 +73,54 @@ def _number(x: Column, kind: T.DataType) -> Column:
 
 
 NARROW = "decimal(18,9)"  # two of them multiply without losing a digit
+SMALL = (T.ByteType, T.ShortType, T.IntegerType, T.BooleanType)
 
 
-def _exactly(a: Column, b: Column, of: Callable[[Column, Column], Column], otherwise: Callable[[Column, Column], Column]) -> Column:
-    """`of` decimals if both numbers have no digit beyond `NARROW`, else `otherwise` of doubles; finite or NULL."""
-    x, y = a.try_cast(NARROW), b.try_cast(NARROW)
-    fits = (x.cast("double") == a.cast("double")) & (y.cast("double") == b.cast("double"))
-    return F.when(true(fits), of(x, y).cast("double")).otherwise(finite(otherwise(a.cast("double"), b.cast("double"))))
+def _once(df: DataFrame, value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use` of a value that it may name often: a column of the table goes in as it is; anything else is worked out
+    once and bound to a name, as nested expressions would otherwise be repeated at every level."""
+    if df.select(value).columns[0] in df.columns:
+        return use(value)
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _plain(value: Column) -> Column:
+    """As `finite`, for use inside other expressions: NaN is above all numbers, so one comparison finds all three."""
+    return F.when(F.abs(value) < float("inf"), value)
+
+
+WHOLE = 9.0e15  # doubles up to here hold every whole number
+
+
+def _units(value: Column, kind: T.DataType, places: int) -> tuple[Column, Column]:
+    """A double as a whole number of units of so many places, and whether that is just what it is: both are doubles,
+    and dividing whole numbers rounds once, so the check and results below are exact without decimals."""
+    units = F.rint(value.cast("double") * 10.0**places)
+    if isinstance(kind, SMALL):
+        return units, F.lit(True)
+    return units, (F.abs(units) <= WHOLE) & (units / 10.0**places == value.cast("double"))
+
+
+def _exactly(df: DataFrame, a: Column, b: Column, name: str) -> Column:
+    """Whole units if both numbers have few places, decimals if they have no digit beyond `NARROW`, else doubles; finite
+    or NULL."""
+    kinds = [type_of(df, a), type_of(df, b)]
+    places = 4 if name == "*" else 6
+    plain = {"+": lambda x, y: x + y, "-": lambda x, y: x - y, "*": lambda x, y: x * y, "%": F.try_mod, "/": F.try_divide}[name]
+    divisor = {"*": 100_000_000.0, "/": 1.0}.get(name, 1_000_000.0)
+
+    def use(x: Column, y: Column) -> Column:
+        (u, u_fits), (v, v_fits) = (_units(c, k, places) for c, k in zip((x, y), kinds, strict=True))
+        units = plain(u, v)
+        few = u_fits & v_fits if name in "/%" else u_fits & v_fits & (F.abs(units) <= WHOLE)
+        p, q = x.try_cast(NARROW), y.try_cast(NARROW)
+        narrow = (p.cast("double") == x.cast("double")) & (q.cast("double") == y.cast("double"))
+        doubles = _plain(plain(x.cast("double"), y.cast("double")))
+        many = F.when(true(narrow), plain(p, q).cast("double")).otherwise(doubles) if name != "/" else doubles
+        return F.when(true(few), units / divisor + 0.0).otherwise(many)  # + 0.0: no negative zero
+
+    bind = lambda c, k, f: f(c) if isinstance(k, SMALL) else _once(df, c, f)
+    return bind(a, kinds[0], lambda x: bind(b, kinds[1], lambda y: use(x, y)))
 
 
 def _arithmetic(df: DataFrame, a: Column, b: Column, name: str) -> Column:
@@ -88,13 +130,12 @@ def _arithmetic(df: DataFrame, a: Column, b: Column, name: str) -> Column:
     ka, kb = type_of(df, a), type_of(df, b)
     a, b = _number(a, ka), _number(b, kb)
     tried = {"+": F.try_add, "-": F.try_subtract, "*": F.try_multiply, "%": F.try_mod}[name]
-    plain = {"+": lambda x, y: x + y, "-": lambda x, y: x - y, "*": lambda x, y: x * y, "%": F.try_mod}[name]
     wide = _wide(ka, kb)
     if wide == "int":
         return tried(a.cast("bigint"), b.cast("bigint"))
     if wide == "decimal":
         return tried(a, b)
-    return _exactly(a, b, plain, plain)
+    return _exactly(df, a, b, name)
 
 
 def add(df: DataFrame, a: Column, b: Column) -> Column:
@@ -110,15 +151,9 @@ def multiply(df: DataFrame, a: Column, b: Column) -> Column:
 
 
 def divide(df: DataFrame, a: Column, b: Column) -> Column:
-    """Never an integer division; by zero gives NULL. Quotients too small for a decimal's digits are double quotients."""
-    a, b = _number(a, type_of(df, a)), _number(b, type_of(df, b))
-    double = lambda x, y: F.try_divide(x.cast("double"), y.cast("double"))
-
-    def exactly(x: Column, y: Column) -> Column:
-        quotient = F.try_divide(x, y)
-        return F.when(F.abs(quotient) >= 0.001, quotient.cast("double")).otherwise(double(x, y))
-
-    return _exactly(a, b, exactly, double)
+    """Never an integer division; by zero gives NULL. Numbers of at most six places give the double nearest to their
+    quotient, others that of the doubles."""
+    return _exactly(df, _number(a, type_of(df, a)), _number(b, type_of(df, b)), "/")
 
 
 def modulo(df: DataFrame, a: Column, b: Column) -> Column:
@@ -147,8 +182,20 @@ def round_to(df: DataFrame, x: Column, multiple: str | int = 1) -> Column:
         return F.lit(None).cast("double")
     step = F.lit(str(multiple)).cast("decimal(18,9)")
     value = _number(x, type_of(df, x))
-    near = F.round(F.try_divide(value.try_cast("decimal(28,10)"), step), 0) * step
-    return F.coalesce(near.cast("double"), finite(F.round(value.cast("double") / float(multiple), 0) * float(multiple)))
+
+    kind, size = type_of(df, value), abs(Decimal(str(multiple))) * 10**8
+
+    def near(v: Column) -> Column:
+        whole = (F.round(F.try_divide(v.try_cast("decimal(28,10)"), step), 0) * step).cast("double")
+        slow = F.coalesce(whole, _plain(F.round(v.cast("double") / float(multiple), 0) * float(multiple)))
+        if size != int(size) or size > 10**15:
+            return slow
+        units, fits = _units(v, kind, 8)
+        rest, one = F.abs(units) % float(size), float(size)
+        fast = F.signum(units) * (F.abs(units) - rest + F.when(2 * rest >= one, one).otherwise(0.0)) / 100_000_000.0 + 0.0
+        return F.when(true(fits), fast).otherwise(slow)
+
+    return _once(df, value, near)
 
 
 def absolute(x: Column) -> Column:

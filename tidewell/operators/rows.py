@@ -89,21 +89,32 @@ def split(df: DataFrame, condition: Column) -> Split:
 
 @dataclass(frozen=True)
 class Formula:
-    """A field and the expression for it: a Column, or a function of the table so far."""
+    """A field and the expression for it: a Column, or a function of the table so far. `parts` are values it builds
+    on: columns by name, each seeing those before it, that are there for this expression only. A value that is used
+    more than once is then worked out once, in generated code; nested in the expression it would be bound by a lambda."""
 
     field: Field
     expression: Column | Callable[[DataFrame], Column]
+    parts: tuple[tuple[str, Callable[[DataFrame], Column]], ...] = ()
 
 
 def formulas(df: DataFrame, *steps: Formula) -> DataFrame:
     """One after another: each sees what the earlier ones stored. An existing column keeps its place (and, without a
     type, its own type); a new one is appended."""
     for s in steps:
+        before = df.columns
+        taken = [n for n, _ in s.parts if find(df, n)]
+        if taken:
+            raise ValueError(f"parts have names of columns: {', '.join(taken)}")
+        for n, part in s.parts:
+            df = df.withColumn(n, part(df))
         value = s.expression(df) if callable(s.expression) else s.expression
         name = find(df, s.field.name) or s.field.name
         kind = type_of(df, value)
         value = coerce(value, kind, s.field) if s.field.type or name not in df.columns else value.try_cast(df.schema[name].dataType)
         df = df.withColumn(name, value)
+        if s.parts:
+            df = df.select(*[_c(c) for c in df.columns if c in before or c == name])
     return df
 
 

@@ -173,8 +173,14 @@ def p3_formulas_in_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice", "l_discount", "l_tax")
     out = rows.formulas(
         items,
-        Formula(Field("net", "Double"), lambda t: scalar.round_to(t, scalar.multiply(t, C("l_extendedprice"), scalar.subtract(t, F.lit(1), C("l_discount"))), "0.01")),
-        Formula(Field("gross", "Double"), lambda t: scalar.round_to(t, scalar.multiply(t, C("net"), scalar.add(t, F.lit(1), C("l_tax"))), "0.01")),
+        Formula(
+            Field("net", "Double"), lambda t: scalar.round_to(t, C("raw"), "0.01"),
+            (("rate", lambda t: scalar.subtract(t, F.lit(1), C("l_discount"))), ("raw", lambda t: scalar.multiply(t, C("l_extendedprice"), C("rate")))),
+        ),
+        Formula(
+            Field("gross", "Double"), lambda t: scalar.round_to(t, C("raw"), "0.01"),
+            (("rate", lambda t: scalar.add(t, F.lit(1), C("l_tax"))), ("raw", lambda t: scalar.multiply(t, C("net"), C("rate")))),
+        ),
     )
     return out.select("l_orderkey", "l_linenumber", "net", "gross")
 
