@@ -750,3 +750,128 @@ def s5_output_to_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 def f6_numbers_of_any_size(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = table(spark, sf_dir, "lineitem")
     return t.select("l_orderkey", "l_linenumber", scalar.multiply(t, C("l_discount"), F.lit(0.0000001)).alias("small"), scalar.multiply(t, C("l_quantity"), F.lit(3e13)).alias("large"), scalar.add(t, C("l_tax"), C("l_discount")).alias("total"))
+
+
+# ---- verdicts over several tables, seams, logs, matching, versions --------------------------------------------------
+
+
+def _named(spark: SparkSession, found: list[tuple]) -> DataFrame:
+    return spark.createDataFrame([(k, str(v)) for k, v in found], "name string, value string")
+
+
+@query("""SELECT 'actual lacks O_CLERK_CODE' AS problem FROM orders HAVING count(*) > 0 UNION ALL SELECT 'actual has O_NEW too' FROM orders HAVING count(*) > 0
+UNION ALL SELECT 'tables: O_CUSTKEY is ' || CASE WHEN typeof(min(o_custkey)) IN ('BIGINT', 'INTEGER') THEN 'number' ELSE 'string' END || ', not string' FROM orders""")
+def c2_schema_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Missing and new columns and another type family, found before any row is read."""
+    orders = table(spark, sf_dir, "orders")
+    other = orders.withColumn("o_custkey", C("o_custkey").cast("string")).withColumn("o_new", F.lit(1))
+    r = compare.compare_tables(orders.withColumn("o_clerk_code", C("o_orderkey")), other)
+    return spark.createDataFrame([(p,) for p in r.checks["schema"]], "problem string")
+
+
+@query("""SELECT 'o_orderkey' AS column_name, 0::BIGINT AS nulls_expected, 0::BIGINT AS nulls_actual UNION ALL SELECT 'o_orderstatus', 0, count_if(o_orderkey % 23 = 0)::BIGINT FROM orders WHERE o_orderkey % 29 <> 0
+UNION ALL SELECT 'o_totalprice', 0, 0""")
+def c3_counts_by_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders, names = table(spark, sf_dir, "orders"), ["o_orderkey", "o_orderstatus", "o_totalprice"]
+    r = compare.compare_tables(orders.select(*names), _altered(orders).select(*names), compare.Contract(keys=("o_orderkey",)))
+    found = r.checks["column_counts"]
+    return spark.createDataFrame([(n, found[n.upper()][0]["nulls"], found[n.upper()][1]["nulls"]) for n in names], "column_name string, nulls_expected long, nulls_actual long")
+
+
+@query("SELECT 'repeats' AS name, CASE WHEN count(*) > count(DISTINCT o_custkey) THEN 'compared without keys' ELSE 'by key' END AS value FROM orders UNION ALL SELECT 'verdict', 'PASS'")
+def c4_keys_repeat_in_expected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys that repeat in the expected table identify nothing: the tables are compared as multisets."""
+    orders = table(spark, sf_dir, "orders").select("o_custkey", "o_totalprice")
+    r = compare.compare_tables(orders, orders.repartition(5), compare.Contract(keys=("o_custkey",)))
+    return _named(spark, [("repeats", "compared without keys" if "keys_not_unique" in r.checks else "by key"), ("verdict", r.verdict)])
+
+
+@query("SELECT 'NULL_SEMANTICS' AS kind, 'O_ORDERSTATUS' AS columns, count(*)::BIGINT AS count, 'NULL in a required column' AS note FROM orders WHERE o_orderkey % 23 = 0 AND o_orderkey % 29 <> 0")
+def c5_null_where_none_may_be(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders")
+    r = compare.compare_tables(orders, _altered(orders), compare.Contract(keys=("o_orderkey",), required=("o_orderstatus",)))
+    return spark.createDataFrame([(c.kind, ",".join(c.columns), c.count, c.note) for c in r.clusters if c.note == "NULL in a required column"], "kind string, columns string, count long, note string")
+
+
+@query("""WITH t AS (SELECT s_suppkey AS k, s_acctbal AS v, row_number() OVER (ORDER BY s_suppkey) AS n FROM supplier), u AS (SELECT t.v, x.v AS w FROM t JOIN t x ON x.n = (SELECT count(*) FROM t) + 1 - t.n)
+SELECT 'ORDERING' AS kind, 'V' AS columns, count_if(v <> w)::BIGINT AS count FROM u""")
+def c16_values_in_another_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same values on other keys, in a column whose order is not promised."""
+    t = order.record_id(table(spark, sf_dir, "supplier").select(C("s_suppkey").alias("k"), C("s_acctbal").alias("v")), "n", ["k"])
+    back = order.record_id(t, "m", ["-k"])
+    other = t.select("k", "n").join(back.select(C("v"), C("m").alias("n")), "n").select("k", "v")
+    r = compare.compare_tables(t.select("k", "v"), other, compare.Contract(keys=("k",), any_order=("v",)))
+    return spark.createDataFrame([(c.kind, ",".join(c.columns), c.count) for c in r.clusters], "kind string, columns string, count long")
+
+
+@query("""SELECT 'LOGIC' AS kind, 'O_TOTALPRICE' AS columns, 'price' AS suspect UNION ALL SELECT 'NULL_SEMANTICS', 'O_ORDERSTATUS', 'status' UNION ALL SELECT 'LOGIC', '', 'filter'
+UNION ALL SELECT 'TRUNCATION', 'O_ORDERPRIORITY', NULL FROM orders WHERE o_orderkey % 19 = 0 AND o_orderkey % 29 <> 0 AND length(o_orderpriority) > 3 HAVING count(*) > 0""")
+def c18_suspects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last step that can explain each cluster."""
+    orders = table(spark, sf_dir, "orders")
+    steps = [{"name": "read", "writes": ("o_totalprice", "o_orderstatus")}, {"name": "filter", "moves_rows": True}, {"name": "price", "writes": ("o_totalprice",)}, {"name": "status", "writes": ("o_orderstatus",)}]
+    r = compare.compare_tables(orders, _altered(orders), compare.Contract(keys=("o_orderkey",)), lineage=steps)
+    return spark.createDataFrame([(c.kind, ",".join(c.columns), c.suspect) for c in r.clusters], "kind string, columns string, suspect string")
+
+
+@query("""WITH d AS (SELECT count_if(o_orderkey % 29 = 0) AS gone FROM orders)
+SELECT 'orders' AS name, CASE WHEN gone > 0 THEN 'FAIL' ELSE 'PASS' END AS value FROM d UNION ALL SELECT 'nation', 'PASS' UNION ALL SELECT 'region', 'FAIL' UNION ALL SELECT 'chain', 'FAIL' UNION ALL SELECT 'first failing', CASE WHEN gone > 0 THEN 'orders' ELSE 'region' END FROM d
+UNION ALL SELECT 'drift', 'False'""")
+def c21_chain_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three stages: one with other rows, one the same, one that was never made; the chain is as bad as its worst."""
+    t = {n: table(spark, sf_dir, n) for n in ("nation", "orders", "region")}
+    made = {"nation": t["nation"].repartition(3), "orders": _altered(t["orders"])}
+    r = checks.check_chain(t, made, {"orders": compare.Contract(keys=("o_orderkey",)), "nation": compare.Contract(keys=("n_nationkey",))}, finals=["region"])
+    return _named(spark, [*((n, x.verdict) for n, x in r.stages.items()), ("chain", r.verdict), ("first failing", r.first_failing), ("drift", r.drift)])
+
+
+@query("""SELECT 'O_ORDERSTATUS is NULL in ' || count_if(o_orderkey % 23 = 0)::VARCHAR || ' rows' AS problem FROM orders WHERE o_orderkey % 29 <> 0 UNION ALL SELECT 'O_MISSING is missing' UNION ALL SELECT 'O_ORDERPRIORITY is string, not number'
+UNION ALL SELECT 'keys o_custkey repeat' FROM orders WHERE o_orderkey % 29 <> 0 HAVING count(*) > count(DISTINCT o_custkey)""")
+def c23_seam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What keeps the next stage from reading a table."""
+    needed = {"O_ORDERSTATUS": ("string", False), "O_MISSING": ("string", True), "O_ORDERPRIORITY": ("number", True), "O_TOTALPRICE": ("float", False)}
+    found = checks.check_seam(_altered(table(spark, sf_dir, "orders")), needed, ["o_custkey"])
+    return spark.createDataFrame([(p,) for p in found], "problem string")
+
+
+@query("""SELECT 'lineitem' AS name, count(*) AS real_rows, count(*) AS shadow_rows, 'PASS' AS status FROM lineitem UNION ALL SELECT 'orders', count(*), count_if(o_orderkey % 29 <> 0)::BIGINT, CASE WHEN count_if(o_orderkey % 29 = 0) > 0 THEN 'FAIL_COUNT' ELSE 'PASS' END FROM orders""")
+def c24_run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two reconciliations in one log."""
+    path = f"{tables.checkpoint_dir(spark)}/log-{_unique()}"
+    items, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    for name, real, shadow in (("lineitem", items, items.repartition(5)), ("orders", orders, orders.filter("o_orderkey % 29 <> 0"))):
+        checks.log_result(checks.reconcile(real, shadow), path, name, F.lit("2024-01-31 00:00:00").cast("timestamp_ntz"))
+    return spark.read.parquet(path).select("name", "real_rows", "shadow_rows", "status")
+
+
+@query("""WITH wanted AS (SELECT DISTINCT event_type AS wanted_name FROM events), tables(t, n) AS (VALUES ('event_log', 3), ('users', 1))
+SELECT wanted_name, t AS table_name, n / 3.0::DOUBLE AS overlap, 1::BIGINT AS rank FROM wanted, tables WHERE n = 3""")
+def c29_table_matching(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each kind of event the table that has its fields."""
+    kinds = table(spark, sf_dir, "events").select(C("event_type").alias("wanted_name")).distinct()
+    wanted = kinds.withColumn("column_name", F.explode(F.array(F.lit("event_id"), F.lit("ts"), F.lit("User_Id"))))
+    events = table(spark, sf_dir, "events")
+    known = checks.catalog(spark, {"event_log": events, "users": events.select("user_id")})
+    return checks.match_tables(wanted, known).select("wanted_name", "table_name", "overlap", C("rank").cast("long").alias("rank"))
+
+
+@query("SELECT o_orderkey, o_totalprice FROM orders")
+def c31_rollback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table that was overwritten and brought back to the version before."""
+    path, orders = f"{tables.checkpoint_dir(spark)}/rollback-{_unique()}", table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    tables.write_table(orders, path, "overwrite")
+    before = tables.current_version(spark, path)
+    tables.write_table(orders.filter("o_orderkey % 2 = 0").withColumn("o_totalprice", F.lit(0.0)), path, "overwrite")
+    tables.restore(spark, path, before)
+    return tables.read_table(spark, path)
+
+
+@query("""SELECT p_partkey, CASE WHEN p_size % 4 = 0 THEN NULL ELSE p_size IN (1, 2, 3, 5, 7) END AS among, p_size % 3 <> 0 AND p_size > 10 AS as_number, p_size::VARCHAR || '/' || p_brand AS joined, p_size % 2 = 1 AS as_condition FROM part""")
+def f7_null_text_and_number_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """IN with NULL, text compared with a number, `+` with text, numeric text as a condition."""
+    t = table(spark, sf_dir, "part").select("p_partkey", "p_size", "p_brand")
+    t = t.withColumn("text", F.when(C("p_size") % 3 == 0, "none").otherwise(F.concat(F.lit(" "), C("p_size").cast("string"), F.lit(".0"))))
+    t = t.withColumn("odd", (C("p_size") % 2).cast("string"))
+    a, b = scalar.compared(t, C("text"), F.lit(10))
+    among = F.when(C("p_size") % 4 != 0, C("p_size")).isin(1, 2, 3, 5, 7)
+    return t.select("p_partkey", among.alias("among"), scalar.true(a > b).alias("as_number"), scalar.join_text(t, C("p_size"), F.concat(F.lit("/"), C("p_brand"))).alias("joined"), scalar.condition(t, C("odd")).alias("as_condition"))
