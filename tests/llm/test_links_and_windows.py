@@ -152,8 +152,8 @@ def test_hits_are_those_of_a_plain_search(spark, docs, rows):
     items = [("7", " ".join(texts[3].split()[:25])), ("12", texts[4]), ("3", None), ("4", ""), ("5", "... !"), ("a,b", texts[7].upper()), ("short", " ".join(texts[9].split()[:2])), ("12", texts[4]), ("null", texts[11])]
     table = spark.createDataFrame([(None if k == "null" else k, v) for k, v in items], "item_id string, text string")
     expected = sorted((str(r[0]), *slow_hits(r[1], items)) for r in rows)
-    for block in (decontaminate.BLOCK_WORDS, 20):
-        found = decontaminate.digest(decontaminate.decontaminate(docs, table, keep=["doc_id"], block_words=block)).collect()
+    for salts, bits in ((decontaminate.SALTS, decontaminate.FILTER_BITS), (3, 15)):
+        found = decontaminate.digest(decontaminate.decontaminate(docs, table, keep=["doc_id"], salts=salts, filter_bits=bits)).collect()
         assert sorted((str(r.doc_id), r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in found) == expected
 
 
