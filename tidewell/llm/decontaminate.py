@@ -23,13 +23,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .scratch import stored
-from .textmap import slices
+from .textmap import map_texts, slices
 
 FILTER_BITS = 25  # of a position in the bitmap of tokens, so 4 MB
 HOT_IN, SALTS = 1000, 32
 HELD = 300_000  # words whose hashes a task keeps
 _WORDS = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
-WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]++"
 
 
 def words(text: str | None) -> list[bytes]:
@@ -218,7 +217,8 @@ def decontaminate(
     key = [F.xxhash64(text).alias("h1"), F.xxhash64(F.lit(1), text).alias("h2")]
     found = _hits(docs.select(text.alias("text"), *key), benchmark, size, item_col, item_text_col, salts, filter_bits)
     names = [f"__{i}" for i in range(len(keep))]  # plain names, as a column of the input may be called anything
-    rows = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(keep, names, strict=True)], F.regexp_count(text, F.lit(WORD)).cast("long").alias("n_words"), *key)
+    rows = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(keep, names, strict=True)], *key, text.alias("text"))
+    rows = map_texts(rows, lambda: lambda texts: {"n_words": [len(words(t)) for t in texts]}, "n_words long", keep=[*names, "h1", "h2"])
     spans, items = (F.coalesce(c, F.array().cast(t)).alias(c) for c, t in (("hit_spans", "array<int>"), ("hit_items", "array<string>")))
     return rows.join(found, ["h1", "h2"], "left").select(*[F.col(n).alias(c) for c, n in zip(keep, names, strict=True)], "n_words", spans, items)
 
