@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, hpylm, langid, mixing, oracles, quality_knn, quality_rules, secret_scan, simhash, tokens, url_tree
+from . import decontaminate, hpylm, langid, mixing, oracles, periodic, quality_knn, quality_rules, secret_scan, simhash, tokens, url_tree
 
 
 def tokenizer_path() -> str:
@@ -72,7 +72,12 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs, MIX_WEIGHTS, MIX_OTHER, MIX_BLOCK).select("doc_id", "stream", "block", "slot", "place")
 
 
-QUERIES = {f.__name__: f for f in (op1_token_codes, op2_quality_rules, op3_quality_votes, op4_url_templates, op5_simhash, op6_decontaminate, op7_language_id, op8_pitman_yor, op9_secret_scan, op10_mix_sources)}
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periodic.plant(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return periodic.digest(periodic.find_runs(docs, keep=["doc_id"]))
+
+
+QUERIES = {f.__name__: f for f in (op1_token_codes, op2_quality_rules, op3_quality_votes, op4_url_templates, op5_simhash, op6_decontaminate, op7_language_id, op8_pitman_yor, op9_secret_scan, op10_mix_sources, op11_periodic_runs)}
 
 # Trained models, tokenizers, linked groups and regular expressions' spans are beyond SQL: tests hold these queries
 # against brute force, round trips and held-out rows.
