@@ -30,9 +30,15 @@ def _shifted(ids: np.ndarray, by: int) -> np.ndarray:
     return np.concatenate([ids[by:], np.zeros(min(by, len(ids)), np.int64)])
 
 
-def _pairs(first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    """Ranks of the pairs, in their order."""
-    return np.unique(first * (int(second.max()) + 1) + second, return_inverse=True)[1]
+def _grams(ids: np.ndarray, text: np.ndarray, n: int) -> np.ndarray:
+    """A number for the n words from each position on and their text, in lexicographic order of these."""
+    key, top, base = text, int(text[-1]) + 1, int(ids.max()) + 1
+    for j in range(n):
+        if top * base >= 1 << 62:
+            key = np.unique(key, return_inverse=True)[1]
+            top = int(key.max()) + 1
+        key, top = key * base + _shifted(ids, j), top * base
+    return key
 
 
 def split_words(texts: list[str | None]) -> tuple[pa.Array, np.ndarray]:
@@ -51,14 +57,7 @@ class _Suffixes:
     """The positions whose next `least` words occur again in their text: sorted by what follows, with LCPs."""
 
     def __init__(self, ids: np.ndarray, text: np.ndarray, least: int) -> None:
-        powers = [(1, ids)]
-        while 2 * powers[-1][0] <= least:
-            h, x = powers[-1]
-            powers.append((2 * h, _pairs(x, _shifted(x, h))))
-        done, gram = 0, text
-        for h, x in reversed(powers):
-            if done + h <= least:
-                gram, done = _pairs(gram, _shifted(x, done)), done + h
+        gram = _grams(ids, text, least)
         order = np.argsort(gram, kind="stable")
         gram = gram[order]
         new = np.concatenate([[True], gram[1:] != gram[:-1]])
@@ -91,51 +90,46 @@ class _Suffixes:
         for h, r in reversed(levels):
             p, q = place[a + lcp], place[b + lcp]
             lcp += h * ((p >= 0) & (q >= 0) & (r[p] == r[q]))
-        for h, x in reversed(powers):
-            lcp += h * (x[a + lcp] == x[b + lcp])
+        for _ in range(least - 1):
+            lcp += ids[a + lcp] == ids[b + lcp]
         self.lcp = lcp
 
 
-def _runs(ids: np.ndarray, text: np.ndarray, min_length: int, min_exponent: int) -> list[tuple[int, int, int]]:
-    """(start, length, period) over the numbered words of all texts, each followed by a separator of its own."""
+def _runs(ids: np.ndarray, text: np.ndarray, min_length: int, min_exponent: int) -> np.ndarray:
+    """Rows of start, length and period over the numbered words of all texts, each followed by a separator of its own."""
     least = min(max(min_length, min_exponent * q) - q for q in range(1, min_length + 1))
     suffixes = _Suffixes(ids, text, least)
-    order, words, found = suffixes.order.tolist(), ids.tolist(), []
-    above, members = list(range(len(order))), [[p] for p in order]
-
-    def root(x: int) -> int:
-        while above[x] != x:
-            above[x] = above[above[x]]
-            x = above[x]
-        return x
-
-    def seed(left: int, right: int, lcp: int) -> None:
-        d = right - left
-        if d * (min_exponent - 1) <= lcp and d + lcp >= min_length and words[left - 1] != words[right - 1]:
-            found.append((left, d + lcp, d))
-
+    order, fewer, seeds = suffixes.order.tolist(), min_exponent - 1, []
+    above: list[int] = list(range(len(order)))
+    members: list = [None] * len(order)  # of a root: its positions in order; None while it is alone
     by = np.argsort(-suffixes.lcp, kind="stable")
-    for k, lcp in zip(suffixes.edges[by].tolist(), suffixes.lcp[by].tolist(), strict=True):
-        x, y = root(k), root(k + 1)
-        if len(members[x]) > len(members[y]):
-            x, y = y, x
-        small, large = members[x], members[y]
-        last = -1
+    for x, lcp in zip(suffixes.edges[by].tolist(), suffixes.lcp[by].tolist(), strict=True):
+        y = x + 1
+        while above[x] != x:
+            above[x] = x = above[above[x]]
+        while above[y] != y:
+            above[y] = y = above[above[y]]
+        small, large = members[x] or [order[x]], members[y] or [order[y]]
+        if len(small) > len(large):
+            x, y, small, large = y, x, large, small
+        last, many = -1, len(small)
         for i, p in enumerate(small):
             j = bisect_left(large, p)
-            if j and large[j - 1] > last:
-                seed(large[j - 1], p, lcp)
-            if j < len(large) and (i + 1 == len(small) or large[j] < small[i + 1]):
-                seed(p, large[j], lcp)
+            if j and (p - large[j - 1]) * fewer <= lcp and large[j - 1] > last:
+                seeds.append((large[j - 1], p, lcp))
+            if j < len(large) and (large[j] - p) * fewer <= lcp and (i + 1 == many or large[j] < small[i + 1]):
+                seeds.append((p, large[j], lcp))
             last = p
-        if 8 * len(small) < len(large) or len(small) == 1:
+        if 8 * many < len(large) or many == 1:
             for p in small:
                 insort(large, p)
         else:
             large += small
             large.sort()
-        above[x], members[x] = y, []
-    return found
+        above[x], members[x], members[y] = y, None, large
+    left, right, lcp = np.array(seeds, np.int64).reshape(-1, 3).T
+    fits = (right - left + lcp >= min_length) & (ids[left - 1] != ids[right - 1])
+    return np.stack([left, right - left + lcp, right - left], 1)[fits]
 
 
 def find_runs(docs: DataFrame, min_length: int = MIN_LENGTH, min_exponent: int = MIN_EXPONENT, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -160,7 +154,7 @@ def find_runs(docs: DataFrame, min_length: int = MIN_LENGTH, min_exponent: int =
             ids = np.arange(int(first[-1])) + (int(codes.max()) + 1 if len(codes) else 0)  # separators differ from all
             ids[at] = codes
             owner = np.repeat(np.arange(len(texts)), n_words + 1)
-            runs = np.array(sorted(_runs(ids, owner, min_length, min_exponent)), np.int64).reshape(-1, 3)
+            runs = _runs(ids, owner, min_length, min_exponent)
             change = np.zeros(len(ids) + 1, np.int64)
             np.add.at(change, runs[:, 0] + runs[:, 2], 1)
             np.add.at(change, runs[:, 0] + runs[:, 1], -1)
