@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import conversations, decontaminate, hpylm, langid, mixing, oracles, periodic, quality_knn, quality_rules, secret_scan, simhash, tokens, url_tree
+from . import conversations, decontaminate, hpylm, langid, mixing, oracles, periodic, pii, quality_knn, quality_rules, secret_scan, simhash, tokens, url_tree
 
 
 def tokenizer_path() -> str:
@@ -82,7 +82,12 @@ def op12_repair_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.digest(original, conversations.repair(conversations.damage(original)))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_codes, op2_quality_rules, op3_quality_votes, op4_url_templates, op5_simhash, op6_decontaminate, op7_language_id, op8_pitman_yor, op9_secret_scan, op10_mix_sources, op11_periodic_runs, op12_repair_conversations)}
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.digest(pii.find(docs, pii.train(docs), keep=["doc_id"]))
+
+
+QUERIES = {f.__name__: f for f in (op1_token_codes, op2_quality_rules, op3_quality_votes, op4_url_templates, op5_simhash, op6_decontaminate, op7_language_id, op8_pitman_yor, op9_secret_scan, op10_mix_sources, op11_periodic_runs, op12_repair_conversations, op13_personal_data)}
 
 # Trained models, tokenizers, linked groups and regular expressions' spans are beyond SQL: tests hold these queries
 # against brute force, round trips and held-out rows.
