@@ -3,7 +3,7 @@
 All counts and tests run in Spark over all rows: one aggregation over each table, and one over the joined pairs (or
 the surplus rows) that finds, for every column, the number of differing values and which explanations hold for all
 of them. Only these few numbers and a bounded number of example rows reach the driver. Keyless tables are compared
-as multisets; up to `MAX_PAIRED` surplus rows a side are then paired by their nearest match.
+as multisets; surplus rows are then paired by their nearest match.
 """
 
 from __future__ import annotations
@@ -11,18 +11,18 @@ from __future__ import annotations
 from dataclasses import asdict, dataclass, field
 from functools import reduce
 
-import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.types import NUMBER, family, finite, is_number
+from ..sources.tables import checkpoint_dir
+from .pairing import nearest_pairs
 from .summarize import exact_sum
 
 # Classes of differences in the order in which they are listed; those that no approval covers.
 CLASSES = ("GOLDEN_DATA", "ORDERING", "NULL_SEMANTICS", "ROUNDING", "TRUNCATION", "TYPE", "LOGIC", "UNKNOWN")
 NEVER_APPROVED = {"GOLDEN_DATA", "UNKNOWN"}
-MAX_PAIRED = 1000
 NORMALIZATIONS = {"trim": F.trim, "upper": F.upper}
 
 
@@ -94,7 +94,7 @@ def differ(a: Column, b: Column, kind: T.DataType, tolerance: Tolerance) -> Colu
     """Whether two values of a column differ; NULL equals NULL only, NaN equals NaN."""
     if isinstance(kind, (T.DoubleType, T.FloatType)):
         room = F.lit(tolerance.absolute) + F.lit(tolerance.relative) * F.greatest(F.abs(a), F.abs(b))
-        near = (a == b) | (F.abs(a - b) <= room)
+        near = (a == b) | ((F.abs(a - b) <= room) & (room < float("inf")))
     elif is_number(kind):
         near = a == b if not tolerance.number else _apart(a, b) <= F.lit(tolerance.number)
     elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
@@ -311,7 +311,7 @@ class _Comparison:
         self.checks["set_diff"] = {"only_expected": n.e, "only_actual": n.a}
         self._whole_aggregates()
         paired = (0, 0)
-        if n.e and n.a and n.e <= MAX_PAIRED and n.a <= MAX_PAIRED and len(self.kinds) > 1:
+        if n.e and n.a and len(self.kinds) > 1:
             paired = self._pair(rest)
         for side, sign, count, done in (("expected", 1, n.e, paired[0]), ("actual", -1, n.a, paired[1])):
             if count > done:
@@ -335,27 +335,18 @@ class _Comparison:
         self.evidence["aggregates"] = set(off)
 
     def _pair(self, rest: DataFrame) -> tuple[int, int]:
-        """Pairs surplus rows, at most MAX_PAIRED a side, by the fewest differing columns, if at least half agree."""
+        """Pairs surplus rows by the fewest differing columns, if at least half agree; how many, on either side."""
         names = list(self.kinds)
-        rows = rest.limit(2 * MAX_PAIRED).collect()
-        e, a = ([r for r in rows for _ in range(s * r["__surplus"])] for s in (1, -1))
-        wrong = np.zeros((len(e), len(a)), np.int16)
-        for c in names:
-            wrong += _matrix([r[c] for r in e], [r[c] for r in a], self.kinds[c], self.tolerance)
-        order = np.argsort(wrong, axis=None, kind="stable")
-        used_e, used_a, pairs = set(), set(), []
-        for i, j in zip(*np.unravel_index(order, wrong.shape), strict=True):
-            if 2 * (len(names) - wrong[i, j]) < len(names):
-                break
-            if i not in used_e and j not in used_a:
-                used_e.add(i)
-                used_a.add(j)
-                pairs.append((i, j))
-        if pairs:
-            spark = self.expected.sparkSession
-            left = spark.createDataFrame(_rows(e, names, [i for i, _ in pairs]), T.StructType([T.StructField("__row", T.LongType()), *(T.StructField(c, k) for c, k in self.kinds.items())]))
-            right = spark.createDataFrame(_rows(a, names, [j for _, j in pairs]), T.StructType([T.StructField("__row2", T.LongType()), *(T.StructField(f"__a{i}", k) for i, k in enumerate(self.kinds.values()))]))
-            both = left.join(right, F.col("__row") == F.col("__row2"))
+        checkpoint_dir(rest.sparkSession)
+        each = rest.withColumn("__i", F.explode(F.sequence(F.lit(1).cast("long"), F.abs("__surplus"))))
+        numbered = each.select(F.monotonically_increasing_id().alias("__id"), F.col("__surplus") > 0, *map(_c, names)).toDF("__id", "__mine", *names).checkpoint()
+        mine = numbered.filter("__mine").drop("__mine").withColumnRenamed("__id", "__e")
+        theirs = numbered.filter("not __mine").drop("__mine").withColumnRenamed("__id", "__a")
+        pairs = nearest_pairs(mine, theirs, names, self.kinds, self.tolerance, differ, lambda df: df.checkpoint())
+        n = pairs.count()
+        if n:
+            renamed = theirs.select("__a", *[_c(c).alias(f"__a{i}") for i, c in enumerate(names)])
+            both = mine.join(pairs, "__e").join(renamed, "__a")
             checks = {k: self.checks[k] for k in ("aggregates", "aggregate_mismatches")}
             evidence = self.evidence["aggregates"]
             self.keys, keys = [], self.keys
@@ -366,29 +357,10 @@ class _Comparison:
             self.evidence["aggregates"] = evidence
             for cluster in self.clusters[before:]:
                 cluster.note, cluster.sides = "rows paired by nearest match", ("expected", "actual")
-            within = len(pairs) if len(self.clusters) == before else 0
+            within = n if len(self.clusters) == before else 0
             if within:  # all pairs agree within the tolerances
                 self.checks["set_diff"] = {k: v - within for k, v in self.checks["set_diff"].items()}
-        return len(pairs), len(pairs)
-
-
-def _rows(side: list, names: list[str], at: list[int]) -> list[tuple]:
-    return [(n, *(side[i][c] for c in names)) for n, i in enumerate(at)]
-
-
-def _matrix(e: list, a: list, kind: T.DataType, tolerance: Tolerance) -> np.ndarray:
-    """1 where a value of `e` differs from one of `a`."""
-    null = np.array([v is None for v in e])[:, None], np.array([v is None for v in a])[None, :]
-    if isinstance(kind, (T.DoubleType, T.FloatType)):
-        x, y = (np.array([0.0 if v is None else v for v in s]) for s in (e, a))
-        x, y = x[:, None], y[None, :]
-        apart = ~((x == y) | (abs(x - y) <= tolerance.absolute + tolerance.relative * np.maximum(abs(x), abs(y))))
-    elif is_number(kind) and tolerance.number:
-        apart = np.array([[v is not None and w is not None and abs(v - w) > tolerance.number for w in a] for v in e])
-    else:
-        codes = {v: i for i, v in enumerate({str(v) for v in [*e, *a]})}
-        apart = np.array([codes[str(v)] for v in e])[:, None] != np.array([codes[str(v)] for v in a])[None, :]
-    return np.where(null[0] | null[1], null[0] != null[1], apart).astype(np.int16)
+        return n, n
 
 
 def surplus(expected: DataFrame, actual: DataFrame) -> DataFrame:
