@@ -1,7 +1,7 @@
 """Scalar functions with fixed rules for NULL, rounding and text, as Spark columns.
 
 Functions whose result depends on a column's type take the DataFrame first. Arithmetic is exact decimal, stored to a
-double once, for numbers of everyday size, and that of doubles beyond; a result that no double can hold is NULL.
+double once, for doubles of any size and number of places; a result that no double can hold is NULL.
 """
 
 from __future__ import annotations
@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .types import exact, finite, is_number, to_number, to_text, trim_space, type_of
+from . import exact
+from .types import finite, is_number, number_text, to_number, to_text, trim_space, type_of
 
 
 def _col(x) -> Column:
@@ -72,7 +73,6 @@ def _number(x: Column, kind: T.DataType) -> Column:
     return to_number(x) if isinstance(kind, T.StringType) else x.cast("int") if isinstance(kind, T.BooleanType) else x
 
 
-NARROW = "decimal(18,9)"  # two of them multiply without losing a digit
 SMALL = (T.ByteType, T.ShortType, T.IntegerType, T.BooleanType)
 
 
@@ -101,23 +101,35 @@ def _units(value: Column, kind: T.DataType, places: int) -> tuple[Column, Column
     return units, (F.abs(units) <= WHOLE) & (units / 10.0**places == value.cast("double"))
 
 
+def _slowly(x: Column, y: Column, kinds: list[T.DataType], work: Callable[[exact.Parts, exact.Parts], Column]) -> Column:
+    """Exact arithmetic on the decimal texts of two numbers; in a lambda, so that it takes no room in generated code."""
+
+    def held(p: exact.Parts, v: Column) -> Column:
+        return F.struct(p.m.alias("m"), p.e.alias("e"), v.alias("v"))
+
+    def cut(t: Column, kind: T.DataType) -> Column:
+        p = exact.Parts(t["m"], t["e"])
+        return held(exact.shortest(p, t["v"]) if isinstance(kind, (T.DoubleType, T.FloatType)) else p, t["v"])
+
+    both = F.array(F.struct(x.alias("x"), y.alias("y")))
+    split = F.transform(both, lambda t: F.struct(*[held(exact.parts(t[n].cast("string")), t[n]).alias(n) for n in "xy"]))
+    split = F.transform(split, lambda t: F.struct(*[cut(t[n], k).alias(n) for n, k in zip("xy", kinds, strict=True)]))
+    return F.get(F.transform(split, lambda t: work(exact.Parts(t["x"]["m"], t["x"]["e"]), exact.Parts(t["y"]["m"], t["y"]["e"]))), F.lit(0))
+
+
 def _exactly(df: DataFrame, a: Column, b: Column, name: str) -> Column:
-    """Whole units if both numbers have few places, decimals if they have no digit beyond `NARROW`, else doubles; finite
-    or NULL."""
+    """Whole units where both numbers have few places, which gives the same result faster, else decimal parts."""
     kinds = [type_of(df, a), type_of(df, b)]
     places = 4 if name == "*" else 6
     plain = {"+": lambda x, y: x + y, "-": lambda x, y: x - y, "*": lambda x, y: x * y, "%": F.try_mod, "/": F.try_divide}[name]
+    slow = {"+": exact.add, "-": exact.subtract, "*": exact.multiply, "%": exact.modulo, "/": exact.divide}[name]
     divisor = {"*": 100_000_000.0, "/": 1.0}.get(name, 1_000_000.0)
 
     def use(x: Column, y: Column) -> Column:
         (u, u_fits), (v, v_fits) = (_units(c, k, places) for c, k in zip((x, y), kinds, strict=True))
         units = plain(u, v)
         few = u_fits & v_fits if name in "/%" else u_fits & v_fits & (F.abs(units) <= WHOLE)
-        p, q = x.try_cast(NARROW), y.try_cast(NARROW)
-        narrow = (p.cast("double") == x.cast("double")) & (q.cast("double") == y.cast("double"))
-        doubles = _plain(plain(x.cast("double"), y.cast("double")))
-        many = F.when(true(narrow), plain(p, q).cast("double")).otherwise(doubles) if name != "/" else doubles
-        return F.when(true(few), units / divisor + 0.0).otherwise(many)  # + 0.0: no negative zero
+        return F.when(true(few), units / divisor + 0.0).otherwise(_slowly(x, y, kinds, slow))  # + 0.0: no negative zero
 
     bind = lambda c, k, f: f(c) if isinstance(k, SMALL) else _once(df, c, f)
     return bind(a, kinds[0], lambda x: bind(b, kinds[1], lambda y: use(x, y)))
@@ -125,8 +137,7 @@ def _exactly(df: DataFrame, a: Column, b: Column, name: str) -> Column:
 
 def _arithmetic(df: DataFrame, a: Column, b: Column, name: str) -> Column:
     """Whole numbers and decimals as they are, NULL where the result is too large; with a double among them, exact
-    decimals stored to a double once, as far as both have at most nine digits on either side of the point, else the
-    nearest double."""
+    decimals stored to a double once."""
     ka, kb = type_of(df, a), type_of(df, b)
     a, b = _number(a, ka), _number(b, kb)
     tried = {"+": F.try_add, "-": F.try_subtract, "*": F.try_multiply, "%": F.try_mod}[name]
@@ -151,8 +162,7 @@ def multiply(df: DataFrame, a: Column, b: Column) -> Column:
 
 
 def divide(df: DataFrame, a: Column, b: Column) -> Column:
-    """Never an integer division; by zero gives NULL. Numbers of at most six places give the double nearest to their
-    quotient, others that of the doubles."""
+    """Never an integer division; by zero gives NULL. The double nearest to the quotient."""
     return _exactly(df, _number(a, type_of(df, a)), _number(b, type_of(df, b)), "/")
 
 
@@ -178,16 +188,14 @@ def to_string(df: DataFrame, x: Column, places: int | None = None) -> Column:
 
 def round_to(df: DataFrame, x: Column, multiple: str | int = 1) -> Column:
     """The nearest multiple, halves away from zero, on exact decimals, as a double; multiple 0 gives NULL."""
-    if float(multiple) == 0:
+    if Decimal(str(multiple)) == 0:
         return F.lit(None).cast("double")
-    step = F.lit(str(multiple)).cast("decimal(18,9)")
     value = _number(x, type_of(df, x))
-
-    kind, size = type_of(df, value), abs(Decimal(str(multiple))) * 10**8
+    kind, step = type_of(df, value), abs(Decimal(str(multiple)))
+    size = step * 10**8
 
     def near(v: Column) -> Column:
-        whole = (F.round(F.try_divide(v.try_cast("decimal(28,10)"), step), 0) * step).cast("double")
-        slow = F.coalesce(whole, _plain(F.round(v.cast("double") / float(multiple), 0) * float(multiple)))
+        slow = _slowly(v, F.lit(0), [kind, T.IntegerType()], lambda a, _: exact.to_multiple(a, step))
         if size != int(size) or size > 10**15:
             return slow
         units, fits = _units(v, kind, 8)
@@ -202,12 +210,20 @@ def absolute(x: Column) -> Column:
     return F.abs(x)
 
 
+def _to_whole(df: DataFrame, x: Column, rounded: Callable[[Column], Column]) -> Column:
+    """A double is between the same whole numbers as its decimal text, so no decimal is needed."""
+    value = _number(x, type_of(df, x))
+    if isinstance(type_of(df, value), (T.DoubleType, T.FloatType)):
+        return F.when(F.abs(value) < 9.2e18, rounded(value)).cast("bigint")
+    return rounded(value).try_cast("bigint")
+
+
 def ceiling(df: DataFrame, x: Column) -> Column:
-    return F.ceil(exact(x, type_of(df, x))).try_cast("bigint")
+    return _to_whole(df, x, F.ceil)
 
 
 def floor(df: DataFrame, x: Column) -> Column:
-    return F.floor(exact(x, type_of(df, x))).try_cast("bigint")
+    return _to_whole(df, x, F.floor)
 
 
 def power(df: DataFrame, base: Column, exponent: int | float | Column) -> Column:
@@ -220,7 +236,7 @@ def power(df: DataFrame, base: Column, exponent: int | float | Column) -> Column
     if isinstance(exponent, int) and 0 <= exponent <= 4:
         if exponent == 0:
             return F.when(base.isNotNull(), F.lit(1.0))
-        x = base.try_cast({1: "decimal(38,18)", 2: NARROW, 3: "decimal(12,6)", 4: "decimal(8,4)"}[exponent])
+        x = base.try_cast({1: "decimal(38,18)", 2: "decimal(18,9)", 3: "decimal(12,6)", 4: "decimal(8,4)"}[exponent])
         product = x
         for _ in range(exponent - 1):
             product = product * x
@@ -317,10 +333,11 @@ def regex_replace(text: Column, pattern: str, replacement: str, ignore_case: boo
 
 
 def compared(df: DataFrame, a: Column, b: Column) -> tuple[Column, Column]:
-    """Both sides ready for a comparison: text meets a number as a number, NULL if it is none."""
+    """Both sides ready for a comparison: text meets a number as a number, digit by digit, NULL if it is none. The pair
+    then is how they stand to each other, and 0."""
     ka, kb = type_of(df, a), type_of(df, b)
     if isinstance(ka, T.StringType) and is_number(kb):
-        return exact(a, ka), exact(b, kb)
+        return exact.order(number_text(a), F.when(b == b, b).cast("string")), F.lit(0)
     if is_number(ka) and isinstance(kb, T.StringType):
-        return exact(a, ka), exact(b, kb)
+        return exact.order(F.when(a == a, a).cast("string"), number_text(b)), F.lit(0)
     return a, b
