@@ -264,7 +264,7 @@ def test_a_second_writer_is_an_error(spark, tmp_path):
     table = str(tmp_path / "t")
     tables.write_table(spark.range(3), table, "overwrite")
     with pytest.raises(RuntimeError, match="meanwhile"):
-        tables._swap(spark, table, "v-x", "another version")
+        tables._commit(spark, table, ["v-x"], tables.latest(spark, table)._replace(number=99))
     assert tables.read_table(spark, table).count() == 3
 
 
@@ -281,7 +281,8 @@ def test_a_reader_always_sees_a_version(spark, tmp_path):
     reader = threading.Thread(target=look)
     reader.start()
     for _ in range(30):
-        tables._swap(spark, table, tables.current_version(spark, table), tables.current_version(spark, table))
+        now = tables.latest(spark, table)
+        tables._commit(spark, table, now.parts, now)
     done.set()
     reader.join()
     assert seen == {True}

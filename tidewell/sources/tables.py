@@ -14,6 +14,7 @@ import tempfile
 import uuid
 from collections.abc import Callable
 from dataclasses import asdict
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -115,44 +116,85 @@ def _file(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def _latest(spark: SparkSession, table: str) -> tuple[int, str | None]:
-    """Number and text of the newest version whose file is whole."""
+class Version(NamedTuple):
+    """A state of a table: its parts (folders, those of another table with their whole path), the last batch of each
+    stream that it holds, and the table it was swapped with, if any."""
+
+    number: int
+    parts: tuple[str, ...]
+    batches: dict[str, int]
+    partner: str | None
+
+
+def _versions(spark: SparkSession, table: str) -> tuple[int, list[Version]]:
+    """The highest number taken, and all whole versions, the newest first. What a dying writer left half-written counts as
+    taken, but is no version."""
     fs, folder = _file(spark, table)
-    names = sorted((str(f.getPath().getName()) for f in fs.listStatus(folder)), reverse=True) if fs.exists(folder) else []
-    for name in names:
-        if name.startswith("CURRENT-"):
-            stream = fs.open(_file(spark, f"{table}/{name}")[1])
-            text = bytes(stream.readAllBytes()).decode()
-            stream.close()
-            if text.endswith("\n"):
-                return int(name.removeprefix("CURRENT-")), text.strip()
-    return 0, None
+    names = [str(f.getPath().getName()) for f in fs.listStatus(folder)] if fs.exists(folder) else []
+    numbers, found = sorted((int(n.removeprefix("CURRENT-")) for n in names if n.startswith("CURRENT-")), reverse=True), []
+    for number in numbers:
+        stream = fs.open(_file(spark, f"{table}/CURRENT-{number:012d}")[1])
+        text = bytes(stream.readAllBytes()).decode()
+        stream.close()
+        if text.endswith("\n"):
+            parts, *more = text.splitlines()
+            known = json.loads(more[0]) if more else {}
+            found.append(Version(number, tuple(parts.split(",")), known.get("batches", {}), known.get("partner")))
+    return max(numbers, default=0), found
+
+
+def latest(spark: SparkSession, table: str) -> Version | None:
+    return next(iter(_versions(spark, table)[1]), None)
 
 
 def current_version(spark: SparkSession, table: str) -> str | None:
     """The parts of the current version, separated by commas."""
-    return _latest(spark, table)[1]
+    found = latest(spark, table)
+    return None if found is None else ",".join(found.parts)
 
 
-def _swap(spark: SparkSession, table: str, version: str, before: str | None) -> None:
-    """Make a version the current one: a new file with the next number, which must not exist. If the current version is
-    not `before` any more, or someone else takes that number, this write is an error and changes nothing."""
-    number, now = _latest(spark, table)
-    fs, p = _file(spark, f"{table}/CURRENT-{number + 1:012d}")
-    fs.mkdirs(p.getParent())
-    if now != before or fs.exists(p):
+def _commit(spark: SparkSession, table: str, parts: list[str] | tuple[str, ...], before: Version | None, batches: dict[str, int] | None = None, partner: str | None = None) -> None:
+    """Make a state the current one: a new file with the next number. The file is written beside and takes its name at
+    once, so it is whole or not there. If the current version is not `before` any more, or someone else takes the number,
+    this write is an error and changes nothing. (On a store whose rename is no single step, like most object stores, two
+    writers at the very same time can still lose one of them.)"""
+    parts, (taken, found) = [p.removeprefix(f"{table}/") for p in parts], _versions(spark, table)
+    if (found[0].number if found else 0) != (before.number if before else 0):
         raise RuntimeError(f"{table} was written by someone else meanwhile")
-    stream = fs.create(p, False)
-    stream.write(bytearray(f"{version}\n".encode()))
+    jvm = spark.sparkContext._jvm
+    fs, beside = _file(spark, f"{table}/.commit-{uuid.uuid4().hex}")
+    fs.mkdirs(beside.getParent())
+    stream = fs.create(beside, False)
+    more = json.dumps({"batches": batches if batches is not None else before.batches if before else {}, "partner": partner or (before.partner if before else None)})
+    stream.write(bytearray(f"{','.join(parts)}\n{more}\n".encode()))
     stream.close()
+    name = fs.makeQualified(_file(spark, f"{table}/CURRENT-{taken + 1:012d}")[1])
+    try:
+        if fs.getScheme() == "file":  # a local rename would overwrite; a link to a taken name is an error
+            local = lambda p: jvm.java.io.File(fs.makeQualified(p).toUri().getPath()).toPath()
+            jvm.java.nio.file.Files.createLink(local(name), local(beside))
+            fs.delete(beside, False)
+        else:
+            none = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+            jvm.org.apache.hadoop.fs.FileContext.getFileContext(spark.sparkContext._jsc.hadoopConfiguration()).rename(fs.makeQualified(beside), name, none)
+    except Exception as e:
+        fs.delete(beside, False)
+        if "AlreadyExists" in str(e):
+            raise RuntimeError(f"{table} was written by someone else meanwhile") from e
+        raise
 
 
 def restore(spark: SparkSession, table: str, version: str) -> None:
-    _swap(spark, table, version, current_version(spark, table))
+    """Make earlier parts the current ones again."""
+    _commit(spark, table, version.split(","), latest(spark, table))
+
+
+def _place(table: str, part: str) -> str:
+    return part if "/" in part else f"{table}/{part}"
 
 
 def read_version(spark: SparkSession, table: str, version: str) -> DataFrame:
-    return spark.read.parquet(*[f"{table}/{part}" for part in version.split(",")])
+    return spark.read.parquet(*[_place(table, part) for part in version.split(",")])
 
 
 def read_table(spark: SparkSession, table: str) -> DataFrame | None:
@@ -160,6 +202,41 @@ def read_table(spark: SparkSession, table: str) -> DataFrame | None:
     return None if version is None else read_version(spark, table, version)
 
 
+def swap_tables(spark: SparkSession, live: str, shadow: str) -> None:
+    """Cutover: each table gets the other's current rows, without copying any; what was live is the shadow now and can be
+    swapped back. The live table changes first; after a failure between the two, the shadow still has its rows."""
+    a, b = latest(spark, live), latest(spark, shadow)
+    if a is None or b is None:
+        raise ValueError("both tables must have been written")
+    _commit(spark, live, [_place(shadow, p) for p in b.parts], a, b.batches, shadow)
+    _commit(spark, shadow, [_place(live, p) for p in a.parts], b, a.batches, live)
+
+
+def roll_back(spark: SparkSession, table: str) -> None:
+    """The rows of the version before the current one become current again."""
+    _, found = _versions(spark, table)
+    if len(found) < 2:
+        raise ValueError(f"{table} has no earlier version")
+    _commit(spark, table, found[1].parts, found[0], found[1].batches)
+
+
+def expire(spark: SparkSession, table: str, cycles: int = 2) -> list[str]:
+    """Keep the current version and the `cycles` before it; delete older version files, and the parts in the table's folder
+    that neither a version kept nor one of its partner needs. Returns the parts deleted. Run it when no reader is at an older one."""
+    fs, folder = _file(spark, table)
+    _, found = _versions(spark, table)
+    kept, old = found[: cycles + 1], found[cycles + 1 :]
+    needed = {_place(table, p) for v in kept for p in v.parts}
+    for partner in {v.partner for v in found if v.partner}:
+        needed |= {_place(partner, p) for v in _versions(spark, partner)[1] for p in v.parts}
+    for v in old:
+        fs.delete(_file(spark, f"{table}/CURRENT-{v.number:012d}")[1], False)
+    gone = sorted({p for v in old for p in v.parts if "/" not in p and f"{table}/{p}" not in needed})
+    for part in gone:
+        fs.delete(_file(spark, f"{table}/{part}")[1], True)
+    return gone
+
+
 # ---- write modes ------------------------------------------------------------------------------------------------
 
 
@@ -180,12 +257,11 @@ def merged(target: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFrame
     keys = need(target, *keys)
     new = fitted(incoming, target.schema)
     shared = [f.name for f in target.schema if f.name not in keys and find(incoming, f.name)]
-    source = new.select(*[F.col(f"`{k}`").alias(f"__k{i}") for i, k in enumerate(keys)], *[F.col(f"`{c}`").alias(f"__v{i}") for i, c in enumerate(shared)], F.lit(True).alias("__new"))
-    on = [F.col(f"`{k}`") == F.col(f"__k{i}") for i, k in enumerate(keys)]
-    place = {c: F.when(F.col("__new"), F.col(f"__v{i}")).otherwise(F.col(f"`{c}`")).alias(c) for i, c in enumerate(shared)}
-    updated = target.join(source, on, "left").select(*[place.get(c, F.col(f"`{c}`")) for c in target.columns])
-    known = target.select(*[F.col(f"`{k}`").alias(f"__k{i}") for i, k in enumerate(keys)])
-    return updated.union(new.join(known, on, "left_anti"))
+    source = new.select(*[F.col(f"`{c}`").alias(f"__v{i}") for i, c in enumerate(new.columns)], F.lit(True).alias("__new"))
+    value = {c: F.col(f"__v{i}") for i, c in enumerate(new.columns)}
+    both = target.withColumn("__old", F.lit(True)).join(source, [F.col(f"`{k}`") == value[k] for k in keys], "full")
+    old, fresh = F.col("__old").isNotNull(), F.col("__new").isNotNull()
+    return both.select(*[F.when(fresh if c in shared else ~old, value[c]).otherwise(F.col(f"`{c}`")).alias(c) for c in target.columns])
 
 
 def state_after(target: DataFrame | None, incoming: DataFrame, mode: str, keys: list[str] = (), before: Change | None = None, after: Change | None = None) -> DataFrame:
@@ -209,21 +285,42 @@ def state_after(target: DataFrame | None, incoming: DataFrame, mode: str, keys:
     return after(out) if after is not None else out
 
 
-def write_table(incoming: DataFrame, table: str, mode: str, keys: list[str] = (), before: Change | None = None, after: Change | None = None) -> DataFrame:
+FANOUT = 16  # parts of one size that are merged into one of the next
+
+
+def _merged_parts(spark: SparkSession, table: str, parts: list[str]) -> list[str]:
+    """The parts after an append: each time the last FANOUT are of one size they become one larger part, so that a table of n
+    appends has about as many parts as n has digits, and a row is rewritten as often."""
+    size = lambda part: int(part.split("-")[0][1:] or 0) if "/" not in part else -1
+    while len(parts) >= FANOUT and len({size(p) for p in parts[-FANOUT:]}) == 1 and size(parts[-1]) >= 0:
+        tail = parts[-FANOUT:]
+        part = f"v{size(tail[0]) + 1}-{uuid.uuid4().hex}"
+        spark.read.parquet(*[_place(table, p) for p in tail]).write.parquet(f"{table}/{part}")  # small files are read together
+        parts = [*parts[:-FANOUT], part]
+    return parts
+
+
+def write_table(incoming: DataFrame, table: str, mode: str, keys: list[str] = (), before: Change | None = None, after: Change | None = None, batch: tuple[str, int] | None = None) -> DataFrame:
     """Write a new version of a table and make it the current one; returns it as read back. An append without other
-    steps writes the new rows alone, as one more part."""
+    steps writes the new rows alone, as one more part. `batch` names a stream and its batch: one that the table holds
+    already is not written again."""
     spark = incoming.sparkSession
-    part, old = f"v-{uuid.uuid4().hex}", current_version(spark, table)
-    target = None if old is None else read_version(spark, table, old)
+    part, old = f"v0-{uuid.uuid4().hex}", latest(spark, table)
+    batches = dict(old.batches) if old else {}
+    if batch is not None:
+        if batches.get(batch[0], -1) >= batch[1]:
+            return read_version(spark, table, ",".join(old.parts))
+        batches[batch[0]] = batch[1]
+    target = None if old is None else read_version(spark, table, ",".join(old.parts))
     appends = mode == "append" or mode in ("update_insert", "merge") and not keys
     if target is not None and appends and before is None and after is None:
         fitted(incoming, target.schema).write.parquet(f"{table}/{part}")
-        version = f"{old},{part}"
+        parts = _merged_parts(spark, table, [*old.parts, part])
     else:
         state_after(target, incoming, mode, list(keys), before, after).write.parquet(f"{table}/{part}")
-        version = part
-    _swap(spark, table, version, old)
-    return read_version(spark, table, version)
+        parts = [part]
+    _commit(spark, table, parts, old, batches)
+    return read_version(spark, table, ",".join(parts))
 
 
 def in_key_order(df: DataFrame, keys: list[str] = ()) -> DataFrame:
