@@ -161,3 +161,57 @@ def order(a: Column, b: Column) -> Column:
     (s, x), (t, y) = keyed(a), keyed(b)
     size = F.when(x < y, -1).when(x > y, 1).otherwise(0)
     return F.when(a.isNull() | b.isNull(), None).when(s != t, _sign(s - t)).otherwise(s * size)
+
+
+# ---- sums -------------------------------------------------------------------------------------------------------
+
+#: Sizes of doubles with a decimal type that holds each of them, and the sum of 10^9 of them, without losing a digit. (37
+#: digits: the sum of two has 38, while Spark would cut the last digit of a sum that needs 39.)
+WINDOWS = {"h": (1e10, 1e22, "decimal(37,6)"), "m": (1.0, 1e10, "decimal(37,16)"), "l": (1e-11, 1.0, "decimal(37,28)"), "s": (1e-21, 1e-11, "decimal(37,37)")}
+
+
+def windows(value: Column) -> dict[str, Column]:
+    """A double as a decimal of the window for its size; NULL in all others."""
+    size = F.abs(value)
+    return {n: F.when((size >= low) & (size < high), value.try_cast(kind)) for n, (low, high, kind) in WINDOWS.items()}
+
+
+def beyond(value: Column) -> Column:
+    """Whether a double is in no window: 1e22 and more, or less than 1e-21, but not 0."""
+    return (value != 0) & ~((F.abs(value) >= 1e-21) & (F.abs(value) < 1e22))
+
+
+def total(h: Column, m: Column, l: Column, s: Column) -> Column:  # noqa: E741
+    """The double nearest to the sum of four windows' sums; NULL counts as nothing."""
+    h, m, l, s = (F.coalesce(x, F.lit(Decimal(0)).cast(WINDOWS[n][2])) for n, x in zip("hmls", (h, m, l, s), strict=True))  # noqa: E741
+    few = l.cast("decimal(26,16)")
+    plain = (m.try_cast("decimal(36,16)") + few).cast("double")
+
+    def slow(x: Column) -> Column:
+        rest = {n: x[n] % _whole(1) for n in "hml"}
+        whole = sum((F.try_subtract(x[n], rest[n]).cast(WHOLE) for n in "hml"), _whole(0)).cast(WHOLE)
+        cut = x["s"] % F.lit(Decimal(1).scaleb(-28)).cast("decimal(38,38)")
+        part = (sum((r.cast("decimal(33,28)") for r in rest.values()), F.lit(Decimal(0)).cast("decimal(33,28)")).cast("decimal(33,28)") + F.try_subtract(x["s"], cut).cast("decimal(33,28)")).cast("decimal(33,28)")
+        over = part % _whole(1)
+        return F.struct((whole + (part - over).cast(WHOLE)).cast(WHOLE).alias("whole"), over.cast("decimal(33,28)").alias("part"), cut.alias("cut"))
+
+    def signed(x: Column) -> Column:
+        """The whole and the fraction with one sign."""
+        turn = F.when((x["whole"] > 0) & (x["part"] < 0), 1).when((x["whole"] < 0) & (x["part"] > 0), -1).otherwise(0).cast("decimal(1,0)")
+        return F.struct((x["whole"] - turn).cast(WHOLE).alias("whole"), parts((x["part"] + turn).cast("decimal(33,28)").cast("string")).m.alias("m"), parts((x["part"] + turn).cast("decimal(33,28)").cast("string")).e.alias("e"), parts(x["cut"].cast("string")).m.alias("cm"), parts(x["cut"].cast("string")).e.alias("ce"))
+
+    def written(x: Column) -> Column:
+        negative = (x["whole"] < 0) | (x["m"] < 0)
+        digits = (F.abs(x["m"]) * _power(x["e"] + 28)).cast(WHOLE)
+        # What is left below the 28th place only tells above from below, beside a whole number: one more digit does.
+        less = F.when((x["cm"] != 0) & ((x["cm"] < 0) != negative), 1).otherwise(0).cast("decimal(1,0)")
+        borrow = F.when((less == 1) & (digits == 0), 1).otherwise(0).cast("decimal(1,0)")
+        digits = F.when(borrow == 1, _power(F.lit(28)) - 1).otherwise(digits - less).cast(WHOLE).cast("string")
+        last = F.when(x["cm"] == 0, "0").when(less == 1, "9").otherwise("1")
+        size = (F.abs(x["whole"]) - borrow).cast(WHOLE).cast("string")
+        long = nearest(F.concat(F.when(negative, "-").otherwise(""), size, F.lpad(digits, 28, "0"), last), F.lit(-29))
+        return F.when(x["whole"] == 0, add(Parts(x["m"], x["e"]), Parts(x["cm"], x["ce"]))).otherwise(long)
+
+    held = F.array(F.struct(h.alias("h"), m.alias("m"), l.alias("l"), s.alias("s")))
+    exactly = F.get(F.transform(F.transform(F.transform(held, slow), signed), written), F.lit(0))
+    return F.when((h == 0) & (s == 0) & (few == l) & plain.isNotNull(), plain + 0.0).otherwise(exactly)

@@ -124,3 +124,41 @@ def fuzzy_match(left: DataFrame, right: DataFrame, on: tuple[str, str], block: C
     pairs = l.join(r.withColumn("__block", block(F.col(f"`{other}`"))), "__block")
     distance = F.levenshtein(F.col(f"`{a}`"), F.col(f"`{other}`"))
     return pairs.withColumn("distance", distance).filter(F.col("distance") <= max_distance).drop("__block")
+
+
+def fuzzy_join(left: DataFrame, right: DataFrame, on: tuple[str, str], max_distance: int) -> DataFrame:
+    """All pairs of rows whose texts are at most `max_distance` edits apart, with `distance`; NULL matches nothing.
+
+    A text cut into max_distance + 1 segments has one that no edit touches, and that is found in the other text at most
+    max_distance places away. So texts meet by (length, number of the segment, segment) and are then tested. Each different
+    text is looked up once, however many rows have it; a segment that many texts share is dealt out by a hash of the text.
+    """
+    k, names = max_distance, _prefixed(left, right)
+    (a,), (b,) = need(left, on[0]), need(right, on[1])
+    renamed = right.toDF(*names)
+    other = dict(zip(right.columns, names, strict=True))[b]
+    cut = lambda n, i: F.floor(n * i / (k + 1)).cast("int")  # noqa: E731  where segment i of a text of n characters begins
+    mine = left.select(F.col(f"`{a}`").alias("__x")).filter("__x is not null").distinct()
+    theirs = renamed.select(F.col(f"`{other}`").alias("__y")).filter("__y is not null").distinct()
+    segments = F.transform(F.sequence(F.lit(0), F.lit(k)), lambda i: F.struct(F.length("__y").alias("n"), i.alias("i"), F.substring("__y", cut(F.length("__y"), i) + 1, cut(F.length("__y"), i + 1) - cut(F.length("__y"), i)).alias("s")))
+    indexed = theirs.select("__y", F.inline(segments)).withColumn("part", F.pmod(F.xxhash64("__y"), F.lit(PARTS)).cast("int"))
+
+    def looked_for(n: Column) -> Column:
+        def around(i: Column) -> Column:
+            size, begin = cut(n, i + 1) - cut(n, i), cut(n, i)
+            places = F.filter(F.sequence(begin - k, begin + k), lambda p: (p >= 0) & (p + size <= F.length("__x")))
+            return F.transform(places, lambda p: F.struct(n.alias("n"), i.alias("i"), F.substring("__x", p + 1, size).alias("s")))
+
+        return F.flatten(F.transform(F.sequence(F.lit(0), F.lit(k)), around))
+
+    lengths = F.sequence(F.greatest(F.length("__x") - k, F.lit(0)), F.length("__x") + k)
+    asked = mine.select("__x", F.inline(F.array_distinct(F.flatten(F.transform(lengths, looked_for)))))
+    often = indexed.groupBy("n", "i", "s").agg(F.count(F.lit(1)).alias("__many")).filter(F.col("__many") > PARTS * PARTS).select("n", "i", "s", F.lit(PARTS).alias("__parts"))
+    dealt = asked.join(often, ["n", "i", "s"], "left").withColumn("part", F.explode(F.when(F.col("__parts").isNotNull(), F.sequence(F.lit(0), F.lit(PARTS - 1))).otherwise(F.array(F.lit(-1)))))
+    stored = indexed.join(often, ["n", "i", "s"], "left").withColumn("part", F.when(F.col("__parts").isNull(), -1).otherwise(F.col("part")))
+    met = dealt.select("__x", "n", "i", "s", "part").join(stored.select("__y", "n", "i", "s", "part"), ["n", "i", "s", "part"]).select("__x", "__y").distinct()
+    near = met.withColumn("distance", F.levenshtein("__x", "__y", k)).filter("distance >= 0")
+    return left.join(near, F.col(f"`{a}`") == F.col("__x")).join(renamed, F.col("__y") == F.col(f"`{other}`")).select(*[F.col(f"`{c}`") for c in [*left.columns, *names]], "distance")
+
+
+PARTS = 32  # into which a segment that more than PARTS * PARTS texts share is dealt

@@ -11,7 +11,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import exact
 from .rows import need
+from .summarize import exact_sum
 
 
 class Firsts(NamedTuple):
@@ -81,11 +83,10 @@ def tile_records(df: DataFrame, n: int, out: str, order_by: list[str], group_by:
 
 
 def tile_sum(df: DataFrame, n: int, column: str, out: str, order_by: list[str], group_by: list[str] = ()) -> DataFrame:
-    """Tiles of about equal sums of a column without negative values."""
-    value = F.coalesce(F.col(f"`{column}`").try_cast("decimal(28,10)"), F.lit(0))
-    run = F.sum(value).over(_over(df, group_by, order_by).rowsBetween(Window.unboundedPreceding, 0))
-    whole = F.sum(value).over(Window.partitionBy(*[F.col(f"`{c}`") for c in need(df, *group_by)]))
-    return df.withColumn(out, F.greatest(F.lit(1), F.least(F.lit(n), F.ceil(run * n / whole))).cast("int"))
+    """Tiles of about equal sums of a column without negative values. A group whose sum is 0 is one tile, the first."""
+    run = _sums_so_far(df, column, order_by, group_by, whole=True)
+    share = F.try_divide(F.col("__run") * n, F.col("__whole"))
+    return run.withColumn(out, F.greatest(F.lit(1), F.least(F.lit(n), F.coalesce(F.ceil(share), F.lit(1)))).cast("int")).drop("__run", "__whole", "__null")
 
 
 def tile_manual(df: DataFrame, column: str, cuts: list[float], out: str) -> DataFrame:
@@ -142,17 +143,60 @@ def neighbour(df: DataFrame, column: str, offset: int, order_by: list[str], grou
     return F.when(there, shifted(value, abs(offset)).over(over)).otherwise(fill)
 
 
-def running_total(df: DataFrame, column: str, out: str, order_by: list[str], group_by: list[str] = (), null: str = "poison") -> DataFrame:
-    """The exact decimal sum so far, as a double. A NULL makes its own and all later totals of the group NULL
-    (`poison`), or counts as nothing (`skip`)."""
+def _sums_so_far(df: DataFrame, column: str, order_by: list[str], group_by: list[str], whole: bool = False) -> DataFrame:
+    """`df` with `__run`, the exact sum of a column up to each row of its group, NULL counting as nothing; `__null`, whether there
+    has been a NULL; and with `whole` the group's sum `__whole`.
+
+    Rows are range-sorted by group and order into blocks, one a partition, so one huge group is spread over many. A block
+    sums its own rows, and starts from what the group's earlier blocks add up to. Only groups that reach over a border have such
+    a start, so there are fewer starts than blocks.
+    """
+    from ..sources.tables import checkpoint_dir
+
+    checkpoint_dir(df.sparkSession)
     (name,) = need(df, column)
-    value = F.col(f"`{name}`")
-    over = _over(df, group_by, order_by).rowsBetween(Window.unboundedPreceding, 0)
-    exact = value.try_cast("decimal(28,10)")
-    total = F.coalesce(F.when(F.count(value).over(over) == F.count(exact).over(over), F.try_sum(exact).over(over).cast("double")), F.sum(value.cast("double")).over(over))
-    if null == "skip":
-        return df.withColumn(out, F.coalesce(total, F.lit(0.0)))
-    return df.withColumn(out, F.when(~F.max(value.isNull()).over(over), total))
+    value, groups = F.col(f"`{name}`"), [F.col(f"`{g}`") for g in need(df, *group_by)]
+    named = df.select("*", *[g.alias(f"__g{i}") for i, g in enumerate(groups)])
+    keys = [F.col(f"__g{i}") for i in range(len(groups))]
+    held = named.orderBy(*[k.asc_nulls_first() for k in keys], *ordering(df, order_by)).withColumn("__block", F.spark_partition_id()).checkpoint()
+    sums = exact.windows(value.cast("double"))
+    parts = {n: w for n, w in sums.items()} | {"odd": F.when(exact.beyond(value.cast("double")), value.cast("double")), "null": value.isNull().cast("int")}
+    add = dict.fromkeys(parts, F.sum)  # a window that 10^10 rows can't fill is an error rather than a wrong sum
+    of_block = held.groupBy(*keys, "__block").agg(*[add[n](p).alias(f"__p_{n}") for n, p in parts.items()], F.count(F.when(exact.beyond(value.cast("double")), 1)).alias("__p_many"))
+    before = Window.partitionBy(*keys).orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
+    named_parts = [*parts, "many"]
+    starts = of_block.select(*keys, "__block", *[(add.get(n, F.sum))(f"__p_{n}").over(before).alias(f"__s_{n}") for n in named_parts], F.row_number().over(Window.partitionBy(*keys).orderBy("__block")).alias("__nth"))
+    starts = starts.filter("__nth > 1").drop("__nth")
+    starts = starts.select(F.col("__block").alias("__b"), *[k.alias(f"__h{i}") for i, k in enumerate(keys)], *[f"__s_{n}" for n in named_parts])
+    on = [F.col("__block") == F.col("__b"), *[k.eqNullSafe(F.col(f"__h{i}")) for i, k in enumerate(keys)]]
+    rows = held.join(F.broadcast(starts), on, "left")  # fewer rows than blocks
+    over = Window.partitionBy("__block", *keys).orderBy(*ordering(df, order_by)).rowsBetween(Window.unboundedPreceding, 0)
+
+    kinds = {n: kind for n, (_, _, kind) in exact.WINDOWS.items()}
+
+    def joined(n: str, p: Column) -> Column:
+        own, start = (x.cast(kinds[n]) if n in kinds else x for x in (add.get(n, F.sum)(p).over(over), F.col(f"__s_{n}")))
+        return F.when(start.isNull(), own).when(own.isNull(), start).otherwise(start + own)
+
+    many = joined("many", F.when(exact.beyond(value.cast("double")), F.lit(1)))
+    windows = {n: joined(n, p) for n, p in parts.items()}
+    done = rows.select(*[F.col(f"`{c}`") for c in df.columns], *keys, *[w.alias(f"__w_{n}") for n, w in windows.items()], F.coalesce(many, F.lit(0)).alias("__w_many"))
+    run = exact.total(*(F.col(f"__w_{n}") for n in "hmls"))
+    done = done.withColumn("__run", F.when(F.col("__w_many") > 0, run + F.coalesce("__w_odd", F.lit(0.0))).otherwise(run)).withColumn("__null", F.col("__w_null") > 0)
+    if whole:
+        each = held.groupBy(*keys).agg(exact_sum(value, df.schema[name].dataType).alias("__whole")).select("__whole", *[k.alias(f"__h{i}") for i, k in enumerate(keys)])
+        each = each.withColumn("__one", F.lit(1))
+        done = done.withColumn("__two", F.lit(1)).join(each, [F.col("__one") == F.col("__two"), *[k.eqNullSafe(F.col(f"__h{i}")) for i, k in enumerate(keys)]] if keys else [F.col("__one") == F.col("__two")], "left")
+    return done.select(*[F.col(f"`{c}`") for c in df.columns], "__run", "__null", *(["__whole"] if whole else []))
+
+
+def running_total(df: DataFrame, column: str, out: str, order_by: list[str], group_by: list[str] = (), null: str = "poison") -> DataFrame:
+    """The sum so far, as the double nearest to the exact one. A NULL makes its own and all later totals of the group NULL
+    (`poison`), or counts as nothing (`skip`). One group may hold most rows: it is summed in blocks."""
+    run = _sums_so_far(df, column, order_by, group_by)
+    total = F.col("__run") if null == "skip" else F.when(~F.col("__null"), F.col("__run"))
+    columns = [F.col(f"`{c}`") for c in df.columns if c.lower() != out.lower()]
+    return run.select(*columns, total.alias(out))
 
 
 def fold(
@@ -166,27 +210,76 @@ def fold(
     initial: Column | None = None,
 ) -> DataFrame:
     """A value that each row makes of the row before it, in group order: `step(before, row)` with `row` a struct of
-    `columns`. `before` is `initial` (NULL) on a group's first row. A group is held in one task's memory; for sums and
-    what can be seen from a fixed distance, use the functions above."""
+    `columns`. `before` is `initial` (NULL) on a group's first row. Values are gathered in chunks, so time grows with the rows;
+    a group is held in one task's memory. For sums and what can be seen from a fixed distance, use the functions above."""
     names, group, order = need(df, *columns), need(df, *group_by), need(df, *(c.removeprefix("-") for c in order_by))
     if any(c.startswith("-") for c in order_by):
         raise ValueError("fold works in ascending order")
     keep = [c for c in df.columns if c not in group]
     row = F.struct(*[F.col(f"`{c}`") for c in order], *[F.col(f"`{c}`") for c in keep if c not in order])
-    rows = F.array_sort(F.collect_list(row))
     start = (initial if initial is not None else F.lit(None)).cast(kind)
-    element = T.StructType([*(df.schema[c] for c in [*order, *(c for c in keep if c not in order)])])
-    empty = F.array().cast(T.ArrayType(T.StructType([T.StructField("row", element), T.StructField("value", T._parse_datatype_string(kind))])))
+    by = [F.col(f"`{c}`") for c in group]
+    rows = df.groupBy(*by).agg(F.array_sort(F.collect_list(row)).alias("__rows"))
 
-    def next_row(done: Column, r: Column) -> Column:
-        before = F.when(F.size(done) > 0, F.element_at(done, -1)["value"]).otherwise(start)
-        return F.concat(done, F.array(F.struct(r.alias("row"), step(before, F.struct(*[r[c].alias(c) for c in names])).cast(kind).alias("value"))))
+    def chunk(done: Column, at: Column) -> Column:
+        def next_value(values: Column, r: Column) -> Column:
+            before = F.when(F.size(values) > 0, F.element_at(values, -1)).otherwise(done["last"])
+            return F.concat(values, F.array(step(before, F.struct(*[r[c].alias(c) for c in names])).cast(kind)))
 
-    by = [F.col(f"`{c}`") for c in group]
-    folded = df.groupBy(*by).agg(F.aggregate(rows, empty, next_row).alias("__all")).select(*by, F.explode("__all").alias("__x"))
+        own = F.aggregate(F.slice("__rows", at * CHUNK + 1, CHUNK), F.array().cast(f"array<{kind}>"), next_value)
+        return F.get(F.transform(F.array(own), lambda x: F.struct(F.element_at(x, -1).alias("last"), F.concat(done["all"], F.array(x)).alias("all"))), F.lit(0))
+
+    empty = F.struct(start.alias("last"), F.array().cast(f"array<array<{kind}>>").alias("all"))
+    values = F.flatten(F.aggregate(F.sequence(F.lit(0), F.floor((F.size("__rows") - 1) / CHUNK).cast("int")), empty, chunk)["all"])
+    folded = rows.withColumn("__values", values).select(*by, F.explode_outer(F.arrays_zip(F.col("__rows").alias("row"), F.col("__values").alias("value"))).alias("__x"))
     return folded.select(*[F.col(f"`{c}`") if c in group else F.col("__x.row")[c].alias(c) for c in df.columns], F.col("__x.value").alias(out))
 
 
+CHUNK = 256  # values gathered before they are put to the others
+
+
+def update_in_place(df: DataFrame, column: str, step: Callable[[Column, Column, Column], Column], columns: list[str], order_by: list[str], group_by: list[str]) -> DataFrame:
+    """A column rewritten row by row: `step(before, row, after)` sees the new value of the row before, its own row's old values
+    (a struct of `columns`), and the old value of the row after; NULL outside the group. Its place and type stay."""
+    (name,) = need(df, column)
+    kind = df.schema[name].dataType.simpleString()
+    ahead = df.withColumn("__after", neighbour(df, name, 1, order_by, group_by))
+    done = fold(ahead, "__new", kind, lambda before, row: step(before, row, row["__after"]), [*columns, "__after"], order_by, group_by)
+    return done.select(*[F.col("__new").alias(c) if c == name else F.col(f"`{c}`") for c in df.columns])
+
+
+def percentiles(df: DataFrame, column: str, share: float, out: str, group_by: list[str] = ()) -> DataFrame:
+    """A row for each group with the exact percentile of a number, between neighbours in proportion; NULLs don't count. Found by
+    rank: rows are range-sorted into blocks, blocks counted, and only the two rows that are asked for are taken; so a group of any
+    size needs no buffer."""
+    from ..sources.tables import checkpoint_dir
+
+    checkpoint_dir(df.sparkSession)
+    (name,) = need(df, column)
+    groups = need(df, *group_by)
+    keys = [F.col(f"__g{i}") for i in range(len(groups))]
+    plain = df.select(*[F.col(f"`{g}`").alias(f"__g{i}") for i, g in enumerate(groups)], F.col(f"`{name}`").cast("double").alias("__v"))
+    held = plain.filter("__v is not null").orderBy(*[k.asc_nulls_first() for k in keys], "__v").withColumn("__block", F.spark_partition_id()).checkpoint()
+    ahead = Window.partitionBy(*keys).orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
+    counts = held.groupBy(*keys, "__block").agg(F.count(F.lit(1)).alias("__n"))
+    counts = counts.select(*keys, "__block", "__n", F.coalesce(F.sum("__n").over(ahead), F.lit(0)).alias("__ahead"), F.sum("__n").over(Window.partitionBy(*keys)).alias("__all"))
+    at = F.lit(share) * (F.col("__all") - 1)
+    wanted = counts.select(*keys, "__block", "__ahead", at.alias("__at"), F.floor(at).alias("__low"), F.ceil(at).alias("__high"))
+    wanted = wanted.join(counts.select(*[k.alias(f"__h{i}") for i, k in enumerate(keys)], F.col("__block").alias("__b"), "__n"), [F.col("__block") == F.col("__b"), *[k.eqNullSafe(F.col(f"__h{i}")) for i, k in enumerate(keys)]])
+    inside = lambda x: (F.col(x) >= F.col("__ahead")) & (F.col(x) < F.col("__ahead") + F.col("__n"))
+    wanted = wanted.filter(inside("__low") | inside("__high")).select(*[k.alias(f"__k{i}") for i, k in enumerate(keys)], F.col("__block").alias("__c"), "__ahead", "__at", "__low", "__high")
+    rows = held.withColumn("__i", F.row_number().over(Window.partitionBy("__block", *keys).orderBy("__v")) - 1)
+    rows = rows.join(wanted, [F.col("__block") == F.col("__c"), *[k.eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)]]).withColumn("__i", F.col("__i") + F.col("__ahead"))
+    rows = rows.filter("__i = __low or __i = __high").withColumn("__part", F.col("__at") - F.col("__low"))
+    low, high, part = F.min("__v"), F.max("__v"), F.max("__part")
+    value = F.when(low == high, low).otherwise((1 - part) * low + part * high)
+    found = rows.groupBy(*keys).agg(value.alias("__value")).select(*[k.alias(f"__k{i}") for i, k in enumerate(keys)], "__value")
+    if not keys:
+        return found.select(F.col("__value").alias(out))
+    every = plain.select(*keys).distinct()  # groups of NULLs alone too
+    return every.join(found, [k.eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)], "left").select(*[k.alias(g) for k, g in zip(keys, groups, strict=True)], F.col("__value").alias(out))
+
+
 def per_group(df: DataFrame, function: Callable, schema: str | T.StructType, group_by: list[str]) -> DataFrame:
     """Any pandas function from a group's rows to rows of `schema`."""
     return df.groupBy(*[F.col(f"`{c}`") for c in need(df, *group_by)]).applyInPandas(function, schema)

@@ -288,12 +288,37 @@ def find_replace(df: DataFrame, column: str, pairs: list[tuple[str, str]], whole
     for old, new in pairs:
         flags = "(?i)" if ignore_case else ""
         quoted = flags + re.escape(old)
-        test = text.rlike(f"{flags}^{re.escape(old)}$") if whole else text.rlike(quoted)
+        test = text.rlike(rf"{flags}\A{re.escape(old)}\z") if whole else text.rlike(quoted)
         value = F.lit(new) if whole else F.regexp_replace(text, quoted, new.replace("\\", "\\\\").replace("$", "\\$"))
         out = F.when(test, value) if out is None else out.when(test, value)
     return df if out is None else df.withColumn(name, out.otherwise(text))
 
 
+GRAM = 4  # characters by which texts find the pairs that may be in them
+
+
+def find_replace_from(df: DataFrame, column: str, lookup: DataFrame, find: str, value: str, order_by: str, whole: bool = False) -> DataFrame:
+    """As `find_replace` with a table of pairs, however many: the first pair by `order_by` (without ties) that is found replaces the
+    whole value, or every occurrence inside it. NULL and empty things to find are found nowhere; a NULL value counts as empty.
+
+    Texts and pairs meet by equality, or by the first characters of what is to be found; each different text is looked up
+    once.
+    """
+    (name,) = need(df, column)
+    pairs = lookup.select(*[_c(n).alias(a) for n, a in zip(need(lookup, find, value, order_by), ("__old", "__to", "__nth"), strict=True)]).filter("__old != ''")
+    firsts = pairs.groupBy("__old").agg(F.min(F.struct("__nth", F.coalesce("__to", F.lit("")).alias("__to"))).alias("__p")).select("__old", "__p.__nth", "__p.__to")
+    if whole:
+        found = firsts.select(F.col("__old").alias("__text"), F.col("__to").alias("__new"))
+    else:
+        texts = df.select(_c(name).alias("__text")).filter("__text != ''").distinct()
+        lengths = F.sequence(F.lit(1), F.least(F.lit(GRAM), F.length("__text")))
+        grams = F.array_distinct(F.flatten(F.transform(lengths, lambda n: F.transform(F.sequence(F.lit(1), F.length("__text") - n + 1), lambda i: F.substring("__text", i, n)))))
+        met = texts.select("__text", F.explode(grams).alias("__gram")).join(firsts.withColumn("__gram", F.substring("__old", 1, GRAM)), "__gram")
+        best = met.filter(F.col("__text").contains(F.col("__old"))).groupBy("__text").agg(F.min(F.struct("__nth", "__old", "__to")).alias("__p"))
+        found = best.select("__text", F.replace("__text", F.col("__p.__old"), F.col("__p.__to")).alias("__new"))
+    return df.join(found, _c(name) == F.col("__text"), "left").select(*[F.coalesce("__new", _c(c)).alias(c) if c == name else _c(c) for c in df.columns])
+
+
 def rename(df: DataFrame, how: Callable[[str], str]) -> DataFrame:
     """All columns by a rule; two columns that get one name are an error."""
     names = [how(c) for c in df.columns]

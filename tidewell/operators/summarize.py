@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import exact
 from ..functions.types import finite, is_number, to_text
 from .rows import need
 
@@ -33,13 +35,19 @@ class Agg:
 
 
 def exact_sum(column: Column, kind: T.DataType) -> Column:
-    """The sum as a double: of exact decimals where all values are such, else of doubles; never an error."""
+    """The double nearest to the exact sum, in whatever order and parts it is worked out. Doubles are summed as decimals, in
+    four windows by size; where one of them is 1e22 and more, or below 1e-21, or 10^10 of them fill a window, the sum is one
+    of doubles."""
     if isinstance(kind, T.IntegralType):
         return F.sum(column.cast("decimal(20,0)")).cast("double")
     if isinstance(kind, T.DecimalType):
         return F.coalesce(F.try_sum(column).cast("double"), F.sum(column.cast("double")))
-    exact = column.try_cast("decimal(34,14)")
-    return F.coalesce(F.when(F.count(column) == F.count_if(exact.cast("double") == column), F.try_sum(exact).cast("double")), F.sum(column.cast("double")))
+    value = column.cast("double")
+    windows = exact.windows(value).values()
+    sums = exact.total(*map(F.try_sum, windows))
+    odd = F.count_if(exact.beyond(value)) > 0  # NaN and infinities too
+    full = reduce(lambda a, b: a | b, (F.try_sum(w).isNull() & (F.count(w) > 0) for w in windows))
+    return F.when(odd | full, F.sum(value)).when(F.count(value) > 0, sums)
 
 
 def aggregate(df: DataFrame, a: Agg) -> Column:
