@@ -135,17 +135,21 @@ def vote(vectors: np.ndarray, labelled: np.ndarray, y: np.ndarray, prior: float)
     near = vectors @ labelled.T
     k = min(NEIGHBOURS, len(y))
     at = np.argpartition(-near, k - 1, axis=1)[:, :k] if k < len(y) else np.tile(np.arange(k), (len(near), 1))
-    # Of equally near ones at the edge, those with the smallest ids count.
     last = np.take_along_axis(near, at, 1).min(1, keepdims=True)
-    for i in np.flatnonzero((near >= last).sum(1) > k):
-        at[i] = np.argsort(-near[i], kind="stable")[:k]
     weight = np.maximum(np.take_along_axis(near, at, 1), 0) ** SHARPNESS
-    return np.clip(((weight * y[at]).sum(1) + 0.5 * prior) / (weight.sum(1) + 0.5), 0, 1)
+    score = ((weight * y[at]).sum(1) + 0.5 * prior) / (weight.sum(1) + 0.5)
+    # Those equally near at the edge share the votes that are left, whatever their ids.
+    for i in np.flatnonzero((near >= last).sum(1) > k):
+        share, edge = (near[i] > last[i]).astype(np.float64), near[i] == last[i]
+        share[edge] = (k - share.sum()) / edge.sum()
+        weight = share * np.maximum(near[i], 0) ** SHARPNESS
+        score[i] = ((weight * y).sum() + 0.5 * prior) / (weight.sum() + 0.5)
+    return np.clip(score, 0, 1)
 
 
 def classify(docs: DataFrame, model: tuple, block: int = 256, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """`keep` columns (default all) with score, 0 to 1. Null texts count as empty; texts of any length count whole;
-    repeated rows are each scored alike, and of equally near neighbours those with the smallest ids vote. An empty
+    repeated rows are each scored alike, and equally near neighbours at the edge share what votes are left. An empty
     table gives no rows; a column named score is replaced."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the sample's size
 
