@@ -916,3 +916,57 @@ def f6_tiny_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_linenumber", scalar.ceiling(items, x).alias("above"), scalar.floor(items, x).alias("below"), (text > zero).cast("long").alias("text_above"), scalar.add(items, x, unit).alias("more"),
         scalar.multiply(items, x, F.lit(3)).alias("thrice"), scalar.divide(items, F.lit(1), x).alias("inverse"), scalar.modulo(items, x, F.lit(7e-13)).alias("rest"), scalar.round_to(items, x, "1e-12").alias("nearest"),
     )
+
+
+@query("""WITH RECURSIVE e AS (SELECT event_id, user_id, CAST(value AS DECIMAL(18,2)) AS v, row_number() OVER w AS n, lead(CAST(value AS DECIMAL(18,2))) OVER w AS nxt FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+f AS (SELECT event_id, user_id, n, least(CAST(v + coalesce(nxt, 0) AS DOUBLE), 500.0) AS value FROM e WHERE n = 1
+  UNION ALL SELECT e.event_id, e.user_id, e.n, least(f.value + CAST(e.v + coalesce(e.nxt, 0) AS DOUBLE), 500.0) FROM e JOIN f ON e.user_id = f.user_id AND e.n = f.n + 1)
+SELECT event_id, round(value, 6) AS value FROM f""")
+def w4_update_in_place(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A column rewritten row by row: the row before has its new value already, the row after still its old one."""
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "ts", C("value").cast("double").alias("value"))
+    step = lambda before, row, after: F.least(F.coalesce(before, F.lit(0.0)) + row["value"] + F.coalesce(after, F.lit(0.0)), F.lit(500.0))
+    return order.update_in_place(events, "value", step, ["value"], ["ts", "event_id"], ["user_id"]).select("event_id", F.round("value", 6).alias("value"))
+
+
+@query("""WITH u AS (SELECT l_orderkey, l_linenumber, sum(CAST(l_extendedprice * 100 AS HUGEINT)) OVER (ORDER BY l_shipdate, l_orderkey, l_linenumber ROWS UNBOUNDED PRECEDING) AS n FROM lineitem)
+SELECT l_orderkey, l_linenumber, CAST(n AS DOUBLE) / 1e12 AS run FROM u""")
+def w5_one_huge_group(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rows in one group, values of 12 places: summed in blocks, no digit lost."""
+    items = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate", (F.round(C("l_extendedprice") * 100).cast("double") / 1e12).alias("x"))
+    return order.running_total(items, "x", "run", ["l_shipdate", "l_orderkey", "l_linenumber"]).select("l_orderkey", "l_linenumber", "run")
+
+
+@query("""WITH u AS (SELECT l_returnflag, sum(CAST(l_extendedprice * 100 AS HUGEINT)) AS n FROM lineitem GROUP BY l_returnflag)
+SELECT l_returnflag, CAST(n AS DOUBLE) / 1e13 AS total, count(*)::BIGINT AS n FROM u JOIN lineitem USING (l_returnflag) GROUP BY ALL""")
+def a2_sum_of_any_size(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Huge numbers that cancel out, and tiny ones: the sum has every digit."""
+    items = table(spark, sf_dir, "lineitem").select("l_returnflag", (F.round(C("l_extendedprice") * 100).cast("double") / 1e13).alias("x"), F.when(C("l_linenumber") % 2 == 0, 1e20).otherwise(-1e20).alias("huge"))
+    both = items.select("l_returnflag", "x", F.lit(1).alias("one")).union(items.select("l_returnflag", "huge", F.lit(0))).union(items.select("l_returnflag", -C("huge"), F.lit(0)))
+    return summarize.summarize(both, ["l_returnflag"], Agg("sum", "x", "total"), Agg("sum", "one", "n"))
+
+
+@query("SELECT l_returnflag, round(quantile_cont(l_extendedprice, 0.9), 6) AS p90 FROM lineitem GROUP BY l_returnflag")
+def a9_percentile_by_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order.percentiles(table(spark, sf_dir, "lineitem"), "l_extendedprice", 0.9, "p90", ["l_returnflag"]).select("l_returnflag", F.round("p90", 6).alias("p90"))
+
+
+@query("""WITH n AS (SELECT s_suppkey, s_name FROM supplier WHERE s_suppkey % 3 <> 0), p AS (SELECT a.s_suppkey AS x, b.s_suppkey AS y, levenshtein(a.s_name, b.s_name) AS d FROM n a, supplier b)
+SELECT x, y, d::INTEGER AS distance FROM p WHERE d <= 1""")
+def j9_fuzzy_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pairs of names at most one edit apart, without a blocking key."""
+    names = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
+    found = joins.fuzzy_join(names.filter("s_suppkey % 3 != 0"), names, ("s_name", "s_name"), 1)
+    return found.select(C("s_suppkey").alias("x"), C("Right_s_suppkey").alias("y"), "distance")
+
+
+@query("""WITH pairs AS (SELECT r_regionkey * 100 AS nth, substr(r_name, 1, 4) AS old, 'r' || r_regionkey AS new FROM region UNION ALL SELECT 1000 + n_nationkey, n_name, '<' || n_nationkey || '>' FROM nation),
+texts AS (SELECT n_nationkey, n_name || ' of ' || r_name AS t FROM nation JOIN region ON n_regionkey = r_regionkey),
+first AS (SELECT n_nationkey, t, arg_min(old, nth) AS old, arg_min(new, nth) AS new FROM texts JOIN pairs ON contains(t, old) GROUP BY ALL)
+SELECT n_nationkey, replace(t, old, new) AS t FROM first""")
+def p21_replace_from_a_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text with the first of a table's pairs that it contains."""
+    region, nation = table(spark, sf_dir, "region"), table(spark, sf_dir, "nation")
+    pairs = region.select((C("r_regionkey") * 100).alias("nth"), F.substring("r_name", 1, 4).alias("old"), F.concat(F.lit("r"), "r_regionkey").alias("new")).union(nation.select(1000 + C("n_nationkey"), "n_name", F.concat(F.lit("<"), "n_nationkey", F.lit(">"))))
+    texts = nation.join(region, C("n_regionkey") == C("r_regionkey")).select("n_nationkey", F.concat("n_name", F.lit(" of "), "r_name").alias("t"))
+    return rows.find_replace_from(texts, "t", pairs, "old", "new", "nth")
