@@ -65,10 +65,19 @@ def nearest(m: Column, e: Column) -> Column:
     return F.when(F.abs(out) < float("inf"), out + 0.0)  # no negative zero
 
 
+def _held(p: Parts, use) -> Column:
+    """`use` of parts that are worked out once, so that expressions stay short."""
+    return F.get(F.transform(F.array(F.struct(p.m.alias("m"), p.e.alias("e"))), lambda t: use(Parts(t["m"], t["e"]))), F.lit(0))
+
+
 def add(a: Parts, b: Parts) -> Column:
     swap = a.e < b.e
     high = Parts(F.when(swap, b.m).otherwise(a.m), F.greatest(a.e, b.e))
     low = Parts(F.when(swap, a.m).otherwise(b.m), F.least(a.e, b.e))
+    return _held(high, lambda x: _held(low, lambda y: _added(x, y)))
+
+
+def _added(high: Parts, low: Parts) -> Column:
     far = high.e - low.e > 36  # then only the sign of the lower number matters, if it has one
     d = F.least(high.e - low.e, F.lit(36))
     lm = F.when(far, _whole(F.signum(low.m))).otherwise(low.m)
@@ -125,9 +134,8 @@ def _rest(a: Parts, b: Parts) -> Parts:
 
 def modulo(a: Parts, b: Parts) -> Column:
     """The dividend's sign. A quotient of more than 40 digits is NULL."""
-    r = _rest(a, b)
     digits = F.length(F.abs(a.m).cast("string")) + a.e - F.length(F.abs(b.m).cast("string")) - b.e
-    return F.when(b.m == 0, None).when(a.m == 0, 0.0).when(digits > 40, None).otherwise(nearest((r.m * _sign(a.m)).cast(WHOLE), r.e))
+    return F.when(b.m == 0, None).when(a.m == 0, 0.0).when(digits > 40, None).otherwise(_held(_rest(a, b), lambda r: nearest((r.m * _sign(a.m)).cast(WHOLE), r.e)))
 
 
 def to_multiple(a: Parts, step: Decimal) -> Column:
@@ -137,7 +145,11 @@ def to_multiple(a: Parts, step: Decimal) -> Column:
     if size >= 10**18:
         raise ValueError("a step has at most 18 digits")
     s = Parts(_whole(size), F.lit(exponent))
-    k, r = a.e - exponent, _rest(a, s)
+    return _held(_rest(a, s), lambda r: _to_multiple(a, s, exponent, r))
+
+
+def _to_multiple(a: Parts, s: Parts, exponent: int, r: Parts) -> Column:
+    k = a.e - exponent
     sign = _sign(a.m)
     up = 2 * r.m >= s.m
     change = F.when(up, s.m - r.m).otherwise(-r.m)
