@@ -3,160 +3,183 @@
 A double stands for its shortest decimal text: a whole number of at most 19 digits times a power of ten. Sums, products,
 remainders and multiples are worked out on such pairs exactly, quotients to more than 35 digits; the result is written as
 decimal text and read as a double, which rounds once. What no double can hold is NULL, as is division by zero.
+
+The formulas are SQL text, put together once: as thousands of calls to build a column each they took longer to plan than to
+run. A name is given to what a formula needs more than once, so that trees stay small.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from decimal import Decimal
+from functools import lru_cache
 from typing import NamedTuple
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 WHOLE = "decimal(38,0)"
 
 
 class Parts(NamedTuple):
-    """A number m * 10^e: m a decimal without places, e an int."""
-
-    m: Column
-    e: Column
+    """A number m * 10^e, as SQL: m a decimal without places, e an int."""
 
-
-def _power(k: Column) -> Column:
-    """10^k for k from 0 to 37."""
-    return F.concat(F.lit("1"), F.repeat(F.lit("0"), k)).cast(WHOLE)
+    m: str
+    e: str
 
 
-def _whole(x: int | Column) -> Column:
-    return (F.lit(Decimal(x)) if isinstance(x, int) else x).cast(WHOLE)
+def _let(name: str, values: dict[str, str], body: str) -> str:
+    """`body`, in which `name.key` stands for a value that is worked out once."""
+    fields = ", ".join(f"'{k}', {v}" for k, v in values.items())
+    return f"get(transform(array(named_struct({fields})), {name} -> {body}), 0)"
 
 
-def _sign(x: Column) -> Column:
-    return F.signum(x).cast("int")
+def _whole(x: int | str) -> str:
+    return f"CAST({x} AS {WHOLE})"
 
 
-def parts(text: Column) -> Parts:
-    """Of a plain decimal text, with or without exponent, of at most 38 digits."""
-    head, power = F.substring_index(F.lower(text), "e", 1), F.coalesce(F.regexp_extract(text, "[eE]([+-]?[0-9]+)$", 1).try_cast("int"), F.lit(0))
-    places = F.when(head.contains("."), F.regexp_replace(F.substring_index(head, ".", -1), "0+$", "")).otherwise("")
-    return Parts(F.concat(F.substring_index(head, ".", 1), places).try_cast(WHOLE), power - F.length(places))
+def _power(k: int | str) -> str:
+    """10^k for k from 0 to 37."""
+    return f"CAST(concat('1', repeat('0', {k})) AS {WHOLE})"
 
 
-def shortest(p: Parts, value: Column) -> Parts:
-    """The parts of a double by its shortest text: Java before version 19 may write a digit or two more than needed. (It also
-    writes a few others with as many digits, but not the nearest such text, like 4.9E-324; these stay.)"""
+def _sign(x: str) -> str:
+    return f"CAST(signum({x}) AS INT)"
 
-    def shorter(by: int) -> tuple[Column, Column]:
-        """With fewer digits, and whether one such text, up or down, is still this double."""
-        low, near = ((p.m - p.m % 10**by) / 10**by).cast(WHOLE), (F.round(p.m, -by) / 10**by).cast(WHOLE)
-        other = F.when(near == low, low + _sign(p.m)).otherwise(low).cast(WHOLE)
-        fits = [nearest(m, p.e + by) == value for m in (near, other)]
-        return F.when(fits[0], near).otherwise(other), fits[0] | fits[1]
 
-    (one, one_fits), (two, two_fits) = shorter(1), shorter(2)
-    long = F.length(F.abs(p.m).cast("string")) >= 17
-    return Parts(F.when(~long, p.m).when(two_fits, two).when(one_fits, one).otherwise(p.m), F.when(~long, p.e).when(two_fits, p.e + 2).when(one_fits, p.e + 1).otherwise(p.e))
+def _digits(m: str) -> str:
+    return f"length(CAST(abs({m}) AS STRING))"
 
 
-def nearest(m: Column, e: Column) -> Column:
-    """The double nearest to m * 10^e; m is a whole number, as a decimal or as text."""
-    out = F.concat(m.cast("string"), F.lit("E"), e.cast("string")).try_cast("double")
-    return F.when(F.abs(out) < float("inf"), out + 0.0)  # no negative zero
+def _nearest(m: str, e: str) -> str:
+    """The double nearest to m * 10^e, maybe infinite; m is a whole number, as a decimal or as text."""
+    return f"try_cast(concat(CAST({m} AS STRING), 'E', CAST({e} AS STRING)) AS DOUBLE)"
 
 
-def _held(p: Parts, use) -> Column:
-    """`use` of parts that are worked out once, so that expressions stay short."""
-    return F.get(F.transform(F.array(F.struct(p.m.alias("m"), p.e.alias("e"))), lambda t: use(Parts(t["m"], t["e"]))), F.lit(0))
+def _parts(text: str, also: dict[str, str]) -> str:
+    """A struct of m and e, of a plain decimal text, with or without exponent, of at most 38 digits."""
+    power = f"coalesce(try_cast(regexp_extract({text}, '[eE]([+-]?[0-9]+)$', 1) AS INT), 0)"
+    places = "IF(contains(h.head, '.'), regexp_replace(substring_index(h.head, '.', -1), '0+$', ''), '')"
+    more = "".join(f", '{k}', {v}" for k, v in also.items())
+    done = f"named_struct('m', try_cast(concat(substring_index(h.head, '.', 1), i.places) AS {WHOLE}), 'e', h.power - length(i.places){more})"
+    return _let("h", {"head": f"substring_index(lower({text}), 'e', 1)", "power": power}, _let("i", {"places": places}, done))
 
 
-def add(a: Parts, b: Parts) -> Column:
-    swap = a.e < b.e
-    high = Parts(F.when(swap, b.m).otherwise(a.m), F.greatest(a.e, b.e))
-    low = Parts(F.when(swap, a.m).otherwise(b.m), F.least(a.e, b.e))
-    return _held(high, lambda x: _held(low, lambda y: _added(x, y)))
+def _shortest() -> str:
+    """The parts `p` of a double `p.v` by its shortest text: Java before version 19 may write a digit or two more than needed. (It
+    also writes a few others with as many digits, but not the nearest such text, like 4.9E-324; these stay.)"""
+    found = []
+    for by in (2, 1):
+        low, near = _whole(f"(p.m - p.m % {10**by}) / {10**by}"), _whole(f"round(p.m, -{by}) / {10**by}")
+        found += [(near, by), (_whole(f"{low} + IF({near} = {low}, {_sign('p.m')}, 0)"), by)]
+    shorter = ", ".join(f"named_struct('m', {m}, 'e', p.e + {by})" for m, by in found)
+    same = "named_struct('m', p.m, 'e', p.e)"
+    return f"IF({_digits('p.m')} >= 17, coalesce(get(filter(array({shorter}), c -> {_nearest('c.m', 'c.e')} = p.v), 0), {same}), {same})"
 
 
-def _added(high: Parts, low: Parts) -> Column:
-    far = high.e - low.e > 36  # then only the sign of the lower number matters, if it has one
-    d = F.least(high.e - low.e, F.lit(36))
-    lm = F.when(far, _whole(F.signum(low.m))).otherwise(low.m)
-    e = high.e - d
-    near = nearest((high.m * _power(F.least(d, F.lit(18))) + lm).cast(WHOLE), e)
+def _add(a: Parts, b: Parts) -> str:
+    swap = f"{a.e} < {b.e}"
+    ends = {"hm": f"IF({swap}, {b.m}, {a.m})", "he": f"greatest({a.e}, {b.e})", "lm": f"IF({swap}, {a.m}, {b.m})", "le": f"least({a.e}, {b.e})"}
+    # Beyond 36 places only the sign of the lower number matters, if it has one.
+    near = {"d": "least(q.he - q.le, 36)", "m": f"IF(q.he - q.le > 36, {_whole('signum(q.lm)')}, q.lm)"}
     # The lower number's digits beyond the 18th place stay text behind those of the sum.
-    k = F.greatest(d - 18, F.lit(1))
-    rest = lm % _power(k)
-    top = (high.m * _power(F.lit(18)) + ((lm - rest) / _power(k)).cast(WHOLE)).cast(WHOLE)
-    turn = (rest != 0) & (top != 0) & (_sign(rest) != _sign(top))
-    top, rest = F.when(turn, top - _sign(top)).otherwise(top).cast(WHOLE), F.abs(F.when(turn, rest + _sign(top) * _power(k)).otherwise(rest)).cast(WHOLE)
-    sign = F.when((_sign(top) < 0) | (top == 0) & (_sign(lm) < 0), "-").otherwise("")
-    wide = nearest(F.concat(sign, F.abs(top).cast("string"), F.lpad(rest.cast("string"), k, F.lit("0"))), e)
-    return F.when(high.m == 0, nearest(low.m, low.e)).when(low.m == 0, nearest(high.m, high.e)).when(d <= 18, near).otherwise(wide)
-
+    turn = f"r.rest <> 0 AND t.top <> 0 AND {_sign('r.rest')} <> {_sign('t.top')}"
+    sign = f"IF({_sign('w.top')} < 0 OR w.top = 0 AND {_sign('z.m')} < 0, '-', '')"
+    text = f"concat({sign}, CAST(abs(w.top) AS STRING), lpad(CAST(w.rest AS STRING), r.k, '0'))"
+    signs = {"top": _whole(f"IF(t.turn, t.top - {_sign('t.top')}, t.top)"), "rest": _whole(f"abs(IF(t.turn, r.rest + {_sign('t.top')} * {_power('r.k')}, r.rest))")}
+    top = _whole(f"q.hm * {_power(18)} + {_whole(f'(z.m - r.rest) / {_power('r.k')}')}")
+    wide = _let("r", {"k": "greatest(z.d - 18, 1)", "rest": f"z.m % {_power('greatest(z.d - 18, 1)')}"}, _let("t", {"top": top}, _let("t", {"top": "t.top", "turn": turn}, _let("w", signs, _nearest(text, "q.he - z.d")))))
+    plain = _nearest(_whole(f"q.hm * {_power('z.d')} + z.m"), "q.he - z.d")
+    chosen = f"CASE WHEN q.hm = 0 THEN {_nearest('q.lm', 'q.le')} WHEN q.lm = 0 THEN {_nearest('q.hm', 'q.he')} WHEN z.d <= 18 THEN {plain} ELSE {wide} END"
+    return _let("q", ends, _let("z", near, chosen))
 
-def subtract(a: Parts, b: Parts) -> Column:
-    return add(a, Parts((-b.m).cast(WHOLE), b.e))
 
+def _subtract(a: Parts, b: Parts) -> str:
+    return _add(a, Parts(_whole(f"-{b.m}"), b.e))
 
-def multiply(a: Parts, b: Parts) -> Column:
-    return nearest((a.m * b.m).cast(WHOLE), a.e + b.e)
 
+def _multiply(a: Parts, b: Parts) -> str:
+    return _nearest(_whole(f"{a.m} * {b.m}"), f"{a.e} + {b.e}")
 
-def _filled(x: Parts) -> Parts:
-    """The size with 19 digits."""
-    n = 19 - F.length(F.abs(x.m).cast("string"))
-    return Parts((F.abs(x.m) * _power(n)).cast(WHOLE), x.e - n)
 
-
-def divide(a: Parts, b: Parts) -> Column:
-    x, y = _filled(a), _filled(b)
-    rest, out, digits = x.m, None, []
-    for _ in range(2):
-        rest = (rest * _power(F.lit(18))).cast(WHOLE)
-        after = (rest % y.m).cast(WHOLE)
-        digits.append((rest - after) / y.m)
-        rest = after
-    out = F.concat(digits[0].cast(WHOLE).cast("string"), F.lpad(digits[1].cast(WHOLE).cast("string"), 18, "0"), F.when(rest == 0, "0").otherwise("1"))
-    sign = F.when(_sign(a.m) * _sign(b.m) < 0, "-").otherwise("")
-    return F.when(b.m == 0, None).when(a.m == 0, 0.0).otherwise(nearest(F.concat(sign, out), x.e - y.e - 37))
+def _divide(a: Parts, b: Parts) -> str:
+    sizes = {}
+    for n, x in (("x", a), ("y", b)):  # both with 19 digits
+        more = f"(19 - {_digits(x.m)})"
+        sizes |= {f"{n}m": _whole(f"abs({x.m}) * {_power(more)}"), f"{n}e": f"{x.e} - {more}"}
+    one, two = {"n": _whole(f"f.xm * {_power(18)}"), "r": _whole(f"f.xm * {_power(18)} % f.ym")}, {"n": _whole(f"g.r * {_power(18)}"), "r": _whole(f"g.r * {_power(18)} % f.ym")}
+    quotient = lambda v: f"CAST({_whole(f'({v}.n - {v}.r) / f.ym')} AS STRING)"
+    text = f"concat(IF({_sign(a.m)} * {_sign(b.m)} < 0, '-', ''), {quotient('g')}, lpad({quotient('h')}, 18, '0'), IF(h.r = 0, '0', '1'))"
+    done = _let("f", sizes, _let("g", one, _let("h", two, _nearest(text, "f.xe - f.ye - 37"))))
+    return f"CASE WHEN {b.m} = 0 THEN NULL WHEN {a.m} = 0 THEN 0D ELSE {done} END"
 
 
 def _rest(a: Parts, b: Parts) -> Parts:
     """Of the sizes, for a quotient below 10^72: the remainder at the smaller of the two exponents."""
-    m, n = F.abs(a.m), F.abs(b.m)
-    k = a.e - b.e
-    r = m % n
+    m, n, k = f"abs({a.m})", f"abs({b.m})", f"({a.e} - {b.e})"
+    r = f"({m} % {n})"
     for j in range(0, 72, 18):
-        r = ((r * _power(F.greatest(F.lit(0), F.least(k - j, F.lit(18))))) % n).cast(WHOLE)
-    below = F.when(k < -19, m).otherwise(m % (n * _power(F.least(-k, F.lit(19)))).cast(WHOLE))
-    return Parts(F.when(k >= 0, r).otherwise(below).cast(WHOLE), F.least(a.e, b.e))
+        r = _whole(f"{r} * {_power(f'greatest(0, least({k} - {j}, 18))')} % {n}")
+    below = f"IF({k} < -19, {m}, {m} % {_whole(f'{n} * {_power(f'least(-{k}, 19)')}')})"
+    return Parts(_whole(f"IF({k} >= 0, {r}, {below})"), f"least({a.e}, {b.e})")
 
 
-def modulo(a: Parts, b: Parts) -> Column:
+def _modulo(a: Parts, b: Parts) -> str:
     """The dividend's sign. A quotient of more than 40 digits is NULL."""
-    digits = F.length(F.abs(a.m).cast("string")) + a.e - F.length(F.abs(b.m).cast("string")) - b.e
-    return F.when(b.m == 0, None).when(a.m == 0, 0.0).when(digits > 40, None).otherwise(_held(_rest(a, b), lambda r: nearest((r.m * _sign(a.m)).cast(WHOLE), r.e)))
+    digits = f"{_digits(a.m)} + {a.e} - {_digits(b.m)} - {b.e}"
+    rest = _rest(a, b)
+    return f"CASE WHEN {b.m} = 0 THEN NULL WHEN {a.m} = 0 THEN 0D WHEN {digits} > 40 THEN NULL ELSE {_nearest(_whole(f'{rest.m} * {_sign(a.m)}'), rest.e)} END"
 
 
-def to_multiple(a: Parts, step: Decimal) -> Column:
+def _to_multiple(a: Parts, step: Decimal) -> str:
     """The nearest multiple of a step that is not 0 and has at most 18 digits, halves away from zero."""
     _, digits, exponent = abs(step).as_tuple()
     size = int("".join(map(str, digits)))
     if size >= 10**18:
         raise ValueError("a step has at most 18 digits")
-    s = Parts(_whole(size), F.lit(exponent))
-    return _held(_rest(a, s), lambda r: _to_multiple(a, s, exponent, r))
+    s = Parts(_whole(size), f"({exponent})")
+    k = f"({a.e} - {s.e})"
+    change = f"IF(2 * r.m >= {s.m}, {s.m} - r.m, -r.m)"
+    above = _add(a, Parts(_whole(f"{_sign(a.m)} * {change}"), s.e))
+    unit = _whole(f"{s.m} * {_power(f'greatest(0, least(-{k}, 19))')}")
+    below = _nearest(_whole(f"{_sign(a.m)} * (abs({a.m}) - r.m + IF(2 * r.m >= {unit}, {unit}, {_whole(0)}))"), a.e)
+    # A step of less than its last digit changes nothing.
+    chosen = f"CASE WHEN {k} > 72 THEN {_nearest(a.m, a.e)} WHEN {k} >= 0 THEN {above} WHEN {k} < -19 THEN 0D ELSE {below} END"
+    return _let("r", {"m": _rest(a, s).m}, chosen)
+
+
+OPERATIONS: dict[str, Callable[[Parts, Parts], str]] = {"+": _add, "-": _subtract, "*": _multiply, "/": _divide, "%": _modulo}
+
+
+@lru_cache(maxsize=256)
+def _formula(name: str | Decimal) -> str:
+    """An operation on the parts of two numbers, or rounding to a step, as a function in SQL."""
+    a, b = Parts("p[0].m", "p[0].e"), Parts("p[1].m", "p[1].e")
+    result = _to_multiple(a, name) if isinstance(name, Decimal) else OPERATIONS[name](a, b)
+    return f"p -> {_finite(result)}"
+
+
+def _finite(result: str) -> str:
+    """NULL for what no double holds; no negative zero."""
+    return _let("o", {"x": result}, "IF(abs(o.x) < CAST('Infinity' AS DOUBLE), o.x + 0D, NULL)")
+
+
+PARTS, SHORTEST = f"s -> {_parts('s.t', {'v': 's.v'})}", f"p -> {_shortest()}"
 
 
-def _to_multiple(a: Parts, s: Parts, exponent: int, r: Parts) -> Column:
-    k = a.e - exponent
-    sign = _sign(a.m)
-    up = 2 * r.m >= s.m
-    change = F.when(up, s.m - r.m).otherwise(-r.m)
-    above = add(a, Parts((sign * change).cast(WHOLE), s.e))
-    step_below = (s.m * _power(F.greatest(F.lit(0), F.least(-k, F.lit(19))))).cast(WHOLE)
-    below = nearest((sign * (F.abs(a.m) - r.m + F.when(2 * r.m >= step_below, step_below).otherwise(_whole(0)))).cast(WHOLE), a.e)
-    return F.when(k > 72, nearest(a.m, a.e)).when(k >= 0, above).when(k < -19, 0.0).otherwise(below)  # a step of less than its last digit changes nothing
+def mapped(items: Column, function: str) -> Column:
+    return F.call_function("transform", items, F.expr(function))
+
+
+def work_out(name: str | Decimal, values: list[Column], kinds: list[T.DataType]) -> Column:
+    """An operation (`+ - * / %`) on two numbers, or a number rounded to a multiple of a decimal step."""
+
+    def named(x: Column, kind: T.DataType) -> Column:
+        return F.struct(x.cast("string").alias("t"), (x if isinstance(kind, T.DoubleType) else F.lit(None)).cast("double").alias("v"))
+
+    split = mapped(mapped(F.array(*map(named, values, kinds)), PARTS), SHORTEST)
+    return F.get(mapped(F.array(split), _formula(name)), F.lit(0))
 
 
 def order(a: Column, b: Column) -> Column:
@@ -172,7 +195,7 @@ def order(a: Column, b: Column) -> Column:
 
     (s, x), (t, y) = keyed(a), keyed(b)
     size = F.when(x < y, -1).when(x > y, 1).otherwise(0)
-    return F.when(a.isNull() | b.isNull(), None).when(s != t, _sign(s - t)).otherwise(s * size)
+    return F.when(a.isNull() | b.isNull(), None).when(s != t, F.signum(s - t).cast("int")).otherwise(s * size)
 
 
 # ---- sums -------------------------------------------------------------------------------------------------------
@@ -193,37 +216,43 @@ def beyond(value: Column) -> Column:
     return (value != 0) & ~((F.abs(value) >= 1e-21) & (F.abs(value) < 1e22))
 
 
+def _split() -> str:
+    """Four sums as a whole number, what is left down to the 28th place, and what is below."""
+    rests = [f"(x.{n} % {_whole(1)})" for n in "hml"]
+    whole = _whole(" + ".join(_whole(f"try_subtract(x.{n}, {r})") for n, r in zip("hml", rests, strict=True)))
+    cut = f"(x.s % CAST('{Decimal(1).scaleb(-28):f}' AS DECIMAL(38,38)))"
+    part = " + ".join(f"CAST({r} AS DECIMAL(33,28))" for r in [*rests, f"try_subtract(x.s, {cut})"])
+    over = f"CAST(y.part % {_whole(1)} AS DECIMAL(33,28))"
+    done = f"named_struct('whole', {_whole(f'y.whole + {_whole(f'y.part - {over}')}')}, 'part', {over}, 'cut', {cut})"
+    return f"x -> {_let('y', {'whole': whole, 'part': f'CAST({part} AS DECIMAL(33,28))'}, done)}"
+
+
+def _one_sign() -> str:
+    """The whole and the fraction with one sign; the fraction and what is below it as parts."""
+    turn = "CAST(CASE WHEN x.whole > 0 AND x.part < 0 THEN 1 WHEN x.whole < 0 AND x.part > 0 THEN -1 ELSE 0 END AS DECIMAL(1,0))"
+    part, cut = _parts("CAST(CAST(x.part + z.turn AS DECIMAL(33,28)) AS STRING)", {}), _parts("CAST(x.cut AS STRING)", {})
+    return f"x -> {_let('z', {'turn': turn}, f"named_struct('whole', {_whole('x.whole - z.turn')}, 'part', {part}, 'cut', {cut})")}"
+
+
+def _written() -> str:
+    """The nearest double. What is left below the 28th place only tells above from below, beside a whole number: one more digit does."""
+    signs = {"negative": "x.whole < 0 OR x.part.m < 0", "digits": _whole(f"abs(x.part.m) * {_power('x.part.e + 28')}")}
+    less = {"less": "x.cut.m <> 0 AND (x.cut.m < 0) <> n.negative"}
+    digits = f"CAST({_whole(f'CASE WHEN l.less AND n.digits = 0 THEN {_power(28)} - 1 WHEN l.less THEN n.digits - 1 ELSE n.digits END')} AS STRING)"
+    size = f"CAST({_whole('abs(x.whole) - IF(l.less AND n.digits = 0, 1, 0)')} AS STRING)"
+    text = f"concat(IF(n.negative, '-', ''), {size}, lpad({digits}, 28, '0'), CASE WHEN x.cut.m = 0 THEN '0' WHEN l.less THEN '9' ELSE '1' END)"
+    long = _let("n", signs, _let("l", less, _nearest(text, "-29")))
+    return f"x -> {_finite(f'IF(x.whole = 0, {_add(Parts("x.part.m", "x.part.e"), Parts("x.cut.m", "x.cut.e"))}, {long})')}"
+
+
+SPLIT, ONE_SIGN, WRITTEN = _split(), _one_sign(), _written()
+
+
 def total(h: Column, m: Column, l: Column, s: Column) -> Column:  # noqa: E741
     """The double nearest to the sum of four windows' sums; NULL counts as nothing."""
     h, m, l, s = (F.coalesce(x, F.lit(Decimal(0)).cast(WINDOWS[n][2])) for n, x in zip("hmls", (h, m, l, s), strict=True))  # noqa: E741
     few = l.cast("decimal(26,16)")
     plain = (m.try_cast("decimal(36,16)") + few).cast("double")
-
-    def slow(x: Column) -> Column:
-        rest = {n: x[n] % _whole(1) for n in "hml"}
-        whole = sum((F.try_subtract(x[n], rest[n]).cast(WHOLE) for n in "hml"), _whole(0)).cast(WHOLE)
-        cut = x["s"] % F.lit(Decimal(1).scaleb(-28)).cast("decimal(38,38)")
-        part = (sum((r.cast("decimal(33,28)") for r in rest.values()), F.lit(Decimal(0)).cast("decimal(33,28)")).cast("decimal(33,28)") + F.try_subtract(x["s"], cut).cast("decimal(33,28)")).cast("decimal(33,28)")
-        over = part % _whole(1)
-        return F.struct((whole + (part - over).cast(WHOLE)).cast(WHOLE).alias("whole"), over.cast("decimal(33,28)").alias("part"), cut.alias("cut"))
-
-    def signed(x: Column) -> Column:
-        """The whole and the fraction with one sign."""
-        turn = F.when((x["whole"] > 0) & (x["part"] < 0), 1).when((x["whole"] < 0) & (x["part"] > 0), -1).otherwise(0).cast("decimal(1,0)")
-        return F.struct((x["whole"] - turn).cast(WHOLE).alias("whole"), parts((x["part"] + turn).cast("decimal(33,28)").cast("string")).m.alias("m"), parts((x["part"] + turn).cast("decimal(33,28)").cast("string")).e.alias("e"), parts(x["cut"].cast("string")).m.alias("cm"), parts(x["cut"].cast("string")).e.alias("ce"))
-
-    def written(x: Column) -> Column:
-        negative = (x["whole"] < 0) | (x["m"] < 0)
-        digits = (F.abs(x["m"]) * _power(x["e"] + 28)).cast(WHOLE)
-        # What is left below the 28th place only tells above from below, beside a whole number: one more digit does.
-        less = F.when((x["cm"] != 0) & ((x["cm"] < 0) != negative), 1).otherwise(0).cast("decimal(1,0)")
-        borrow = F.when((less == 1) & (digits == 0), 1).otherwise(0).cast("decimal(1,0)")
-        digits = F.when(borrow == 1, _power(F.lit(28)) - 1).otherwise(digits - less).cast(WHOLE).cast("string")
-        last = F.when(x["cm"] == 0, "0").when(less == 1, "9").otherwise("1")
-        size = (F.abs(x["whole"]) - borrow).cast(WHOLE).cast("string")
-        long = nearest(F.concat(F.when(negative, "-").otherwise(""), size, F.lpad(digits, 28, "0"), last), F.lit(-29))
-        return F.when(x["whole"] == 0, add(Parts(x["m"], x["e"]), Parts(x["cm"], x["ce"]))).otherwise(long)
-
     held = F.array(F.struct(h.alias("h"), m.alias("m"), l.alias("l"), s.alias("s")))
-    exactly = F.get(F.transform(F.transform(F.transform(held, slow), signed), written), F.lit(0))
+    exactly = F.get(mapped(mapped(mapped(held, SPLIT), ONE_SIGN), WRITTEN), F.lit(0))
     return F.when((h == 0) & (s == 0) & (few == l) & plain.isNotNull(), plain + 0.0).otherwise(exactly)

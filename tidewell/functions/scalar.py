@@ -79,7 +79,7 @@ SMALL = (T.ByteType, T.ShortType, T.IntegerType, T.BooleanType)
 def _once(df: DataFrame, value: Column, use: Callable[[Column], Column]) -> Column:
     """`use` of a value that it may name often: a column of the table goes in as it is; anything else is worked out
     once and bound to a name, as nested expressions would otherwise be repeated at every level."""
-    if df.select(value).columns[0] in df.columns:
+    if str(value).removeprefix("Column<'").removesuffix("'>") in df.columns:
         return use(value)
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
@@ -101,35 +101,18 @@ def _units(value: Column, kind: T.DataType, places: int) -> tuple[Column, Column
     return units, (F.abs(units) <= WHOLE) & (units / 10.0**places == value.cast("double"))
 
 
-def _slowly(x: Column, y: Column, kinds: list[T.DataType], work: Callable[[exact.Parts, exact.Parts], Column]) -> Column:
-    """Exact arithmetic on the decimal texts of two numbers; in a lambda, so that it takes no room in generated code."""
-
-    def held(p: exact.Parts, v: Column) -> Column:
-        return F.struct(p.m.alias("m"), p.e.alias("e"), v.alias("v"))
-
-    def cut(t: Column, kind: T.DataType) -> Column:
-        p = exact.Parts(t["m"], t["e"])
-        return held(exact.shortest(p, t["v"]) if isinstance(kind, (T.DoubleType, T.FloatType)) else p, t["v"])
-
-    both = F.array(F.struct(x.alias("x"), y.alias("y")))
-    split = F.transform(both, lambda t: F.struct(*[held(exact.parts(t[n].cast("string")), t[n]).alias(n) for n in "xy"]))
-    split = F.transform(split, lambda t: F.struct(*[cut(t[n], k).alias(n) for n, k in zip("xy", kinds, strict=True)]))
-    return F.get(F.transform(split, lambda t: work(exact.Parts(t["x"]["m"], t["x"]["e"]), exact.Parts(t["y"]["m"], t["y"]["e"]))), F.lit(0))
-
-
 def _exactly(df: DataFrame, a: Column, b: Column, name: str) -> Column:
     """Whole units where both numbers have few places, which gives the same result faster, else decimal parts."""
     kinds = [type_of(df, a), type_of(df, b)]
     places = 4 if name == "*" else 6
     plain = {"+": lambda x, y: x + y, "-": lambda x, y: x - y, "*": lambda x, y: x * y, "%": F.try_mod, "/": F.try_divide}[name]
-    slow = {"+": exact.add, "-": exact.subtract, "*": exact.multiply, "%": exact.modulo, "/": exact.divide}[name]
     divisor = {"*": 100_000_000.0, "/": 1.0}.get(name, 1_000_000.0)
 
     def use(x: Column, y: Column) -> Column:
         (u, u_fits), (v, v_fits) = (_units(c, k, places) for c, k in zip((x, y), kinds, strict=True))
         units = plain(u, v)
         few = u_fits & v_fits if name in "/%" else u_fits & v_fits & (F.abs(units) <= WHOLE)
-        return F.when(true(few), units / divisor + 0.0).otherwise(_slowly(x, y, kinds, slow))  # + 0.0: no negative zero
+        return F.when(true(few), units / divisor + 0.0).otherwise(exact.work_out(name, [x, y], kinds))  # + 0.0: no negative zero
 
     bind = lambda c, k, f: f(c) if isinstance(k, SMALL) else _once(df, c, f)
     return bind(a, kinds[0], lambda x: bind(b, kinds[1], lambda y: use(x, y)))
@@ -195,7 +178,7 @@ def round_to(df: DataFrame, x: Column, multiple: str | int = 1) -> Column:
     size = step * 10**8
 
     def near(v: Column) -> Column:
-        slow = _slowly(v, F.lit(0), [kind, T.IntegerType()], lambda a, _: exact.to_multiple(a, step))
+        slow = exact.work_out(step, [v], [kind])
         if size != int(size) or size > 10**15:
             return slow
         units, fits = _units(v, kind, 8)
