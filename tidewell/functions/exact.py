@@ -211,6 +211,12 @@ def windows(value: Column) -> dict[str, Column]:
     return {n: F.when((size >= low) & (size < high), value.try_cast(kind)) for n, (low, high, kind) in WINDOWS.items()}
 
 
+def units(value: Column) -> tuple[Column, Column]:
+    """Whether a double is a whole number of ten-thousandths below 10^9, and that number; most are, and sum as integers."""
+    near = F.rint(value * 10_000.0)
+    return (F.abs(near) <= 1e13) & (near / 10_000.0 == value), near.cast("long")
+
+
 def beyond(value: Column) -> Column:
     """Whether a double is in no window: 1e22 and more, or less than 1e-21, but not 0."""
     return (value != 0) & ~((F.abs(value) >= 1e-21) & (F.abs(value) < 1e22))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -35,19 +36,32 @@ class Agg:
 
 
 def exact_sum(column: Column, kind: T.DataType) -> Column:
-    """The double nearest to the exact sum, in whatever order and parts it is worked out. Doubles are summed as decimals, in
-    four windows by size; where one of them is 1e22 and more, or below 1e-21, or 10^10 of them fill a window, the sum is one
+    """The double nearest to the exact sum, in whatever order and parts it is worked out. Doubles of few places are
+    summed as integers, others as decimals in four windows by size; where one of them is 1e22 and more, or below 1e-21, or 10^10 of them fill a window, the sum is one
     of doubles."""
     if isinstance(kind, T.IntegralType):
         return F.sum(column.cast("decimal(20,0)")).cast("double")
     if isinstance(kind, T.DecimalType):
         return F.coalesce(F.try_sum(column).cast("double"), F.sum(column.cast("double")))
     value = column.cast("double")
-    windows = exact.windows(value).values()
-    sums = exact.total(*map(F.try_sum, windows))
-    odd = F.count_if(exact.beyond(value)) > 0  # NaN and infinities too
-    full = reduce(lambda a, b: a | b, (F.try_sum(w).isNull() & (F.count(w) > 0) for w in windows))
-    return F.when(odd | full, F.sum(value)).when(F.count(value) > 0, sums)
+    few, units = exact.units(value)
+    high, low = F.try_sum(F.when(few, F.shiftright(units, HALF))), F.try_sum(F.when(few, units.bitwiseAND(F.lit((1 << HALF) - 1))))
+    windows = exact.windows(F.when(~few, value))
+    sums = {n: F.try_sum(w) for n, w in windows.items()}
+    whole = F.coalesce(high.cast("decimal(19,0)"), F.lit(0)) * F.lit(Decimal(1 << HALF)) + F.coalesce(low.cast("decimal(19,0)"), F.lit(0))
+    middle = (F.coalesce(sums["m"], F.lit(Decimal(0))) + (whole * F.lit(Decimal("0.0001"))).try_cast(exact.WINDOWS["m"][2])).try_cast(exact.WINDOWS["m"][2])
+    # What there is, as bits: a sum that is NULL although it had values is too large.
+    kinds = F.when(few, 1)
+    for i, w in enumerate(windows.values()):
+        kinds = kinds.when(w.isNotNull(), 2 << i)
+    seen = F.bit_or(kinds.when(value.isNotNull(), 32))
+    has = lambda bit: seen.bitwiseAND(F.lit(bit)) != 0
+    full = reduce(lambda a, b: a | b, (has(2 << i) & sums[n].isNull() for i, n in enumerate(windows)), (has(1) & (high.isNull() | low.isNull())) | middle.isNull())
+    exactly = exact.total(sums["h"], middle, sums["l"], sums["s"])
+    return F.when(has(32) | full, F.sum(value)).when(seen.isNotNull(), exactly)
+
+
+HALF = 26  # bits of a number of units that are summed apart, so that no sum of 10^11 overflows
 
 
 def aggregate(df: DataFrame, a: Agg) -> Column:
