@@ -172,6 +172,11 @@ def mapped(items: Column, function: str) -> Column:
     return F.call_function("transform", items, F.expr(function))
 
 
+def finite(value: Column) -> Column:
+    """A double, or NULL for NaN and infinities; a long expression is named once."""
+    return F.get(mapped(F.array(value), "o -> IF(abs(o) < CAST('Infinity' AS DOUBLE), o, NULL)"), F.lit(0))
+
+
 def work_out(name: str | Decimal, values: list[Column], kinds: list[T.DataType]) -> Column:
     """An operation (`+ - * / %`) on two numbers, or a number rounded to a multiple of a decimal step."""
 
@@ -262,3 +267,37 @@ def total(h: Column, m: Column, l: Column, s: Column) -> Column:  # noqa: E741
     held = F.array(F.struct(h.alias("h"), m.alias("m"), l.alias("l"), s.alias("s")))
     exactly = F.get(mapped(mapped(mapped(held, SPLIT), ONE_SIGN), WRITTEN), F.lit(0))
     return F.when((h == 0) & (s == 0) & (few == l) & plain.isNotNull(), plain + 0.0).otherwise(exactly)
+
+
+#: Bits of a number of units that are summed apart, so that no sum of 10^11 of them overflows.
+HALF = 26
+
+
+def _finish() -> str:
+    """The sum from what `sums` gathers; one of doubles where a window's sum is too large or a double is in no window."""
+    zero = lambda n, kind: f"coalesce(t.{n}, CAST(0 AS {kind}))"
+    units = f"CAST({zero('high', 'BIGINT')} AS DECIMAL(19,0)) * {1 << HALF} + CAST({zero('low', 'BIGINT')} AS DECIMAL(19,0))"
+    kinds = {n: kind for n, (_, _, kind) in WINDOWS.items()}
+    values = {n: zero(n, kind) for n, kind in kinds.items()} | {"m": f"try_cast({zero('m', kinds['m'])} + try_cast(({units}) * 0.0001BD AS {kinds['m']}) AS {kinds['m']})"}
+    full = " OR ".join([f"t.seen & {2 << i} <> 0 AND t.{n} IS NULL" for i, n in enumerate(WINDOWS)] + ["t.seen & 1 <> 0 AND (t.high IS NULL OR t.low IS NULL)", "v.m IS NULL", "t.seen & 32 <> 0"])
+    plain = "CAST(try_cast(v.m AS DECIMAL(36,16)) + CAST(v.l AS DECIMAL(26,16)) AS DOUBLE)"
+    fast = f"v.h = 0 AND v.s = 0 AND CAST(v.l AS DECIMAL(26,16)) = v.l AND {plain} IS NOT NULL"
+    slow = f"get(transform(transform(transform(array(v), {SPLIT}), {ONE_SIGN}), {WRITTEN}), 0)"
+    return "t -> " + _let("v", values, f"CASE WHEN t.seen IS NULL THEN NULL WHEN {full} THEN t.plain WHEN {fast} THEN {plain} + 0D ELSE {slow} END")
+
+
+FINISH = _finish()
+
+
+def summed(value: Column) -> Column:
+    """The sum of doubles: those of few places are summed as integers in two halves, others as decimals by size; `seen` has a bit
+    for each kind there is, so a sum that is NULL although it had values is known to be too large."""
+    few, near = units(value)
+    others = windows(F.when(~few, value))
+    seen = F.when(few, 1)
+    for i, w in enumerate(others.values()):
+        seen = seen.when(w.isNotNull(), 2 << i)
+    gathered = [F.try_sum(F.when(few, F.shiftright(near, HALF))).alias("high"), F.try_sum(F.when(few, near.bitwiseAND(F.lit((1 << HALF) - 1)))).alias("low")]
+    gathered += [F.try_sum(w).alias(n) for n, w in others.items()]
+    gathered += [F.bit_or(seen.when(value.isNotNull(), 32)).alias("seen"), F.sum(value).alias("plain")]
+    return F.get(mapped(F.array(F.struct(*gathered)), FINISH), F.lit(0))

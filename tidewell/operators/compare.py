@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.types import NUMBER, family, finite, is_number
+from ..functions.types import NUMBER, family, is_number
 from ..sources.tables import checkpoint_dir
 from .pairing import nearest_pairs
 from .summarize import exact_sum
@@ -130,8 +130,8 @@ def _measures(name: str, kind: T.DataType, e: Column, a: Column, tolerance: Tole
     parts += [F.coalesce(F.bool_and(F.when(d, x)), F.lit(False)).alias(k) for k, x in _explanations(e, a, kind, tolerance).items()]
     if is_number(kind):
         for side, v in (("e", e), ("a", a)):
-            x = finite(v) if isinstance(kind, (T.DoubleType, T.FloatType)) else v
-            parts += [exact_sum(x, kind).alias(f"sum_{side}"), exact_sum(F.abs(x), kind).alias(f"size_{side}"), F.min(x).cast("double").alias(f"min_{side}"), F.max(x).cast("double").alias(f"max_{side}"), F.count(x).alias(f"n_{side}")]
+            x = F.when(F.abs(v) < float("inf"), v) if isinstance(kind, (T.DoubleType, T.FloatType)) else v  # `finite` nests deeper than generated code can
+            parts += [exact_sum(x, kind).alias(f"sum_{side}"), F.sum(F.abs(x.cast("double"))).alias(f"size_{side}"), F.min(x).cast("double").alias(f"min_{side}"), F.max(x).cast("double").alias(f"max_{side}"), F.count(x).alias(f"n_{side}")]
     elif isinstance(kind, T.StringType):
         for side, v in (("e", e), ("a", a)):
             parts += [F.min(F.length(v)).alias(f"min_{side}"), F.max(F.length(v)).alias(f"max_{side}"), F.count(v).alias(f"n_{side}")]

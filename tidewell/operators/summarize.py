@@ -3,15 +3,13 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from decimal import Decimal
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import exact
-from ..functions.types import finite, is_number, to_text
+from ..functions.types import is_number, to_text
 from .rows import need
 
 
@@ -43,25 +41,7 @@ def exact_sum(column: Column, kind: T.DataType) -> Column:
         return F.sum(column.cast("decimal(20,0)")).cast("double")
     if isinstance(kind, T.DecimalType):
         return F.coalesce(F.try_sum(column).cast("double"), F.sum(column.cast("double")))
-    value = column.cast("double")
-    few, units = exact.units(value)
-    high, low = F.try_sum(F.when(few, F.shiftright(units, HALF))), F.try_sum(F.when(few, units.bitwiseAND(F.lit((1 << HALF) - 1))))
-    windows = exact.windows(F.when(~few, value))
-    sums = {n: F.try_sum(w) for n, w in windows.items()}
-    whole = F.coalesce(high.cast("decimal(19,0)"), F.lit(0)) * F.lit(Decimal(1 << HALF)) + F.coalesce(low.cast("decimal(19,0)"), F.lit(0))
-    middle = (F.coalesce(sums["m"], F.lit(Decimal(0))) + (whole * F.lit(Decimal("0.0001"))).try_cast(exact.WINDOWS["m"][2])).try_cast(exact.WINDOWS["m"][2])
-    # What there is, as bits: a sum that is NULL although it had values is too large.
-    kinds = F.when(few, 1)
-    for i, w in enumerate(windows.values()):
-        kinds = kinds.when(w.isNotNull(), 2 << i)
-    seen = F.bit_or(kinds.when(value.isNotNull(), 32))
-    has = lambda bit: seen.bitwiseAND(F.lit(bit)) != 0
-    full = reduce(lambda a, b: a | b, (has(2 << i) & sums[n].isNull() for i, n in enumerate(windows)), (has(1) & (high.isNull() | low.isNull())) | middle.isNull())
-    exactly = exact.total(sums["h"], middle, sums["l"], sums["s"])
-    return F.when(has(32) | full, F.sum(value)).when(seen.isNotNull(), exactly)
-
-
-HALF = 26  # bits of a number of units that are summed apart, so that no sum of 10^11 overflows
+    return exact.summed(column.cast("double"))
 
 
 def aggregate(df: DataFrame, a: Agg) -> Column:
@@ -77,9 +57,9 @@ def aggregate(df: DataFrame, a: Agg) -> Column:
     if a.action in ("sum", "avg") and not is_number(kind):
         raise TypeError(f"{a.action} of {kind.simpleString()}")
     if a.action == "sum":
-        out = F.try_sum(column).try_cast(kind) if isinstance(kind, T.DecimalType) else finite(exact_sum(column, kind))
+        out = F.try_sum(column).try_cast(kind) if isinstance(kind, T.DecimalType) else exact.finite(exact_sum(column, kind))
     elif a.action == "avg":
-        out = finite(F.try_divide(exact_sum(column, kind), F.count(column).cast("double")))
+        out = exact.finite(F.try_divide(exact_sum(column, kind), F.count(column).cast("double")))
     elif a.action == "count_non_null":
         out = F.count(column)
     elif a.action == "count_distinct":
