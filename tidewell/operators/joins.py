@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import reduce
+from math import comb
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -129,36 +130,67 @@ def fuzzy_match(left: DataFrame, right: DataFrame, on: tuple[str, str], block: C
 def fuzzy_join(left: DataFrame, right: DataFrame, on: tuple[str, str], max_distance: int) -> DataFrame:
     """All pairs of rows whose texts are at most `max_distance` edits apart, with `distance`; NULL matches nothing.
 
-    A text cut into max_distance + 1 segments has one that no edit touches, and that is found in the other text at most
-    max_distance places away. So texts meet by (length, number of the segment, segment) and are then tested. Each different
-    text is looked up once, however many rows have it; a segment that many texts share is dealt out by a hash of the text.
+    Two short texts that are near have a text in common that is left of each when up to max_distance characters are taken away, so they
+    meet by what can be left of them; a beginning or end that many share doesn't bring these together. Of longer texts too
+    much can be left: cut into max_distance + 1 segments, one has a segment that no edit touches, and that is found in the other
+    at most max_distance places away, so they meet by (length, number of the segment, segment). What has met is then tested. Each
+    different text is looked up once, however many rows have it; what many texts share is dealt out by a hash of the text.
     """
-    k, names = max_distance, _prefixed(left, right)
+    k, names, short = max_distance, _prefixed(left, right), _short(max_distance)
     (a,), (b,) = need(left, on[0]), need(right, on[1])
     renamed = right.toDF(*names)
     other = dict(zip(right.columns, names, strict=True))[b]
     cut = lambda n, i: F.floor(n * i / (k + 1)).cast("int")  # noqa: E731  where segment i of a text of n characters begins
     mine = left.select(F.col(f"`{a}`").alias("__x")).filter("__x is not null").distinct()
     theirs = renamed.select(F.col(f"`{other}`").alias("__y")).filter("__y is not null").distinct()
-    segments = F.transform(F.sequence(F.lit(0), F.lit(k)), lambda i: F.struct(F.length("__y").alias("n"), i.alias("i"), F.substring("__y", cut(F.length("__y"), i) + 1, cut(F.length("__y"), i + 1) - cut(F.length("__y"), i)).alias("s")))
-    indexed = theirs.select("__y", F.inline(segments)).withColumn("part", F.pmod(F.xxhash64("__y"), F.lit(PARTS)).cast("int"))
+    key = lambda n, i, text: F.struct(n.cast("int").alias("n"), i.cast("int").alias("i"), F.xxhash64(text).alias("s"))
+    none = F.array().cast("array<struct<n:int,i:int,s:bigint>>")
+    rests = lambda text: F.transform(_left_of(text, k), lambda v: key(F.lit(-1), F.lit(-1), v))
+    segments = F.transform(F.sequence(F.lit(0), F.lit(k)), lambda i: key(F.length("__y"), i, F.substring("__y", cut(F.length("__y"), i) + 1, cut(F.length("__y"), i + 1) - cut(F.length("__y"), i))))
+    indexed = theirs.select("__y", F.inline(F.when(F.length("__y") <= short, rests(F.col("__y"))).otherwise(segments))).withColumn("part", F.pmod(F.xxhash64("__y"), F.lit(PARTS)).cast("int"))
 
     def looked_for(n: Column) -> Column:
         def around(i: Column) -> Column:
             size, begin = cut(n, i + 1) - cut(n, i), cut(n, i)
             places = F.filter(F.sequence(begin - k, begin + k), lambda p: (p >= 0) & (p + size <= F.length("__x")))
-            return F.transform(places, lambda p: F.struct(n.alias("n"), i.alias("i"), F.substring("__x", p + 1, size).alias("s")))
+            return F.transform(places, lambda p: key(n, i, F.substring("__x", p + 1, size)))
 
         return F.flatten(F.transform(F.sequence(F.lit(0), F.lit(k)), around))
 
-    lengths = F.sequence(F.greatest(F.length("__x") - k, F.lit(0)), F.length("__x") + k)
-    asked = mine.select("__x", F.inline(F.array_distinct(F.flatten(F.transform(lengths, looked_for)))))
+    lengths = F.filter(F.sequence(F.greatest(F.length("__x") - k, F.lit(0)), F.length("__x") + k), lambda n: n > short)
+    wanted = F.concat(F.when(F.length("__x") - k <= short, rests(F.col("__x"))).otherwise(none), F.flatten(F.transform(lengths, looked_for)))
+    asked = mine.select("__x", F.inline(F.array_distinct(wanted)))
     often = indexed.groupBy("n", "i", "s").agg(F.count(F.lit(1)).alias("__many")).filter(F.col("__many") > PARTS * PARTS).select("n", "i", "s", F.lit(PARTS).alias("__parts"))
     dealt = asked.join(often, ["n", "i", "s"], "left").withColumn("part", F.explode(F.when(F.col("__parts").isNotNull(), F.sequence(F.lit(0), F.lit(PARTS - 1))).otherwise(F.array(F.lit(-1)))))
     stored = indexed.join(often, ["n", "i", "s"], "left").withColumn("part", F.when(F.col("__parts").isNull(), -1).otherwise(F.col("part")))
-    met = dealt.select("__x", "n", "i", "s", "part").join(stored.select("__y", "n", "i", "s", "part"), ["n", "i", "s", "part"]).select("__x", "__y").distinct()
+    # What is small in bytes may meet often, so it is not put together in few tasks.
+    by = [int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")), "n", "i", "s", "part"]
+    met = dealt.select("__x", "n", "i", "s", "part").repartition(*by).join(stored.select("__y", "n", "i", "s", "part").repartition(*by), ["n", "i", "s", "part"]).select("__x", "__y").distinct()
     near = met.withColumn("distance", F.levenshtein("__x", "__y", k)).filter("distance >= 0")
-    return left.join(near, F.col(f"`{a}`") == F.col("__x")).join(renamed, F.col("__y") == F.col(f"`{other}`")).select(*[F.col(f"`{c}`") for c in [*left.columns, *names]], "distance")
+    # Small tables may have many pairs, so these are spread before they multiply.
+    pairs = left.join(near, F.col(f"`{a}`") == F.col("__x")).repartition(4 * left.sparkSession.sparkContext.defaultParallelism)
+    return pairs.join(renamed, F.col("__y") == F.col(f"`{other}`")).select(*[F.col(f"`{c}`") for c in [*left.columns, *names]], "distance")
 
 
-PARTS = 32  # into which a segment that more than PARTS * PARTS texts share is dealt
+def _left_of(text: Column, k: int) -> Column:
+    """All that can be left of a text when up to k characters are taken away, itself included."""
+
+    def less(v: Column) -> Column:
+        taken = F.transform(F.sequence(F.lit(1), F.length(v)), lambda i: F.concat(F.substring(v, F.lit(1), i - 1), F.substring(v, i + 1, F.length(v))))
+        return F.when(F.length(v) > 0, taken).otherwise(F.array().cast("array<string>"))
+
+    if k == 0:
+        return F.array(text)
+    return F.aggregate(F.sequence(F.lit(1), F.lit(k)), F.array(text), lambda known, _: F.array_distinct(F.concat(known, F.flatten(F.transform(known, less)))))
+
+
+def _short(k: int) -> int:
+    """The greatest length of which all that can be left has at most `WRITTEN` characters in all."""
+    n = 0
+    while k and (n + 1) * sum(comb(n + 1, j) for j in range(k + 1)) <= WRITTEN:
+        n += 1
+    return n if k else 2**31 - 1
+
+
+WRITTEN = 50_000
+PARTS = 32  # into which what more than PARTS * PARTS texts share is dealt
