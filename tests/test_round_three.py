@@ -27,3 +27,14 @@ def test_short_and_long_texts_meet(spark, limit, monkeypatch):
     for k in (1, 2):
         every = df.crossJoin(df.select(C("t").alias("u"))).filter(F.levenshtein("t", "u") <= k).collect()
         assert sorted(map(tuple, every)) == sorted((r.t, r.Right_t) for r in joins.fuzzy_join(df, df, ("t", "t"), k).collect())
+
+
+def test_a_running_total_does_not_hang_on_the_order_of_rows(spark, tmp_path):
+    rows = [(1, 1, float(p)) for p in (3, 1, 2)] + [(2, 1, 5.0)]
+    found = []
+    for i, part in enumerate((rows, rows[::-1])):
+        items = spark.createDataFrame(part, "l_orderkey long, l_linenumber int, l_extendedprice double").coalesce(1)
+        items.withColumn("l_shipdate", F.lit("1995-01-01").cast("timestamp_ntz")).write.parquet(f"{tmp_path}/{i}/lineitem.parquet")
+        joined = queries.w5_one_huge_group(spark, f"{tmp_path}/{i}").select("l_orderkey", (C("run") * 1e10).alias("run"))
+        found.append(sorted((r.l_orderkey, round(r.run)) for r in joined.collect()))
+    assert found == [[(1, 1), (1, 3), (1, 6), (2, 11)]] * 2
