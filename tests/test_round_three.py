@@ -29,6 +29,15 @@ def test_short_and_long_texts_meet(spark, limit, monkeypatch):
         assert sorted(map(tuple, every)) == sorted((r.t, r.Right_t) for r in joins.fuzzy_join(df, df, ("t", "t"), k).collect())
 
 
+def test_blocks_stay_of_one_size(spark, monkeypatch):
+    monkeypatch.setattr(order, "BLOCK", 100, raising=False)
+    df = spark.range(5000).select("id", (C("id") % 7).cast("double").alias("v"))
+    held, blocks = order._in_blocks(df, [C("id").asc()])
+    assert blocks == 50 and held.groupBy("__block").count().agg(F.max("count")).first()[0] < 400
+    got = {r.id: r.run for r in order.running_total(df, "v", "run", ["id"]).collect()}
+    assert all(got[i] == sum(j % 7 for j in range(i + 1)) for i in (0, 99, 2500, 4999)) and len(got) == 5000
+
+
 def test_a_running_total_does_not_hang_on_the_order_of_rows(spark, tmp_path):
     rows = [(1, 1, float(p)) for p in (3, 1, 2)] + [(2, 1, 5.0)]
     found = []
