@@ -47,3 +47,12 @@ def test_a_running_total_does_not_hang_on_the_order_of_rows(spark, tmp_path):
         joined = queries.w5_one_huge_group(spark, f"{tmp_path}/{i}").select("l_orderkey", (C("run") * 1e10).alias("run"))
         found.append(sorted((r.l_orderkey, round(r.run)) for r in joined.collect()))
     assert found == [[(1, 1), (1, 3), (1, 6), (2, 11)]] * 2
+
+
+def test_the_log_deals_its_table_over_as_many_tasks_as_there_are(spark, tmp_path, monkeypatch):
+    spark.range(40).select(C("id").alias("l_orderkey")).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.range(40).select(C("id").alias("o_orderkey"), C("id").alias("o_custkey")).write.parquet(f"{tmp_path}/orders.parquet")
+    seen, plain = [], checks.reconcile
+    monkeypatch.setattr(checks, "reconcile", lambda real, shadow: seen.append(shadow) or plain(real, shadow))
+    assert queries.c24_run_log(spark, str(tmp_path)).count() == 2
+    assert "RoundRobinPartitioning(5)" not in seen[0]._jdf.queryExecution().toString() and "REBALANCE" in seen[0]._jdf.queryExecution().toString()
