@@ -109,3 +109,10 @@ def test_shapes(spark, docs, rows, no_docs):
     assert model.thresholds == (2.0,) * 4 and pii.find(no_docs, model).count() == 0
     out = pii.find(docs, model)
     assert out.columns == [*[c for c in docs.columns if c != "kinds"], "kinds", "starts", "ends", "base"] and out.count() == len(rows)
+
+
+def test_rare_combinations_are_learned_from(spark, found, monkeypatch):
+    _, docs, model, _ = found
+    monkeypatch.setattr(pii, "MAX_COMBINATIONS", 2, raising=False)
+    again = pii.train(docs)
+    assert len(again.trees) == len(model.trees) and again.base == pytest.approx(model.base)

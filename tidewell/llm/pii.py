@@ -45,7 +45,6 @@ DOUBTS = r"(?i)(?:token|secret|key|hash|isbn|issn|order|invoice|serial|version|r
 CONTEXT = 24  # characters of the text before that give context
 
 TREES, DEPTH, RATE, RIDGE = 8, 3, 0.5, 1.0
-MAX_COMBINATIONS = 20_000  # feature combinations that trees are grown on, the most frequent first
 PRECISION, LEAST, UNTRIED = 0.9, 0.5, 0.9  # thresholds: share of right proposals, lowest score, score without held-out rows
 FEATURES = ("kind", "digits", "checksum", "parts", "letter_before", "letter_after", "groups", "longest", "different", "ending", "hint", "sign_before")
 
@@ -226,10 +225,10 @@ def _grow(rows: DataFrame, model: Model) -> tuple | float:
 
 def train(docs: DataFrame, text_col: str = "text") -> Model:
     """Trees and thresholds from all labelled proposals of `docs`, counted by their features. Without right proposals the model
-    selects nothing. Of more than MAX_COMBINATIONS combinations the most frequent are learned from; a combination weighs
-    by the logarithm of its count, so copies of one text don't rule."""
+    selects nothing. All combinations are learned from; each weighs by the logarithm of its count, so copies of one text
+    don't rule."""
     each = _proposals(docs.select(F.col(f"`{text_col}`").alias("text")), "text").select(F.explode_outer("__all").alias("c")).filter("c.label is not null").select("c.f", F.col("c.label").alias("y"))  # outer: no filter on the whole expression is pushed down
-    counted = each.groupBy("f").agg(F.sum("y").alias("good"), F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), "f").limit(MAX_COMBINATIONS)
+    counted = each.groupBy("f").agg(F.sum("y").alias("good"), F.count(F.lit(1)).alias("n"))
     rows = stored(counted.select("f", (F.col("good") / F.col("n")).alias("y"), (1 + F.log("n")).alias("w"), (F.pmod(F.xxhash64("f"), F.lit(4)) == 0).alias("held")), "features")
     sums = rows.filter("not held").agg(F.coalesce(F.sum(F.col("w") * F.col("y")), F.lit(0.0)).alias("good"), F.coalesce(F.sum("w"), F.lit(0.0)).alias("n")).first()
     if not sums.good:
