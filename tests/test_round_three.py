@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import random
 import time
+from decimal import Decimal, localcontext
 
 import pytest
 from pyspark.sql import functions as F
 
+from tidewell.functions import exact, scalar
 from tidewell.operators import checks, joins, order
 from tidewell.plans import queries
 
@@ -56,3 +59,29 @@ def test_the_log_deals_its_table_over_as_many_tasks_as_there_are(spark, tmp_path
     monkeypatch.setattr(checks, "reconcile", lambda real, shadow: seen.append(shadow) or plain(real, shadow))
     assert queries.c24_run_log(spark, str(tmp_path)).count() == 2
     assert "RoundRobinPartitioning(5)" not in seen[0]._jdf.queryExecution().toString() and "REBALANCE" in seen[0]._jdf.queryExecution().toString()
+
+
+def _small_and_large(rnd) -> float:
+    kind = rnd.randint(0, 5)
+    n = rnd.choice([-1, 1]) * rnd.randint(0, 10 ** rnd.randint(1, 9))
+    return [n / 1e4, n / 1e13, n / 1e15, n * 1e9, rnd.uniform(-1, 1), float(n)][kind]
+
+
+@pytest.mark.parametrize("name", ["+", "-", "*", "/", "%"])
+def test_other_units_give_the_double_nearest_to_the_exact_result(spark, name):
+    rnd = random.Random(name)
+    rows = [(_small_and_large(rnd), _small_and_large(rnd)) for _ in range(1500)]
+    df = spark.createDataFrame(rows, "a double, b double").withColumn("s", F.lit(None).cast("double"))
+    with localcontext() as c:
+        c.prec = 200
+        for r in df.select("a", "b", scalar._by_other_units(C("a"), C("b"), name, C("s")).alias("x"), C("a").cast("string").alias("t"), C("b").cast("string").alias("u")).filter("x is not null").collect():
+            p, q = Decimal(r.t), Decimal(r.u)
+            want = {"+": p + q, "-": p - q, "*": p * q}[name] if name in "+-*" else p / q if name == "/" else p - q * int(p / q)
+            assert r.x == float(want), (r, want)
+
+
+def test_small_and_large_numbers_need_no_decimals(spark, monkeypatch):
+    monkeypatch.setattr(exact, "work_out", lambda *_: F.lit(None).cast("double"))
+    df = spark.createDataFrame([(1.2345e-9, 0.07, 21.0)], "x double, d double, q double")
+    got = df.select(scalar.add(df, C("x"), F.lit(1e-13)), scalar.modulo(df, C("x"), F.lit(7e-13)), scalar.divide(df, F.lit(1), C("x")), scalar.multiply(df, C("d"), F.lit(1e-7)), scalar.multiply(df, C("q"), F.lit(3e13)), scalar.round_to(df, C("x"), "1e-12")).first()
+    assert list(got) == [1.2346e-9, 4e-13, 1 / 1.2345e-9, 7e-9, 6.3e14, 1.235e-9]

@@ -101,6 +101,38 @@ def _units(value: Column, kind: T.DataType, places: int) -> tuple[Column, Column
     return units, (F.abs(units) <= WHOLE) & (units / 10.0**places == value.cast("double"))
 
 
+FINE, COARSE, SURE = 1e15, 1e9, 1e15  # units a whole number has, numbers a unit has, and the most units, of 15 digits, that stand for one double
+
+
+def _fine(value: Column) -> tuple[Column, Column]:
+    """As `_units`, for numbers of up to 15 places that are at most 1."""
+    units = F.rint(value.cast("double") * FINE)
+    return units, (F.abs(units) <= SURE) & (units / FINE == value.cast("double"))
+
+
+def _coarse(value: Column) -> tuple[Column, Column]:
+    """As `_units`, for multiples of 10^9."""
+    units = F.rint(value.cast("double") / COARSE)
+    return units, (F.abs(units) <= SURE) & (units * COARSE == value.cast("double"))
+
+
+def _by_other_units(x: Column, y: Column, name: str, slow: Column) -> Column:
+    """What units of a few places can't do, in fine or coarse ones: a whole number below 2^53 divided or multiplied by a power of
+    ten up to 10^22 is rounded once. `slow` is for the rest."""
+    (u, u_fine), (v, v_fine) = _fine(x), _fine(y)
+    if name != "*":
+        result = {"+": u + v, "-": u - v, "%": F.try_mod(u, v), "/": F.try_divide(u, v)}[name]
+        return F.when(true(u_fine & v_fine), (result if name == "/" else result / FINE) + 0.0).otherwise(slow)
+    kinds = lambda c: {4: _units(c, T.DoubleType(), 4), 15: _fine(c), -9: _coarse(c)}
+    a, b, out = kinds(x), kinds(y), None
+    for i, j in ((15, 4), (4, 15), (4, -9), (-9, 4)):
+        (u, u_fits), (v, v_fits) = a[i], b[j]
+        value = u * v / 10.0 ** (i + j) if i + j > 0 else u * v * 10.0 ** -(i + j)
+        fits = true(u_fits & v_fits & (F.abs(u * v) <= WHOLE))
+        out = F.when(fits, value + 0.0) if out is None else out.when(fits, value + 0.0)
+    return out.otherwise(slow)
+
+
 def _exactly(df: DataFrame, a: Column, b: Column, name: str) -> Column:
     """Whole units where both numbers have few places, which gives the same result faster, else decimal parts."""
     kinds = [type_of(df, a), type_of(df, b)]
@@ -112,7 +144,9 @@ def _exactly(df: DataFrame, a: Column, b: Column, name: str) -> Column:
         (u, u_fits), (v, v_fits) = (_units(c, k, places) for c, k in zip((x, y), kinds, strict=True))
         units = plain(u, v)
         few = u_fits & v_fits if name in "/%" else u_fits & v_fits & (F.abs(units) <= WHOLE)
-        return F.when(true(few), units / divisor + 0.0).otherwise(exact.work_out(name, [x, y], kinds))  # + 0.0: no negative zero
+        slow = exact.work_out(name, [x, y], kinds)
+        rest = _by_other_units(x, y, name, slow) if all(isinstance(k, (T.DoubleType, *SMALL)) for k in kinds) else slow
+        return F.when(true(few), units / divisor + 0.0).otherwise(rest)  # + 0.0: no negative zero
 
     bind = lambda c, k, f: f(c) if isinstance(k, SMALL) else _once(df, c, f)
     return bind(a, kinds[0], lambda x: bind(b, kinds[1], lambda y: use(x, y)))
@@ -179,6 +213,11 @@ def round_to(df: DataFrame, x: Column, multiple: str | int = 1) -> Column:
 
     def near(v: Column) -> Column:
         slow = exact.work_out(step, [v], [kind])
+        fine = step * 10**15
+        if isinstance(kind, T.DoubleType) and size != int(size) and fine == int(fine):
+            units, fits = _fine(v)
+            rest, one = F.abs(units) % float(fine), float(fine)
+            return F.when(true(fits), F.signum(units) * (F.abs(units) - rest + F.when(2 * rest >= one, one).otherwise(0.0)) / FINE + 0.0).otherwise(slow)
         if size != int(size) or size > 10**15:
             return slow
         units, fits = _units(v, kind, 8)
