@@ -85,3 +85,9 @@ def test_small_and_large_numbers_need_no_decimals(spark, monkeypatch):
     df = spark.createDataFrame([(1.2345e-9, 0.07, 21.0)], "x double, d double, q double")
     got = df.select(scalar.add(df, C("x"), F.lit(1e-13)), scalar.modulo(df, C("x"), F.lit(7e-13)), scalar.divide(df, F.lit(1), C("x")), scalar.multiply(df, C("d"), F.lit(1e-7)), scalar.multiply(df, C("q"), F.lit(3e13)), scalar.round_to(df, C("x"), "1e-12")).first()
     assert list(got) == [1.2346e-9, 4e-13, 1 / 1.2345e-9, 7e-9, 6.3e14, 1.235e-9]
+
+
+def test_costly_rules_are_spread_over_tasks(spark, tmp_path):
+    part = spark.range(100).select(C("id").alias("p_partkey"), (C("id") % 50).cast("int").alias("p_size"), F.lit("b").alias("p_brand"))
+    part.coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    assert queries.f7_null_text_and_number_rules(spark, str(tmp_path)).rdd.getNumPartitions() >= 8
