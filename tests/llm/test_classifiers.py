@@ -107,3 +107,17 @@ def test_votes_without_labels(spark, docs, no_docs):
     labels = spark.createDataFrame([], "doc_id long, quality int")
     assert {r.score for r in quality_knn.classify(docs, quality_knn.fit(docs, labels, F.lit(True)), keep=["doc_id"]).collect()} == {0.5}
     assert quality_knn.classify(no_docs, quality_knn.fit(no_docs, labels, F.lit(True))).count() == 0
+
+
+def test_all_training_rows_are_learned_from(spark, docs, rows):
+    """A row outside the sample changes the model; how rows are stored doesn't."""
+    some = docs.select("doc_id", "text", "lang").filter("doc_id < 60")
+    late = spark.createDataFrame([(9000 + i, f"qx{i} vwqx zkqj " * 30, "zz") for i in range(400)], "doc_id long, text string, lang string")
+    both = some.union(late).union(late.selectExpr("doc_id + 1000", "concat(text, 'jjk ')", "'yy'"))
+    a, b = (langid.train(x, F.lit(True), max_docs=40) for x in (both, both.repartition(7, "text")))
+    assert (a.table == b.table).all() and (a.bias == b.bias).all() and a.threshold == b.threshold
+    sample = {r.key for r in langid._sample(both, F.lit(True), 40, "doc_id", "text", "lang")[0].collect()}
+    outside = next(r.doc_id for r in late.select("doc_id", F.xxhash64("text").alias("key")).orderBy("doc_id").collect() if r.key not in sample)
+    changed = both.withColumn("text", F.when(F.col("doc_id") == outside, F.concat("text", F.lit(" bbbb"))).otherwise(F.col("text")))
+    assert (langid.train(changed, F.lit(True), max_docs=40).table != a.table).any()
+    assert a.labels == ["de", "en", "yy", "zz"]
