@@ -18,10 +18,21 @@ from tidewell.llm import decontaminate, langid, mixing, scratch, simhash, tokens
 from tidewell.llm.queries import MIX_BLOCK, MIX_OTHER, MIX_WEIGHTS, tokenizer_path
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+# Rows that go to a Python worker at once. Spark's 10,000 whole texts lie several times over in each executor: in buffers on
+# their way to the worker and back, and as lists of words.
+ROWS_AT_ONCE = 1000
+
+
+def _small_batches(spark: SparkSession) -> None:
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(name))
+    if not 0 < now <= ROWS_AT_ONCE:
+        spark.conf.set(name, str(ROWS_AT_ONCE))
 
 
 def _set_aside(docs: DataFrame, work: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """`work` on `docs`, whose extra columns bear plain names meanwhile, so that none clashes with a result's."""
+    _small_batches(docs.sparkSession)
     names = {c if c in COLUMNS else f"extra_{i}": c for i, c in enumerate(docs.columns)}
     done = work(docs.select(*[F.col(f"`{c}`").alias(n) for n, c in names.items()]))
     return done.select(*[F.col(n).alias(c) for n, c in names.items()])
@@ -30,6 +41,7 @@ def _set_aside(docs: DataFrame, work: Callable[[DataFrame], DataFrame]) -> DataF
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without letters (so null and empty texts), and those whose calibrated score for every language is too
     low, go. Equal texts share their fate. Documents none of which has a lang are an error, as nothing can be learned."""
+    _small_batches(spark)
     model = langid.train(docs, F.lit(True))
     if not model.labels and not docs.isEmpty():
         raise ValueError("no document has a language to learn from")
@@ -58,6 +70,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token files in the order of the mixture, read back: doc_id, start, n_tokens, ids_crc32. A null or empty text is
     the end token alone; repeated rows and null ids have a row each."""
+    _small_batches(spark)
     placed = docs.select("doc_id", "text", F.col("_metadata.file_name").alias("file_name"), F.col("_metadata.row_index").alias("row_index"))
     return tokens.token_digest(placed, tokenizer_path(), order_by=["file_name", "row_index"])
 

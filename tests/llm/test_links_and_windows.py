@@ -162,3 +162,15 @@ def test_empty_benchmark_and_empty_docs(spark, docs, no_docs):
     found = decontaminate.digest(decontaminate.decontaminate(docs, none)).collect()
     assert not any(r.contaminated for r in found) and sum(r.n_words for r in found) > 0
     assert decontaminate.decontaminate(no_docs, none).count() == 0
+
+
+def test_words_of_few_texts_are_in_hand_at_once():
+    """Bounded by characters: slices of the operator are a quarter of the usual ones, and lose no row."""
+    import pyarrow as pa
+
+    from tidewell.llm import textmap
+
+    texts = pa.array(["x" * 1000] * 3000 + [None, "y" * 2_500_000, "z"])
+    found = list(textmap.slices(texts, decontaminate.CHARS))
+    assert [t for _, _, part in found for t in part] == texts.to_pylist()
+    assert all(b - a == 1 or sum(len(t or "") for t in part) <= decontaminate.CHARS for a, b, part in found)

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -65,3 +66,19 @@ def test_pipeline_on_nothing(spark, no_docs, tmp_path):
     no_docs.write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+@pytest.mark.parametrize("name", ["mixed", "token_output"])
+def test_few_texts_are_in_a_worker_at_once(spark, docs, folder, name):
+    conf = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(conf)
+    try:
+        spark.conf.set(conf, "10000")
+        dict(corpus_pipeline.STAGES)[name](spark, spark.read.parquet(f"{folder}/documents.parquet"), folder)
+        sizes = spark.range(5000, numPartitions=1).mapInArrow(lambda bs: (pa.RecordBatch.from_pydict({"id": [b.num_rows]}) for b in bs), "id long")
+        assert {r.id for r in sizes.collect()} == {corpus_pipeline.ROWS_AT_ONCE}
+        spark.conf.set(conf, "10")
+        dict(corpus_pipeline.STAGES)[name](spark, spark.read.parquet(f"{folder}/documents.parquet"), folder)
+        assert spark.conf.get(conf) == "10"  # a smaller choice stays
+    finally:
+        spark.conf.set(conf, before)

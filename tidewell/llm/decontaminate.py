@@ -28,6 +28,7 @@ from .textmap import map_texts, slices
 FILTER_BITS = 25  # of a position in the bitmap of tokens, so 4 MB
 HOT_IN, SALTS = 1000, 32
 HELD = 300_000  # words whose hashes a task keeps
+CHARS = 1_000_000  # of text whose words a task has in hand; these take some twenty times as much
 _WORDS = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
 
 
@@ -119,7 +120,7 @@ def _counts(texts: DataFrame, bitmap: bytes, lengths: list[int]) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits, hashes = np.frombuffer(shared.value, np.uint8), Hashes()
         for batch in batches:
-            for _, _, part in slices(batch.column(0)):
+            for _, _, part in slices(batch.column(0), CHARS):
                 _, h, edges = hashes.flat(part)
                 for k in lengths:
                     found, n = np.unique(_places(h, edges, k, bits)[1], return_counts=True)
@@ -137,7 +138,7 @@ def _occurrences(texts: DataFrame, bitmap: bytes, lengths: list[int], size: int,
         bits = np.frombuffer(bitmap, np.uint8)
         for batch in batches:
             h1, h2 = (batch.column(i).to_numpy() for i in (1, 2))
-            for a, _, part in slices(batch.column(0)):
+            for a, _, part in slices(batch.column(0), CHARS):
                 row, h, edges = hashes.flat(part)
                 for k in lengths:
                     at, found, text = _places(h, edges, k, bits)
