@@ -70,3 +70,20 @@ def test_infinity_and_nan_are_not_near(spark):
     other = spark.createDataFrame([(1, 5.0), (2, 5.0)], "k int, v double")
     assert compare_tables(rows, other, Contract(keys=("k",))).checks["column_mismatches"] == {"V": 2}
     assert compare_tables(rows, rows, Contract(keys=("k",))).verdict == "PASS"
+
+
+def test_cells_are_built_once_as_long_as_nobody_leaves(spark):
+    """All rows differ in two of five columns, so the first two looks take nobody; once all have left, nothing more is asked."""
+    rows = spark.range(200).select(F.col("id").alias("__e"), F.col("id").alias("k"), (F.col("id") * 7).alias("v"), (F.col("id") % 3).alias("m"), F.lit("a").alias("s"), F.lit("b").alias("t"))
+    other = rows.withColumnRenamed("__e", "__a").withColumn("s", F.lit("A")).withColumn("t", F.lit("B"))
+    compare.checkpoint_dir(spark)
+    stored = []
+
+    def checkpoint(df):
+        stored.append(tuple(df.columns))
+        return df.checkpoint()
+
+    names = ["k", "v", "m", "s", "t"]
+    found = pairing.nearest_pairs(rows, other, names, {f.name: f.dataType for f in rows.schema}, Tolerance(), differ, checkpoint)
+    assert sorted(map(tuple, found.collect())) == [(i, i, 2) for i in range(200)]
+    assert stored.count(("token", "n")) == 1 and not any("__v0" in columns for columns in stored)

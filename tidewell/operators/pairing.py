@@ -80,31 +80,57 @@ def nearest_pairs(expected: DataFrame, actual: DataFrame, names: list[str], kind
     renamed = actual.select("__a", *[F.col(f"`{n}`").alias(f"__v{i}") for i, n in enumerate(names)])
     wrong = reduce(lambda p, q: p + q, (differ(F.col(f"`{n}`"), F.col(f"__v{i}"), kinds[n], tolerance).cast("int") for i, n in enumerate(names)))
     order = F.struct(priority(names, lambda n: F.col(f"`{n}`"), lambda n: F.col(f"__v{names.index(n)}")).alias("p"), "__e", "__a")
-    found = None
+    found, built, left = None, None, not (expected.isEmpty() or renamed.isEmpty())
     for allowed in range(len(names) // 2 + 1):
-        if expected.isEmpty() or renamed.isEmpty():
+        if not left:
             break
-        mine, theirs = _tokens(expected, renamed, names, kinds, tolerance, allowed, checkpoint)
+        if built is None:  # else nobody has left since, and all counts hold
+            built = _tokens(expected, renamed, names, kinds, tolerance, checkpoint)
+        ranked, theirs = built
+        mine = _asked(ranked, allowed)
         first, many = 0, 1
-        slots = mine.agg(F.max("slots").alias("n")).first().n or 0
+        slots = _most_slots(mine)
         while first < slots:
             asked = mine.filter(F.col("slots") > first).withColumn("i", F.explode(F.sequence(F.lit(first), F.least(F.lit(first + many), F.col("slots").cast("int")) - 1)))
             asked = asked.select("__e", "token", F.pmod(F.col("own") + F.col("i"), F.col("slots")).alias("slot"))
             met = asked.join(theirs, ["token", "slot"]).select("__e", "__a").distinct()
             tested = met.join(expected, "__e").join(renamed, "__a").withColumn("__wrong", wrong).filter(F.col("__wrong") <= allowed)
             pairs = _matched(checkpoint(tested.select("__e", "__a", "__wrong", order.alias("__order"))), checkpoint)
-            if pairs is not None:
-                found = pairs if found is None else found.unionByName(pairs)
-                expected = checkpoint(expected.join(pairs, "__e", "left_anti"))
-                renamed = checkpoint(renamed.join(pairs, "__a", "left_anti"))
-                mine = checkpoint(mine.join(pairs, "__e", "left_anti"))
-                theirs = checkpoint(theirs.join(pairs, "__a", "left_anti"))
             first, many = first + many, 2 * many
+            if pairs is None:
+                continue
+            found, built = pairs if found is None else found.unionByName(pairs), None
+            expected = checkpoint(expected.join(pairs, "__e", "left_anti"))
+            left = not expected.isEmpty()
+            if not left:
+                break
+            renamed = checkpoint(renamed.join(pairs, "__a", "left_anti"))
+            left = not renamed.isEmpty()
+            if not left:
+                break
+            mine = checkpoint(mine.join(pairs, "__e", "left_anti"))
+            slots = _most_slots(mine)
+            if first < slots:
+                theirs = checkpoint(theirs.join(pairs, "__a", "left_anti"))
     return found if found is not None else expected.select("__e", F.lit(0).cast("long").alias("__a"), F.lit(0).alias("__wrong")).limit(0)
 
 
-def _tokens(expected: DataFrame, actual: DataFrame, names: list[str], kinds: dict, tolerance, allowed: int, checkpoint: Callable) -> tuple[DataFrame, DataFrame]:
-    """The rarest allowed + 1 cells of each expected row, with the number of slots that the actual rows there fill; and all
+def _asked(ranked: DataFrame, allowed: int) -> DataFrame:
+    """The rarest allowed + 1 cells of each expected row, as far as actual rows have them."""
+    rare = ranked.select("__e", F.explode(F.slice("x", 1, allowed + 1)).alias("x")).filter("x.n > 0")
+    return rare.select("__e", "x.token", _slots(F.col("x.n")).alias("slots")).withColumn("own", F.pmod(F.xxhash64("__e"), F.col("slots")))
+
+
+def _slots(n: Column) -> Column:
+    return F.ceil(n / SLOT)
+
+
+def _most_slots(mine: DataFrame) -> int:
+    return mine.agg(F.max("slots").alias("n")).first().n or 0
+
+
+def _tokens(expected: DataFrame, actual: DataFrame, names: list[str], kinds: dict, tolerance, checkpoint: Callable) -> tuple[DataFrame, DataFrame]:
+    """The cells of each expected row, those that fewest actual rows have first, as many as are ever asked for; and all
     cells of the actual rows with their slots."""
 
     def listed(i: int, value: Column, kind: T.DataType, around: bool) -> Column:
@@ -115,11 +141,9 @@ def _tokens(expected: DataFrame, actual: DataFrame, names: list[str], kinds: dic
     theirs = actual.select("__a", F.explode(F.concat(*[listed(i, F.col(f"__v{i}"), kinds[n], True) for i, n in enumerate(names)])).alias("token"))
     counts = checkpoint(theirs.groupBy("token").agg(F.count(F.lit(1)).alias("n")))
     mine = expected.select("__e", F.explode(F.concat(*[listed(i, F.col(f"`{n}`"), kinds[n], False) for i, n in enumerate(names)])).alias("token"))
-    rare = mine.join(counts, "token", "left").groupBy("__e").agg(F.slice(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "token"))), 1, allowed + 1).alias("x")).select("__e", F.explode("x").alias("x"))
-    slots = lambda n: F.ceil(n / SLOT)
-    asked = rare.filter("x.n > 0").select("__e", "x.token", slots(F.col("x.n")).alias("slots")).withColumn("own", F.pmod(F.xxhash64("__e"), F.col("slots")))
-    dealt = theirs.join(counts, "token").select("__a", "token", F.pmod(F.xxhash64("__a"), slots(F.col("n"))).alias("slot"))
-    return checkpoint(asked), checkpoint(dealt)
+    ranked = mine.join(counts, "token", "left").groupBy("__e").agg(F.slice(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "token"))), 1, len(names) // 2 + 1).alias("x"))
+    dealt = theirs.join(counts, "token").select("__a", "token", F.pmod(F.xxhash64("__a"), _slots(F.col("n"))).alias("slot"))
+    return checkpoint(ranked), checkpoint(dealt)
 
 
 def _matched(edges: DataFrame, checkpoint: Callable) -> DataFrame | None:
