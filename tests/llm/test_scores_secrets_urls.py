@@ -178,6 +178,29 @@ def test_rare_words_sum_to_one(spark, docs):
     assert abs(model.parent.mean(0).sum() + (10 ** bucket.rare(rare, np.full(len(rare), -1))[0]).sum() - 1) < 1e-9
 
 
+def test_rare_contexts_have_restaurants(spark, docs):
+    texts = docs.select(F.coalesce("text", F.lit("")).alias("text"))
+    model, pairs, seats = hpylm.train(texts, one_in=300)
+    held = {k: [bytes(r.payload) for r in rows if r.kind == k] for rows in [pairs.unionByName(seats).collect()] for k in range(hpylm.ASKED_CONTEXT)}
+    held[hpylm.CONTEXT_TABLES] = [bytes(r.payload) for r in hpylm._tables_under_rare(seats, hpylm._sent(spark, model)).collect()]
+    bucket, contexts = hpylm.Bucket(model, held), hpylm.Contexts(model, held)
+    known, rare = np.arange(len(model.counts)), np.append(bucket.word, -1)
+    assert len(contexts.context) == len(bucket.word) and contexts.customers.tolist() == bucket.tokens.tolist()
+    assert (contexts.tables >= hpylm.KEPT).all() and (contexts.tables <= hpylm.KEPT * contexts.customers).all()
+    for u in [*contexts.context[np.argsort(-contexts.customers)[:5]].tolist(), int(contexts.context[0]), -1]:
+        total = (10 ** contexts.common(np.full(len(known), u), known)).sum() + (10 ** bucket.rare(rare, np.full(len(rare), u), *contexts.of(np.full(len(rare), u)))[0]).sum()
+        assert abs(total - 1) < 1e-9
+
+
+@pytest.mark.parametrize("bucket_tokens", [500, 4_000_000])
+def test_what_follows_a_rare_word_is_learned(spark, monkeypatch, bucket_tokens):
+    monkeypatch.setattr(hpylm, "BUCKET_TOKENS", bucket_tokens)
+    filler = [(i, " ".join(f"w{(i * 7 + j * j) % 40}" for j in range(20))) for i in range(300)]
+    docs = spark.createDataFrame([*filler, *((1000 + i, "zzq foo") for i in range(6)), (2000, "zzq foo")], "doc_id long, text string")
+    found = hpylm.score(docs, F.col("doc_id") < 2000, one_in=500, pair_in=1000).filter("doc_id = 2000").first()
+    assert found.n_tokens == found.n_known == 3 and -3 < found.score < -1  # zzq after an end is one in 50; both others are nearly sure
+
+
 def test_packed_arrays_round_trip():
     rng = np.random.default_rng(1)
     arrays = [np.sort(rng.integers(-(2**63), 2**63 - 1, 1000)), rng.integers(0, 9, 77), np.zeros(0, np.int64), rng.random(50), np.array([-(2**63), 2**63 - 1])]

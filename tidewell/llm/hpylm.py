@@ -2,21 +2,26 @@
 
 Three levels, each backing off to the next: a restaurant for every word as context (the word before), with all words
 as dishes; one restaurant over all words, the parent of all contexts; a uniform base. Tables of a context's restaurant
-are customers of the parent. A word that is less than one in `ONE_IN` training tokens opens no restaurant as a
-context: what follows it is drawn from the parent. As a dish every word counts, however rare.
+are customers of the parent. Every word opens a restaurant as a context, and counts as a dish, however rare.
 
 Seating is a Chinese-restaurant process sampled by Gibbs: in each sweep every customer of a dish gets up and sits down
 again, given where all others sit, and the seating is kept from sweep to sweep. Predictive probabilities are averaged
 over the last `KEPT` sweeps. A dish with a single customer has one table whatever happens and needs no sampling.
 
 How the work is spread: pairs (context, word) are counted inside the tasks and dealt into buckets: by the word where
-it is rare, else by the context, hot contexts over several buckets. A bucket's seating is a few rows of packed arrays,
+it is rare, else by the context, hot contexts over several buckets. A rare word is one below one in `ONE_IN` training
+tokens. Pairs of a rare context meet once in the context's bucket, which counts its customers; those with a rare word
+then go on to the word's. A bucket's seating is a few rows of packed arrays,
 and a sweep is a map over such rows, without a shuffle. Restaurants are sampled side by side; one with many customers
 is cut into shards of `SHARD`, which are sampled side by side too and see each other's tables as they were when the
 sweep began, and a pair (or a parent's dish) with more customers than that is cut into parts with tables of their own.
 Between sweeps only one number a common word goes to the driver and out again, and common words are at most `ONE_IN`.
 
-Scoring meets words and model in the same buckets. Pairs that are at least one in `PAIR_IN` tokens, so at most as
+A rare word in a rare context is seated given one table for each different word of that context, which is the least
+it has; this weighs with the probability of a rare word. Its true tables are added up after the last sweep.
+
+Scoring meets words and model in the same buckets; what follows a rare context is asked for in the context's bucket,
+which sends rare words on with what it knows. Pairs that are at least one in `PAIR_IN` tokens, so at most as
 many, are scored where the text is read, hence no bucket has a hot pair.
 """
 
@@ -81,7 +86,7 @@ class Numbers(dict):
         return number
 
     def flat(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of all tokens of the texts in a row: context (-1 where it is rare), number, and place of the text."""
+        """Of all tokens of the texts in a row: number of the context, of the word, and place of the text."""
         found, sizes = [], []
         for text in texts:
             ws = words(text)
@@ -90,7 +95,7 @@ class Numbers(dict):
             sizes.append(len(ws) + 1)
         w = np.array(found, np.int64)
         u = np.concatenate([[0], w[:-1]])  # a text begins after the end of another
-        return np.maximum(u, -1), w, np.repeat(np.arange(len(texts)), sizes)
+        return u, w, np.repeat(np.arange(len(texts)), sizes)
 
 
 # ---- packed arrays ----------------------------------------------------------------------------------------------
@@ -134,6 +139,10 @@ _ROW = "bucket int, kind int, id long, a long, b long, payload binary"
 _NAMES = ["bucket", "kind", "id", "a", "b", "payload"]
 # Kinds of rows: pairs with a common word, pairs with a rare one, seating of either, and sums for the driver.
 COMMON, RARE, COMMON_SEATS, RARE_SEATS, OF_CONTEXT, OF_WORD, OF_ALL, ASKED, ASKED_RARE, TEXTS = range(10)
+# Of rare contexts: their pairs with a common word, their customers, their seating and their tables under rare words;
+# what is asked, and what is answered.
+CONTEXT, CONTEXT_STATS, CONTEXT_SEATS, CONTEXT_TABLES, ASKED_CONTEXT, ANSWER = range(10, 16)
+SEATS = (COMMON_SEATS, RARE_SEATS, CONTEXT_SEATS)
 
 
 def _row(bucket: int, kind: int, payload: bytes, id: int = 0) -> pa.RecordBatch:
@@ -158,9 +167,11 @@ class Buckets(NamedTuple):
     spread: np.ndarray  # over how many buckets the pairs of a context go
 
     def of(self, u: np.ndarray, w: np.ndarray) -> np.ndarray:
-        by_word = (w < 0) | (u < 0)
         own = _mix(u) + (w % self.spread[np.maximum(u, 0)]).astype(np.uint64)
-        return (np.where(by_word, _mix(w), own) % np.uint64(self.n)).astype(np.int32)
+        return (np.where(w < 0, _mix(w), own) % np.uint64(self.n)).astype(np.int32)
+
+    def of_rare(self, x: np.ndarray) -> np.ndarray:
+        return (_mix(x) % np.uint64(self.n)).astype(np.int32)
 
 
 def _dealt(bucket: np.ndarray, kind: int, arrays: list[np.ndarray], id: int = 0) -> Iterator[pa.RecordBatch]:
@@ -228,24 +239,17 @@ def _counted(texts: DataFrame, common: list[bytes], buckets: Buckets) -> DataFra
         for batch in batches:
             for _, _, texts in slices(batch.column(0)):
                 u, w, _ = numbers.flat(texts)
+                under, inside, n = _pair_counts(w[u < 0], u[u < 0])
+                yield from _dealt(deal.of_rare(under), CONTEXT, [under, inside, n])
+                u, w = u[u >= 0], w[u >= 0]
                 rare = w < 0
                 codes, n = np.unique((u[~rare] + 1) << WORD_BITS | w[~rare], return_counts=True)
                 yield from _dealt(deal.of((codes >> WORD_BITS) - 1, codes & WORD_MASK), COMMON, [codes, n])
-                u, w = u[rare], w[rare]
-                order = np.lexsort((u, w))
-                u, w = u[order], w[order]
-                at = _runs(w, u)
-                n = np.diff(at, append=len(w))
-                yield from _dealt(deal.of(u[at], w[at]), RARE, [w[at], u[at], n])
+                w, u, n = _pair_counts(u[rare], w[rare])
+                yield from _dealt(deal.of_rare(w), RARE, [w, u, n, np.zeros(len(w), np.int64)])
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list[bytes]] = {COMMON: [], RARE: []}
-        bucket = TaskContext.get().partitionId()
-        for batch in batches:
-            for of, kind, payload in zip(*(batch.column(i).to_pylist() for i in (0, 1, 5)), strict=True):
-                if of != bucket:
-                    raise RuntimeError("a bucket is not a partition")
-                held[kind].append(payload)
+        bucket, held = _held(batches, (COMMON, RARE, CONTEXT))
         codes, c = _joined(held.pop(COMMON), 2)
         order = np.argsort(codes, kind="stable")
         codes, c = codes[order], c[order]
@@ -253,42 +257,92 @@ def _counted(texts: DataFrame, common: list[bytes], buckets: Buckets) -> DataFra
         codes, c = codes[at], _total(c, at)
         yield from _dealt(np.full(len(codes), bucket), COMMON, [codes, c])
         u, w = (codes >> WORD_BITS) - 1, codes & WORD_MASK
-        inside, single = u >= 0, (u >= 0) & (c == 1)
-        direct = np.where(u < 0, c, single)  # customers of the parent that no sampling moves
+        single, several = c == 1, c > 1  # no sampling moves the former
         n = int(w.max(initial=-1)) + 1
-        yield from _sums(OF_WORD, np.arange(n), np.bincount(w, direct, n), np.bincount(w, c, n))
+        yield from _sums(OF_WORD, np.arange(n), np.bincount(w, single, n), np.bincount(w, c, n))
         n = int(u.max(initial=-1)) + 1
-        yield from _sums(OF_CONTEXT, np.arange(n), np.bincount(u[inside], c[inside], n), np.bincount(u[single], minlength=n))
-        several = inside & (c > 1)
+        yield from _sums(OF_CONTEXT, np.arange(n), np.bincount(u, c, n), np.bincount(u[single], minlength=n))
         for a, b in _groups(c[several], u[several]):
             whole = c[several][a:b]
             (code, cs), none = _parts(whole, codes[several][a:b]), np.zeros(0, np.int64)
             empty = np.zeros(len(cs), np.int64)
             yield _row(bucket, COMMON_SEATS, pack(code, cs, _parts(whole, whole)[0], empty, empty, none))
-
-        w, u, c = _joined(held.pop(RARE), 3)
+        yield from _dealt_contexts(bucket, _received(shared)[1], *_joined(held.pop(CONTEXT), 3))
+        w, u, c, least = _joined(held.pop(RARE), 4)
+        w, u, c = _merged(w, u, c)
+        yield from _dealt(np.full(len(w), bucket), RARE, [w, u, c, np.zeros(len(w), np.int64)])
+
+    def merge_rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bucket, held = _held(batches, (RARE,))
+        w, u, c, least = _joined(held.pop(RARE), 4)
         order = np.lexsort((u, w))
-        w, u, c = w[order], u[order], c[order]
-        at = _runs(w, u)
-        w, u, c = w[at], u[at], _total(c, at)
+        w, u, c, least = w[order], u[order], c[order], least[order]
         yield from _dealt(np.full(len(w), bucket), RARE, [w, u, c])
-        inside, single = u >= 0, (u >= 0) & (c == 1)
+        inside, single = u >= 0, c == 1
         n = int(u.max(initial=-1)) + 1
-        yield from _sums(OF_CONTEXT, np.arange(n), np.bincount(u[inside], c[inside], n), np.bincount(u[single], minlength=n))
+        yield from _sums(OF_CONTEXT, np.arange(n), np.bincount(u[inside], c[inside], n), np.bincount(u[inside & single], minlength=n))
         at = _runs(w)
-        tokens, fixed = _total(c, at), _total(np.where(u < 0, c, single).astype(np.int64), at)
+        tokens, fixed = _total(c, at), _total(single.astype(np.int64), at)
         yield from _sums(OF_ALL, np.array([0, 1]), np.array([tokens.sum(), (tokens == 1).sum()]), np.array([len(at), (tokens == 1).sum()]))
         dish = np.repeat(np.arange(len(at)), np.diff(at, append=len(w)))
         for a, b in _groups(tokens[tokens > 1], np.arange(int((tokens > 1).sum()))):
             mine = np.flatnonzero(tokens > 1)[a:b]
-            rows = np.flatnonzero((dish >= mine[0]) & (dish <= mine[-1]) & inside & (c > 1))
+            rows = np.flatnonzero((dish >= mine[0]) & (dish <= mine[-1]) & (c > 1))
             rows = rows[np.lexsort((w[rows], u[rows]))]
             place, cs = _parts(c[rows], np.searchsorted(mine, dish[rows]))
             pieces, none = -(-tokens[mine] // SHARD), np.zeros(0, np.int64)
             empty, bare = np.zeros(len(cs), np.int64), np.zeros(int(pieces.sum()), np.int64)
-            yield _row(bucket, RARE_SEATS, pack(_parts(c[rows], u[rows])[0], place, cs, empty, empty, none, w[at][mine], tokens[mine], fixed[mine], pieces, bare, none, none, none))
+            yield _row(bucket, RARE_SEATS, pack(_parts(c[rows], u[rows])[0], place, cs, empty, empty, none, w[at][mine], tokens[mine], fixed[mine], pieces, bare, none, _parts(c[rows], least[rows])[0], none, none))
 
-    return texts.mapInArrow(count, _ROW).repartitionById(buckets.n, F.col("bucket")).mapInArrow(merge, _ROW)
+    met = stored(texts.mapInArrow(count, _ROW).repartitionById(buckets.n, F.col("bucket")).mapInArrow(merge, _ROW), "met")
+    rare = stored(met.filter(F.col("kind") == RARE).repartitionById(buckets.n, F.col("bucket")).mapInArrow(merge_rare, _ROW), "rare")
+    return met.filter(F.col("kind") != RARE).unionByName(rare)
+
+
+def _held(batches: Iterator[pa.RecordBatch], kinds: tuple[int, ...]) -> tuple[int, dict[int, list[bytes]]]:
+    """All payloads of a bucket by kind."""
+    held: dict[int, list[bytes]] = {k: [] for k in kinds}
+    bucket = TaskContext.get().partitionId()
+    for batch in batches:
+        for of, kind, payload in zip(*(batch.column(i).to_pylist() for i in (0, 1, 5)), strict=True):
+            if of != bucket:
+                raise RuntimeError("a bucket is not a partition")
+            held[kind].append(payload)
+    return bucket, held
+
+
+def _merged(x: np.ndarray, y: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted pairs, each once, with the sums of their numbers."""
+    order = np.lexsort((y, x))
+    x, y, c = x[order], y[order], c[order]
+    at = _runs(x, y)
+    return x[at], y[at], _total(c, at)
+
+
+def _pair_counts(y: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return _merged(x, y, np.ones(len(x), np.int64))
+
+
+def _dealt_contexts(bucket: int, deal: Buckets, u: np.ndarray, w: np.ndarray, c: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The rare contexts of a bucket: customers of each, pairs with common words and their seating, pairs with rare words
+    on to the buckets of these, and sums for the driver."""
+    u, w, c = _merged(u, w, c)
+    at = _runs(u)
+    words = np.diff(at, append=len(u))
+    here = np.full(len(at), bucket)
+    yield from _dealt(here, CONTEXT_STATS, [u[at], _total(c, at), KEPT * _total((c == 1).astype(np.int64), at)])
+    rare = w < 0
+    yield from _dealt(deal.of_rare(w[rare]), RARE, [w[rare], u[rare], c[rare], np.repeat(words, words)[rare]])
+    elsewhere = np.repeat(_total((rare | (c == 1)).astype(np.int64), at), words)  # tables that are not sampled here
+    u, w, c, elsewhere = u[~rare], w[~rare], c[~rare], elsewhere[~rare]
+    yield from _dealt(np.full(len(u), bucket), CONTEXT, [u, w, c])
+    ids, place = np.unique(w, return_inverse=True)
+    yield from _sums(OF_WORD, ids, np.bincount(place, c == 1, len(ids)), np.bincount(place, c, len(ids)))
+    u, w, elsewhere, c = u[c > 1], w[c > 1], elsewhere[c > 1], c[c > 1]
+    for a, b in _groups(c, u):
+        (of, cs), none = _parts(c[a:b], u[a:b]), np.zeros(0, np.int64)
+        empty = np.zeros(len(cs), np.int64)
+        yield _row(bucket, CONTEXT_SEATS, pack(of, _parts(c[a:b], w[a:b])[0], _parts(c[a:b], elsewhere[a:b])[0], cs, empty, empty, none))
 
 
 def _groups(customers: np.ndarray, key: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -443,6 +497,17 @@ def _swept_common(payload: bytes, state: State, seed: int) -> tuple[bytes, Itera
     return pack(code, c, whole, t, kept, sizes), _of_common(u, w, t)
 
 
+def _swept_context(payload: bytes, state: State, seed: int) -> tuple[bytes, Iterator[pa.RecordBatch]]:
+    u, w, elsewhere, c, t, kept, sizes = unpack(payload)
+    shard, at = shards_of(c, u), _runs(u)
+    own = np.repeat(_total(t, at), np.diff(at, append=len(u)))
+    begin = _runs(shard)
+    t, sizes = reseat(_rng(seed, state.sweep, int(u[0]), int(w[0])), c, t, sizes, shard, (own + elsewhere)[begin], state.parent[w], DISCOUNTS[0], STRENGTHS[0])
+    kept = kept + t * (state.sweep >= SWEEPS - KEPT)
+    ids, place = np.unique(w, return_inverse=True)
+    return pack(u, w, elsewhere, c, t, kept, sizes), _sums(OF_WORD, ids, np.bincount(place, t), np.zeros(len(ids)))
+
+
 def _of_common(u: np.ndarray, w: np.ndarray, t: np.ndarray) -> Iterator[pa.RecordBatch]:
     for kind, x in ((OF_CONTEXT, u), (OF_WORD, w)):
         ids, place = np.unique(x, return_inverse=True)
@@ -450,7 +515,7 @@ def _of_common(u: np.ndarray, w: np.ndarray, t: np.ndarray) -> Iterator[pa.Recor
 
 
 def _swept_rare(payload: bytes, state: State, seed: int) -> tuple[bytes, Iterator[pa.RecordBatch]]:
-    u, place, c, t, kept, sizes, w, tokens, fixed, pieces, tables, table_sizes, had, has = unpack(payload)
+    u, place, c, t, kept, sizes, w, tokens, fixed, pieces, tables, table_sizes, least, had, has = unpack(payload)
     rng = _rng(seed, state.sweep, int(w[0]))
     if state.sweep:
         owner = np.repeat(np.arange(len(w)), pieces)
@@ -459,15 +524,16 @@ def _swept_rare(payload: bytes, state: State, seed: int) -> tuple[bytes, Iterato
         parent = (tokens + 1) / (state.tokens + state.types + 1)
     if len(c):
         shard = shards_of(c, u)
-        t, sizes = reseat(rng, c, t, sizes, shard, state.tables[u[_runs(shard)]], parent[place], DISCOUNTS[0], STRENGTHS[0])
+        opened = np.where(u < 0, least, state.tables[np.maximum(u, 0)])[_runs(shard)]
+        t, sizes = reseat(rng, c, t, sizes, shard, opened, parent[place], DISCOUNTS[0], STRENGTHS[0])
     customers = fixed + np.bincount(place, t, len(w)).astype(np.int64)
     tables, table_sizes = _swept_parent(rng, customers, pieces, tables, table_sizes, state)
     opened = _by_owner(np.repeat(np.arange(len(w)), pieces), tables, len(w))
     if state.sweep >= SWEEPS - KEPT:
         kept, had, has = kept + t, np.concatenate([had, customers]), np.concatenate([has, opened])
-    ids, of = np.unique(u, return_inverse=True)
-    sums = [*_sums(OF_CONTEXT, ids, np.bincount(of, t), np.zeros(len(ids))), *_sums(OF_ALL, np.array([0]), customers.sum()[None], opened.sum()[None])]
-    return pack(u, place, c, t, kept, sizes, w, tokens, fixed, pieces, tables, table_sizes, had, has), iter(sums)
+    ids, of = np.unique(u[u >= 0], return_inverse=True)
+    sums = [*_sums(OF_CONTEXT, ids, np.bincount(of, t[u >= 0]), np.zeros(len(ids))), *_sums(OF_ALL, np.array([0]), customers.sum()[None], opened.sum()[None])]
+    return pack(u, place, c, t, kept, sizes, w, tokens, fixed, pieces, tables, table_sizes, least, had, has), iter(sums)
 
 
 def _by_owner(owner: np.ndarray, value: np.ndarray, n: int) -> np.ndarray:
@@ -508,7 +574,7 @@ def _swept(seats: DataFrame, state: State, seed: int) -> DataFrame:
         now = _received(shared)
         for batch in batches:
             for bucket, kind, payload in zip(*(batch.column(i).to_pylist() for i in (0, 1)), batch.column(5), strict=True):
-                done, sums = (_swept_common if kind == COMMON_SEATS else _swept_rare)(payload.as_py(), now, seed)
+                done, sums = {COMMON_SEATS: _swept_common, RARE_SEATS: _swept_rare, CONTEXT_SEATS: _swept_context}[kind](payload.as_py(), now, seed)
                 yield _row(bucket, kind, done)
                 yield from sums
 
@@ -584,7 +650,7 @@ def train(texts: DataFrame, one_in: int = ONE_IN, pair_in: int = PAIR_IN, seed:
     common, share, n_words = _common(texts, one_in)
     n, n_buckets = len(common) + 1, max(1, -(-n_words // BUCKET_TOKENS))
     buckets = Buckets(n_buckets, np.maximum(1, np.ceil(4 * n_buckets * share)).astype(np.int64))
-    pairs = stored(_counted(texts, common, buckets), "pairs")
+    pairs = _counted(texts, common, buckets)
     sums = _collected(pairs, n)
     in_context, single = sums[OF_CONTEXT]
     fixed, counts = sums[OF_WORD]
@@ -592,7 +658,7 @@ def train(texts: DataFrame, one_in: int = ONE_IN, pair_in: int = PAIR_IN, seed:
     total, types = int(counts.sum() + rare_tokens), int((counts > 0).sum() + rare_types)
 
     state = State(0, single, (counts + 1) / (total + types + 1), 0, 0, types, total)
-    seats, kept_states = pairs.filter(F.col("kind").isin(COMMON_SEATS, RARE_SEATS)), []
+    seats, kept_states = pairs.filter(F.col("kind").isin(*SEATS)), []
     parents = None
     for sweep in range(SWEEPS):
         done = stored(_swept(seats, state._replace(sweep=sweep), seed), "seats")
@@ -605,11 +671,11 @@ def train(texts: DataFrame, one_in: int = ONE_IN, pair_in: int = PAIR_IN, seed:
         rare_customers, rare_opened = int(sums[OF_ALL][0][0]) + int(once), int(sums[OF_ALL][1][0]) + int(once)
         state = state._replace(tables=single + sums[OF_CONTEXT][0], customers=int(customers.sum()) + rare_customers, opened=int(opened.sum()) + rare_opened)
         state = state._replace(parent=under_parent(customers, opened, state))
-        seats = done.filter(F.col("kind").isin(COMMON_SEATS, RARE_SEATS))
+        seats = done.filter(F.col("kind").isin(*SEATS))
         if sweep >= SWEEPS - KEPT:
             kept_states.append(state)
     model = Model(common, buckets, in_context, counts, np.stack([s.tables for s in kept_states]), np.stack([s.parent for s in kept_states]), [s._replace(tables=None, parent=None) for s in kept_states], np.zeros(0, np.int64), np.zeros(0))
-    return _with_hot_pairs(model, seats, math.ceil(total / pair_in)), pairs.filter(F.col("kind").isin(COMMON, RARE)), seats
+    return _with_hot_pairs(model, seats, math.ceil(total / pair_in)), pairs.filter(F.col("kind").isin(COMMON, RARE, CONTEXT, CONTEXT_STATS)), seats
 
 
 def _with_hot_pairs(model: Model, seats: DataFrame, least: int) -> Model:
@@ -635,35 +701,41 @@ def _with_hot_pairs(model: Model, seats: DataFrame, least: int) -> Model:
 # ---- scoring ----------------------------------------------------------------------------------------------------
 
 
-def _asked(rows: DataFrame, model) -> DataFrame:
-    """For each slice of texts: what can be told on the spot, and the pairs that the buckets are asked for."""
+def _asked(rows: DataFrame, model, of_rare: bool = False) -> DataFrame:
+    """For each slice of texts: what can be told on the spot, and the pairs that the buckets are asked for; or the pairs
+    of rare contexts."""
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
         m = _received(model)
         numbers = Numbers(m.common)
-        log_c, alone = np.log10(m.counts + 1.0), np.log10(m.parent.mean(0))
+        log_c = np.log10(m.counts + 1.0)
         for batch in batches:
             for a, b, texts in slices(batch.column(1)):
                 u, w, d = numbers.flat(texts)
                 keys, n = batch.column(0).slice(a, b - a).to_numpy(), len(texts)
                 slice_id = xxhash.xxh64_intdigest(keys.tobytes()) - (1 << 63)
+                if of_rare:
+                    under = u < 0
+                    u, w, d = u[under], w[under], d[under]
+                    order = np.lexsort((d, w, u))
+                    u, w, d = u[order], w[order], d[order]
+                    at = _runs(u, w, d)
+                    yield from _dealt(m.buckets.of_rare(u[at]), ASKED_CONTEXT, [u[at], w[at], d[at], np.diff(at, append=len(u))], slice_id)
+                    continue
+                wc, dc = w[w >= 0], d[w >= 0]
+                known, log_base = np.bincount(dc, m.counts[wc] > 0, n).astype(np.int64), np.bincount(dc, log_c[wc], n)
+                tokens = np.bincount(d, minlength=n)
+                inside = u >= 0
+                u, w, d = u[inside], w[inside], d[inside]
                 common = w >= 0
                 wc, uc, dc = w[common], u[common], d[common]
-                score = np.where(uc < 0, alone[wc], 0.0)
                 code = (uc + 1) << WORD_BITS | wc
-                place = np.searchsorted(m.hot, code)
-                told = uc < 0
-                if len(m.hot):
-                    place = np.minimum(place, len(m.hot) - 1)
-                    hit = m.hot[place] == code
-                    score = np.where(hit, m.hot_scores[place], score)
-                    told |= hit
-                known = np.bincount(dc, m.counts[wc] > 0, n).astype(np.int64)
-                tokens = np.bincount(d, minlength=n)
+                at, told = _find(m.hot, code)
+                score = np.where(told, m.hot_scores[at], 0.0) if len(m.hot) else np.zeros(len(code))
                 answered = np.bincount(dc[told], minlength=n)
-                yield _row(int(slice_id % m.buckets.n), TEXTS, pack(keys, tokens, answered, known, np.bincount(dc, log_c[wc], n), np.bincount(dc, score, n)), slice_id)
+                yield _row(int(slice_id % m.buckets.n), TEXTS, pack(keys, tokens, answered, known, log_base, np.bincount(dc, score, n).astype(np.float64)), slice_id)
                 both, times = np.unique(code[~told] << TEXT_BITS | dc[~told], return_counts=True)
                 code, dc = both >> TEXT_BITS, both & ((1 << TEXT_BITS) - 1)
                 yield from _dealt(m.buckets.of((code >> WORD_BITS) - 1, code & WORD_MASK), ASKED, [code, dc, times], slice_id)
@@ -673,7 +745,8 @@ def _asked(rows: DataFrame, model) -> DataFrame:
                 at = _runs(w, both)
                 w, both, times = w[at], both[at], np.diff(at, append=len(w))
                 u, d = (both >> TEXT_BITS) - 1, both & ((1 << TEXT_BITS) - 1)
-                yield from _dealt(m.buckets.of(u, w), ASKED_RARE, [w, u, d, times], slice_id)
+                none = np.zeros(len(w), np.int64)
+                yield from _dealt(m.buckets.of_rare(w), ASKED_RARE, [w, u, d, times, none, none], slice_id)
 
     return rows.select("key", "text").mapInArrow(ask, _ROW)
 
@@ -704,7 +777,8 @@ class Bucket:
         at = _runs(w)
         self.word, self.tokens = w[at], _total(c, at)
         dish = np.repeat(np.arange(len(at)), np.diff(at, append=len(w)))
-        self.pair, self.pair_c = dish << 22 | (u + 1), c
+        self.contexts = np.unique(u)
+        self.pair, self.pair_c = dish * len(self.contexts) + np.searchsorted(self.contexts, u), c
         self.pair_kept = np.where(c == 1, KEPT, 0)
         # Of the parent, for each kept sweep: a word seen once has one customer at one table, a new word none.
         had, has = (np.ones((KEPT, len(self.word) + 1), np.int64) for _ in range(2))
@@ -713,7 +787,7 @@ class Bucket:
             u, place, _, _, kept, _, w, *_, x, y = unpack(payload)
             mine = np.searchsorted(self.word, w)
             had[:, mine], has[:, mine] = x.reshape(KEPT, -1), y.reshape(KEPT, -1)
-            np.add.at(self.pair_kept, np.searchsorted(self.pair, mine[place] << 22 | (u + 1)), kept)
+            np.add.at(self.pair_kept, np.searchsorted(self.pair, mine[place] * len(self.contexts) + np.searchsorted(self.contexts, u)), kept)
         self.parent = np.stack([under_parent(had[s], has[s], model.states[s]) for s in range(KEPT)])
 
     def common(self, code: np.ndarray) -> np.ndarray:
@@ -722,21 +796,113 @@ class Bucket:
         c, kept = (np.where(there, x[at], 0) if len(x) else np.zeros(len(code)) for x in (self.c, self.kept))
         return self.model.of_pair(u, c, kept, self.model.parent[:, w])
 
-    def rare(self, w: np.ndarray, u: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Scores, and how often each word occurs in training."""
+    def rare(self, w: np.ndarray, u: np.ndarray, customers: np.ndarray | int = 0, tables: np.ndarray | int = 0) -> tuple[np.ndarray, np.ndarray]:
+        """Scores, and how often each word occurs in training; `customers` and `tables` are those of rare contexts."""
         dish, known = _find(self.word, w)
         dish = np.where(known, dish, len(self.word))
         tokens = np.append(self.tokens, 0)[dish]
-        at, there = _find(self.pair, dish << 22 | (u + 1))
+        context, there = _find(self.contexts, u)
+        known &= there
+        at, there = _find(self.pair, dish * len(self.contexts) + context)
         there &= known
         c, kept = (np.where(there, x[at], 0) if len(x) else np.zeros(len(w)) for x in (self.pair_c, self.pair_kept))
         parent = self.parent[:, dish]
-        score = np.log10(parent.mean(0))
+        score = _of_rare_context(c, kept, customers, tables, parent.mean(0))
         inside = u >= 0
         score[inside] = self.model.of_pair(u[inside], c[inside], kept[inside], parent[:, inside])
         return score, tokens
 
 
+def _of_rare_context(c: np.ndarray, kept: np.ndarray, customers: np.ndarray, tables: np.ndarray, parent: np.ndarray) -> np.ndarray:
+    """log10 probability of words seen c times in a rare context; `kept` and `tables` are those of all kept sweeps, `parent`
+    the mean of these."""
+    own = c - DISCOUNTS[0] * kept / KEPT + (STRENGTHS[0] + DISCOUNTS[0] * tables / KEPT) * parent
+    return np.log10(own / (STRENGTHS[0] + customers))
+
+
+class Contexts:
+    """The rare contexts of a bucket: customers and tables of each, and its pairs with common words."""
+
+    def __init__(self, model: Model, held: dict[int, list[bytes]]) -> None:
+        self.parent = model.parent.mean(0)
+        u, customers, tables = _joined(held[CONTEXT_STATS], 3)
+        order = np.argsort(u)
+        self.context, self.customers, self.tables = u[order], customers[order], tables[order]
+        self.many = len(model.counts)
+        u, w, c = _joined(held[CONTEXT], 3)
+        key = np.searchsorted(self.context, u) * self.many + w
+        order = np.argsort(key)
+        self.pair, self.c = key[order], c[order]
+        self.kept = np.where(self.c == 1, KEPT, 0)
+        for payload in held[CONTEXT_SEATS]:
+            u, w, _, _, _, kept, _ = unpack(payload)
+            place = np.searchsorted(self.context, u)
+            np.add.at(self.kept, np.searchsorted(self.pair, place * self.many + w), kept)
+            np.add.at(self.tables, place, kept)
+        for payload in held[CONTEXT_TABLES]:
+            u, kept = unpack(payload)
+            np.add.at(self.tables, np.searchsorted(self.context, u), kept)
+
+    def of(self, u: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Customers, and tables of all kept sweeps; none where training never saw the context."""
+        at, there = _find(self.context, u)
+        return tuple(np.where(there, x[at], 0) if len(x) else np.zeros(len(u), np.int64) for x in (self.customers, self.tables))
+
+    def common(self, u: np.ndarray, w: np.ndarray) -> np.ndarray:
+        place, known = _find(self.context, u)
+        at, there = _find(self.pair, place * self.many + w)
+        there &= known
+        c, kept = (np.where(there, x[at], 0) if len(x) else np.zeros(len(w)) for x in (self.c, self.kept))
+        return _of_rare_context(c, kept, *self.of(u), self.parent[w])
+
+
+def _tables_under_rare(seats: DataFrame, model) -> DataFrame:
+    """Tables of rare contexts with rare words, on the way to the buckets of the contexts."""
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        deal = _received(model).buckets
+        for batch in batches:
+            for payload in batch.column(0):
+                u, _, _, _, kept, *_ = unpack(payload.as_py())
+                u, kept = u[u < 0], kept[u < 0]
+                yield from _dealt(deal.of_rare(u), CONTEXT_TABLES, [u, kept])
+
+    return seats.filter(F.col("kind") == RARE_SEATS).select("payload").mapInArrow(find, _ROW)
+
+
+def _of_contexts(asked: DataFrame, pairs: DataFrame, seats: DataFrame, model, n_buckets: int) -> DataFrame:
+    """Answers for common words that follow rare contexts; rare ones are sent on to their own buckets."""
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = _received(model)
+        held: dict[int, list[bytes]] = {k: [] for k in (CONTEXT, CONTEXT_STATS, CONTEXT_SEATS, CONTEXT_TABLES)}
+        found = None
+        for batch in batches:
+            for kind, slice_id, payload in zip(*(batch.column(i).to_pylist() for i in (1, 2)), batch.column(5), strict=True):
+                if kind in held:
+                    held[kind].append(payload.as_py())
+                    continue
+                if found is None:
+                    found, held = Contexts(m, held), {}
+                u, w, d, times = unpack(payload.as_py())
+                common = w >= 0
+                if common.any():
+                    known = base = np.zeros(int(common.sum()))
+                    yield _row(0, ANSWER, _by_text(d[common], times[common], known, base, found.common(u[common], w[common])), slice_id)
+                u, w, d, times = (x[~common] for x in (u, w, d, times))
+                yield from _dealt(m.buckets.of_rare(w), ASKED_RARE, [w, u, d, times, *found.of(u)], slice_id)
+
+    held = pairs.filter(F.col("kind").isin(CONTEXT, CONTEXT_STATS)).unionByName(seats.filter(F.col("kind") == CONTEXT_SEATS)).unionByName(_tables_under_rare(seats, model))
+    rows = held.unionByName(asked).repartitionById(n_buckets, F.col("bucket")).sortWithinPartitions("kind")
+    return stored(rows.mapInArrow(answer, _ROW), "contexts")
+
+
+def _by_text(d: np.ndarray, times: np.ndarray, known: np.ndarray, base: np.ndarray, score: np.ndarray) -> bytes:
+    texts, place = np.unique(d, return_inverse=True)
+    sums = [np.bincount(place, x, len(texts)) for x in (times, known, base, times * score)]
+    return pack(texts, *(x.astype(np.int64) for x in sums[:2]), *sums[2:])
+
+
 def _answered(asked: DataFrame, pairs: DataFrame, seats: DataFrame, model, n_buckets: int) -> DataFrame:
     """Rows (slice, payload): a slice's texts as they are, and sums for its texts from each bucket."""
 
@@ -758,19 +924,18 @@ def _answered(asked: DataFrame, pairs: DataFrame, seats: DataFrame, model, n_buc
                         known = base = np.zeros(len(d))
                         score = bucket.common(code)
                     else:
-                        w, u, d, times = unpack(payload)
-                        score, tokens = bucket.rare(w, u)
+                        w, u, d, times, customers, tables = unpack(payload)
+                        score, tokens = bucket.rare(w, u, customers, tables)
                         known, base = times * (tokens > 0), times * np.log10(tokens + 1.0)
-                    texts, place = np.unique(d, return_inverse=True)
-                    sums = [np.bincount(place, x, len(texts)) for x in (times, known, base, times * score)]
-                    payload = pack(texts, *(x.astype(np.int64) for x in sums[:2]), *sums[2:])
+                    payload = _by_text(d, times, known, base, score)
                 ids.append(slice_id)
                 kinds.append(kind == TEXTS)
                 payloads.append(payload)
             if ids:
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(kinds, pa.bool_()), pa.array(payloads, pa.binary())], names=["slice", "texts", "payload"])
 
-    rows = asked.unionByName(pairs).unionByName(seats).repartitionById(n_buckets, F.col("bucket")).sortWithinPartitions("kind")
+    held_rows = pairs.filter(F.col("kind").isin(COMMON, RARE)).unionByName(seats.filter(F.col("kind").isin(COMMON_SEATS, RARE_SEATS)))
+    rows = asked.unionByName(held_rows).repartitionById(n_buckets, F.col("bucket")).sortWithinPartitions("kind")
     return rows.mapInArrow(answer, "slice long, texts boolean, payload binary")
 
 
@@ -823,7 +988,10 @@ def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
     model, pairs, seats = train(rows.filter("trained").select("text"), one_in, pair_in, seed)
     tokens, types = model.states[0].tokens, model.states[0].types
     shared = _sent(spark, model)
-    answered = _answered(_asked(rows, shared), pairs, seats, shared, model.buckets.n)
+    contexts = _of_contexts(_asked(rows, shared, of_rare=True), pairs, seats, shared, model.buckets.n)
+    asked = _asked(rows, shared).unionByName(contexts.filter(F.col("kind") == ASKED_RARE))
+    answers = contexts.filter(F.col("kind") == ANSWER).select(F.col("id").alias("slice"), F.lit(False).alias("texts"), "payload")
+    answered = _answered(asked, pairs, seats, shared, model.buckets.n).unionByName(answers)
     by_slice = answered.repartition("slice").sortWithinPartitions("slice", F.desc("texts"))
     # Equal texts add up, and each takes its part.
     per_text = by_slice.mapInArrow(_summed, _PER_TEXT).groupBy("key").agg(*[F.sum(c).alias(c) for c in ("m", "n", "n_known", "log_c", "score")])
