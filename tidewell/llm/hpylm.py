@@ -47,18 +47,16 @@ ONE_IN, PAIR_IN = 1_000_000, 500_000
 SWEEPS, KEPT = 5, 3
 DISCOUNTS, STRENGTHS = (0.8, 0.75), (1.0, 1.0)  # of contexts, of the parent
 SHARD = 2048
-GROUP = 1_000_000  # customers in one row of seating
+GROUP = 6_000_000  # customers in one row of seating: the more, the more of them numpy takes side by side
+MANY = 500  # who wait at one step: above that, first tries are taken before the others
 BUCKET_TOKENS = 4_000_000
 HELD = 300_000  # different words a task counts before it forgets those seen once
-CHUNK = 4096  # numbers in one packed array on its way to a bucket
+AT_ONCE = 50  # texts whose words are hashed at once
+CHUNK = 16_384  # numbers in one packed array on its way to a bucket
 WORD_BITS, TEXT_BITS = 21, 16  # of the number of a common word, of a text's place in its slice
 WORD_MASK = (1 << WORD_BITS) - 1
 
 
-def words(text: str | None) -> list[bytes]:
-    return (text or "").encode("utf-8", "replace").lower().split()
-
-
 def _sent(spark, value):
     """A broadcast of a value with its classes, so that executors need no copy of this module."""
     return spark.sparkContext.broadcast(cloudpickle.dumps(value))
@@ -68,34 +66,65 @@ def _received(shared):
     return pickle.loads(shared.value)  # noqa: S301  our own
 
 
-class Numbers(dict):
-    """Numbers of words: 0 is the end of a text, then the common words; any other word has a negative hash."""
+def _scrambled(x: np.ndarray) -> np.ndarray:
+    """Random 64-bit numbers for whole numbers (splitmix64)."""
+    x = (x.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ x >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ x >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
+    return x ^ x >> np.uint64(31)
 
-    def __init__(self, common: list[bytes]) -> None:
-        super().__init__({w: i + 1 for i, w in enumerate(common)})
-        self.common = common
 
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
+def words(text: str | None) -> list[bytes]:
+    return (text or "").encode("utf-8", "replace").lower().split()
+
+
+_BLANK = np.isin(np.arange(256), list(b" \t\n\r\v\f"))
+_BYTES = _scrambled(np.arange(1 << 40, (1 << 40) + 256))
+_BYTES[ord("A") : ord("Z") + 1] = _BYTES[ord("a") : ord("z") + 1]
+
 
-        if len(self) > len(self.common) + HELD:
-            self.clear()
-            self.update({w: i + 1 for i, w in enumerate(self.common)})
-            return self[word]
-        self[word] = number = (xxhash.xxh64_intdigest(word) | 1 << 63) - (1 << 64)
-        return number
+def hashed(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words of the texts in a row, sums of a random number for each byte times an odd one for its place in
+    the word; and the number of words of each text."""
+    parts = [(t or "").encode("utf-8", "replace") for t in texts]
+    b = np.frombuffer(b"\n".join([b"", *parts, b""]), np.uint8)
+    inside = ~_BLANK[b]
+    edges = (inside[1:] != inside[:-1]).nonzero()[0] + 1
+    begin, length = edges[::2], edges[1::2] - edges[::2]
+    sizes = np.diff(np.searchsorted(begin, np.cumsum([1, *(len(p) + 1 for p in parts)])))
+    first = np.cumsum(length) - length
+    b = b[inside]
+    values = _BYTES[b]
+    values *= (_scrambled(np.arange(int(length.max(initial=0)))) | np.uint64(1))[np.arange(len(b)) - np.repeat(first, length)]
+    return np.add.reduceat(values, first) if len(first) else values, sizes
+
+
+class Numbers:
+    """Numbers of words: 0 is the end of a text, then the common words; any other word has a negative hash."""
+
+    def __init__(self, common: list[bytes]) -> None:
+        hashes, _ = hashed([b" ".join(common).decode()])
+        order = np.argsort(hashes)
+        self.hashes, self.number = np.append(hashes[order], np.uint64(0)), np.append(order + 1, 0)
+        self.shift = np.uint64(64 - max(1, len(common)).bit_length() - 4)  # leading bits tell nearly all apart
+        self.first = np.searchsorted(hashes[order] >> self.shift, np.arange(1 << 64 - int(self.shift), dtype=np.uint64)).astype(np.int32)
+        self.most = int(np.bincount(hashes >> self.shift).max(initial=0)) if len(common) else 0
 
     def flat(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Of all tokens of the texts in a row: number of the context, of the word, and place of the text."""
-        found, sizes = [], []
-        for text in texts:
-            ws = words(text)
-            found += map(self.__getitem__, ws)
-            found.append(0)
-            sizes.append(len(ws) + 1)
-        w = np.array(found, np.int64)
-        u = np.concatenate([[0], w[:-1]])  # a text begins after the end of another
-        return u, w, np.repeat(np.arange(len(texts)), sizes)
+        h, sizes = (np.concatenate(x) for x in zip(*(hashed(texts[i : i + AT_ONCE]) for i in range(0, len(texts), AT_ONCE)), strict=True))
+        numbers = (h | np.uint64(1 << 63)).view(np.int64)
+        at, left = self.first[h >> self.shift], None
+        for _ in range(self.most):
+            same = self.hashes.take(at) == (h if left is None else h[left])
+            known = np.flatnonzero(same) if left is None else left[same]
+            numbers[known] = self.number[at[same]]
+            left = np.flatnonzero(~same) if left is None else left[~same]
+            at = np.minimum(at[~same] + 1, len(self.number) - 1)
+        d = np.repeat(np.arange(len(texts)), sizes + 1)
+        w = np.zeros(len(d), np.int64)
+        w[np.arange(len(h)) + np.repeat(np.arange(len(texts)), sizes)] = numbers
+        return np.concatenate([[0], w[:-1]]), w, d  # a text begins after the end of another
 
 
 # ---- packed arrays ----------------------------------------------------------------------------------------------
@@ -266,7 +295,7 @@ def _counted(texts: DataFrame, common: list[bytes], buckets: Buckets) -> DataFra
             whole = c[several][a:b]
             (code, cs), none = _parts(whole, codes[several][a:b]), np.zeros(0, np.int64)
             empty = np.zeros(len(cs), np.int64)
-            yield _row(bucket, COMMON_SEATS, pack(code, cs, _parts(whole, whole)[0], empty, empty, none))
+            yield _row(bucket, COMMON_SEATS, pack(code, cs, _parts(whole, whole)[0], empty, empty, none), a)
         yield from _dealt_contexts(bucket, _received(shared)[1], *_joined(held.pop(CONTEXT), 3))
         w, u, c, least = _joined(held.pop(RARE), 4)
         w, u, c = _merged(w, u, c)
@@ -345,6 +374,60 @@ def _dealt_contexts(bucket: int, deal: Buckets, u: np.ndarray, w: np.ndarray, c:
         yield _row(bucket, CONTEXT_SEATS, pack(of, _parts(c[a:b], w[a:b])[0], _parts(c[a:b], elsewhere[a:b])[0], cs, empty, empty, none))
 
 
+def _side_by_side(seats: DataFrame, n_groups: int) -> DataFrame:
+    """The seating before anybody sits, with the pairs of several buckets in one row each: the more restaurants are
+    sampled side by side, the less each customer costs."""
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[bytes]] = {COMMON_SEATS: [], RARE_SEATS: []}
+        for batch in batches:
+            for bucket, kind, payload in zip(*(batch.column(i).to_pylist() for i in (0, 1)), batch.column(5), strict=True):
+                if kind in held:
+                    held[kind].append(payload.as_py())
+                else:
+                    yield _row(bucket, kind, payload.as_py())
+        group, none = TaskContext.get().partitionId(), np.zeros(0, np.int64)
+        code, c, whole, *_ = _joined(held[COMMON_SEATS], 6)
+        for a, b in _groups(c, code >> WORD_BITS):
+            empty = np.zeros(b - a, np.int64)
+            yield _row(group, COMMON_SEATS, pack(code[a:b], c[a:b], whole[a:b], empty, empty, none))
+        if held[RARE_SEATS]:
+            rare = [unpack(x) for x in held[RARE_SEATS]]
+            before = np.cumsum([0, *(len(x[6]) for x in rare)])
+            for x, n in zip(rare, before[:-1].tolist(), strict=True):
+                x[1] = x[1] + n
+            rare = [np.concatenate(x) for x in zip(*rare, strict=True)]
+            order = np.argsort(rare[0], kind="stable")  # restaurants of several buckets meet
+            for i in (0, 1, 2, 3, 4, 12):
+                rare[i] = rare[i][order]
+            yield _row(group, RARE_SEATS, pack(*rare))
+
+    return seats.repartitionById(n_groups, F.col("bucket") % n_groups).sortWithinPartitions("bucket", "kind", "id").mapInArrow(join, _ROW)
+
+
+def _in_buckets(seats: DataFrame, buckets: Buckets) -> DataFrame:
+    """The seating back in the buckets of its pairs, as far as scores need it."""
+    shared = _sent(seats.sparkSession, buckets)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        to = _received(shared)
+        for batch in batches:
+            for kind, payload in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                if kind == COMMON_SEATS:
+                    code, _, _, _, kept, _ = unpack(payload.as_py())
+                    yield from _dealt(to.of((code >> WORD_BITS) - 1, code & WORD_MASK), COMMON_SEATS, [code, kept])
+                    continue
+                u, place, _, _, kept, _, w, *_, had, has = unpack(payload.as_py())
+                bucket = to.of_rare(w)
+                had, has = had.reshape(KEPT, -1), has.reshape(KEPT, -1)
+                for b in np.unique(bucket).tolist():
+                    words, rows = np.flatnonzero(bucket == b), np.flatnonzero(bucket[place] == b)
+                    yield _row(b, RARE_SEATS, pack(u[rows], np.searchsorted(words, place[rows]), kept[rows], w[words], had[:, words].ravel(), has[:, words].ravel()))
+
+    joined = F.col("kind").isin(COMMON_SEATS, RARE_SEATS)
+    return seats.filter(~joined).unionByName(seats.filter(joined).select("kind", "payload").mapInArrow(deal, _ROW))
+
+
 def _groups(customers: np.ndarray, key: np.ndarray) -> Iterator[tuple[int, int]]:
     """Ranges of about `GROUP` customers that end where the key changes, if it does within another such range."""
     begin, ends = 0, np.cumsum(customers)
@@ -391,79 +474,118 @@ def reseat(rng: np.random.Generator, c: np.ndarray, t: np.ndarray, sizes: np.nda
     begin = first[_runs(shard)] if n else first
     length = np.diff(begin, append=int(c.sum()))
     order = np.argsort(-length, kind="stable")
-    rank = np.empty(len(order), np.int64)
+    rank = np.empty(len(order), np.int32)
     rank[order] = np.arange(len(order))
     opened = opened[order].astype(np.float64)
     steps = int(length.max(initial=0))
     live_at = len(length) - np.searchsorted(np.sort(length), np.arange(steps), "right")
     offset = np.cumsum(live_at) - live_at
+    start = first - begin[shard]  # the step of a row's first customer
+    small = np.int16 if c.max(initial=0) < 1 << 15 else np.int32
     # Customers lie by step, then by shard, so that those who move at one step lie side by side.
     row = np.repeat(np.arange(n, dtype=np.int32), c)
-    index = np.arange(len(row)) - np.repeat(first, c)  # of a customer in its row
-    place = offset[np.repeat(first - begin[shard], c) + index] + np.repeat(rank[shard], c)
+    place = np.arange(len(row), dtype=np.int32) - np.repeat(first.astype(np.int32), c)  # of a customer in its row
+    spare = np.repeat(c.astype(np.int32), c)  # a stack of free tables for each row
+    spare = (spare - place - 1).astype(small)
     seated = np.bincount(np.repeat(np.arange(n), t), sizes, n).astype(np.int64)
-    number = np.arange(len(sizes)) - np.repeat(np.cumsum(t) - t, t)  # of a table in its row
-    at_table, size = np.full(len(row), -1, np.int32), np.zeros(len(row), np.int32)
-    at_table[place[index < np.repeat(seated, c)]] = np.repeat(number, sizes)
-    size[np.repeat(first, t) + number] = sizes
-    spare = (np.repeat(first + c - 1, c) - np.arange(len(row))).astype(np.int32)  # a stack of free tables for each row
-    rows, indexes = np.empty(len(row), np.int32), np.empty(len(row), np.int32)
-    rows[place], indexes[place] = row, index
-    del row, index, place
-    bases, known = first[rows].astype(np.int32), seated[rows].astype(np.int32)
-    reach = np.maximum(known, indexes)  # customers of the row that may be seated: the first so many
-    others = np.where(indexes < known, known - 1, indexes)  # that are
-    parents = parent[rows]
+    was_seated = place < np.repeat(seated.astype(np.int32), c)
+    everyone, nobody = bool(was_seated.all()), not was_seated.any()
+    place += np.repeat(start.astype(np.int32), c)
+    place = offset.astype(np.int32)[place]
+    place += np.repeat(rank[shard], c)
+    rows = np.empty(len(row), np.int32)
+    rows[place] = row
+    del row
+    at_table, size = np.full(len(rows), -1, small), np.zeros(len(rows), small)
+    if not nobody:
+        number = (np.arange(len(sizes)) - np.repeat(np.cumsum(t) - t, t)).astype(np.int32)  # of a table in its row
+        size[np.repeat(first, t) + number] = sizes
+        at_table[place if everyone else place[was_seated]] = np.repeat(number, sizes)
+        del number
+    del place, was_seated
+    offsets, live_at = offset.tolist(), live_at.tolist()
     for step in range(steps):
-        a, live = offset[step], int(live_at[step])
+        a, live = offsets[step], live_at[step]
         b = a + live
-        r, base = rows[a:b], bases[a:b]
-        left = at_table[a:b].copy()
-        up = left >= 0
-        if up.all():
-            gone = _leave(size, base + left)
+        r, here = rows[a:b], at_table[a:b]
+        base, since = first.take(r), start.take(r)
+        if everyone:
+            gone = _leave(size, base + here)
+        elif not nobody:
+            up = (here >= 0).nonzero()[0]
+            gone = up[_leave(size, base[up] + here[up])]
+        if not nobody:
+            if len(gone):
+                empty = r[gone]
+                tables = t[empty]
+                spare[base[gone] + c[empty] - tables] = here[gone]
+                t[empty] = tables - 1
+                opened[gone] -= 1
+            here.fill(-1)
+        if everyone:
+            reach = c.take(r)  # customers of the row that may be seated: the first so many
+            others = reach - 1  # that are
         else:
-            gone = np.zeros(live, bool)
-            gone[up] = _leave(size, base[up] + left[up])
-        if gone.any():
-            empty = r[gone]
-            spare[base[gone] + c[empty] - t[empty]] = left[gone]
-            t[empty] -= 1
-            opened[:live] -= gone
-        at_table[a:b] = -1
-        fresh = (strength + discount * opened[:live]) * parents[a:b]
-        news = rng.random(live) * (fresh + others[a:b] - discount * t[r]) < fresh
-        waiting, tries = np.flatnonzero(~news), 1
-        while len(waiting):  # whoever is picked sits at a large table more likely than not; one part of each goes to the discount
-            mine, at, m = base[waiting], a + waiting, len(waiting)
-            who = (rng.random((m, tries)) * reach[at][:, None]).astype(np.int64)
-            table = at_table[offset[who + (step - indexes[at])[:, None]] + waiting[:, None]]
-            there = size[mine[:, None] + np.maximum(table, 0)]
-            good = (rng.random((m, tries)) * there < there - discount) & (table >= 0)
-            if tries == 1:
-                stays, table = good[:, 0], table[:, 0]
-            else:
-                pick = good.argmax(1)
-                stays, table = good[np.arange(m), pick], table[np.arange(m), pick]
-            table = table[stays]
-            at_table[at[stays]] = table
-            size[mine[stays] + table] += 1
-            waiting, tries = waiting[~stays], 8
-        if news.any():
-            mine, who = base[news], r[news]
-            t[who] += 1
-            table = spare[mine + c[who] - t[who]]
-            at_table[a:b][news] = table
+            known, index = seated.take(r), step - since
+            reach = np.maximum(known, index)
+            others = reach - (index < known)
+        fresh = discount * opened[:live]
+        fresh += strength
+        fresh *= parent.take(r)
+        weight = fresh + others
+        weight -= discount * t.take(r)
+        weight *= rng.random(live)
+        new = weight < fresh
+        waiting, tries = (~new).nonzero()[0], 1
+        new = new.nonzero()[0]
+        if len(new):
+            mine, who = base[new], r[new]
+            tables = t[who] + 1
+            t[who] = tables
+            table = spare[mine + c[who] - tables]
+            here[new] = table
             size[mine + table] = 1
-            opened[:live] += news
+            opened[new] += 1
+        mine, reach, since = base[waiting], reach[waiting], since[waiting]
+        while len(waiting):  # whoever is picked sits at a large table more likely than not; one part of each goes to the discount
+            whom, luck = rng.random((len(waiting), tries)), rng.random((len(waiting), tries))
+            stands = _tried(whom, luck, slice(0, 2 if len(waiting) > MANY else tries), waiting, mine, reach, since, offset, at_table, here, size, discount)
+            if tries > 2 and len(waiting) > MANY:  # most need no more than two tries
+                more = _tried(whom[stands], luck[stands], slice(2, tries), waiting[stands], mine[stands], reach[stands], since[stands], offset, at_table, here, size, discount)
+                stands = stands[more]
+            waiting, mine, reach, since, tries = waiting[stands], mine[stands], reach[stands], since[stands], 8
     return t, size[size > 0].astype(np.int64)
 
 
 def _leave(size: np.ndarray, tables: np.ndarray) -> np.ndarray:
-    """Takes one customer from each of the tables; whether these are empty then."""
-    rest = size[tables] - 1
+    """Takes one customer from each of the tables; which of these are empty then."""
+    rest = size.take(tables)
+    rest -= 1
     size[tables] = rest
-    return rest == 0
+    return (rest == 0).nonzero()[0]
+
+
+def _tried(whom: np.ndarray, luck: np.ndarray, tries: slice, waiting: np.ndarray, mine: np.ndarray, reach: np.ndarray, since: np.ndarray, offset: np.ndarray, at_table: np.ndarray, here: np.ndarray, size: np.ndarray, discount: float) -> np.ndarray:
+    """Seats those who wait at the table of the first customer picked that takes them; which of them stand on."""
+    at = (whom[:, tries] * reach[:, None]).astype(np.int64)
+    at += since[:, None]
+    at = offset.take(at)
+    at += waiting[:, None]
+    table = at_table.take(at)
+    there = size.take(table + mine[:, None])  # any table's of one who stands
+    good = luck[:, tries] * there < there - discount
+    good &= table >= 0
+    if good.shape[1] == 1:
+        good, table = good.ravel(), table.ravel()
+    else:
+        pick = good.argmax(1)
+        pick += np.arange(0, good.size, good.shape[1])
+        good, table = good.take(pick), table.take(pick)
+    stays = good.nonzero()[0]
+    table = table[stays]
+    here[waiting[stays]] = table
+    size[mine[stays] + table] += 1
+    return (~good).nonzero()[0]
 
 
 class State(NamedTuple):
@@ -551,11 +673,14 @@ def _swept_parent(rng: np.random.Generator, customers: np.ndarray, pieces: np.nd
     c = whole // n + (number < whole % n)
     # Who is too many leaves, picked at random.
     seated = _seated(tables, sizes)
-    row = np.repeat(np.arange(len(c)), seated)
-    table = np.repeat(np.arange(len(sizes)), sizes)
-    order = np.lexsort((rng.random(len(row)), row))
-    stays = np.arange(len(row)) - np.repeat(np.cumsum(seated) - seated, seated) < c[row]
-    sizes = np.bincount(table[order][stays], minlength=len(sizes)).astype(np.int64)
+    luck, crowd = rng.random(int(seated.sum())), np.where(seated > c, seated, 0)
+    of_many = np.repeat(seated > c, seated)
+    row, luck = np.repeat(np.arange(len(c)), crowd), luck[of_many]
+    table = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)[of_many]
+    order = np.lexsort((luck, row))
+    goes = np.arange(len(row)) - np.repeat(np.cumsum(crowd) - crowd, crowd) >= c[row]
+    sizes = sizes - np.bincount(table[order][goes], minlength=len(sizes))
+    del row, luck, table, of_many, order, goes
     tables = np.bincount(np.repeat(np.arange(len(c)), tables)[sizes > 0], minlength=len(c)).astype(np.int64)
     some = c > 0
     shard = shards_of(c[some], np.zeros(int(some.sum()), np.int64))
@@ -588,8 +713,8 @@ def _parent_rows(spark, customers: np.ndarray) -> DataFrame:
     """The parent's common words, cut into rows of about `GROUP` customers; parts of a word are in one row each."""
     limit = max(SHARD, -(-int(customers.sum()) // 1_000_000))
     pieces = np.maximum(1, -(-customers // limit))
-    rows = [(a, b, pack(pieces[a:b]), pack(np.zeros(int(pieces[a:b].sum()), np.int64), np.zeros(0, np.int64)), pack(np.zeros(b - a, np.int64))) for a, b in _groups(customers + 1, np.arange(len(customers)))]
-    return spark.createDataFrame(rows, _PARENT).repartition(max(1, min(len(rows), 2000)), "first")
+    rows = [(a, b, pack(pieces[a:b]), pack(np.zeros(int(pieces[a:b].sum()), np.int64), np.zeros(0, np.int64)), pack(np.zeros(b - a, np.int64))) for a, b in _groups(3 * customers // 2 + 1, np.arange(len(customers)))]
+    return spark.createDataFrame(rows, _PARENT)
 
 
 def _swept_parents(rows: DataFrame, customers: np.ndarray, state: State, seed: int) -> DataFrame:
@@ -606,7 +731,8 @@ def _swept_parents(rows: DataFrame, customers: np.ndarray, state: State, seed: i
                 values = [r["first"]], [r["last"]], [r["pieces"]], [pack(tables, sizes)], [pack(whole)]
                 yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(values, (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()), strict=True)], names=["first", "last", "pieces", "tables", "tables_of"])
 
-    return rows.mapInArrow(sweep, _PARENT)
+    tasks = min(2000, max(1, -(-3 * int(customers.sum()) // (2 * GROUP))))
+    return rows.repartitionByRange(tasks, "first").mapInArrow(sweep, _PARENT)  # a row a task, as nearly as may be
 
 
 def _collected(rows: DataFrame, n: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:
@@ -658,7 +784,7 @@ def train(texts: DataFrame, one_in: int = ONE_IN, pair_in: int = PAIR_IN, seed:
     total, types = int(counts.sum() + rare_tokens), int((counts > 0).sum() + rare_types)
 
     state = State(0, single, (counts + 1) / (total + types + 1), 0, 0, types, total)
-    seats, kept_states = pairs.filter(F.col("kind").isin(*SEATS)), []
+    seats, kept_states = _side_by_side(pairs.filter(F.col("kind").isin(*SEATS)), max(1, -(-int((counts - fixed).sum()) // GROUP))), []
     parents = None
     for sweep in range(SWEEPS):
         done = stored(_swept(seats, state._replace(sweep=sweep), seed), "seats")
@@ -675,7 +801,7 @@ def train(texts: DataFrame, one_in: int = ONE_IN, pair_in: int = PAIR_IN, seed:
         if sweep >= SWEEPS - KEPT:
             kept_states.append(state)
     model = Model(common, buckets, in_context, counts, np.stack([s.tables for s in kept_states]), np.stack([s.parent for s in kept_states]), [s._replace(tables=None, parent=None) for s in kept_states], np.zeros(0, np.int64), np.zeros(0))
-    return _with_hot_pairs(model, seats, math.ceil(total / pair_in)), pairs.filter(F.col("kind").isin(COMMON, RARE, CONTEXT, CONTEXT_STATS)), seats
+    return _with_hot_pairs(model, seats, math.ceil(total / pair_in)), pairs.filter(F.col("kind").isin(COMMON, RARE, CONTEXT, CONTEXT_STATS)), _in_buckets(seats, buckets)
 
 
 def _with_hot_pairs(model: Model, seats: DataFrame, least: int) -> Model:
@@ -769,7 +895,7 @@ class Bucket:
         self.code, self.c = code[order], c[order]
         self.kept = np.where(self.c == 1, KEPT, 0)
         for payload in held[COMMON_SEATS]:
-            code, _, _, _, kept, _ = unpack(payload)
+            code, kept = unpack(payload)
             np.add.at(self.kept, np.searchsorted(self.code, code), kept)
         w, u, c = _joined(held[RARE], 3)
         order = np.lexsort((u, w))
@@ -784,7 +910,7 @@ class Bucket:
         had, has = (np.ones((KEPT, len(self.word) + 1), np.int64) for _ in range(2))
         had[:, -1] = has[:, -1] = 0
         for payload in held[RARE_SEATS]:
-            u, place, _, _, kept, _, w, *_, x, y = unpack(payload)
+            u, place, kept, w, x, y = unpack(payload)
             mine = np.searchsorted(self.word, w)
             had[:, mine], has[:, mine] = x.reshape(KEPT, -1), y.reshape(KEPT, -1)
             np.add.at(self.pair_kept, np.searchsorted(self.pair, mine[place] * len(self.contexts) + np.searchsorted(self.contexts, u)), kept)
@@ -863,7 +989,7 @@ def _tables_under_rare(seats: DataFrame, model) -> DataFrame:
         deal = _received(model).buckets
         for batch in batches:
             for payload in batch.column(0):
-                u, _, _, _, kept, *_ = unpack(payload.as_py())
+                u, _, kept, *_ = unpack(payload.as_py())
                 u, kept = u[u < 0], kept[u < 0]
                 yield from _dealt(deal.of_rare(u), CONTEXT_TABLES, [u, kept])
 
