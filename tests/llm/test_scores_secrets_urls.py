@@ -201,6 +201,38 @@ def test_what_follows_a_rare_word_is_learned(spark, monkeypatch, bucket_tokens):
     assert found.n_tokens == found.n_known == 3 and -3 < found.score < -1  # zzq after an end is one in 50; both others are nearly sure
 
 
+def test_seating_of_several_buckets_lies_side_by_side(spark, docs, monkeypatch):
+    monkeypatch.setattr(hpylm, "BUCKET_TOKENS", 5000)
+    stored, seen, folders = hpylm.stored, [], []
+
+    def noted(df, name):
+        found = stored(df, name)
+        if name == "seats":
+            seen.append(Counter(r.kind for r in found.select("kind").collect()))
+            folders.append(found)
+        return found
+
+    monkeypatch.setattr(hpylm, "stored", noted)
+    model, pairs, seats = hpylm.train(docs.select(F.coalesce("text", F.lit("")).alias("text")), one_in=300)
+    assert model.buckets.n > 3 and len(seen) == hpylm.SWEEPS
+    assert all(n[hpylm.COMMON_SEATS] == n[hpylm.RARE_SEATS] == 1 for n in seen)  # one row each, not one a bucket
+    assert folders[-1].count() and all(not f.sparkSession._jvm.java.io.File(f.inputFiles()[0].removeprefix("file:")).exists() for f in folders[:-1])
+    kinds = seats.unionByName(pairs).groupBy("bucket").agg(F.collect_set("kind").alias("kinds")).collect()
+    assert sum(hpylm.RARE_SEATS in r.kinds for r in kinds) > 3 and all(hpylm.RARE in r.kinds for r in kinds if hpylm.RARE_SEATS in r.kinds)
+
+
+def test_hashes_tell_words_apart_as_bytes_do():
+    texts = ["", "  a B\tc ", None, "\x1cx\x1d \x85y z \x0b\x0cq", "K \u212a É é\n\n", " ", "ab ba aab aba Ab a\0 a"] * 40
+    h, sizes = hpylm.hashed(texts)
+    ws = [w for t in texts for w in hpylm.words(t)]
+    assert sizes.tolist() == [len(hpylm.words(t)) for t in texts] and len(h) == len(ws)
+    assert len(set(h.tolist())) == len(set(ws)) == len(set(zip(h.tolist(), ws, strict=True)))
+    common = sorted(set(ws))[::2]
+    u, w, d = hpylm.Numbers(common).flat(texts)
+    expected = [common.index(x) + 1 if x in common else -1 for t in texts for x in [*hpylm.words(t), None] if x] if ws else []
+    assert np.maximum(w, -1)[w != 0].tolist() == expected and (w == 0).sum() == len(texts) and np.array_equal(u[1:], w[:-1])
+
+
 def test_packed_arrays_round_trip():
     rng = np.random.default_rng(1)
     arrays = [np.sort(rng.integers(-(2**63), 2**63 - 1, 1000)), rng.integers(0, 9, 77), np.zeros(0, np.int64), rng.random(50), np.array([-(2**63), 2**63 - 1])]

@@ -40,19 +40,19 @@ from pyspark import TaskContext, cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .scratch import stored
+from .scratch import drop, stored
 from .textmap import slices
 
 ONE_IN, PAIR_IN = 1_000_000, 500_000
 SWEEPS, KEPT = 5, 3
 DISCOUNTS, STRENGTHS = (0.8, 0.75), (1.0, 1.0)  # of contexts, of the parent
 SHARD = 2048
-GROUP = 6_000_000  # customers in one row of seating: the more, the more of them numpy takes side by side
+GROUP = 4_000_000  # customers in one row of seating: the more, the more of them numpy takes side by side
 MANY = 500  # who wait at one step: above that, first tries are taken before the others
 BUCKET_TOKENS = 4_000_000
 HELD = 300_000  # different words a task counts before it forgets those seen once
 AT_ONCE = 50  # texts whose words are hashed at once
-CHUNK = 16_384  # numbers in one packed array on its way to a bucket
+CHUNK = 8192  # numbers in one packed array on its way to a bucket
 WORD_BITS, TEXT_BITS = 21, 16  # of the number of a common word, of a text's place in its slice
 WORD_MASK = (1 << WORD_BITS) - 1
 
@@ -785,19 +785,22 @@ def train(texts: DataFrame, one_in: int = ONE_IN, pair_in: int = PAIR_IN, seed:
 
     state = State(0, single, (counts + 1) / (total + types + 1), 0, 0, types, total)
     seats, kept_states = _side_by_side(pairs.filter(F.col("kind").isin(*SEATS)), max(1, -(-int((counts - fixed).sum()) // GROUP))), []
-    parents = None
+    before = parents = None
     for sweep in range(SWEEPS):
         done = stored(_swept(seats, state._replace(sweep=sweep), seed), "seats")
         sums = _collected(done, n)
         customers = fixed + sums[OF_WORD][0]
-        parents = stored(_swept_parents(_parent_rows(spark, customers) if parents is None else parents, customers, state._replace(sweep=sweep), seed), "parents")
+        were, parents = parents, stored(_swept_parents(_parent_rows(spark, customers) if parents is None else parents, customers, state._replace(sweep=sweep), seed), "parents")
         opened = np.zeros(n, np.int64)
         for r in parents.select("first", "last", "tables_of").collect():  # a number for each common word
             opened[r.first : r.last] = unpack(bytes(r.tables_of))[0]
         rare_customers, rare_opened = int(sums[OF_ALL][0][0]) + int(once), int(sums[OF_ALL][1][0]) + int(once)
         state = state._replace(tables=single + sums[OF_CONTEXT][0], customers=int(customers.sum()) + rare_customers, opened=int(opened.sum()) + rare_opened)
         state = state._replace(parent=under_parent(customers, opened, state))
-        seats = done.filter(F.col("kind").isin(*SEATS))
+        for old in (before, were):  # each sweep needs only the one before
+            if old is not None:
+                drop(old)
+        before, seats = done, done.filter(F.col("kind").isin(*SEATS))
         if sweep >= SWEEPS - KEPT:
             kept_states.append(state)
     model = Model(common, buckets, in_context, counts, np.stack([s.tables for s in kept_states]), np.stack([s.parent for s in kept_states]), [s._replace(tables=None, parent=None) for s in kept_states], np.zeros(0, np.int64), np.zeros(0))
