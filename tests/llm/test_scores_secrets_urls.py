@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidewell.llm import hpylm, langid, secret_scan, url_tree
+from tidewell.llm import hpylm, langid, secret_scan, textmap, url_tree
 
 
 @pytest.mark.parametrize("one_in", [200, 1_000_000])
@@ -221,6 +221,19 @@ def test_seating_of_several_buckets_lies_side_by_side(spark, docs, monkeypatch):
     assert sum(hpylm.RARE_SEATS in r.kinds for r in kinds) > 3 and all(hpylm.RARE in r.kinds for r in kinds if hpylm.RARE_SEATS in r.kinds)
 
 
+def test_slices_go_to_the_buckets_together(spark, docs, monkeypatch):
+    monkeypatch.setattr(hpylm, "BUCKET_TOKENS", 5000)
+    score = lambda: {r.doc_id: r.score for r in hpylm.score(docs.dropDuplicates(["doc_id"]).coalesce(1), F.col("doc_id") % 3 > 0, one_in=300).collect()}
+    whole = score()
+    monkeypatch.setattr(textmap, "SLICE_ROWS", 7)
+    tables, stored = {}, hpylm.stored
+    monkeypatch.setattr(hpylm, "stored", lambda df, name: tables.setdefault(name, stored(df, name)) if name == "answers" else stored(df, name))
+    sliced = score()
+    assert whole.keys() == sliced.keys() and all(abs(whole[i] - sliced[i]) < 1e-9 * abs(whole[i]) for i in whole)
+    kinds = Counter(r.kind for r in tables["answers"].select("kind").collect())
+    assert kinds[hpylm.TEXTS] == 1 and 3 < kinds[hpylm.ANSWER] < 99
+
+
 def test_hashes_tell_words_apart_as_bytes_do():
     texts = ["", "  a B\tc ", None, "\x1cx\x1d \x85y z \x0b\x0cq", "K \u212a É é\n\n", " ", "ab ba aab aba Ab a\0 a"] * 40
     h, sizes = hpylm.hashed(texts)

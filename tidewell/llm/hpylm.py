@@ -30,29 +30,30 @@ from __future__ import annotations
 import math
 import pickle
 import struct
-from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext, cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .scratch import drop, stored
-from .textmap import slices
+from .textmap import ranges
 
 ONE_IN, PAIR_IN = 1_000_000, 500_000
 SWEEPS, KEPT = 5, 3
 DISCOUNTS, STRENGTHS = (0.8, 0.75), (1.0, 1.0)  # of contexts, of the parent
 SHARD = 2048
 GROUP = 4_000_000  # customers in one row of seating: the more, the more of them numpy takes side by side
-MANY = 500  # who wait at one step: above that, first tries are taken before the others
+MANY, TRIES = 500, 8  # who wait at one step: above that, first tries are taken before the others
+LONG = 1 / 8, 1  # shards: restaurants up to so many, and longer ones, are sampled apart
 BUCKET_TOKENS = 4_000_000
 HELD = 300_000  # different words a task counts before it forgets those seen once
-AT_ONCE = 50  # texts whose words are hashed at once
 CHUNK = 8192  # numbers in one packed array on its way to a bucket
+TOGETHER = 1_000_000  # numbers of several slices that go to the buckets together, so that these get fewer and longer arrays
 WORD_BITS, TEXT_BITS = 21, 16  # of the number of a common word, of a text's place in its slice
 WORD_MASK = (1 << WORD_BITS) - 1
 
@@ -78,52 +79,56 @@ def words(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "replace").lower().split()
 
 
-_BLANK = np.isin(np.arange(256), list(b" \t\n\r\v\f"))
 _BYTES = _scrambled(np.arange(1 << 40, (1 << 40) + 256))
-_BYTES[ord("A") : ord("Z") + 1] = _BYTES[ord("a") : ord("z") + 1]
-
-
-def hashed(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words of the texts in a row, sums of a random number for each byte times an odd one for its place in
-    the word; and the number of words of each text."""
-    parts = [(t or "").encode("utf-8", "replace") for t in texts]
-    b = np.frombuffer(b"\n".join([b"", *parts, b""]), np.uint8)
-    inside = ~_BLANK[b]
-    edges = (inside[1:] != inside[:-1]).nonzero()[0] + 1
-    begin, length = edges[::2], edges[1::2] - edges[::2]
-    sizes = np.diff(np.searchsorted(begin, np.cumsum([1, *(len(p) + 1 for p in parts)])))
+
+
+def _words(texts: pa.Array | list[str | None]) -> tuple[pa.Array, np.ndarray]:
+    """All words of the texts in a row, and the number of words of each text."""
+    texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+    texts = pc.ascii_trim_whitespace(pc.ascii_lower(pc.fill_null(texts.cast(pa.string()), "")))
+    split = pc.ascii_split_whitespace(texts)
+    sizes, found = pc.list_value_length(split).to_numpy().astype(np.int64), split.flatten()
+    empty = pc.binary_length(texts).to_numpy() == 0  # split into one empty word
+    if empty.any():
+        sizes[empty] = 0
+        found = found.filter(pc.greater(pc.binary_length(found), 0))
+    return found, sizes
+
+
+def _hashes(found: pa.Array) -> np.ndarray:
+    """Hashes of words: sums of a random number for each byte times an odd one for its place in the word."""
+    length = pc.binary_length(found).to_numpy().astype(np.int64)
+    if not len(length):
+        return np.zeros(0, np.uint64)
+    data = found.buffers()[2]
+    begin = int(np.frombuffer(found.buffers()[1], np.int32)[found.offset])
     first = np.cumsum(length) - length
-    b = b[inside]
-    values = _BYTES[b]
-    values *= (_scrambled(np.arange(int(length.max(initial=0)))) | np.uint64(1))[np.arange(len(b)) - np.repeat(first, length)]
-    return np.add.reduceat(values, first) if len(first) else values, sizes
+    values = _BYTES[np.frombuffer(data, np.uint8, int(length.sum()), begin)]
+    values *= (_scrambled(np.arange(int(length.max()))) | np.uint64(1))[np.arange(len(values)) - np.repeat(first, length)]
+    return np.add.reduceat(values, first)
+
+
+def hashed(texts: pa.Array | list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words of the texts in a row, and the number of words of each text."""
+    found, sizes = _words(texts)
+    return _hashes(found), sizes
 
 
 class Numbers:
     """Numbers of words: 0 is the end of a text, then the common words; any other word has a negative hash."""
 
     def __init__(self, common: list[bytes]) -> None:
-        hashes, _ = hashed([b" ".join(common).decode()])
-        order = np.argsort(hashes)
-        self.hashes, self.number = np.append(hashes[order], np.uint64(0)), np.append(order + 1, 0)
-        self.shift = np.uint64(64 - max(1, len(common)).bit_length() - 4)  # leading bits tell nearly all apart
-        self.first = np.searchsorted(hashes[order] >> self.shift, np.arange(1 << 64 - int(self.shift), dtype=np.uint64)).astype(np.int32)
-        self.most = int(np.bincount(hashes >> self.shift).max(initial=0)) if len(common) else 0
-
-    def flat(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        self.common = pa.array(common, pa.binary()).cast(pa.string())
+
+    def flat(self, texts: pa.Array | list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Of all tokens of the texts in a row: number of the context, of the word, and place of the text."""
-        h, sizes = (np.concatenate(x) for x in zip(*(hashed(texts[i : i + AT_ONCE]) for i in range(0, len(texts), AT_ONCE)), strict=True))
-        numbers = (h | np.uint64(1 << 63)).view(np.int64)
-        at, left = self.first[h >> self.shift], None
-        for _ in range(self.most):
-            same = self.hashes.take(at) == (h if left is None else h[left])
-            known = np.flatnonzero(same) if left is None else left[same]
-            numbers[known] = self.number[at[same]]
-            left = np.flatnonzero(~same) if left is None else left[~same]
-            at = np.minimum(at[~same] + 1, len(self.number) - 1)
+        found, sizes = _words(texts)
+        place = pc.index_in(found, value_set=self.common)
+        numbers = pc.fill_null(place, -1).to_numpy().astype(np.int64) + 1
+        numbers[numbers == 0] = (_hashes(found.filter(place.is_null())) | np.uint64(1 << 63)).view(np.int64)
         d = np.repeat(np.arange(len(texts)), sizes + 1)
         w = np.zeros(len(d), np.int64)
-        w[np.arange(len(h)) + np.repeat(np.arange(len(texts)), sizes)] = numbers
+        w[np.arange(len(numbers)) + np.repeat(np.arange(len(texts)), sizes)] = numbers
         return np.concatenate([[0], w[:-1]]), w, d  # a text begins after the end of another
 
 
@@ -131,16 +136,21 @@ class Numbers:
 
 
 def pack(*arrays: np.ndarray) -> bytes:
-    """Arrays as compressed bytes: whole numbers by their differences, all by planes of bytes."""
+    """Arrays as compressed bytes: whole numbers by their differences, in the smallest type that holds them; all by planes
+    of bytes."""
     import zstandard
 
     parts = []
     for x in arrays:
         x = np.ascontiguousarray(x)
-        parts.append(struct.pack("<2sQ", x.dtype.str[1:].encode(), len(x)))
-        if x.dtype.kind == "i" and len(x):
+        kind = x.dtype
+        if kind.kind == "i" and len(x):
             x = np.concatenate([x[:1], x[1:] - x[:-1]])
-        parts.append(x.view(np.uint8).reshape(len(x), x.dtype.itemsize).T.tobytes())
+            least, most = int(x.min()), int(x.max())
+            x = x.astype(next(d for d in (np.int8, np.int16, np.int32, kind) if np.iinfo(d).min <= least and most <= np.iinfo(d).max), copy=False)
+        parts.append(struct.pack("<2s2sQ", kind.str[1:].encode(), x.dtype.str[1:].encode(), len(x)))
+        planes = x.view(np.uint8).reshape(len(x), x.dtype.itemsize)
+        parts += [np.ascontiguousarray(planes[:, i]).data for i in range(x.dtype.itemsize)]
     return zstandard.ZstdCompressor(1).compress(b"".join(parts))
 
 
@@ -149,15 +159,29 @@ def unpack(data: bytes) -> list[np.ndarray]:
 
     raw, at, out = zstandard.ZstdDecompressor().decompress(data), 0, []
     while at < len(raw):
-        kind, n = struct.unpack_from("<2sQ", raw, at)
-        kind, at = np.dtype(kind.decode()), at + 10
-        planes = np.frombuffer(raw, np.uint8, n * kind.itemsize, at).reshape(kind.itemsize, n)
-        at += n * kind.itemsize
-        x = np.ascontiguousarray(planes.T).view(kind).ravel()
+        kind, held, n = struct.unpack_from("<2s2sQ", raw, at)
+        kind, held, at = np.dtype(kind.decode()), np.dtype(held.decode()), at + 12
+        x = np.empty((n, held.itemsize), np.uint8)
+        for i in range(held.itemsize):
+            x[:, i] = np.frombuffer(raw, np.uint8, n, at + i * n)
+        at += n * held.itemsize
+        x = x.view(held).ravel()
         out.append(np.cumsum(x, dtype=kind) if kind.kind == "i" else x)
     return out
 
 
+def _in_order(payloads: list[bytes], n: int) -> list[np.ndarray]:
+    """Arrays sorted by the first two (or the first), of rows that are pieces of such arrays."""
+    parts = sorted((x for x in map(unpack, payloads) if len(x[0])), key=lambda x: (x[0][0], x[1][0]))
+    if not parts:
+        return [np.zeros(0, np.int64)] * n
+    x, y, *rest = (np.concatenate(x) for x in zip(*parts, strict=True))
+    if (x[1:] < x[:-1]).any():  # of several buckets
+        order = np.lexsort((y, x))
+        x, y, rest = x[order], y[order], [z[order] for z in rest]
+    return [x, y, *rest]
+
+
 def _joined(payloads: list[bytes], n: int) -> list[np.ndarray]:
     if not payloads:
         return [np.zeros(0, np.int64)] * n
@@ -169,13 +193,13 @@ _NAMES = ["bucket", "kind", "id", "a", "b", "payload"]
 # Kinds of rows: pairs with a common word, pairs with a rare one, seating of either, and sums for the driver.
 COMMON, RARE, COMMON_SEATS, RARE_SEATS, OF_CONTEXT, OF_WORD, OF_ALL, ASKED, ASKED_RARE, TEXTS = range(10)
 # Of rare contexts: their pairs with a common word, their customers, their seating and their tables under rare words;
-# what is asked, and what is answered.
-CONTEXT, CONTEXT_STATS, CONTEXT_SEATS, CONTEXT_TABLES, ASKED_CONTEXT, ANSWER = range(10, 16)
+# what is asked, what is answered, and what goes on to rare words.
+CONTEXT, CONTEXT_STATS, CONTEXT_SEATS, CONTEXT_TABLES, ASKED_CONTEXT, ANSWER, ONWARD = range(10, 17)
 SEATS = (COMMON_SEATS, RARE_SEATS, CONTEXT_SEATS)
 
 
-def _row(bucket: int, kind: int, payload: bytes, id: int = 0) -> pa.RecordBatch:
-    values = [bucket], [kind], [id], [0], [0], [payload]
+def _row(bucket: int, kind: int, payload: bytes, id: int = 0, a: int = 0, b: int = 0) -> pa.RecordBatch:
+    values = [bucket], [kind], [id], [a], [b], [payload]
     return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(values, (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)], names=_NAMES)
 
 
@@ -205,7 +229,7 @@ class Buckets(NamedTuple):
 
 def _dealt(bucket: np.ndarray, kind: int, arrays: list[np.ndarray], id: int = 0) -> Iterator[pa.RecordBatch]:
     """Arrays cut by bucket; order within a bucket is kept."""
-    order = np.argsort(bucket, kind="stable")
+    order = np.argsort(bucket.astype(np.uint16) if bucket.max(initial=0) < 1 << 16 else bucket, kind="stable")  # by radix, of 16 bits
     bucket, arrays = bucket[order], [x[order] for x in arrays]
     edges = np.flatnonzero(np.diff(bucket, prepend=-1, append=-1))
     for begin, end in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
@@ -213,6 +237,25 @@ def _dealt(bucket: np.ndarray, kind: int, arrays: list[np.ndarray], id: int = 0)
             yield _row(int(bucket[begin]), kind, pack(*(x[i : min(i + CHUNK, end)] for x in arrays)), id)
 
 
+class Held:
+    """Arrays of several slices on their way to the buckets."""
+
+    def __init__(self) -> None:
+        self.parts, self.n = {}, 0
+
+    def add(self, kind: int, bucket: np.ndarray, *arrays: np.ndarray) -> None:
+        self.parts.setdefault(kind, []).append((bucket, *arrays))
+        self.n += len(bucket)
+
+    def dealt(self, id: int = 0) -> Iterator[pa.RecordBatch]:
+        parts, self.parts, self.n = self.parts, {}, 0
+        while parts:
+            kind, held = parts.popitem()
+            bucket, *arrays = (np.concatenate(x) for x in zip(*held, strict=True))
+            del held
+            yield from _dealt(bucket, kind, arrays, id)
+
+
 def _runs(*keys: np.ndarray) -> np.ndarray:
     """Where a new combination of sorted keys begins."""
     new = np.zeros(len(keys[0]), bool)
@@ -238,18 +281,17 @@ def _common(texts: DataFrame, one_in: int) -> tuple[list[bytes], np.ndarray, int
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter = Counter()
-        total = 0
+        held, total = pa.table({"word": pa.array([], pa.string()), "n": pa.array([], pa.int64())}), 0
         for batch in batches:
-            for _, _, texts in slices(batch.column(0)):
-                for text in texts:
-                    ws = words(text)
-                    total += len(ws)
-                    held.update(ws)
+            for a, b in ranges(batch.column(0)):
+                found = pc.value_counts(_words(batch.column(0).slice(a, b - a))[0])
+                total += pc.sum(found.field(1)).as_py() or 0
+                held = pa.concat_tables([held, pa.table({"word": found.field(0), "n": found.field(1)})]).group_by("word").aggregate([("n", "sum")]).rename_columns({"n_sum": "n"})
                 if len(held) > HELD:
-                    held = Counter({w: n for w, n in held.items() if n > 1 + total // (10 * one_in)})
-        some = [(w, n) for w, n in held.items() if n * one_in >= total] + [(None, total)]
-        yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in some], pa.binary()), pa.array([n for _, n in some], pa.int64())], names=["word", "n"])
+                    held = held.filter(pc.greater(held.column("n"), 1 + total // (10 * one_in)))
+        held = held.filter(pc.greater_equal(pc.multiply(held.column("n"), one_in), total)).combine_chunks()
+        words, n = (held.column(c).to_pylist() for c in ("word", "n"))
+        yield pa.RecordBatch.from_arrays([pa.array([*(w.encode() for w in words), None], pa.binary()), pa.array([*n, total], pa.int64())], names=["word", "n"])
 
     counts = stored(texts.mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")), "common-words")
     total = next((r.n for r in counts.filter("word is null").collect()), 0)
@@ -264,23 +306,26 @@ def _counted(texts: DataFrame, common: list[bytes], buckets: Buckets) -> DataFra
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, deal = _received(shared)
-        numbers = Numbers(known)
+        numbers, held = Numbers(known), Held()
         for batch in batches:
-            for _, _, texts in slices(batch.column(0)):
-                u, w, _ = numbers.flat(texts)
+            for a, b in ranges(batch.column(0)):
+                u, w, _ = numbers.flat(batch.column(0).slice(a, b - a))
                 under, inside, n = _pair_counts(w[u < 0], u[u < 0])
-                yield from _dealt(deal.of_rare(under), CONTEXT, [under, inside, n])
+                held.add(CONTEXT, deal.of_rare(under), under, inside, n)
                 u, w = u[u >= 0], w[u >= 0]
                 rare = w < 0
                 codes, n = np.unique((u[~rare] + 1) << WORD_BITS | w[~rare], return_counts=True)
-                yield from _dealt(deal.of((codes >> WORD_BITS) - 1, codes & WORD_MASK), COMMON, [codes, n])
+                held.add(COMMON, deal.of((codes >> WORD_BITS) - 1, codes & WORD_MASK), codes, n)
                 w, u, n = _pair_counts(u[rare], w[rare])
-                yield from _dealt(deal.of_rare(w), RARE, [w, u, n, np.zeros(len(w), np.int64)])
+                held.add(RARE, deal.of_rare(w), w, u, n, np.zeros(len(w), np.int64))
+                if held.n > TOGETHER:
+                    yield from held.dealt()
+        yield from held.dealt()
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket, held = _held(batches, (COMMON, RARE, CONTEXT))
         codes, c = _joined(held.pop(COMMON), 2)
-        order = np.argsort(codes, kind="stable")
+        order = np.argsort(codes)
         codes, c = codes[order], c[order]
         at = _runs(codes)
         codes, c = codes[at], _total(c, at)
@@ -291,11 +336,14 @@ def _counted(texts: DataFrame, common: list[bytes], buckets: Buckets) -> DataFra
         yield from _sums(OF_WORD, np.arange(n), np.bincount(w, single, n), np.bincount(w, c, n))
         n = int(u.max(initial=-1)) + 1
         yield from _sums(OF_CONTEXT, np.arange(n), np.bincount(u, c, n), np.bincount(u[single], minlength=n))
-        for a, b in _groups(c[several], u[several]):
-            whole = c[several][a:b]
-            (code, cs), none = _parts(whole, codes[several][a:b]), np.zeros(0, np.int64)
-            empty = np.zeros(len(cs), np.int64)
-            yield _row(bucket, COMMON_SEATS, pack(code, cs, _parts(whole, whole)[0], empty, empty, none), a)
+        long = _long(c[several], u[several])
+        for kind_of in range(len(LONG) + 1):
+            mine, mine_c = codes[several][long == kind_of], c[several][long == kind_of]
+            for a, b in _groups(mine_c, mine >> WORD_BITS):
+                whole = mine_c[a:b]
+                (code, cs), none = _parts(whole, mine[a:b]), np.zeros(0, np.int64)
+                empty = np.zeros(len(cs), np.int64)
+                yield _row(bucket, COMMON_SEATS, pack(code, cs, _parts(whole, whole)[0], empty, empty, none), a, kind_of, int(whole.sum()))
         yield from _dealt_contexts(bucket, _received(shared)[1], *_joined(held.pop(CONTEXT), 3))
         w, u, c, least = _joined(held.pop(RARE), 4)
         w, u, c = _merged(w, u, c)
@@ -349,7 +397,11 @@ def _merged(x: np.ndarray, y: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np
 
 
 def _pair_counts(y: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    return _merged(x, y, np.ones(len(x), np.int64))
+    """Pairs with their numbers; one may be there several times."""
+    order = np.argsort(x)
+    x, y = x[order], y[order]
+    at = _runs(x, y)
+    return x[at], y[at], np.diff(at, append=len(x))
 
 
 def _dealt_contexts(bucket: int, deal: Buckets, u: np.ndarray, w: np.ndarray, c: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -374,9 +426,29 @@ def _dealt_contexts(bucket: int, deal: Buckets, u: np.ndarray, w: np.ndarray, c:
         yield _row(bucket, CONTEXT_SEATS, pack(of, _parts(c[a:b], w[a:b])[0], _parts(c[a:b], elsewhere[a:b])[0], cs, empty, empty, none))
 
 
-def _side_by_side(seats: DataFrame, n_groups: int) -> DataFrame:
+def _long(c: np.ndarray, restaurant: np.ndarray) -> np.ndarray:
+    """Of every row, how many of the lengths in `LONG` its restaurant (sorted) exceeds."""
+    at = _runs(restaurant)
+    return np.repeat(np.searchsorted(SHARD * np.array(LONG), _total(c, at)), np.diff(at, append=len(c)))
+
+
+def _side_by_side(seats: DataFrame, rare_customers: int) -> DataFrame:
     """The seating before anybody sits, with the pairs of several buckets in one row each: the more restaurants are
-    sampled side by side, the less each customer costs."""
+    sampled side by side, the less each customer costs. Those of about one length are put together, so that they end
+    together too; and so are pairs with a rare word, whatever the number of other groups."""
+    customers = {r.a: r.n for r in seats.filter(F.col("kind") == COMMON_SEATS).groupBy("a").agg(F.sum("b").alias("n")).collect()}
+    if sum(customers.values()) <= GROUP:
+        customers = dict.fromkeys(customers, 0)
+        many = dict.fromkeys(customers, 0)
+    else:
+        many = {k: -(-n // GROUP) for k, n in customers.items()}
+    group, n_groups = F.lit(0), 0
+    for k, n in sorted(many.items()):
+        group = F.when(F.col("a") == k, n_groups + F.col("bucket") % max(1, n)).otherwise(group)
+        n_groups += n
+    n_groups, of_rare = max(1, n_groups), max(1, -(-2 * rare_customers // GROUP))  # these have the parent's customers too
+    group = F.when(F.col("kind") == COMMON_SEATS, group).when(F.col("kind") == RARE_SEATS, n_groups + F.col("bucket") % of_rare).otherwise(F.col("bucket") % n_groups)
+    n_groups += of_rare
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list[bytes]] = {COMMON_SEATS: [], RARE_SEATS: []}
@@ -402,7 +474,7 @@ def _side_by_side(seats: DataFrame, n_groups: int) -> DataFrame:
                 rare[i] = rare[i][order]
             yield _row(group, RARE_SEATS, pack(*rare))
 
-    return seats.repartitionById(n_groups, F.col("bucket") % n_groups).sortWithinPartitions("bucket", "kind", "id").mapInArrow(join, _ROW)
+    return seats.repartitionById(n_groups, group.cast("int")).sortWithinPartitions("bucket", "kind", "a", "id").mapInArrow(join, _ROW)
 
 
 def _in_buckets(seats: DataFrame, buckets: Buckets) -> DataFrame:
@@ -483,77 +555,103 @@ def reseat(rng: np.random.Generator, c: np.ndarray, t: np.ndarray, sizes: np.nda
     start = first - begin[shard]  # the step of a row's first customer
     small = np.int16 if c.max(initial=0) < 1 << 15 else np.int32
     # Customers lie by step, then by shard, so that those who move at one step lie side by side.
-    row = np.repeat(np.arange(n, dtype=np.int32), c)
-    place = np.arange(len(row), dtype=np.int32) - np.repeat(first.astype(np.int32), c)  # of a customer in its row
-    spare = np.repeat(c.astype(np.int32), c)  # a stack of free tables for each row
-    spare = (spare - place - 1).astype(small)
-    seated = np.bincount(np.repeat(np.arange(n), t), sizes, n).astype(np.int64)
-    was_seated = place < np.repeat(seated.astype(np.int32), c)
-    everyone, nobody = bool(was_seated.all()), not was_seated.any()
+    place = np.arange(int(c.sum()), dtype=np.int32)  # of a customer in its row, then among all
+    place -= np.repeat(first.astype(np.int32), c)
+    spare = np.repeat((c - 1).astype(small), c)  # a stack of free tables for each row
+    spare -= place.astype(small)
     place += np.repeat(start.astype(np.int32), c)
-    place = offset.astype(np.int32)[place]
+    place = offset.astype(np.int32).take(place)
     place += np.repeat(rank[shard], c)
-    rows = np.empty(len(row), np.int32)
-    rows[place] = row
-    del row
-    at_table, size = np.full(len(rows), -1, small), np.zeros(len(rows), small)
+    seated = np.bincount(np.repeat(np.arange(n), t), sizes, n).astype(np.int64)
+    everyone, nobody = bool((seated == c).all()), not len(sizes)
+    at_table, size = np.full(len(place), -1, small), np.zeros(len(place), small)
     if not nobody:
-        number = (np.arange(len(sizes)) - np.repeat(np.cumsum(t) - t, t)).astype(np.int32)  # of a table in its row
+        number = np.arange(len(sizes)) - np.repeat(np.cumsum(t) - t, t)  # of a table in its row
         size[np.repeat(first, t) + number] = sizes
-        at_table[place if everyone else place[was_seated]] = np.repeat(number, sizes)
+        if not everyone:
+            before = np.cumsum(seated) - seated
+            place = place[np.repeat(first - before, seated) + np.arange(int(seated.sum()))]
+        at_table[place] = np.repeat(number.astype(small), sizes)
         del number
-    del place, was_seated
+    del place
+    # Of each shard the row whose customers are moving; only shards that come to their next row look up what is new.
+    rank_of = rank[shard].astype(np.int64)
+    row_of = np.argsort(start * max(1, len(order)) + rank_of)
+    rank_of = rank_of[row_of]
+    turns = np.searchsorted(start[row_of], np.arange(steps + 1)).tolist()
+    firsts, starts, cs, ts, known_of = (x.astype(np.int32)[row_of] for x in (first, start, c, t, seated))
+    parents, row_of = parent[row_of], row_of.astype(np.int32)
+    del first, start, seated, shard
+    now, base, since, of, tables_of, under, known = (np.zeros(len(order), x) for x in (np.int64, np.int64, np.int64, np.int64, np.float64, np.float64, np.int64))
     offsets, live_at = offset.tolist(), live_at.tolist()
     for step in range(steps):
+        i, j = turns[step], turns[step + 1]
+        if i < j:
+            who = rank_of[i:j]
+            if step:
+                ts[now.take(who)] = tables_of.take(who)
+            now[who] = np.arange(i, j)
+            base[who], since[who], of[who], under[who], tables_of[who] = firsts[i:j], starts[i:j], cs[i:j], parents[i:j], ts[i:j]
+            if not everyone:
+                known[who] = known_of[i:j]
         a, live = offsets[step], live_at[step]
-        b = a + live
-        r, here = rows[a:b], at_table[a:b]
-        base, since = first.take(r), start.take(r)
-        if everyone:
-            gone = _leave(size, base + here)
-        elif not nobody:
-            up = (here >= 0).nonzero()[0]
-            gone = up[_leave(size, base[up] + here[up])]
+        here, base_, of_, tables_ = at_table[a : a + live], base[:live], of[:live], tables_of[:live]
         if not nobody:
+            if everyone:
+                gone = _leave(size, base_ + here)
+            else:
+                up = (here >= 0).nonzero()[0]
+                gone = up[_leave(size, base_[up] + here[up])]
             if len(gone):
-                empty = r[gone]
-                tables = t[empty]
-                spare[base[gone] + c[empty] - tables] = here[gone]
-                t[empty] = tables - 1
+                left = tables_.take(gone)
+                spare[base_.take(gone) + of_.take(gone) - left.astype(np.int64)] = here.take(gone)
+                tables_[gone] = left - 1
                 opened[gone] -= 1
             here.fill(-1)
         if everyone:
-            reach = c.take(r)  # customers of the row that may be seated: the first so many
+            reach = of_  # customers of the row that may be seated: the first so many
             others = reach - 1  # that are
         else:
-            known, index = seated.take(r), step - since
-            reach = np.maximum(known, index)
-            others = reach - (index < known)
+            index = step - since[:live]
+            reach = np.maximum(known[:live], index)
+            others = reach - (index < known[:live])
         fresh = discount * opened[:live]
         fresh += strength
-        fresh *= parent.take(r)
+        fresh *= under[:live]
         weight = fresh + others
-        weight -= discount * t.take(r)
+        weight -= discount * tables_
         weight *= rng.random(live)
         new = weight < fresh
-        waiting, tries = (~new).nonzero()[0], 1
-        new = new.nonzero()[0]
+        waiting, new = (~new).nonzero()[0], new.nonzero()[0]
         if len(new):
-            mine, who = base[new], r[new]
-            tables = t[who] + 1
-            t[who] = tables
-            table = spare[mine + c[who] - tables]
+            mine = base_.take(new)
+            tables = tables_.take(new) + 1
+            tables_[new] = tables
+            table = spare.take(mine + of_.take(new) - tables.astype(np.int64))
             here[new] = table
             size[mine + table] = 1
             opened[new] += 1
-        mine, reach, since = base[waiting], reach[waiting], since[waiting]
-        while len(waiting):  # whoever is picked sits at a large table more likely than not; one part of each goes to the discount
-            whom, luck = rng.random((len(waiting), tries)), rng.random((len(waiting), tries))
-            stands = _tried(whom, luck, slice(0, 2 if len(waiting) > MANY else tries), waiting, mine, reach, since, offset, at_table, here, size, discount)
-            if tries > 2 and len(waiting) > MANY:  # most need no more than two tries
-                more = _tried(whom[stands], luck[stands], slice(2, tries), waiting[stands], mine[stands], reach[stands], since[stands], offset, at_table, here, size, discount)
-                stands = stands[more]
-            waiting, mine, reach, since, tries = waiting[stands], mine[stands], reach[stands], since[stands], 8
+        if not len(waiting):
+            continue
+        # Whoever is picked sits at a large table more likely than not; one part of each goes to the discount.
+        mine, reach, begun, many = base_.take(waiting), reach.take(waiting), since.take(waiting), len(waiting)
+        luck = rng.random(2 * many)
+        at = (luck[:many] * reach).astype(np.int64)
+        at += begun
+        at = offset.take(at)
+        at += waiting
+        table = at_table.take(at)
+        chance = 1 - luck[many:]
+        chance *= size.take(table + mine)  # any table's of one who stands
+        good = chance > discount
+        good &= table >= 0
+        stands = _seat(good, table, waiting, mine, here, size)
+        while len(stands):
+            waiting, mine, reach, begun = waiting.take(stands), mine.take(stands), reach.take(stands), begun.take(stands)
+            whom, luck = rng.random((2, len(waiting), TRIES))
+            stands = _retried(whom, luck, waiting, mine, reach, begun, offset, at_table, here, size, discount)
+    ts[now] = tables_of
+    t[row_of] = ts
     return t, size[size > 0].astype(np.int64)
 
 
@@ -565,27 +663,35 @@ def _leave(size: np.ndarray, tables: np.ndarray) -> np.ndarray:
     return (rest == 0).nonzero()[0]
 
 
-def _tried(whom: np.ndarray, luck: np.ndarray, tries: slice, waiting: np.ndarray, mine: np.ndarray, reach: np.ndarray, since: np.ndarray, offset: np.ndarray, at_table: np.ndarray, here: np.ndarray, size: np.ndarray, discount: float) -> np.ndarray:
+def _seat(good: np.ndarray, table: np.ndarray, waiting: np.ndarray, mine: np.ndarray, here: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Seats those whose table is good; which of them stand on."""
+    stays = good.nonzero()[0]
+    table = table.take(stays)
+    here[waiting.take(stays)] = table
+    table = table + mine.take(stays)
+    size[table] = size.take(table) + 1
+    return (~good).nonzero()[0]
+
+
+def _retried(whom: np.ndarray, luck: np.ndarray, waiting: np.ndarray, mine: np.ndarray, reach: np.ndarray, since: np.ndarray, offset: np.ndarray, at_table: np.ndarray, here: np.ndarray, size: np.ndarray, discount: float) -> np.ndarray:
     """Seats those who wait at the table of the first customer picked that takes them; which of them stand on."""
-    at = (whom[:, tries] * reach[:, None]).astype(np.int64)
+    if len(waiting) > MANY and whom.shape[1] == TRIES:  # most need no more than two tries
+        few = slice(0, 2)
+        left = _retried(whom[:, few], luck[:, few], waiting, mine, reach, since, offset, at_table, here, size, discount)
+        rest = slice(2, None)
+        return left.take(_retried(whom[left, rest], luck[left, rest], waiting.take(left), mine.take(left), reach.take(left), since.take(left), offset, at_table, here, size, discount))
+    at = (whom * reach[:, None]).astype(np.int64)
     at += since[:, None]
     at = offset.take(at)
     at += waiting[:, None]
     table = at_table.take(at)
-    there = size.take(table + mine[:, None])  # any table's of one who stands
-    good = luck[:, tries] * there < there - discount
+    chance = 1 - luck
+    chance *= size.take(table + mine[:, None])
+    good = chance > discount
     good &= table >= 0
-    if good.shape[1] == 1:
-        good, table = good.ravel(), table.ravel()
-    else:
-        pick = good.argmax(1)
-        pick += np.arange(0, good.size, good.shape[1])
-        good, table = good.take(pick), table.take(pick)
-    stays = good.nonzero()[0]
-    table = table[stays]
-    here[waiting[stays]] = table
-    size[mine[stays] + table] += 1
-    return (~good).nonzero()[0]
+    pick = good.argmax(1)
+    pick += np.arange(0, good.size, good.shape[1])
+    return _seat(good.take(pick), table.take(pick), waiting, mine, here, size)
 
 
 class State(NamedTuple):
@@ -626,14 +732,16 @@ def _swept_context(payload: bytes, state: State, seed: int) -> tuple[bytes, Iter
     begin = _runs(shard)
     t, sizes = reseat(_rng(seed, state.sweep, int(u[0]), int(w[0])), c, t, sizes, shard, (own + elsewhere)[begin], state.parent[w], DISCOUNTS[0], STRENGTHS[0])
     kept = kept + t * (state.sweep >= SWEEPS - KEPT)
-    ids, place = np.unique(w, return_inverse=True)
-    return pack(u, w, elsewhere, c, t, kept, sizes), _sums(OF_WORD, ids, np.bincount(place, t), np.zeros(len(ids)))
+    tables = np.bincount(w, t)
+    ids = np.flatnonzero(tables)
+    return pack(u, w, elsewhere, c, t, kept, sizes), _sums(OF_WORD, ids, tables[ids], np.zeros(len(ids)))
 
 
 def _of_common(u: np.ndarray, w: np.ndarray, t: np.ndarray) -> Iterator[pa.RecordBatch]:
     for kind, x in ((OF_CONTEXT, u), (OF_WORD, w)):
-        ids, place = np.unique(x, return_inverse=True)
-        yield from _sums(kind, ids, np.bincount(place, t), np.zeros(len(ids)))
+        tables = np.bincount(x, t)
+        ids = np.flatnonzero(tables)  # every row has a table
+        yield from _sums(kind, ids, tables[ids], np.zeros(len(ids)))
 
 
 def _swept_rare(payload: bytes, state: State, seed: int) -> tuple[bytes, Iterator[pa.RecordBatch]]:
@@ -653,8 +761,9 @@ def _swept_rare(payload: bytes, state: State, seed: int) -> tuple[bytes, Iterato
     opened = _by_owner(np.repeat(np.arange(len(w)), pieces), tables, len(w))
     if state.sweep >= SWEEPS - KEPT:
         kept, had, has = kept + t, np.concatenate([had, customers]), np.concatenate([has, opened])
-    ids, of = np.unique(u[u >= 0], return_inverse=True)
-    sums = [*_sums(OF_CONTEXT, ids, np.bincount(of, t[u >= 0]), np.zeros(len(ids))), *_sums(OF_ALL, np.array([0]), customers.sum()[None], opened.sum()[None])]
+    opened_in = np.bincount(u[u >= 0], t[u >= 0])
+    ids = np.flatnonzero(opened_in)
+    sums = [*_sums(OF_CONTEXT, ids, opened_in[ids], np.zeros(len(ids))), *_sums(OF_ALL, np.array([0]), customers.sum()[None], opened.sum()[None])]
     return pack(u, place, c, t, kept, sizes, w, tokens, fixed, pieces, tables, table_sizes, least, had, has), iter(sums)
 
 
@@ -675,12 +784,14 @@ def _swept_parent(rng: np.random.Generator, customers: np.ndarray, pieces: np.nd
     seated = _seated(tables, sizes)
     luck, crowd = rng.random(int(seated.sum())), np.where(seated > c, seated, 0)
     of_many = np.repeat(seated > c, seated)
-    row, luck = np.repeat(np.arange(len(c)), crowd), luck[of_many]
+    luck = luck[of_many]
+    luck += np.repeat(np.arange(len(c)), crowd)
     table = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)[of_many]
-    order = np.lexsort((luck, row))
-    goes = np.arange(len(row)) - np.repeat(np.cumsum(crowd) - crowd, crowd) >= c[row]
-    sizes = sizes - np.bincount(table[order][goes], minlength=len(sizes))
-    del row, luck, table, of_many, order, goes
+    del of_many
+    order = np.argsort(luck)  # by dish, then by luck
+    goes = np.arange(len(luck)) - np.repeat(np.cumsum(crowd) - crowd, crowd) >= np.repeat(c, crowd)
+    sizes = sizes - np.bincount(table[order[goes]], minlength=len(sizes))
+    del luck, table, order, goes
     tables = np.bincount(np.repeat(np.arange(len(c)), tables)[sizes > 0], minlength=len(c)).astype(np.int64)
     some = c > 0
     shard = shards_of(c[some], np.zeros(int(some.sum()), np.int64))
@@ -714,7 +825,8 @@ def _parent_rows(spark, customers: np.ndarray) -> DataFrame:
     limit = max(SHARD, -(-int(customers.sum()) // 1_000_000))
     pieces = np.maximum(1, -(-customers // limit))
     rows = [(a, b, pack(pieces[a:b]), pack(np.zeros(int(pieces[a:b].sum()), np.int64), np.zeros(0, np.int64)), pack(np.zeros(b - a, np.int64))) for a, b in _groups(3 * customers // 2 + 1, np.arange(len(customers)))]
-    return spark.createDataFrame(rows, _PARENT)
+    values = zip(*rows, strict=True) if rows else [[]] * 5
+    return spark.createDataFrame(pa.table([pa.array(v, t) for v, t in zip(values, (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()), strict=True)], names=["first", "last", "pieces", "tables", "tables_of"]))
 
 
 def _swept_parents(rows: DataFrame, customers: np.ndarray, state: State, seed: int) -> DataFrame:
@@ -784,8 +896,8 @@ def train(texts: DataFrame, one_in: int = ONE_IN, pair_in: int = PAIR_IN, seed:
     total, types = int(counts.sum() + rare_tokens), int((counts > 0).sum() + rare_types)
 
     state = State(0, single, (counts + 1) / (total + types + 1), 0, 0, types, total)
-    seats, kept_states = _side_by_side(pairs.filter(F.col("kind").isin(*SEATS)), max(1, -(-int((counts - fixed).sum()) // GROUP))), []
-    before = parents = None
+    seats, kept_states = stored(_side_by_side(pairs.filter(F.col("kind").isin(*SEATS)), int(rare_tokens - once)), "side-by-side"), []
+    before, parents = seats, None
     for sweep in range(SWEEPS):
         done = stored(_swept(seats, state._replace(sweep=sweep), seed), "seats")
         sums = _collected(done, n)
@@ -804,7 +916,7 @@ def train(texts: DataFrame, one_in: int = ONE_IN, pair_in: int = PAIR_IN, seed:
         if sweep >= SWEEPS - KEPT:
             kept_states.append(state)
     model = Model(common, buckets, in_context, counts, np.stack([s.tables for s in kept_states]), np.stack([s.parent for s in kept_states]), [s._replace(tables=None, parent=None) for s in kept_states], np.zeros(0, np.int64), np.zeros(0))
-    return _with_hot_pairs(model, seats, math.ceil(total / pair_in)), pairs.filter(F.col("kind").isin(COMMON, RARE, CONTEXT, CONTEXT_STATS)), _in_buckets(seats, buckets)
+    return _with_hot_pairs(model, seats, math.ceil(total / pair_in)), pairs.filter(F.col("kind").isin(COMMON, RARE, CONTEXT, CONTEXT_STATS)), stored(_in_buckets(seats, buckets), "in-buckets")
 
 
 def _with_hot_pairs(model: Model, seats: DataFrame, least: int) -> Model:
@@ -830,9 +942,8 @@ def _with_hot_pairs(model: Model, seats: DataFrame, least: int) -> Model:
 # ---- scoring ----------------------------------------------------------------------------------------------------
 
 
-def _asked(rows: DataFrame, model, of_rare: bool = False) -> DataFrame:
-    """For each slice of texts: what can be told on the spot, and the pairs that the buckets are asked for; or the pairs
-    of rare contexts."""
+def _asked(rows: DataFrame, model) -> DataFrame:
+    """For some slices of texts at a time: what can be told on the spot, and the pairs that the buckets are asked for."""
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
@@ -840,46 +951,57 @@ def _asked(rows: DataFrame, model, of_rare: bool = False) -> DataFrame:
         m = _received(model)
         numbers = Numbers(m.common)
         log_c = np.log10(m.counts + 1.0)
+        held, told_of, many = Held(), [], 0
+
+        def done() -> Iterator[pa.RecordBatch]:
+            texts = [np.concatenate(x) for x in zip(*told_of, strict=True)]
+            slice_id = xxhash.xxh64_intdigest(texts[0].tobytes()) - (1 << 63)
+            yield _row(int(slice_id % m.buckets.n), TEXTS, pack(*texts), slice_id)
+            yield from held.dealt(slice_id)
+
         for batch in batches:
-            for a, b, texts in slices(batch.column(1)):
-                u, w, d = numbers.flat(texts)
-                keys, n = batch.column(0).slice(a, b - a).to_numpy(), len(texts)
-                slice_id = xxhash.xxh64_intdigest(keys.tobytes()) - (1 << 63)
-                if of_rare:
-                    under = u < 0
-                    u, w, d = u[under], w[under], d[under]
-                    order = np.lexsort((d, w, u))
-                    u, w, d = u[order], w[order], d[order]
-                    at = _runs(u, w, d)
-                    yield from _dealt(m.buckets.of_rare(u[at]), ASKED_CONTEXT, [u[at], w[at], d[at], np.diff(at, append=len(u))], slice_id)
-                    continue
+            for a, b in ranges(batch.column(1)):
+                if held.n > TOGETHER or many + b - a > 1 << TEXT_BITS:
+                    yield from done()
+                    told_of, many = [], 0
+                u, w, d = numbers.flat(batch.column(1).slice(a, b - a))
+                keys, n = batch.column(0).slice(a, b - a).to_numpy(), b - a
                 wc, dc = w[w >= 0], d[w >= 0]
                 known, log_base = np.bincount(dc, m.counts[wc] > 0, n).astype(np.int64), np.bincount(dc, log_c[wc], n)
                 tokens = np.bincount(d, minlength=n)
-                inside = u >= 0
-                u, w, d = u[inside], w[inside], d[inside]
-                common = w >= 0
-                wc, uc, dc = w[common], u[common], d[common]
-                code = (uc + 1) << WORD_BITS | wc
+                under = u < 0
+                common = ~under & (w >= 0)
+                both = np.sort((u[common] + 1 << WORD_BITS | w[common]) << TEXT_BITS | d[common])
+                at = _runs(both)
+                both, times = both[at], np.diff(at, append=len(both)).astype(np.int32)
+                code, dc = both >> TEXT_BITS, (both & ((1 << TEXT_BITS) - 1)).astype(np.int32)
                 at, told = _find(m.hot, code)
-                score = np.where(told, m.hot_scores[at], 0.0) if len(m.hot) else np.zeros(len(code))
-                answered = np.bincount(dc[told], minlength=n)
-                yield _row(int(slice_id % m.buckets.n), TEXTS, pack(keys, tokens, answered, known, log_base, np.bincount(dc, score, n).astype(np.float64)), slice_id)
-                both, times = np.unique(code[~told] << TEXT_BITS | dc[~told], return_counts=True)
-                code, dc = both >> TEXT_BITS, both & ((1 << TEXT_BITS) - 1)
-                yield from _dealt(m.buckets.of((code >> WORD_BITS) - 1, code & WORD_MASK), ASKED, [code, dc, times], slice_id)
-                w, both = w[~common], (u[~common] + 1) << TEXT_BITS | d[~common]
-                order = np.lexsort((both, w))
-                w, both = w[order], both[order]
-                at = _runs(w, both)
-                w, both, times = w[at], both[at], np.diff(at, append=len(w))
-                u, d = (both >> TEXT_BITS) - 1, both & ((1 << TEXT_BITS) - 1)
-                none = np.zeros(len(w), np.int64)
-                yield from _dealt(m.buckets.of_rare(w), ASKED_RARE, [w, u, d, times, none, none], slice_id)
+                score = m.hot_scores[at[told]] * times[told] if len(m.hot) else np.zeros(0)
+                answered = np.bincount(dc[told], times[told], n).astype(np.int64)
+                told_of.append((keys, tokens, answered, known, log_base, np.bincount(dc[told], score, n).astype(np.float64)))
+                code, dc, times = code[~told], dc[~told], times[~told]
+                held.add(ASKED, m.buckets.of((code >> WORD_BITS) - 1, code & WORD_MASK), code, dc + np.int32(many), times)
+                x, y, dc, times = _once(u[under], w[under], d[under])
+                held.add(ASKED_CONTEXT, m.buckets.of_rare(x), x, y, dc + np.int32(many), times)
+                rare = ~under & (w < 0)
+                x, y, dc, times = _once(w[rare], u[rare], d[rare])
+                none = np.zeros(len(x), np.int32)
+                held.add(ASKED_RARE, m.buckets.of_rare(x), x, y, dc + np.int32(many), times, none, none)
+                many += n
+        if told_of:
+            yield from done()
 
     return rows.select("key", "text").mapInArrow(ask, _ROW)
 
 
+def _once(x: np.ndarray, y: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """What is asked of rare x, sorted by it, and how often; most of what a text has several times is asked once."""
+    order = np.argsort(x)
+    x, y, d = x[order], y[order], d[order].astype(np.int32)
+    at = _runs(x, y, d)
+    return x[at], y[at], d[at], np.diff(at, append=len(x)).astype(np.int32)
+
+
 def _find(sorted_keys: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places of keys among sorted ones, and whether they are there."""
     if not len(sorted_keys):
@@ -893,18 +1015,15 @@ class Bucket:
 
     def __init__(self, model: Model, held: dict[int, list[bytes]]) -> None:
         self.model = model
-        code, c = _joined(held[COMMON], 2)
-        order = np.argsort(code)
-        self.code, self.c = code[order], c[order]
+        self.code, self.c = _in_order(held[COMMON], 2)
         self.kept = np.where(self.c == 1, KEPT, 0)
         for payload in held[COMMON_SEATS]:
             code, kept = unpack(payload)
             np.add.at(self.kept, np.searchsorted(self.code, code), kept)
-        w, u, c = _joined(held[RARE], 3)
-        order = np.lexsort((u, w))
-        w, u, c = w[order], u[order], c[order]
+        w, u, c = _in_order(held[RARE], 3)
         at = _runs(w)
         self.word, self.tokens = w[at], _total(c, at)
+        self.tokens_of = np.append(self.tokens, 0)  # a new word has none
         dish = np.repeat(np.arange(len(at)), np.diff(at, append=len(w)))
         self.contexts = np.unique(u)
         self.pair, self.pair_c = dish * len(self.contexts) + np.searchsorted(self.contexts, u), c
@@ -929,7 +1048,7 @@ class Bucket:
         """Scores, and how often each word occurs in training; `customers` and `tables` are those of rare contexts."""
         dish, known = _find(self.word, w)
         dish = np.where(known, dish, len(self.word))
-        tokens = np.append(self.tokens, 0)[dish]
+        tokens = self.tokens_of[dish]
         context, there = _find(self.contexts, u)
         known &= there
         at, there = _find(self.pair, dish * len(self.contexts) + context)
@@ -999,55 +1118,48 @@ def _tables_under_rare(seats: DataFrame, model) -> DataFrame:
     return seats.filter(F.col("kind") == RARE_SEATS).select("payload").mapInArrow(find, _ROW)
 
 
-def _of_contexts(asked: DataFrame, pairs: DataFrame, seats: DataFrame, model, n_buckets: int) -> DataFrame:
-    """Answers for common words that follow rare contexts; rare ones are sent on to their own buckets."""
-
-    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = _received(model)
-        held: dict[int, list[bytes]] = {k: [] for k in (CONTEXT, CONTEXT_STATS, CONTEXT_SEATS, CONTEXT_TABLES)}
-        found = None
-        for batch in batches:
-            for kind, slice_id, payload in zip(*(batch.column(i).to_pylist() for i in (1, 2)), batch.column(5), strict=True):
-                if kind in held:
-                    held[kind].append(payload.as_py())
-                    continue
-                if found is None:
-                    found, held = Contexts(m, held), {}
-                u, w, d, times = unpack(payload.as_py())
-                common = w >= 0
-                if common.any():
-                    known = base = np.zeros(int(common.sum()))
-                    yield _row(0, ANSWER, _by_text(d[common], times[common], known, base, found.common(u[common], w[common])), slice_id)
-                u, w, d, times = (x[~common] for x in (u, w, d, times))
-                yield from _dealt(m.buckets.of_rare(w), ASKED_RARE, [w, u, d, times, *found.of(u)], slice_id)
-
-    held = pairs.filter(F.col("kind").isin(CONTEXT, CONTEXT_STATS)).unionByName(seats.filter(F.col("kind") == CONTEXT_SEATS)).unionByName(_tables_under_rare(seats, model))
-    rows = held.unionByName(asked).repartitionById(n_buckets, F.col("bucket")).sortWithinPartitions("kind")
-    return stored(rows.mapInArrow(answer, _ROW), "contexts")
-
-
 def _by_text(d: np.ndarray, times: np.ndarray, known: np.ndarray, base: np.ndarray, score: np.ndarray) -> bytes:
-    texts, place = np.unique(d, return_inverse=True)
-    sums = [np.bincount(place, x, len(texts)) for x in (times, known, base, times * score)]
+    texts = np.flatnonzero(np.bincount(d))
+    sums = [np.bincount(d, x)[texts] for x in (times, known, base, times * score)]
     return pack(texts, *(x.astype(np.int64) for x in sums[:2]), *sums[2:])
 
 
-def _answered(asked: DataFrame, pairs: DataFrame, seats: DataFrame, model, n_buckets: int) -> DataFrame:
-    """Rows (slice, payload): a slice's texts as they are, and sums for its texts from each bucket."""
+def _answered(asked: DataFrame, held: DataFrame, model, n_buckets: int) -> DataFrame:
+    """Answers of the buckets: a slice's texts as they are, sums for its texts, and what is asked of rare words that follow
+    rare contexts, which goes on to their own buckets. Rows come by kind, so those of rare contexts are the last. What has
+    gone on is answered at once for all slices: a row for each slice, context's and word's bucket would be too many."""
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list[bytes]] = {k: [] for k in (COMMON, RARE, COMMON_SEATS, RARE_SEATS)}
-        bucket = None
+        m = _received(model)
+        waiting: dict[int, list[bytes]] = {k: [] for k in (COMMON, RARE, COMMON_SEATS, RARE_SEATS, CONTEXT, CONTEXT_STATS, CONTEXT_SEATS, CONTEXT_TABLES)}
+        bucket = contexts = None
+        going, come = Held(), []
         for batch in batches:
-            ids, kinds, payloads = [], [], []
             for kind, slice_id, payload in zip(*(batch.column(i).to_pylist() for i in (1, 2)), batch.column(5), strict=True):
                 payload = payload.as_py()
-                if kind in held:
-                    held[kind].append(payload)
-                    continue
-                if kind != TEXTS:
+                if kind in waiting:
+                    waiting[kind].append(payload)
+                elif kind == TEXTS:
+                    yield _row(0, TEXTS, payload, slice_id)
+                elif kind == ASKED_CONTEXT:
+                    if contexts is None:
+                        bucket, contexts = None, Contexts(m, waiting)
+                        waiting = dict.fromkeys(waiting, [])
+                    u, w, d, times = unpack(payload)
+                    common = w >= 0
+                    if common.any():
+                        known = base = np.zeros(int(common.sum()))
+                        yield _row(0, ANSWER, _by_text(d[common], times[common], known, base, contexts.common(u[common], w[common])), slice_id)
+                    u, w, d, times = (x[~common] for x in (u, w, d, times))
+                    going.add(ONWARD, m.buckets.of_rare(w), w, u, d, times, *contexts.of(u), np.full(len(w), slice_id))
+                    if going.n > TOGETHER:
+                        yield from going.dealt()
+                elif kind == ONWARD:
+                    come.append(unpack(payload))
+                else:
                     if bucket is None:
-                        bucket, held = Bucket(_received(model), held), {}
+                        bucket = Bucket(m, waiting)
+                        waiting |= {k: [] for k in (COMMON, RARE, COMMON_SEATS, RARE_SEATS)}
                     if kind == ASKED:
                         code, d, times = unpack(payload)
                         known = base = np.zeros(len(d))
@@ -1056,16 +1168,20 @@ def _answered(asked: DataFrame, pairs: DataFrame, seats: DataFrame, model, n_buc
                         w, u, d, times, customers, tables = unpack(payload)
                         score, tokens = bucket.rare(w, u, customers, tables)
                         known, base = times * (tokens > 0), times * np.log10(tokens + 1.0)
-                    payload = _by_text(d, times, known, base, score)
-                ids.append(slice_id)
-                kinds.append(kind == TEXTS)
-                payloads.append(payload)
-            if ids:
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(kinds, pa.bool_()), pa.array(payloads, pa.binary())], names=["slice", "texts", "payload"])
+                    yield _row(0, ANSWER, _by_text(d, times, known, base, score), slice_id)
+        yield from going.dealt()
+        if come:
+            w, u, d, times, customers, tables, of = (np.concatenate(x) for x in zip(*come, strict=True))
+            score, tokens = (bucket or Bucket(m, waiting)).rare(w, u, customers, tables)
+            order = np.argsort(of, kind="stable")
+            d, times, score, tokens, of = d[order], times[order], score[order], tokens[order], of[order]
+            at = _runs(of)
+            for a, b in zip(at.tolist(), np.append(at[1:], len(of)).tolist(), strict=True):
+                known, base = times[a:b] * (tokens[a:b] > 0), times[a:b] * np.log10(tokens[a:b] + 1.0)
+                yield _row(0, ANSWER, _by_text(d[a:b], times[a:b], known, base, score[a:b]), int(of[a]))
 
-    held_rows = pairs.filter(F.col("kind").isin(COMMON, RARE)).unionByName(seats.filter(F.col("kind").isin(COMMON_SEATS, RARE_SEATS)))
-    rows = asked.unionByName(held_rows).repartitionById(n_buckets, F.col("bucket")).sortWithinPartitions("kind")
-    return rows.mapInArrow(answer, "slice long, texts boolean, payload binary")
+    rows = held.unionByName(asked).repartitionById(n_buckets, F.col("bucket")).sortWithinPartitions("kind")
+    return rows.mapInArrow(answer, _ROW)
 
 
 _PER_TEXT = "key long, m long, n long, n_known long, log_c double, score double"
@@ -1117,10 +1233,10 @@ def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
     model, pairs, seats = train(rows.filter("trained").select("text"), one_in, pair_in, seed)
     tokens, types = model.states[0].tokens, model.states[0].types
     shared = _sent(spark, model)
-    contexts = _of_contexts(_asked(rows, shared, of_rare=True), pairs, seats, shared, model.buckets.n)
-    asked = _asked(rows, shared).unionByName(contexts.filter(F.col("kind") == ASKED_RARE))
-    answers = contexts.filter(F.col("kind") == ANSWER).select(F.col("id").alias("slice"), F.lit(False).alias("texts"), "payload")
-    answered = _answered(asked, pairs, seats, shared, model.buckets.n).unionByName(answers)
+    held = pairs.unionByName(seats.filter(F.col("kind").isin(COMMON_SEATS, RARE_SEATS, CONTEXT_SEATS)))
+    first = stored(_answered(_asked(rows, shared), held.unionByName(_tables_under_rare(seats, shared)), shared, model.buckets.n), "answers")
+    second = _answered(first.filter(F.col("kind") == ONWARD), held.filter(F.col("kind").isin(RARE, RARE_SEATS)), shared, model.buckets.n)
+    answered = first.filter(F.col("kind").isin(TEXTS, ANSWER)).unionByName(second).select(F.col("id").alias("slice"), (F.col("kind") == TEXTS).alias("texts"), "payload")
     by_slice = answered.repartition("slice").sortWithinPartitions("slice", F.desc("texts"))
     # Equal texts add up, and each takes its part.
     per_text = by_slice.mapInArrow(_summed, _PER_TEXT).groupBy("key").agg(*[F.sum(c).alias(c) for c in ("m", "n", "n_known", "log_c", "score")])
